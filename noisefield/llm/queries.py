@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprints, lengths, mixing, packing, quality, shards
+from . import chat, fingerprints, lengths, mixing, near, packing, quality, shards
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -171,6 +171,29 @@ def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.suffix_report(lengths.histogram(counted))
 
 
+# 9 ---------------------------------------------------------------------------------------------------------------
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(_docs(spark, sf_dir), words_each=4, percent=80)
+
+
+NEAR_SQL = """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') ws from documents),
+u as (select doc_id, len(ws) n, unnest(ws) w, unnest(range(1, len(ws) + 1)) i from w),
+v as (select doc_id, n, i, concat_ws(' ', w, lead(w, 1) over d, lead(w, 2) over d, lead(w, 3) over d) sh from u window d as (partition by doc_id order by i)),
+sh as (select distinct doc_id, md5_number(sh) sh from v where i <= greatest(n - 3, 1)),
+c as (select doc_id, count(*) n from sh group by doc_id),
+p as (select a.doc_id a, b.doc_id b, count(*) k from sh a join sh b on a.sh = b.sh and a.doc_id < b.doc_id group by all),
+l as (select a, b from p join c x on x.doc_id = a join c y on y.doc_id = b where 100 * k >= 80 * (x.n + y.n - k)),
+e as (select a, b from l union all select b, a from l),
+r(a, b) as (select doc_id, doc_id from documents union select r.a, e.b from r join e on r.b = e.a)
+select d.doc_id, coalesce(c.n, 0)::bigint n_shingles, m.component_id, d.doc_id = m.component_id kept
+from documents d left join c on c.doc_id = d.doc_id join (select a, min(b) component_id from r group by a) m on m.a = d.doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -179,9 +202,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_fingerprints": op4_fingerprints,
         "op6_pack": op6_pack,
         "op8_shards": op8_shards,
+        "op9_near_duplicates": op9_near_duplicates,
         "op10_token_lengths": op10_token_lengths,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": MIX_SQL, "op2_format_chats": CHAT_SQL, "op3_quality_rules": _quality_sql()}
+    return {"op1_mix_sources": MIX_SQL, "op2_format_chats": CHAT_SQL, "op3_quality_rules": _quality_sql(), "op9_near_duplicates": NEAR_SQL}
