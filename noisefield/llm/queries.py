@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprints, lengths, mixing, near, packing, quality, shards
+from . import chat, fingerprints, lengths, mixing, near, packing, quality, shards, suffix
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -171,6 +171,30 @@ def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.suffix_report(lengths.histogram(counted))
 
 
+# 7 ---------------------------------------------------------------------------------------------------------------
+
+
+def op7_cut_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.Repeats(_docs(spark, sf_dir)).report()
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+REPEATS_SQL = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) h from documents),
+w as (select doc_id, p, substr(h, 2 * p + 1, 100) s from (select doc_id, h, unnest(range(0, (length(h) // 2 - 49)::bigint)) p from d)),
+m as (select doc_id, p, min(doc_id) over (partition by s) least from w),
+g as (select doc_id, p, case when p > lag(p, 1, -99) over (partition by doc_id order by p) + 50 then 1 else 0 end new from m where least < doc_id),
+r as (select doc_id, p, sum(new) over (partition by doc_id order by p) k from g),
+s as (select doc_id, k, min(p) a, max(p) + 50 z from r group by all),
+c as (select doc_id, count(*) n_spans, sum(z - a) n_removed, max(z) last from s group by all),
+t as (select s.doc_id, s.a, substr(h, (2 * lag(z, 1, 0) over (partition by s.doc_id order by a) + 1)::bigint, (2 * (a - lag(z, 1, 0) over (partition by s.doc_id order by a)))::bigint) piece from s join d using (doc_id)),
+k as (select doc_id, string_agg(piece, '' order by a) pieces from t group by doc_id)
+select d.doc_id, (length(h) // 2)::bigint n_bytes, coalesce(n_removed, 0)::bigint n_removed, coalesce(n_spans, 0)::bigint n_spans,
+  sha256(unhex(coalesce(pieces || substr(h, (2 * last + 1)::bigint), h))) kept_sha256
+from d left join c on c.doc_id = d.doc_id left join k on k.doc_id = d.doc_id
+"""
+
+
 # 9 ---------------------------------------------------------------------------------------------------------------
 
 
@@ -201,6 +225,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": op3_quality_rules,
         "op4_fingerprints": op4_fingerprints,
         "op6_pack": op6_pack,
+        "op7_cut_repeats": op7_cut_repeats,
         "op8_shards": op8_shards,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_token_lengths": op10_token_lengths,
@@ -208,4 +233,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": MIX_SQL, "op2_format_chats": CHAT_SQL, "op3_quality_rules": _quality_sql(), "op9_near_duplicates": NEAR_SQL}
+    return {"op1_mix_sources": MIX_SQL, "op2_format_chats": CHAT_SQL, "op3_quality_rules": _quality_sql(), "op7_cut_repeats": REPEATS_SQL, "op9_near_duplicates": NEAR_SQL}
