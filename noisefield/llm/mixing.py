@@ -103,6 +103,15 @@ def mix(
     return both.select(F.col("id").alias(id_col), *names, "n_tokens", "epochs", "last_tokens", (F.col("epochs") * F.col("n_tokens") + F.col("last_tokens")).alias("tokens_taken"))
 
 
+def keep_mixed(docs: DataFrame, budget_share: float, weights: dict[tuple[str, ...], float] | None = None, seed: int = 7, levels: dict[str, Column] | None = None, id_col: str = "doc_id") -> DataFrame:
+    """The rows of docs, all columns, that a mix of one epoch reads in whole or in part, or that have no words.
+
+    Where ids repeat, all rows of an id stay if one is read."""
+    taken = mix(docs, budget_share, weights, 1, seed, levels, id_col=id_col)
+    ids = taken.where("tokens_taken > 0 or n_tokens = 0").select(F.col(id_col).alias("taken_id")).distinct()
+    return docs.join(ids, F.expr(f"`{id_col}` <=> taken_id"), "left_semi")
+
+
 def source_domain(source: Column, domains: int = 4) -> Column:
     """The domain of a numbered source: its number modulo `domains`; sources without a number share one."""
     number = F.regexp_extract(source, r"(\d+)$", 1)

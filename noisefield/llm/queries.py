@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprints, lengths, mixing, near, packing, quality, shards, suffix
+from . import chat, fingerprints, lengths, mixing, near, packing, quality, shards, suffix, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -154,6 +154,16 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_docs(spark, sf_dir))
 
 
+# 5 ---------------------------------------------------------------------------------------------------------------
+
+
+def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    labels = toxicity.categories_of(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    out = toxicity.score(docs, toxicity.train(docs, labels))
+    return out.withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
+
+
 # 6, 8, 10 --------------------------------------------------------------------------------------------------------
 
 
@@ -224,6 +234,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_format_chats": op2_format_chats,
         "op3_quality_rules": op3_quality_rules,
         "op4_fingerprints": op4_fingerprints,
+        "op5_toxicity_chain": op5_toxicity_chain,
         "op6_pack": op6_pack,
         "op7_cut_repeats": op7_cut_repeats,
         "op8_shards": op8_shards,
