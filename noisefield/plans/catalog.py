@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import arrays as A, geodesy
 from ..operators import correlate, inventory, lookup, pairs, rotate, stack
+from ..streaming import incremental
+from .shared import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -224,10 +226,10 @@ def pairs_azimuth_wrap(spark, sf_dir):
     return _pairs(spark, sf_dir, azimuth=[(350.0, 20.0)])
 
 
-@query(f"with {STATIONS}, p as ({_SRC} a.nsl_id < b.nsl_id), q as (select * from ({geodesy.distaz_sql('p', 'lat1', 'lon1', 'lat2', 'lon2')}) where distance_km between 0 and 1200) select nsl_id, lat, lon from n where nsl_id in (select src_id from q union select rec_id from q)")
+@query(f"with {STATIONS}, p as ({_SRC} a.nsl_id < b.nsl_id), q as (select * from ({geodesy.distaz_sql('p', 'lat1', 'lon1', 'lat2', 'lon2')}) where distance_km between 0 and 1450) select nsl_id, lat, lon from n where nsl_id in (select src_id from q union select rec_id from q)")
 def pairs_retained_stations(spark, sf_dir):
     s = suppliers(spark, sf_dir)
-    return pairs.retained(s, pairs.station_pairs(s, distance_km=(0.0, 1200.0))).select("nsl_id", "lat", "lon")
+    return pairs.retained(s, pairs.station_pairs(s, distance_km=(0.0, 1450.0))).select("nsl_id", "lat", "lon")
 
 
 # Conditioning ----------------------------------------------------------------------------------------------------
@@ -569,3 +571,35 @@ def ncf_peaks(spark, sf_dir):
     x = correlate.lags_of(stack.linear_stack(ncf(spark, sf_dir), W), HALF, "path_id", "slot", "n")
     best = Window.partitionBy("path_id", "slot").orderBy(F.desc(F.abs("v")), "lag")
     return x.withColumn("r", F.row_number().over(best)).where("r = 1").select("path_id", "slot", "n", "lag", rounded(F.col("v"), 5).alias("v"))
+
+
+# Streams ---------------------------------------------------------------------------------------------------------
+
+_CHANNEL_KEYS = ["nsl_id", "component", "i"]
+
+
+@query("with s as (select ((vec_id // 3) % 5 + 1)::int nsl_id, substr('ENZ', (vec_id % 3 + 1)::int, 1) component, unnest(range(64))::int i, unnest(embedding)::double v from embeddings) select nsl_id, component, i, count(*)::bigint n, round(avg(v), 6) + 0.0 v from s group by all")
+def stream_incremental_stack(spark, sf_dir):
+    """Stacks of every channel's traces, taken in file by file as a stream that ends with the files there are."""
+    schema = table(spark, sf_dir, "embeddings").schema
+    v = F.col("vec_id")
+    raw = incremental.read_stream(spark, f"{sf_dir}/embeddings.parque[t]", schema, 1)
+    raw = raw.select((F.floor(v / 3) % 5 + 1).cast("int").alias("nsl_id"), F.element_at(F.array(*map(F.lit, "ENZ")), (v % 3 + 1).cast("int")).alias("component"), F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "v"))
+    folder = scratch(spark)
+    incremental.materialize(raw, f"{folder}/sums", f"{folder}/progress", _CHANNEL_KEYS).awaitTermination()
+    return incremental.stack_of(spark, f"{folder}/sums", _CHANNEL_KEYS).withColumn("v", rounded(F.col("v")))
+
+
+@query("select strftime(time_bucket(interval '6 hours', ts), '%Y-%m-%d %H:%M') as window_start, event_type, count(*)::bigint n from events group by 1, 2")
+def window_counts(spark, sf_dir):
+    """Records of each kind in windows of six hours."""
+    e = incremental.windowed_counts(table(spark, sf_dir, "events"), "ts", "1 day", "6 hours", "event_type")
+    return e.select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("window_start"), "event_type", "n")
+
+
+@query("select user_id station, event_type component, count(*)::bigint records, round(min(value), 6) + 0.0 depmin, round(max(value), 6) + 0.0 depmax, strftime(min(ts), '%Y.%j.%H%M') as first_time from events group by 1, 2")
+def station_records(spark, sf_dir):
+    """Records, extremes and first time of each station and component of an irregular series."""
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    g = e.groupBy(F.col("user_id").alias("station"), F.col("event_type").alias("component"))
+    return g.agg(F.count(F.lit(1)).alias("records"), rounded(F.min("value")).alias("depmin"), rounded(F.max("value")).alias("depmax"), inventory.time_text(F.min("ts")).alias("first_time"))
