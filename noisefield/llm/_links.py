@@ -28,4 +28,5 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
-    return edges.select(F.col("b").alias("node"), F.col("a").alias("comp")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct())
+    leaves = edges.select(F.col("b").alias("node"), F.col("a").alias("comp"))
+    return keep(leaves.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """The frame computed once into the shared folder, its lineage cut there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The frame computed once into a Parquet table in the shared folder, its lineage cut there.
+
+    The table stays until the folder is cleared, since later stages may read it again after an executor is lost."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

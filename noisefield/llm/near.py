@@ -1,14 +1,14 @@
 """Near-duplicate documents by b-bit MinHash.
 
 A document's set holds the hashes of its distinct word shingles. Equal sets are one node. Each node has 128 minima;
-bands of four give candidates, the two low bits of each minimum are packed into four longs. A candidate pair is kept if
-the collision-corrected share of equal low bits is not far below the threshold, and confirmed on the full sets.
+bands of four give candidates, and the two low bits of each minimum are packed into four longs.
 
-Candidates of a band bucket are not all its pairs. First every member is compared with the bucket's smallest and largest
-node. Confirmed links give components, and only pairs of a bucket that lie in different components are still open;
-while these are many, further members are tried as hubs, and in the end all open pairs are compared. So every
-candidate pair is either confirmed, refused, or inside one component already. At the threshold a pair misses all 32
-bands with a chance of 5e-8 and the low-bit filter with 1e-9.
+Nodes that share a band bucket, directly or through others, form a cluster. Clusters are compared inside tasks: small ones
+many to a task, large ones in blocks of nodes, a task for each pair of blocks. A task estimates the similarity of all
+its pairs from the low bits (corrected for chance agreement), confirms those not far below the threshold on
+the full sets, and returns a spanning forest of the links it found, never all pairs. Clusters beyond `MOST_CLUSTER` nodes
+are compared bucket by bucket instead, in the same way. At the threshold a pair misses all 32 bands with a chance of
+5e-8 and the low-bit filter with 1e-9.
 
 Edge cases: a null or empty text, or one without words, has an empty set and is linked with nothing; a text with fewer
 words than a shingle has its whole word sequence as one; rows that repeat an id are one document; null ids come
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from . import _text as X
 from ._links import components
@@ -31,10 +31,12 @@ HASHES, ROWS, BITS = 128, 4, 2
 BANDS = HASHES // ROWS
 #: Standard deviations of the low-bit estimate below the threshold at which a pair is refused.
 SLACK = 6.5
-#: Open pairs for each node in a bucket above which another round of hubs is tried first, and rounds at most.
-OPEN_PER_NODE, HUB_ROUNDS = 8, 4
+#: Nodes of a block, of small clusters put together in one task, and of a cluster that is compared as a whole.
+BLOCK_NODES, PACK_NODES, MOST_CLUSTER = 1024, 256, 1 << 16
+#: Candidate pairs in a task above which intersections are counted by matrix products.
+DENSE_PAIRS, DENSE_COLUMNS = 2000, 4096
 #: Ids that may be broadcast to fetch texts (8 bytes each).
-BROADCAST_IDS = 100_000
+BROADCAST_IDS = 500_000
 
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -127,49 +129,109 @@ def _sets(docs: DataFrame, words_each: int, id_col: str, text_col: str) -> DataF
     return docs.select(id_col, text_col).mapInArrow(run, "set_id long, set_hi long, set_lo long, members array<long>")
 
 
-def _estimate(a: str, b: str) -> Column:
-    """Share of equal minima from the low bits, corrected for chance agreement."""
-    equal = F.lit(0)
-    mask = F.lit(0x5555555555555555)
-    for w in _WORDS:
-        x = F.col(f"{a}_{w}").bitwiseXOR(F.col(f"{b}_{w}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        equal = equal + F.bit_count(F.bitwise_not(x).bitwiseAND(mask))
+def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Similarity of every row of packed low bits in a with every one in b, corrected for chance agreement."""
+    mask = np.uint64(0x5555555555555555)
+    equal = np.zeros((len(a), len(b)), np.int32)
+    for k in range(a.shape[1]):
+        x = a[:, k][:, None] ^ b[:, k][None, :]
+        x |= x >> np.uint64(1)
+        equal += np.bitwise_count(~x & mask)
     chance = 0.5**BITS
     return (equal / HASHES - chance) / (1 - chance)
 
 
-class _Confirm:
-    """Candidate pairs of nodes in, confirmed links out."""
-
-    def __init__(self, docs: DataFrame, nodes: DataFrame, words_each: int, percent: int, id_col: str, text_col: str):
-        self.docs, self.nodes, self.words, self.percent, self.id_col, self.text_col = docs, nodes, words_each, percent, id_col, text_col
-        j = percent / 100
-        chance = 0.5**BITS
-        agree = chance + (1 - chance) * j
-        self.least = j - SLACK * (agree * (1 - agree) / HASHES) ** 0.5 / (1 - chance)
-
-    def _side(self, k: str) -> DataFrame:
-        return self.nodes.select(F.col("node").alias(k), F.col("n_shingles").alias(f"{k}_n"), *(F.col(w).alias(f"{k}_{w}") for w in _WORDS))
-
-    def likely(self, pairs: DataFrame) -> DataFrame:
-        p = pairs.join(self._side("a"), "a").join(self._side("b"), "b")
-        sizes = 100 * F.least("a_n", "b_n") >= self.percent * F.greatest("a_n", "b_n")
-        return p.where(sizes & (_estimate("a", "b") >= self.least)).select("a", "b", "a_n", "b_n")
-
-    def __call__(self, pairs: DataFrame) -> DataFrame:
-        pairs = keep(self.likely(pairs))
-        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        asked = keep(self.nodes.select("node", "id", "set_hi", "set_lo").join(asked, "node"))
-        n = asked.count()
-        small = F.broadcast if n <= BROADCAST_IDS else (lambda x: x)
-        texts = self.docs.join(small(asked.select(F.col("id").alias("asked_id")).distinct()), F.expr(f"`{self.id_col}` <=> asked_id"), "left_semi")
-        sets = _sets(texts, self.words, self.id_col, self.text_col)
-        sets = sets.join(asked, ["set_hi", "set_lo"]).where("set_id <=> id").select("node", "members").dropDuplicates(["node"])
-        sets = keep(sets)
-        p = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("a_set")), "a").join(sets.select(F.col("node").alias("b"), F.col("members").alias("b_set")), "b")
-        common = F.size(F.array_intersect("a_set", "b_set"))
-        return keep(p.where(100 * common >= self.percent * (F.col("a_n") + F.col("b_n") - common)).select("a", "b"))
+def least_estimate(percent: int) -> float:
+    j, chance = percent / 100, 0.5**BITS
+    agree = chance + (1 - chance) * j
+    return j - SLACK * (agree * (1 - agree) / HASHES) ** 0.5 / (1 - chance)
+
+
+def common_members(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets x[k] and y[k]."""
+    if len(x) <= DENSE_PAIRS:
+        return np.array([len(np.intersect1d(sets[p], sets[q], assume_unique=True)) for p, q in zip(x, y, strict=True)], np.int64)
+    size = np.array([len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    shared = np.flatnonzero(times > 1)
+    place = np.full(len(times), -1)
+    place[shared] = np.arange(len(shared))
+    column = place[column]
+    row, column = row[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    p, q = np.unique(x), np.unique(y)
+    counts = np.zeros((len(p), len(q)), np.float32)
+    for k in range(0, len(shared), DENSE_COLUMNS):
+        i, j = np.searchsorted(column, [k, k + DENSE_COLUMNS])
+        dense = np.zeros((len(sets), DENSE_COLUMNS), np.float32)
+        dense[row[i:j], column[i:j] - k] = 1
+        counts += dense[p] @ dense[q].T
+    return counts[np.searchsorted(p, x), np.searchsorted(q, y)].astype(np.int64)
+
+
+def spanning_forest(n: int, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join the same of n nodes together as the links (x, y) do."""
+    root = list(range(n))
+    out = []
+    for p, q in zip(x.tolist(), y.tolist(), strict=True):
+        a, b = p, q
+        while root[a] != a:
+            root[a] = root[root[a]]
+            a = root[a]
+        while root[b] != b:
+            root[b] = root[root[b]]
+            b = root[b]
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((p, q))
+    return out
+
+
+def _compare(percent: int):
+    least = least_estimate(percent)
+
+    def run(t: pa.Table) -> pa.Table:
+        node, n = X.column(t, "node").to_numpy(), X.column(t, "n_shingles").to_numpy()
+        left, right = X.column(t, "left").to_numpy(zero_copy_only=False), X.column(t, "right").to_numpy(zero_copy_only=False)
+        bits = np.stack([X.column(t, w).to_numpy().view(np.uint64) for w in _WORDS], 1)
+        listed = X.column(t, "members")
+        edge, flat = np.asarray(listed.offsets), listed.values.to_numpy()
+        sets = [flat[edge[k] : edge[k + 1]] for k in range(len(t))]
+        i, j = np.flatnonzero(left), np.flatnonzero(right)
+        ok = estimates(bits[i], bits[j]) >= least
+        ok &= 100 * np.minimum(n[i][:, None], n[j][None, :]) >= percent * np.maximum(n[i][:, None], n[j][None, :])
+        if (left & right).any():  # a block with itself
+            ok &= node[i][:, None] < node[j][None, :]
+        p, q = np.nonzero(ok)
+        x, y = i[p], j[q]
+        common = common_members(sets, x, y)
+        link = 100 * common >= percent * (n[x] + n[y] - common)
+        found = spanning_forest(len(t), x[link], y[link])
+        return pa.Table.from_arrays([pa.array([node[a] for a, _ in found], pa.int64()), pa.array([node[b] for _, b in found], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _groups(shared: DataFrame) -> DataFrame:
+    """Which nodes are compared in which task: node, left, right, and the task's key. shared: key, node, low (the bucket's smallest node)."""
+    cluster = components(shared.select(F.col("low").alias("a"), F.col("node").alias("b")).where("a < b"))
+    sizes = cluster.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
+    cluster = keep(cluster.join(sizes, "comp"))
+    whole = cluster.where(F.col("n") <= MOST_CLUSTER)
+    nodes = whole.where(F.col("n") <= PACK_NODES).count()
+    packs = nodes // (2 * PACK_NODES) + 1
+    small = F.col("n") <= PACK_NODES
+    whole = whole.select("node", F.when(small, -1 - F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(F.col("comp")).alias("task"), F.lit(0).alias("kind"), F.when(small, 1).otherwise(F.ceil(F.col("n") / BLOCK_NODES)).cast("int").alias("blocks"))
+    huge = cluster.where(F.col("n") > MOST_CLUSTER).select("node")
+    buckets = shared.select("key", "node").join(huge, "node")
+    count = buckets.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_NODES).cast("int").alias("blocks"))
+    buckets = buckets.join(count, "key").select("node", F.col("key").alias("task"), F.lit(1).alias("kind"), "blocks")
+    every = whole.unionByName(buckets).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    every = every.select("node", "task", "kind", "mine", other)
+    return every.select("node", "task", "kind", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") <= F.col("other")).alias("left"), (F.col("mine") >= F.col("other")).alias("right"))
 
 
 def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,39 +241,19 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, id_
     first = rows.where("n_shingles > 0").groupBy("set_hi", "set_lo").agg(F.min("row").alias("node"))
     member = keep(rows.where("n_shingles > 0").select("row", "id", "set_hi", "set_lo").join(first, ["set_hi", "set_lo"]).select("row", "id", "node"))
     nodes = rows.join(member.where("row = node").select("row"), "row", "left_semi").withColumnRenamed("row", "node")
-    nodes = keep(nodes)
     entries = nodes.select("node", F.explode("bands").alias("key"))
-    confirm = _Confirm(docs, nodes.drop("bands"), words_each, percent, id_col, text_col)
-
     hubs = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    shared = keep(entries.join(hubs, "key"))  # buckets of two nodes or more
-    pairs = shared.select(F.col("low").alias("a"), F.col("node").alias("b")).union(shared.select("node", "high")).where("a < b").distinct()
-    links = confirm(pairs)
+    shared = keep(entries.join(hubs.select("key", "low"), "key"))  # buckets of two nodes or more
+
+    asked = keep(nodes.drop("bands").join(shared.select("node").distinct(), "node"))
+    small = F.broadcast if asked.count() <= BROADCAST_IDS else (lambda x: x)
+    texts = docs.join(small(asked.select(F.col("id").alias("asked_id")).distinct()), F.expr(f"`{id_col}` <=> asked_id"), "left_semi")
+    sets = _sets(texts, words_each, id_col, text_col).join(asked, ["set_hi", "set_lo"]).where("set_id <=> id").drop("set_id", "set_hi", "set_lo", "id")
+    work = _groups(shared).join(sets.dropDuplicates(["node"]), "node")
+    links = work.groupBy("task", "kind", "i", "j").applyInArrow(_compare(percent), "a long, b long")
     same_id = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("id is not null and a < b")
     same_id = member.join(same_id.select("id", "a"), "id").where("a < node").select("a", F.col("node").alias("b"))
-    links = links.union(same_id)
-    for turn in range(HUB_ROUNDS + 1):
-        comp = keep(components(links))
-        open_ = shared.select("key", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        mixed = open_.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("key")
-        open_ = keep(open_.join(mixed, "key"))
-        sizes = open_.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("n2"))
-        members, crossing = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("n2")) / 2), F.lit(0.0))).first()
-        if not members:
-            break
-        if crossing > OPEN_PER_NODE * members and turn < HUB_ROUNDS:
-            # one more hub in each bucket: the member of least seeded hash
-            hub = open_.groupBy("key").agg(F.min(F.xxhash64(F.lit(turn), "node")).alias("h"))
-            hub = open_.join(hub, "key").where(F.xxhash64(F.lit(turn), "node") == F.col("h")).select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-            pairs = open_.join(hub, "key").where("comp <> hub_comp").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-            links = links.union(confirm(pairs))
-            continue
-        left, right = (open_.select("key", F.col("node").alias(k), F.col("comp").alias(f"{k}_comp")) for k in ("a", "b"))
-        pairs = left.join(right, "key").where("a < b and a_comp <> b_comp").select("a", "b").distinct()
-        more = confirm(pairs)
-        links = links.union(more)
-        comp = keep(components(links))
-        break
+    comp = components(links.unionByName(same_id))
 
     member = member.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = member.groupBy("comp").agg(F.min("id").alias("component_id"))
