@@ -78,6 +78,15 @@ def fit_length(x: Column, n: int) -> Column:
     return F.slice(F.concat(x, F.array_repeat(F.lit(ZERO), n)), 1, n)
 
 
+def window(x: Column, begin: Column, delta: float, t1: float, t2: float) -> Column:
+    """Samples from t1 to t2 of a trace that begins at `begin`; zeros where the window leaves the trace."""
+    n = round((t2 - t1) / delta)
+    first = F.rint((t1 - begin) / delta).cast("int")
+    lead = F.least(F.greatest(-first, F.lit(0)), F.lit(n))
+    held = F.slice(x, F.greatest(first, F.lit(0)) + 1, F.greatest(n - lead, F.lit(0)))
+    return F.slice(F.concat(F.array_repeat(F.lit(ZERO), lead), held, F.array_repeat(F.lit(ZERO), n)), 1, n)
+
+
 def phase_only(re: Column, im: Column) -> tuple[Column, Column]:
     size = F.zip_with(re, im, lambda a, b: F.sqrt(a * a + b * b))
     unit = lambda x: F.zip_with(x, size, lambda v, s: F.when(s <= 1e-30, F.lit(ZERO)).otherwise(v / F.when(s > 1e-30, s)))

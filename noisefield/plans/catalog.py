@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import arrays as A, geodesy
-from ..operators import correlate, inventory, lookup, pairs, rotate, stack
+from ..operators import correlate, gather, inventory, lookup, pairs, rotate, stack
 from ..streaming import incremental
 from .shared import scratch
 
@@ -603,3 +603,51 @@ def station_records(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     g = e.groupBy(F.col("user_id").alias("station"), F.col("event_type").alias("component"))
     return g.agg(F.count(F.lit(1)).alias("records"), rounded(F.min("value")).alias("depmin"), rounded(F.max("value")).alias("depmax"), inventory.time_text(F.min("ts")).alias("first_time"))
+
+
+# Selections and charts -------------------------------------------------------------------------------------------
+
+
+@query(f"with {WAVES}, k as (select unnest(range(30))::int i) select w.timestamp, w.nsl_id, w.component, k.i, round(coalesce(s.v, 0), 6) + 0.0 v from w cross join k left join s on s.timestamp = w.timestamp and s.nsl_id = w.nsl_id and s.component = w.component and s.i = k.i - 10 + 5 * w.nsl_id % 3")
+def sig_window(spark, sf_dir):
+    """Windows that begin before the trace, at another place for each station."""
+    w = complete(spark, sf_dir).withColumn("data", A.window(F.col("data"), -(5 * F.col("nsl_id") % 3).cast("double"), 1.0, -10.0, 20.0))
+    return samples(w)
+
+
+@query(f"with {DFT} select {_KEY}, k, round(re, 5) + 0.0 re from z where nsl_id = 3 and component in ('E', 'Z')")
+def spec_select(spark, sf_dir):
+    z = _spectra(spark, sf_dir).withColumns({"network": F.lit("NN"), "station": F.concat(F.lit("S"), "nsl_id"), "location": F.lit("00")})
+    return _bins(gather.select_spectra(z, "NN.S3", ["e", "HHZ", "Z"])).select("timestamp", "nsl_id", "component", "k", rounded(F.col("re"), 5).alias("re"))
+
+
+@query(f"with {DFT}, g as (select unnest(range(-4, 5)) j), p as (select {_KEY}, k, re * re + im * im p from z) select a.timestamp, a.nsl_id, a.component, a.k, round(sum(b.p * exp(-0.5 * j * j)) / (select sum(exp(-0.5 * j * j)) from g), 4) + 0.0 as value from p a cross join g join p b on a.timestamp = b.timestamp and a.nsl_id = b.nsl_id and a.component = b.component and b.k = least(greatest(a.k + j, 0), 32) group by all")
+def spec_smooth(spark, sf_dir):
+    z = gather.smooth_spectra(_spectra(spark, sf_dir).withColumn("step", F.lit(0)), "power", 0.0, 1.0, ["timestamp", "nsl_id", "component"])
+    return z.select("timestamp", "nsl_id", "component", F.posexplode("value").alias("k", "value")).withColumn("value", rounded(F.col("value"), 4))
+
+
+@query(f"with {STACK}, m as (select path_id, slot, max(abs(v)) top from st group by all) select path_id, slot, (lag * 0.5)::double lag, round(path_id % 1000 + v / top * 2.5, 5) + 0.0 y from st join m using (path_id, slot) where abs(lag * 0.5) <= 2")
+def gather_lines(spark, sf_dir):
+    x = stack.linear_stack(ncf(spark, sf_dir), W).withColumn("distance", (F.col("path_id") % 1000).cast("double"))
+    return gather.lines(x, HALF, 0.5, 2.0, F.lit(2.5), "path_id", "slot").withColumn("y", rounded(F.col("y"), 5))
+
+
+@query(f"with {FILES}, u as (select station, component, day, 1 grp from f where station < 'S3' union all select station, component, day, 2 from f where station >= 'S2') select grp::int as \"group\", station, count(*)::bigint n, count(distinct day)::bigint as days from u group by 1, 2")
+def inv_sources_union(spark, sf_dir):
+    """Files of two sources in one table, each with its group."""
+    m = matched(spark, sf_dir)
+    both = m.where("station < 'S3'").withColumn("group", F.lit(1)).unionByName(m.where("station >= 'S2'").withColumn("group", F.lit(2)))
+    return both.groupBy("group", "station").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("time").alias("days"))
+
+
+@query(f"with {FILES}, k as (select station, count(distinct component) c from f group by 1) select c::bigint components, count(*)::bigint stations from k group by 1")
+def inv_component_counts(spark, sf_dir):
+    s = inventory.stations(matched(spark, sf_dir).withColumns({"group": F.lit("g"), "network": F.lit("N")}))
+    return s.groupBy(F.size("components").cast("long").alias("components")).agg(F.count(F.lit(1)).alias("stations"))
+
+
+@query(f"with {NCF} select path_id, slot, count(distinct timestamp)::bigint records, count(distinct timestamp)::bigint * {2 * HALF + 1} * 4 + count(distinct timestamp) * 632 bytes from x group by 1, 2")
+def sourcepack_sizes(spark, sf_dir):
+    """Records of each pair and slot, and their bytes as files."""
+    return ncf(spark, sf_dir).groupBy("path_id", "slot").agg(F.count(F.lit(1)).alias("records"), F.sum(F.lit(632) + 4 * F.size("data")).cast("long").alias("bytes"))
