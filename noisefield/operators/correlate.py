@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import arrays as A, spectral as S
+from .vectors import mean_arrays
 
 #: Order of components inside a pair.
 COMPONENT_RANK = {"E": 0, "1": 0, "R": 0, "N": 1, "2": 1, "T": 1, "Z": 2, "3": 2}
@@ -151,8 +152,7 @@ def correlate_spectra(spec: DataFrame, paths: DataFrame, half: int, length: int,
             yield pa.RecordBatch.from_arrays([b.column("timestamp"), b.column("path_id"), b.column("slot"), _lists(lags)], ["timestamp", "path_id", "slot", "data"])
 
     lags = pairs.select("timestamp", "path_id", "slot", "src_re", "src_im", "rec_re", "rec_im").mapInArrow(run, f"timestamp {time_type}, path_id long, slot int, data array<double>")
-    means = [F.avg(F.col("data")[k]).alias(f"v{k}") for k in range(2 * half + 1)]
-    return lags.groupBy("timestamp", "path_id", "slot").agg(F.count(F.lit(1)).alias("steps"), *means).select("timestamp", "path_id", "slot", "steps", F.array(*(f"v{k}" for k in range(2 * half + 1))).alias("data"))
+    return mean_arrays(lags, ["timestamp", "path_id", "slot"], 2 * half + 1, "steps")
 
 
 def lags_of(ncf: DataFrame, half: int, *keys: str) -> DataFrame:

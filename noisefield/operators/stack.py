@@ -12,23 +12,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import spectral as S
+from .vectors import mean_arrays, sum_arrays
 
 KEYS = ["path_id", "slot"]
 
 
 def linear_stack(ncf: DataFrame, width: int, keys: list[str] | None = None) -> DataFrame:
     """keys, n and the mean of the records. width: numbers in data."""
-    keys = keys or KEYS
-    means = [F.avg(F.col("data")[k]).alias(f"v{k}") for k in range(width)]
-    return ncf.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *means).select(*keys, "n", F.array(*(f"v{k}" for k in range(width))).alias("data"))
+    return mean_arrays(ncf, keys or KEYS, width, "n")
 
 
 def chunks(ncf: DataFrame, size: int, width: int) -> DataFrame:
     """Sums of consecutive records: path_id, slot, chunk, count, data."""
     order = Window.partitionBy(*KEYS).orderBy("timestamp")
     cut = ncf.withColumn("chunk", F.floor((F.row_number().over(order) - 1) / max(size, 1)).cast("int"))
-    sums = [F.sum(F.col("data")[k]).alias(f"v{k}") for k in range(width)]
-    return cut.groupBy(*KEYS, "chunk").agg(F.count(F.lit(1)).alias("count"), *sums).select(*KEYS, "chunk", "count", F.array(*(f"v{k}" for k in range(width))).alias("data"))
+    return sum_arrays(cut, [*KEYS, "chunk"], width, "count")
 
 
 def _weighted(parts: DataFrame, stack) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from noisefield.functions import arrays as A, geodesy
-from noisefield.operators import correlate, inventory, lookup, pairs, rotate
+from noisefield.operators import correlate, gather, inventory, lookup, pairs, rotate, vectors
 
 
 def distaz(spark, *rows):
@@ -133,3 +133,28 @@ def test_lookup_of_one_record(spark):
         lookup.one(lookup.extract(df, "2022_1", "A.Z", "B.N", allow_reverse=True))
     with pytest.raises(LookupError):
         lookup.one(lookup.extract(df, "2022_1", "A.Z", "C.N"))
+
+
+def test_long_arrays_are_summed_like_short_ones(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(k % 3, None if k % 5 == 0 else "a", [float(v) for v in rng.normal(size=7)]) for k in range(40)]
+    df = spark.createDataFrame(rows, "k int, name string, data array<double>").repartition(3)
+    order = lambda rows: sorted(((r.k, str(r.name), r.n, [round(v, 9) for v in r.data]) for r in rows))
+    short = order(vectors.mean_arrays(df, ["k", "name"], 7, "n").collect())
+    monkeypatch.setattr(vectors, "JVM_WIDTH", 2)
+    assert order(vectors.mean_arrays(df, ["k", "name"], 7, "n").collect()) == short and len(short) == 6
+    assert vectors.mean_arrays(df.where("false"), ["k", "name"], 7, "n").count() == 0
+
+
+def test_gaussian_smoothing_keeps_constants_and_sums():
+    x = np.zeros((9, 41))
+    x[4, 20] = 1
+    out = gather.gaussian_smooth(x, (1.0, 2.0))
+    assert out.sum() == pytest.approx(1, abs=1e-3) and out[4, 20] == out.max()
+    assert gather.gaussian_smooth(np.full((3, 5), 2.5), (1.0, 3.0)) == pytest.approx(np.full((3, 5), 2.5))
+
+
+def test_windows_leave_zeros_outside_the_trace(spark):
+    x = [1.0, 2.0, 3.0, 4.0]
+    for t1, t2, want in ((-2, 2, [0, 0, 1, 2]), (1, 6, [2, 3, 4, 0, 0]), (9, 11, [0, 0]), (-9, -7, [0, 0])):
+        assert one(spark, lambda c, t1=t1, t2=t2: A.window(c, F.lit(0.0), 1.0, t1, t2), x) == want
