@@ -257,7 +257,7 @@ def sig_taper(spark, sf_dir):
     return samples(complete(spark, sf_dir).withColumn("data", A.taper(F.col("data"), 10)))
 
 
-@query(_sample_sql("sign(v)"))
+@query(_sample_sql("sign(v)::double"))
 def sig_onebit(spark, sf_dir):
     return samples(complete(spark, sf_dir).withColumn("data", A.one_bit(F.col("data"))))
 
