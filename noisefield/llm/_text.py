@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one numpy pass handles; a longer document is a pass of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -18,6 +20,15 @@ _BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def give_back() -> None:
+    """Hands freed memory back to the system: a Python worker lives on between the stages of a job."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def column(batch: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
     col = batch.column(name)
     return col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
@@ -47,11 +58,16 @@ def passes(at: np.ndarray, most: int = CHUNK_BYTES):
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the polynomial's base and of its inverse; a worker keeps those for passes of the usual size."""
     if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _BASE_INV)):
+        made = []
+        for base in (_BASE, _BASE_INV):
             p = np.full(n, base, np.uint64)
             p[0] = 1
-            _powers[k] = np.cumprod(p, dtype=np.uint64)
+            made.append(np.cumprod(p, dtype=np.uint64))
+        if n > 2 * CHUNK_BYTES:
+            return made[0], made[1]
+        _powers[:] = made
     return _powers[0][:n], _powers[1][:n]
 
 

@@ -1,13 +1,14 @@
 """Tokenizing Arrow batches with a public vocabulary file, each distinct word once.
 
 `word_bpe` vocabularies drop white space and never join characters across it, so the ids of a text are the
-ids of its words one after another. A worker keeps the ids of words it has met (a bounded dictionary), finds
-the distinct words of a batch with Arrow's dictionary encoding, and spreads their ids with numpy.
+ids of its words one after another. A worker keeps the words it has met and their ids in Arrow and numpy arrays of
+bounded size, finds the distinct words of a batch with Arrow's dictionary encoding, and spreads their ids with numpy.
 Vocabularies that see white space are given whole texts.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 
 import numpy as np
@@ -16,13 +17,34 @@ import pyarrow.compute as pc
 
 from . import _text as X
 
-#: Words whose ids a Python worker keeps; beyond that it starts afresh.
+#: Words whose ids a Python worker keeps (some 40 bytes each); beyond that it starts afresh.
 WORDS_KEPT = 700_000
 #: Bytes of text whose distinct words are looked up at once.
-PASS_BYTES = 16 << 20
+PASS_BYTES = 6 << 20
 
 _open: dict[str, object] = {}
-_known: dict[str, dict[str, bytes]] = {}
+_known: dict[str, _Words] = {}
+
+
+class _Words:
+    """Words and their ids, one run after another; the first word is empty."""
+
+    def __init__(self) -> None:
+        self.words = pa.array([""], pa.large_string())
+        self.ids = np.zeros(0, "<u4")
+        self.size = np.zeros(1, np.int64)
+
+    def places(self, words: pa.Array, path: str) -> np.ndarray:
+        """Where distinct words stand; those not met before are encoded and added."""
+        at = pc.index_in(words, value_set=self.words)
+        if at.null_count:
+            fresh = words.filter(pc.is_null(at))
+            ids = _encode_words(fresh.to_pylist(), path)
+            self.words = pa.concat_arrays([self.words, fresh])
+            self.size = np.concatenate([self.size, np.fromiter(map(len, ids), np.int64, len(ids))])
+            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(ids), "<u4")])
+            at = pc.index_in(words, value_set=self.words)
+        return np.asarray(at, np.int64)
 
 
 def tokenizer(path: str):
@@ -31,7 +53,7 @@ def tokenizer(path: str):
         from tokenizers import Tokenizer
 
         _open[path] = Tokenizer.from_file(path)
-        _known[path] = {}
+        _known[path] = _Words()
     return _open[path]
 
 
@@ -86,25 +108,17 @@ def _encode_words(words: list[str], path: str) -> list[tuple[int, ...]]:
 def _ids_of(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of distinct words, one run after another, and the runs' sizes."""
     tokenizer(path)
+    if len(_known[path].words) > WORDS_KEPT:
+        _known[path] = _Words()
     known = _known[path]
-    if len(known) > WORDS_KEPT:
-        known.clear()
     cut = pc.if_else(pc.match_substring_regex(words, _TAIL), pc.utf8_rtrim(words, characters=".,"), words)
-    tail = pc.utf8_slice_codeunits(words, 0, 0)
-    size = pc.subtract(pc.binary_length(words), pc.binary_length(cut)).to_numpy(zero_copy_only=False)
-    core = pc.if_else(pc.match_substring_regex(cut, _AS_IS), cut, pc.utf8_lower(cut))
-    if size.any():
-        texts = words.to_pylist()
-        tail = pa.array([texts[k][-z:] if z else "" for k, z in enumerate(size.tolist())], words.type)
-    parts = pa.concat_arrays([core, tail]).dictionary_encode()
-    distinct = parts.dictionary.to_pylist()
-    known[""] = b""
-    fresh = [w for w in distinct if w not in known]
-    known.update((w, np.array(ids, "<u4").tobytes()) for w, ids in zip(fresh, _encode_words(fresh, path), strict=True))
-    ids = [known[w] for w in distinct]
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-    which = np.asarray(parts.indices, np.int64).reshape(2, -1).T.ravel()
-    flat, starts = _spread(np.frombuffer(b"".join(ids), "<u4"), sizes, which)
+    core = pc.if_else(pc.match_substring_regex(cut, _AS_IS), cut, pc.utf8_lower(cut)).dictionary_encode()
+    which = np.zeros((len(words), 2), np.int64)
+    which[:, 0] = known.places(core.dictionary, path)[np.asarray(core.indices)]
+    tailed = np.flatnonzero(pc.not_equal(pc.binary_length(words), pc.binary_length(cut)).to_numpy(zero_copy_only=False))
+    tails = pc.replace_substring_regex(words.take(pa.array(tailed)), "(?s)^.*[^.,]", "").dictionary_encode()
+    which[tailed, 1] = known.places(tails.dictionary, path)[np.asarray(tails.indices)]
+    flat, starts = _spread(known.ids, known.size, which.ravel())
     return flat, np.diff(starts[::2])
 
 
@@ -135,3 +149,4 @@ def encode(texts: pa.Array, path: str, end_id: int | None = None):
             ids = np.insert(ids, doc_at[1:], end_id).astype("<u4")
             doc_at = doc_at + np.arange(len(doc_at))
         yield i, ids, doc_at
+    X.give_back()

@@ -209,6 +209,7 @@ def _compare(percent: int):
         common = common_members(sets, x, y)
         link = 100 * common >= percent * (n[x] + n[y] - common)
         found = spanning_forest(len(t), x[link], y[link])
+        X.give_back()
         return pa.Table.from_arrays([pa.array([node[a] for a, _ in found], pa.int64()), pa.array([node[b] for _, b in found], pa.int64())], names=["a", "b"])
 
     return run

@@ -35,6 +35,8 @@ LENGTH = 50
 GRAM = 20
 #: Mean bytes of text in a block and of anchors' text in a bucket.
 BLOCK_BYTES = 4 << 20
+#: Buckets of segments for each bucket of anchors: sorting takes some hundred bytes for each byte of a bucket.
+SORT_BUCKETS = 3
 #: Documents of an anchor above which its strings are dealt one by one.
 HOT_DOCS = 2000
 LAST_ID = (1 << 63) - 1
@@ -312,7 +314,7 @@ def _send(parts: int):
         if many.any():
             k2, r2, s2, settled = _one_by_one(held, d[many], first[many], last[many])
             key, row, start, size = np.concatenate([key, k2]), np.concatenate([row, r2]), np.concatenate([start, s2]), np.concatenate([size, np.full(len(k2), LENGTH)])
-        bucket, order, begin = _split(key, parts)
+        bucket, order, begin = _split(key, parts * SORT_BUCKETS)
         row, start, size = row[order], start[order], size[order]
         data = held.raw[_ragged(held.at[row] + start, size)]
         cut = np.r_[0, np.cumsum(size)]
@@ -321,7 +323,7 @@ def _send(parts: int):
         datas = [data[cut[a] : cut[z]].tobytes() for a, z in zip(begin, ends, strict=True)]
         buckets = bucket[begin].tolist()
         if settled:
-            buckets.append(block % parts)
+            buckets.append(block)
             for c in (*cols, datas):
                 c.append(b"")
         n = len(buckets)
@@ -395,6 +397,7 @@ def _match(sent: pa.Table) -> pa.Table:
         cut = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.zeros(0, np.int64)
         for x, r, s, e in zip(b[cut], np.split(row[k][order], cut[1:]), np.split(place[a][order], cut[1:]), np.split(place[z][order] + LENGTH, cut[1:]), strict=False):
             out.append((int(x), r, s, e))
+    X.give_back()
     return _extra(_SPANS, [x[0] for x in out], [0] * len(out), [x[1].astype("<i8").tobytes() for x in out], [x[2].astype("<i8").tobytes() for x in out], [x[3].astype("<i8").tobytes() for x in out])
 
 
@@ -486,7 +489,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     base = packed.select(F.col("key").cast("long").alias("own_id"), F.coalesce(F.col("key").cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce("body", F.lit("")).alias("text"), F.col("body").isNull().alias("was_null"), "rest")
     base = base.withColumn("digest", F.xxhash64("text")).withColumn("block", F.pmod(F.xxhash64("id", "digest"), F.lit(work.parts)))
     extra = work.firsts.unionByName(work.spans())
-    out_type = base.select("rest", "text").schema
+    out_type = packed.select("rest", F.col("body").alias("text")).schema  # texts may be null
 
     def run(texts: pa.Table, more: pa.Table) -> pa.Table:
         held = _Block(texts, _of(more, _FIRST))
