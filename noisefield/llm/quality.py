@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import _text as X
 
-#: Largest share of characters inside repeated n-grams, by n. The short lengths catch stuttered words,
+#: Largest share of characters inside repeated n-grams, by n. The short lengths catch stuttered and doubled words,
 #: the long ones pasted passages; running prose stays well below all of them.
-NGRAM_LIMITS = {2: 0.45, 3: 0.35, 5: 0.25, 7: 0.25, 10: 0.25}
+NGRAM_LIMITS = {1: 0.7, 2: 0.45, 3: 0.35, 5: 0.25, 7: 0.25, 10: 0.25}
 LINE_LIMIT = 0.2
 #: Largest number of `#*$%&|<>` a word.
 SYMBOL_LIMIT = 0.1
@@ -119,10 +119,6 @@ def judge(measured: DataFrame, limits: dict[int, float] = NGRAM_LIMITS, line_lim
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, whose texts pass. The verdict is made beside the row itself, so no join follows."""
     lengths = tuple(NGRAM_LIMITS)
-    spare = "_verdict"
-    while spare in docs.columns:
-        spare += "_"
-    schema = docs.withColumn(spare, F.lit(True)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -131,8 +127,6 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             ok &= (m["dup_line_chars"] <= LINE_LIMIT * m["word_chars"]) & (m["n_symbols"] <= SYMBOL_LIMIT * m["n_words"])
             for n, most in NGRAM_LIMITS.items():
                 ok &= m[f"rep_{n}"] <= most * m["word_chars"]
-            got = pa.Table.from_batches([b]).filter(pa.array(ok))
-            got = got.append_column(spare, pa.array(np.ones(len(got), bool)))
-            yield from got.combine_chunks().to_batches()
+            yield b.filter(pa.array(ok))
 
-    return docs.mapInArrow(run, schema).drop(spare)
+    return docs.mapInArrow(run, docs.schema)

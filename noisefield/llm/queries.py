@@ -120,7 +120,7 @@ def _quality_sql() -> str:
     sizes = sorted(quality.NGRAM_LIMITS)
     most = max(sizes)
     leads = "".join(f", lead(w, {k}) over (partition by rid order by i) w{k}" for k in range(1, most))
-    gram = "".join(f", case when w{n - 1} is not null then hash(concat_ws(' ', w, {', '.join(f'w{k}' for k in range(1, n))})) end g{n}" for n in sizes)
+    gram = "".join(f", case when w{n - 1} is not null then hash(concat_ws(' ', {', '.join(f'w{k}' for k in range(n))})) end g{n}" for n in sizes)
     twice = "".join(f", case when g{n} is not null and count(*) over (partition by doc_id, g{n}) > 1 then i end t{n}" for n in sizes)
     cover = "".join(f", coalesce(i - max(t{n}) over (partition by doc_id order by i rows between unbounded preceding and current row) < {n}, false) c{n}" for n in sizes)
     rep = "".join(f", coalesce(sum(length(w)) filter (c{n}), 0)::bigint rep_{n}" for n in sizes)
@@ -129,7 +129,7 @@ def _quality_sql() -> str:
 with d as (select row_number() over () rid, doc_id, coalesce(text, '') as text from documents),
 e as (select rid, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') ws from d),
 w as (select rid, unnest(ws) w, unnest(range(1, len(ws) + 1)) i from e),
-v as (select rid as doc_id, w, i{leads} from w),
+v as (select rid as doc_id, w, w as w0, i{leads} from w),
 g as (select doc_id, w, i{gram} from v),
 t as (select doc_id, w, i{twice} from g),
 c as (select doc_id, w{cover} from t),

@@ -165,7 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATE
         w, b = fit_chain([np.asarray(x, np.int64) for x in pdf["words"]], pdf[list(categories)].to_numpy(), pdf["draw"].to_numpy() % FOLDS)
         return pd.DataFrame({"category": range(len(categories)), "weights": [x.tobytes() for x in w], "dense": [x.tobytes() for x in b]})
 
-    got = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "category int, weights binary, dense binary").orderBy("category").collect()
+    got = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "category int, weights binary, dense binary").collect()
+    got.sort(key=lambda r: r["category"])
     n = len(categories)
     if not got:
         return np.zeros((n, 1 << FEATURE_BITS), np.float32), np.concatenate([np.full((n, 1), -30.0), np.zeros((n, n - 1))], axis=1)
