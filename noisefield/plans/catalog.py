@@ -371,7 +371,6 @@ NCF = f"""{WAVES}, lags as (select unnest(range(-{HALF}, {HALF} + 1))::int lag),
 r as (select case component when 'E' then 0 when 'N' then 1 else 2 end c, * from s),
 x as (select a.timestamp, (a.nsl_id * 10000 + b.nsl_id)::bigint path_id, (a.c * 3 + b.c)::int slot, (b.i - a.i)::int lag, sum(a.v * b.v) v
   from r a join r b on a.timestamp = b.timestamp and a.nsl_id <= b.nsl_id and b.i - a.i between -{HALF} and {HALF} group by all)"""
-# fixed-point sums: the order of additions then does not matter for rounding
 
 
 def ncf(spark, sf_dir):
@@ -408,13 +407,13 @@ def xc_spectra(spark, sf_dir):
 
 
 @query(f"with {NCF}, p as (select distinct timestamp from w0), k as (select distinct timestamp, path_id, slot from x) select p.timestamp, path_id, slot from p left join k using (timestamp)")
-def sourcepack_index(spark, sf_dir):
+def record_index(spark, sf_dir):
     days = waveforms(spark, sf_dir).select("timestamp").distinct()
     return lookup.source_index(days, ncf(spark, sf_dir).select("timestamp", "path_id", "slot"))
 
 
 @query("with d as (select distinct vec_id // 15 as timestamp, vec_id % 2 odd from embeddings where label < 5), e as (select distinct vec_id // 15 as timestamp from embeddings) select e.timestamp, count(odd)::bigint records from e left join d using (timestamp) group by 1")
-def sourcepack_empty_timestamps(spark, sf_dir):
+def record_index_empty_timestamps(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").withColumn("timestamp", F.floor(F.col("vec_id") / 15))
     records = e.where("label < 5").select("timestamp", (F.col("vec_id") % 2).alias("path_id"), F.lit(0).alias("slot")).distinct()
     return lookup.source_index(e.select("timestamp").distinct(), records).groupBy("timestamp").agg(F.count("path_id").alias("records"))
@@ -648,6 +647,6 @@ def inv_component_counts(spark, sf_dir):
 
 
 @query(f"with {NCF} select path_id, slot, count(distinct timestamp)::bigint records, count(distinct timestamp)::bigint * {2 * HALF + 1} * 4 + count(distinct timestamp) * 632 bytes from x group by 1, 2")
-def sourcepack_sizes(spark, sf_dir):
+def record_sizes(spark, sf_dir):
     """Records of each pair and slot, and their bytes as files."""
     return ncf(spark, sf_dir).groupBy("path_id", "slot").agg(F.count(F.lit(1)).alias("records"), F.sum(F.lit(632) + 4 * F.size("data")).cast("long").alias("bytes"))
