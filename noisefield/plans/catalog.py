@@ -6,11 +6,12 @@ integer coordinates; paths are put together from `orders`.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions import arrays as A, geodesy
+from ..functions import arrays as A, geodesy, spectral as S
 from ..operators import correlate, gather, inventory, lookup, pairs, rotate, stack
 from ..streaming import incremental
 from .shared import scratch
@@ -350,19 +351,79 @@ def _chain(spark, sf_dir, **kw):
     return z.select("timestamp", "nsl_id", "component", "step", F.posexplode(F.arrays_zip("re", "im")).alias("k", "z")).select("timestamp", "nsl_id", "component", "step", "k", rounded(F.col("z.re")).alias("re"), rounded(F.col("z.im")).alias("im"))
 
 
-@query()
+def _list_sql(values) -> str:
+    return f"[{', '.join(repr(float(v)) for v in values)}]::double[]"
+
+
+def _chain_sql(bands, normalize: str, whiten: tuple[bool, bool], phase_only: bool = False) -> str:
+    """The conditioning chain at 64 samples by sums: detrend, taper, band filter, whitening, normalisation, spectrum of 72."""
+    bank = S.filter_bank(list(bands), 1.0)
+    low, high = bank[0][:2]
+    ramp = min(int(2 / low), N)
+    key = "timestamp, nsl_id, component"
+    ctes = [
+        f"d as (select *, v - avg(v) over b m, i - avg(i) over b t from s window b as (partition by {key}))",
+        f"q as (select *, m - t * (sum(m * t) over b / sum(t * t) over b) y from d window b as (partition by {key}))",
+        f"x0 as (select {key}, i, y * case when i < {ramp} then 0.5 * (1 - cos(pi() * i / {ramp})) when i > {N - ramp} then 0.5 * (1 - cos(pi() * ({N} - i) / {ramp})) else 1 end v from q)",
+    ]
+
+    def forward(src: str, n: int = N) -> str:
+        ctes.append(f"z{len(ctes)} as (select {key}, k, sum(v * cos(2 * pi() * k * i / {n})) re, -sum(v * sin(2 * pi() * k * i / {n})) im from {src} cross join (select unnest(range({n // 2 + 1})) k) group by all)")
+        return f"z{len(ctes) - 1}"
+
+    def back(src: str, weight: str) -> str:
+        ctes.append(f"x{len(ctes)} as (select {key}, i::int i, sum(case when k in (0, {N // 2}) then 1 else 2 end * {weight} * (re * cos(2 * pi() * k * i / {N}) - im * sin(2 * pi() * k * i / {N}))) / {N} v from {src} cross join (select unnest(range({N})) i) group by all)")
+        return f"x{len(ctes) - 1}"
+
+    def band(src: str, k: int) -> str:
+        return back(forward(src), f"({_list_sql(S.power_response(bank[k][2], bank[k][3], N))})[k + 1]")
+
+    def white(src: str) -> str:
+        z = forward(src)
+        ctes.append(f"z{len(ctes)} as (select {key}, k, re / w re, im / w im from (select *, greatest(sum(sqrt(re * re + im * im)) over (partition by timestamp, nsl_id, k), 1e-30) w from {z}))")
+        return back(f"z{len(ctes) - 1}", f"({_list_sql(S.spectral_taper(N // 2 + 1, 1 / N, low, high))})[k + 1]")
+
+    def level(src: str, width: int) -> str:
+        n = len(ctes)
+        ctes.append(f"m{n} as (select *, sum(abs(v)) over (partition by {key} order by i rows between {width // 2} preceding and {width - 1 - width // 2} following) / {width} m from {src})")
+        ctes.append(f"x{n + 1} as (select {key}, i, greatest(-20, least(20, case when w < 1e-30 then 0 else v / w end)) v from (select *, sum(m) over (partition by timestamp, nsl_id, i) w from m{n}))")
+        return f"x{n + 1}"
+
+    x = band("x0", 0)
+    if whiten[0]:
+        x = white(x)
+    if normalize == "RUN-ABS":
+        x = level(x, S.running_window(low, 1.0))
+    elif normalize == "RUN-ABS-MF":
+        each = [level(band(x, k), S.running_window(bank[k][0], 1.0, 1.0)) for k in range(1, len(bank))]
+        ctes.append(f"x{len(ctes)} as (select {key}, i, sum(v) v from ({' union all '.join(f'select * from {e}' for e in each)}) group by all)")
+        x = f"x{len(ctes) - 1}"
+    if whiten[1]:
+        x = white(x)
+    z = forward(x, 72)
+    size = "sqrt(re * re + im * im)" if phase_only else "1"
+    where = f" where k between {IN_BAND[0]} and {IN_BAND[1]}" if phase_only else ""
+    return f"with {WAVES}, {', '.join(ctes)} select {key}, 0::int step, k::int k, round(re / {size}, 6) + 0.0 re, round(im / {size}, 6) + 0.0 im from {z}{where}"
+
+
+#: Bins of a spectrum of 72 inside the outer band; beyond it a phase is that of rounding errors.
+IN_BAND = (4, 25)
+
+
+@query(_chain_sql(BANDS[:1], "OFF", (False, False)))
 def spec_bandfilter(spark, sf_dir):
     return _chain(spark, sf_dir, bands=BANDS[:1], normalize="OFF", whiten="OFF")
 
 
-@query()
+@query(_chain_sql(BANDS[1:], "RUN-ABS", (True, True)))
 def spec_whiten(spark, sf_dir):
     return _chain(spark, sf_dir, bands=BANDS[1:], normalize="RUN-ABS", whiten="BOTH")
 
 
-@query()
+@query(_chain_sql(BANDS, "RUN-ABS-MF", (False, True), True))
 def spec_runabs_mf(spark, sf_dir):
-    return _chain(spark, sf_dir, bands=BANDS, whiten="AFTER", phase_only=True)
+    """Phase-only spectra after the multi-band normalisation, in the bins inside the band."""
+    return _chain(spark, sf_dir, bands=BANDS, whiten="AFTER", phase_only=True).where(F.col("k").between(*IN_BAND))
 
 
 # Correlations and stacks -----------------------------------------------------------------------------------------
@@ -453,13 +514,34 @@ def stack_pws(spark, sf_dir):
     return correlate.lags_of(x, HALF, "path_id", "slot").withColumn("v", rounded(F.col("v"), 5))
 
 
-@query()
+def _tf_sql(alpha: list[float]) -> str:
+    """The time-frequency stack at 17 lags by sums over frequencies and shifts; alpha: share of the weighted stack at each frequency."""
+    turn = f"2 * pi() / {W}"
+    analytic = lambda source, by: f"select {by}, k, 2 * sum(v * cos({turn} * k * t)) re, -2 * sum(v * sin({turn} * k * t)) im from {source} cross join f where k > 0 group by all"
+    local = lambda source, by: f"select {by}, f.k f, t, sum((a.re * cos({turn} * m * t) - a.im * sin({turn} * m * t)) * w) / {W} re, sum((a.re * sin({turn} * m * t) + a.im * cos({turn} * m * t)) * w) / {W} im from {source} a join g on a.k = g.k join f on f.k = g.f cross join tt group by all"
+    return f"""with {CHUNKS}, c as (select path_id, slot, chunk, count, lag + {HALF} t, v from ch), f as (select unnest(range({HALF} + 1)) k), tt as (select unnest(range({W})) t),
+    g as (select f, k, m, case when f = 0 or m = 0 then 1 else exp(-2 * pi() * pi() * pow(least(m, {W} - m), 2) * 0.1 / (f * f)) end w from (select x.k f, y.k k, (y.k - x.k + {W}) % {W} m from f x cross join f y)),
+    l as (select path_id, slot, t, sum(v) / sum(count) v from c group by all),
+    ca as ({analytic("c", "path_id, slot, chunk, count")}), la as ({analytic("l", "path_id, slot")}),
+    cl as ({local("ca", "path_id, slot, chunk, count")}), ll as ({local("la", "path_id, slot")}),
+    u as (select path_id, slot, f, t, sqrt(pow(sum(re * count / case when hypot_ <= 1e-7 then 1 else hypot_ end) / sum(count), 2) + pow(sum(im * count / case when hypot_ <= 1e-7 then 1 else hypot_ end) / sum(count), 2)) coh
+      from (select *, sqrt(re * re + im * im) hypot_ from cl) group by all),
+    o as (select path_id, slot, f, sum(re * coh) re, sum(im * coh) im from ll join u using (path_id, slot, f, t) group by all),
+    b as (select o.path_id, o.slot, f, ({alpha!r})[f + 1] a, coalesce(la.re, 0) * (1 - a) + o.re * a re, coalesce(la.im, 0) * (1 - a) + o.im * a im from o left join la on la.path_id = o.path_id and la.slot = o.slot and la.k = f)
+    select path_id, slot, (t - {HALF})::int lag, round(sum(re * cos({turn} * f * t) - im * sin({turn} * f * t)) / {W}, 5) + 0.0 v from b cross join tt group by path_id, slot, t"""
+
+
+@query(_tf_sql([1.0] * (HALF + 1)))
 def stack_tfpws(spark, sf_dir):
     x = stack.time_frequency_stack(ncf(spark, sf_dir), 10, W)
     return correlate.lags_of(x, HALF, "path_id", "slot").withColumn("v", rounded(F.col("v"), 5))
 
 
-@query()
+# shares at the frequencies k / 17 of the band 0.1 to 0.4 with edges of 0.05
+_TF_SHARES = [0.0 if not 0.1 <= k / W <= 0.4 else 0.5 - 0.5 * math.cos(math.pi * min(k / W - 0.1, 0.4 - k / W, 0.05) / 0.05) for k in range(HALF + 1)]
+
+
+@query(_tf_sql(_TF_SHARES))
 def stack_tfpws_band(spark, sf_dir):
     x = stack.time_frequency_stack(ncf(spark, sf_dir), 10, W, band=(0.1, 0.4), taper=0.05)
     return correlate.lags_of(x, HALF, "path_id", "slot").withColumn("v", rounded(F.col("v"), 5))
