@@ -33,10 +33,9 @@ from . import _text as X
 
 LENGTH = 50
 GRAM = 20
-#: Mean bytes of text in a block and of anchors' text in a bucket.
-BLOCK_BYTES = 4 << 20
-#: Buckets of segments for each bucket of anchors: sorting takes some hundred bytes for each byte of a bucket.
-SORT_BUCKETS = 3
+#: Mean bytes of text in a block, and of the text whose anchors a bucket gets. A task takes some hundred bytes of memory
+#: for each of them.
+BLOCK_BYTES = 2 << 20
 #: Documents of an anchor above which its strings are dealt one by one.
 HOT_DOCS = 2000
 LAST_ID = (1 << 63) - 1
@@ -285,8 +284,10 @@ def _answer(asked: pa.Table) -> pa.Table:
     return _extra(_ANSWER, [blocks[k] for k in owner[begin]], [bucket] * len(begin), _blobs(values[which].astype("<u4"), begin), _blobs((total[which] > HOT_DOCS).astype(np.uint8), begin), [b""] * len(begin))
 
 
-_SEGMENTS_DDL = "bucket long, block long, ids binary, rows binary, starts binary, sizes binary, data binary, settled binary"
-_SEGMENTS = ["bucket", "block", "ids", "rows", "starts", "sizes", "data", "settled"]
+_SEGMENTS_DDL = "bucket long, block long, ids binary, rows binary, starts binary, sizes binary, parts binary, data binary, settled binary"
+_SEGMENTS = ["bucket", "block", "ids", "rows", "starts", "sizes", "parts", "data", "settled"]
+#: Parts of a bucket that are sorted one after another; equal strings are in one part.
+_PARTS = 8
 
 
 def _send(parts: int):
@@ -294,7 +295,7 @@ def _send(parts: int):
 
     def run(texts: pa.Table, extra: pa.Table) -> pa.Table:
         answers = _of(extra, _ANSWER)
-        none = pa.Table.from_arrays([pa.array([], pa.int64())] * 2 + [pa.array([], pa.binary())] * 6, names=_SEGMENTS)
+        none = pa.Table.from_arrays([pa.array([], pa.int64())] * 2 + [pa.array([], pa.binary())] * 7, names=_SEGMENTS)
         if not len(texts) or not len(answers):
             return none
         block = texts.column("block")[0].as_py()
@@ -314,12 +315,13 @@ def _send(parts: int):
         if many.any():
             k2, r2, s2, settled = _one_by_one(held, d[many], first[many], last[many])
             key, row, start, size = np.concatenate([key, k2]), np.concatenate([row, r2]), np.concatenate([start, s2]), np.concatenate([size, np.full(len(k2), LENGTH)])
-        bucket, order, begin = _split(key, parts * SORT_BUCKETS)
+        bucket, order, begin = _split(key, parts)
         row, start, size = row[order], start[order], size[order]
+        part = ((key[order] // np.uint64(parts)) % np.uint64(_PARTS)).astype(np.uint8)
         data = held.raw[_ragged(held.at[row] + start, size)]
         cut = np.r_[0, np.cumsum(size)]
         ends = np.r_[begin[1:], len(row)]
-        cols = [_blobs(x, begin) for x in (held.ids[row].astype("<i8"), row.astype("<i4"), start.astype("<i8"), size.astype("<i8"))]
+        cols = [_blobs(x, begin) for x in (held.ids[row].astype("<i8"), row.astype("<i4"), start.astype("<i8"), size.astype("<i8"), part)]
         datas = [data[cut[a] : cut[z]].tobytes() for a, z in zip(begin, ends, strict=True)]
         buckets = bucket[begin].tolist()
         if settled:
@@ -336,69 +338,72 @@ def _one_by_one(held: _Block, d: np.ndarray, first: np.ndarray, last: np.ndarray
     """Single strings of hot anchors: those of the smallest id in the block are sent, the rest of the block is settled."""
     n = last - first + 1
     row, start = np.repeat(d, n), _ragged(first, n)
-    text = held.raw[(held.at[row] + start)[:, None] + np.arange(LENGTH)]
-    flat = np.ascontiguousarray(text).view(np.dtype((np.void, LENGTH))).ravel()
-    _, which = np.unique(flat, return_inverse=True)
+    begin = held.at[row] + start
+    key = X.span_hashes(held.raw, begin, begin + LENGTH)
+    _, which = np.unique(key, return_inverse=True)
     least = np.full(which.max() + 1, LAST_ID, np.int64)
     np.minimum.at(least, which, held.ids[row])
     sent = held.ids[row] == least[which]
-    begin = np.arange(0, LENGTH * len(row), LENGTH)
-    key = X.span_hashes(text.ravel(), begin[sent], begin[sent] + LENGTH)
     gone = ~sent
     settled = np.stack([row[gone], start[gone], start[gone] + LENGTH]).astype("<i8").tobytes() if gone.any() else b""
-    return key, row[sent], start[sent], settled
+    return key[sent], row[sent], start[sent], settled
 
 
 def _match(sent: pa.Table) -> pa.Table:
     """Pass 3, buckets: suffix-sort the distinct segments; bytes of larger ids in equal strings go."""
     rows = [k for k, x in enumerate(sent.column("sizes").to_pylist()) if x]
-    out: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+    out = [np.zeros((4, 0), np.int64)]  # block, row, start, end of removed spans
     for block, s in zip(sent.column("block").to_pylist(), sent.column("settled").to_pylist(), strict=True):
         if s:
-            r, a, z = np.frombuffer(s, "<i8").reshape(3, -1)
-            out.append((block, r, a, z))
+            spans = np.frombuffer(s, "<i8").reshape(3, -1)
+            out.append(np.concatenate([np.full((1, spans.shape[1]), block), spans]))
     if rows:
         get = lambda c, t: np.concatenate([np.frombuffer(sent.column(c)[k].as_py(), t) for k in rows])
         ids, row, start, size = get("ids", "<i8"), get("rows", "<i4").astype(np.int64), get("starts", "<i8"), get("sizes", "<i8")
-        data = np.concatenate([np.frombuffer(sent.column("data")[k].as_py(), np.uint8) for k in rows])
+        part, data = get("parts", np.uint8), get("data", np.uint8)
         block = np.repeat(np.array([sent.column("block")[k].as_py() for k in rows]), [len(sent.column("sizes")[k].as_py()) // 8 for k in rows])
         end = np.cumsum(size)
-        # one of each content, with its smallest id
-        h = X.span_hashes(data, end - size, end)
-        _, one, which = np.unique(h, return_index=True, return_inverse=True)
-        least = np.full(len(one), LAST_ID, np.int64)
-        np.minimum.at(least, which, ids)
-        length = size[one]
-        text = data[_ragged((end - size)[one], length)]
-        text_end = np.cumsum(length)
-        windows = length - LENGTH + 1
-        starts = np.zeros(len(text), bool)
-        starts[_ragged(text_end - length, windows)] = True
-        order, words = suffix_order(text)
-        order = order[starts[order]]
-        same = same_strings(order, words)
-        begin = np.flatnonzero(~same)
-        owner = np.searchsorted(text_end, order, "right")
-        low = np.minimum.reduceat(least[owner], begin)
-        smallest = np.full(len(text), LAST_ID, np.int64)
-        smallest[order] = np.repeat(low, np.diff(np.r_[begin, len(order)]))
-        # every segment's strings, against the smallest id of their equals
-        n = windows[which]
-        string = _ragged((text_end - length)[which], n)
-        seg = np.repeat(np.arange(len(ids)), n)
-        gone = smallest[string] < ids[seg]
-        fresh = np.r_[True, seg[1:] != seg[:-1]]
-        a = np.flatnonzero(gone & (fresh | ~np.r_[False, gone[:-1]]))
-        z = np.flatnonzero(gone & (np.r_[fresh[1:], True] | ~np.r_[gone[1:], False]))
-        place = start[seg] + (string - (text_end - length)[which[seg]])
-        k = seg[a]
-        order = np.argsort(block[k], kind="stable")
-        b = block[k][order]
-        cut = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else np.zeros(0, np.int64)
-        for x, r, s, e in zip(b[cut], np.split(row[k][order], cut[1:]), np.split(place[a][order], cut[1:]), np.split(place[z][order] + LENGTH, cut[1:]), strict=False):
-            out.append((int(x), r, s, e))
+        for p in range(_PARTS):
+            k = np.flatnonzero(part == p)
+            if len(k):
+                out.append(_match_part(ids[k], block[k], row[k], start[k], size[k], data[_ragged((end - size)[k], size[k])]))
+    spans = np.concatenate(out, axis=1)
+    spans = spans[:, np.argsort(spans[0], kind="stable")]
+    cut = np.flatnonzero(np.r_[True, spans[0, 1:] != spans[0, :-1]]) if spans.shape[1] else np.zeros(0, np.int64)
     X.give_back()
-    return _extra(_SPANS, [x[0] for x in out], [0] * len(out), [x[1].astype("<i8").tobytes() for x in out], [x[2].astype("<i8").tobytes() for x in out], [x[3].astype("<i8").tobytes() for x in out])
+    return _extra(_SPANS, spans[0, cut].tolist(), [0] * len(cut), *(_blobs(v.astype("<i8"), cut) for v in spans[1:]))
+
+
+def _match_part(ids: np.ndarray, block: np.ndarray, row: np.ndarray, start: np.ndarray, size: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Removed spans: block, row, start, end."""
+    end = np.cumsum(size)
+    # one of each content, with its smallest id
+    h = X.span_hashes(data, end - size, end)
+    _, one, which = np.unique(h, return_index=True, return_inverse=True)
+    least = np.full(len(one), LAST_ID, np.int64)
+    np.minimum.at(least, which, ids)
+    length = size[one]
+    text = data[_ragged((end - size)[one], length)]
+    text_end = np.cumsum(length)
+    windows = length - LENGTH + 1
+    starts = np.zeros(len(text), bool)
+    starts[_ragged(text_end - length, windows)] = True
+    order, words = suffix_order(text)
+    order = order[starts[order]]
+    begin = np.flatnonzero(~same_strings(order, words))
+    low = np.minimum.reduceat(least[np.searchsorted(text_end, order, "right")], begin)
+    smallest = np.full(len(text), LAST_ID, np.int64)
+    smallest[order] = np.repeat(low, np.diff(np.r_[begin, len(order)]))
+    # every segment's strings, against the smallest id of their equals
+    n = windows[which]
+    string = _ragged((text_end - length)[which], n)
+    seg = np.repeat(np.arange(len(ids)), n)
+    gone = smallest[string] < ids[seg]
+    fresh = np.r_[True, seg[1:] != seg[:-1]]
+    a = np.flatnonzero(gone & (fresh | ~np.r_[False, gone[:-1]]))
+    z = np.flatnonzero(gone & (np.r_[fresh[1:], True] | ~np.r_[gone[1:], False]))
+    place = start[seg] + (string - (text_end - length)[which[seg]])
+    return np.stack([block[seg[a]], row[seg[a]], place[a], place[z] + LENGTH])
 
 
 def _spans(held: _Block, extra: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
