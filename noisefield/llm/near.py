@@ -110,6 +110,7 @@ def signatures(docs: DataFrame, words_each: int, id_col: str, text_col: str) ->
                 bits, keys = pack_low_bits(least), band_keys(least)
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(keys.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([ids.slice(i, n).cast(pa.int64()), pa.array(np.diff(at), pa.int64()), pa.array(hi), pa.array(lo), *(pa.array(np.ascontiguousarray(bits[:, k]).view(np.int64)) for k in range(bits.shape[1])), listed], ["id", "n_shingles", "set_hi", "set_lo", *_WORDS, "bands"])
+        X.give_back()
 
     schema = "id long, n_shingles long, set_hi long, set_lo long, " + ", ".join(f"{w} long" for w in _WORDS) + ", bands array<long>"
     return docs.select(id_col, text_col).mapInArrow(run, schema)
@@ -125,6 +126,7 @@ def _sets(docs: DataFrame, words_each: int, id_col: str, text_col: str) -> DataF
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(v, dtype=np.uint64)]) for v in (one, two)]
                 hi, lo = ((s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums)
                 yield pa.RecordBatch.from_arrays([ids.slice(i, n).cast(pa.int64()), pa.array(hi), pa.array(lo), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(hashes.view(np.int64)))], ["set_id", "set_hi", "set_lo", "members"])
+        X.give_back()
 
     return docs.select(id_col, text_col).mapInArrow(run, "set_id long, set_hi long, set_lo long, members array<long>")
 
