@@ -59,12 +59,12 @@ class Conditioning:
 
 
 def condition(rows: np.ndarray, c: Conditioning) -> np.ndarray:
-    """The rows (components of one station and step) through the whole chain; time domain."""
+    """Components of one station and step (the last two axes: component, sample) through the whole chain; time domain."""
     n = rows.shape[-1]
     x = np.nan_to_num(rows, nan=0.0, posinf=0.0, neginf=0.0)
     x = x - x.mean(axis=-1, keepdims=True)
     i = np.arange(n) - (n - 1) / 2
-    x = x - (x @ i / max((i @ i), 1e-300))[:, None] * i
+    x = x - (x @ i / max((i @ i), 1e-300))[..., None] * i
     bank = S.filter_bank(list(c.bands), c.delta)
     if bank:
         low = bank[0][0]
@@ -88,15 +88,23 @@ def condition(rows: np.ndarray, c: Conditioning) -> np.ndarray:
 
 
 def spectra(channels: DataFrame, c: Conditioning, keys: list[str] | None = None) -> DataFrame:
-    """One row a channel and step: keys, component, step, re, im. All components of a station and step share their weights."""
+    """One row a channel and step: keys, component, step, re, im. All components of a station and step share their weights.
+
+    A task works on one station's record of one timestamp at a time, all its steps at once."""
     keys = keys or ["timestamp", "nsl_id"]
     cut = channels.select(*keys, "component", F.posexplode(A.segments(F.col("data"), c.window, c.shift)).alias("step", "data"))
     if c.skip_steps:
         cut = cut.where(~F.col("step").isin(list(c.skip_steps)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("component")
-        z = S.spectrum(condition(np.stack(pdf["data"].to_numpy()), c), c.length, c.delta)
+        pdf = pdf.sort_values(["step", "component"])
+        each = pdf.groupby("step").size().to_numpy()
+        rows = np.stack(pdf["data"].to_numpy())
+        if (each == each[0]).all():
+            parts = [rows.reshape(len(each), each[0], -1)]
+        else:  # some channels have fewer windows
+            parts = np.split(rows, np.cumsum(each)[:-1])
+        z = np.concatenate([S.spectrum(condition(p, c), c.length, c.delta).reshape(-1, c.length // 2 + 1) for p in parts])
         if c.phase_only:
             size = np.abs(z)
             z = np.where(size <= 1e-30, 0, z / np.maximum(size, 1e-30))
@@ -105,7 +113,7 @@ def spectra(channels: DataFrame, c: Conditioning, keys: list[str] | None = None)
         return out
 
     types = {f.name: f.dataType.simpleString() for f in channels.schema.fields}
-    return cut.groupBy(*keys, "step").applyInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", component string, step int, re array<double>, im array<double>")
+    return cut.groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", component string, step int, re array<double>, im array<double>")
 
 
 def _lists(rows: np.ndarray) -> pa.ListArray:
