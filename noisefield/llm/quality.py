@@ -5,6 +5,10 @@ n-gram lengths mark the words inside n-grams that occur twice or more in the sam
 mark lines equal to an earlier line. Coverage is the share of the words' characters (code points) that
 lie inside marked n-grams or lines. One pass over each Arrow batch; no shuffle.
 
+In prose the share of words and word pairs seen before grows with length, so for the verdict the n-grams of `SHORT` are
+looked for twice in each window of `WINDOW_WORDS` consecutive words, over all windows of the text; a text of one window
+is judged as a whole. The counts `rep_n` are those of the whole text for every n.
+
 Edge cases: a null text reads as empty; a text without words has zero counts and fails the base rules;
 repeated rows are judged each by itself; other columns of the input play no part.
 """
@@ -22,6 +26,8 @@ from . import _text as X
 #: Largest share of characters inside repeated n-grams, by n. The short lengths catch stuttered and doubled words,
 #: the long ones pasted passages; running prose stays well below all of them.
 NGRAM_LIMITS = {1: 0.7, 2: 0.45, 3: 0.35, 5: 0.25, 7: 0.25, 10: 0.25}
+#: Lengths judged by windows, and the words of a window: about the longest text that the limits were set on.
+SHORT, WINDOW_WORDS = (1, 2), 20_000
 LINE_LIMIT = 0.2
 #: Largest number of `#*$%&|<>` a word.
 SYMBOL_LIMIT = 0.1
@@ -32,10 +38,32 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "dup_line_chars"]
 
 
+def _names(lengths: tuple[int, ...]) -> list[str]:
+    return [*_COUNTS, *(f"rep_{n}" for n in lengths), *(f"win_{n}" for n in lengths if n in SHORT)]
+
+
+def _judged(n: int) -> str:
+    return f"win_{n}" if n in SHORT else f"rep_{n}"
+
+
+def _covered(words: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
+    """Which words lie inside n-grams that occur twice or more in the same group; groups are numbered runs of words."""
+    if len(words) < n:
+        return np.zeros(len(words), bool)
+    salt = X.mix(np.arange(1, group[-1] + 2, dtype=np.uint64))
+    h = X.rolling(words, n)
+    inside = np.flatnonzero(group[: len(h)] == group[n - 1 :])
+    twice = inside[X.repeated(h[inside] ^ salt[group[inside]])]
+    step = np.zeros(len(words) + 1, np.int64)
+    np.add.at(step, twice, 1)
+    np.add.at(step, twice + n, -1)
+    return np.cumsum(step[:-1]) > 0
+
+
 def measure_batch(texts: pa.Array, lengths: tuple[int, ...]) -> dict[str, np.ndarray]:
-    """Counts of each text, and for each n the characters inside repeated n-grams as `rep_n`."""
+    """Counts of each text, and for each n the characters inside repeated n-grams as `rep_n`, inside those repeated in a window as `win_n`."""
     raw_all, at_all = X.as_bytes(texts)
-    out = {k: [] for k in [*_COUNTS, *(f"rep_{n}" for n in lengths)]}
+    out = {k: [] for k in _names(lengths)}
     for i, j in X.passes(at_all):
         raw, at = raw_all[at_all[i] : at_all[j]], at_all[i : j + 1] - at_all[i]
         docs = j - i
@@ -51,20 +79,18 @@ def measure_batch(texts: pa.Array, lengths: tuple[int, ...]) -> dict[str, np.nda
         marks = np.zeros(len(raw) + 1, np.int64)
         np.cumsum(_SYMBOL[raw], out=marks[1:])
         out["n_symbols"].append(marks[at[1:]] - marks[at[:-1]])
+        place = np.arange(len(start)) - edge[owner]
+        window = np.cumsum(place % WINDOW_WORDS == 0) - 1
+        several = len(place) > 0 and place.max() >= WINDOW_WORDS
         for n in {5, *lengths}:
-            covered = np.zeros(len(start), bool)
-            if len(start) >= n:
-                h = X.rolling(words, n)
-                inside = np.flatnonzero(owner[: len(h)] == owner[n - 1 :])
-                twice = inside[X.repeated(h[inside] ^ salt[owner[inside]])]
-                step = np.zeros(len(start) + 1, np.int64)
-                np.add.at(step, twice, 1)
-                np.add.at(step, twice + n, -1)
-                covered = np.cumsum(step[:-1]) > 0
+            covered = _covered(words, owner, n)
             if n == 5:
                 out["n_repeat_words"].append(X.sums(covered, edge))
             if n in lengths:
                 out[f"rep_{n}"].append(X.sums(np.where(covered, chars, 0), edge))
+            if n in lengths and n in SHORT:
+                near = _covered(words, window, n) if several else covered
+                out[f"win_{n}"].append(X.sums(np.where(near, chars, 0), edge))
         out_lines = _line_repeats(raw, at, start, chars, edge, salt)
         out["n_dup_lines"].append(out_lines[0])
         out["dup_line_chars"].append(out_lines[1])
@@ -96,7 +122,7 @@ def _line_repeats(raw, at, word_start, word_chars, edge, salt):
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengths: tuple[int, ...] = tuple(NGRAM_LIMITS)) -> DataFrame:
     """One row a document: its id and the counts of `measure_batch`."""
-    names = [*_COUNTS, *(f"rep_{n}" for n in lengths)]
+    names = _names(lengths)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +138,7 @@ def judge(measured: DataFrame, limits: dict[int, float] = NGRAM_LIMITS, line_lim
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     good = (F.col("dup_line_chars") <= line_limit * F.col("word_chars")) & (F.col("n_symbols") <= symbol_limit * F.col("n_words"))
     for n, most in limits.items():
-        good &= F.col(f"rep_{n}") <= most * F.col("word_chars")
+        good &= F.col(_judged(n)) <= most * F.col("word_chars")
     return measured.withColumn("base_failed", base).withColumn("kept", ~base & good)
 
 
@@ -126,7 +152,7 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             ok = (m["n_words"] >= 10) & (100 * m["n_repeat_words"] <= 20 * m["n_words"])
             ok &= (m["dup_line_chars"] <= LINE_LIMIT * m["word_chars"]) & (m["n_symbols"] <= SYMBOL_LIMIT * m["n_words"])
             for n, most in NGRAM_LIMITS.items():
-                ok &= m[f"rep_{n}"] <= most * m["word_chars"]
+                ok &= m[_judged(n)] <= most * m["word_chars"]
             yield b.filter(pa.array(ok))
 
     return docs.mapInArrow(run, docs.schema)

@@ -60,6 +60,22 @@ def test_quality(odd, none):
     assert quality.measure(none).count() == 0
 
 
+@pytest.mark.parametrize("n_words", [250_000, 450_000])
+def test_quality_of_long_texts(spark, n_words):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    share = 1 / np.arange(1, 1_000_001)
+    clean = [f"w{k:06}" for k in rng.choice(1_000_000, n_words, p=share / share.sum())]
+    doubled = [w for w in clean[: n_words // 2] for _ in range(2)]
+    rows = [(1, " ".join(clean)), (2, " ".join(clean[:15_000])), (3, " ".join(doubled)), (4, " ".join(doubled[:15_000]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    by = {r.doc_id: r for r in quality.judge(quality.measure(df)).collect()}
+    assert by[1].rep_1 > 0.7 * by[1].word_chars and by[2].rep_1 == by[2].win_1
+    assert {k: r.kept for k, r in by.items()} == {1: True, 2: True, 3: False, 4: False}
+    assert {r.doc_id for r in quality.keep_good(df).collect()} == {1, 2}
+
+
 def test_fingerprints_of_odd_rows(odd, none):
     rows = fingerprints.fingerprints(odd).collect()
     assert len(rows) == 10 and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
