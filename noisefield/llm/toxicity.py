@@ -2,9 +2,10 @@
 
 Categories are predicted one after another: the first by a linear model of a text's words, each later one by a linear
 model of the words and of the earlier categories' probabilities. While training, those probabilities are
-out-of-fold predictions, so a later model sees earlier ones as uncertain as they will be on new texts. Words are
-hashed; a feature is a word's presence. The chain is fitted in one task on at most `sample_rows` labelled rows, those of
-least seeded hash; the models are arrays of a fixed size, and every document is scored where it is read.
+out-of-fold predictions, so a later model sees earlier ones as uncertain as they will be on new texts. A feature is
+a word's presence; words are known by 64-bit hashes. The chain is fitted in one task on at most `sample_rows` labelled rows,
+those of least seeded hash; the model holds the words with a weight alone, and every document is scored where it is read by
+looking its words up, so an unseen word has no weight however long the text is.
 
 Edge cases: a null or empty text has no words and gets the models' intercepts; a null label counts as 0; rows
 that repeat an id are scored each by itself; labels of unknown ids are unused; without any labels all probabilities
@@ -24,8 +25,8 @@ from . import _text as X
 from ._store import keep
 
 CATEGORIES = ("low_quality", "toxic", "toxic_low_quality")
-#: Bits of the word hash, and labelled rows in the sample.
-FEATURE_BITS, SAMPLE_ROWS = 18, 20_000
+#: Labelled rows in the sample.
+SAMPLE_ROWS = 20_000
 FOLDS, STEPS, RATE, DECAY = 3, 300, 0.5, 1e-5
 #: A word's weight is learnt if this many sample texts hold it and its chi-squared against the label is at least so large
 #: (about one word in a million by chance). Rarer or weaker words would only be learnt by heart.
@@ -37,18 +38,17 @@ _LETTER[[*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B
 
 
 def word_features(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each pass over the batch: its first document, distinct hashed words of all its documents, and where each document's start.
+    """For each pass over the batch: its first document, distinct words' hashes of all its documents, and where each document's start.
 
     Words here are runs of letters and digits in lower case (bytes from 0x80 on count as letters)."""
     raw_all, at_all = X.as_bytes(texts)
-    top = np.int64(1 << FEATURE_BITS)
     for i, j in X.passes(at_all):
         raw, at = X.lower(raw_all[at_all[i] : at_all[j]]), at_all[i : j + 1] - at_all[i]
         start, end, edge = X.word_spans(np.where(_LETTER[raw], raw, 32).astype(np.uint8), at)
-        h = (X.span_hashes(raw, start, end) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
-        doc = np.repeat(np.arange(j - i), np.diff(edge))
-        key = np.unique(doc * top + h)
-        yield i, key % top, np.searchsorted(key, np.arange(j - i + 1) * top)
+        known, h = np.unique(X.span_hashes(raw, start, end), return_inverse=True)
+        top = max(len(known), 1)
+        key = np.unique(np.repeat(np.arange(j - i), np.diff(edge)) * top + h)
+        yield i, known[key % top], np.searchsorted(key, np.arange(j - i + 1) * top)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -86,7 +86,7 @@ class _Rows:
 
 
 def telling_words(rows: _Rows, y: np.ndarray) -> np.ndarray:
-    """Which hashed words are common enough and go with the label more than chance would have it."""
+    """Which words are common enough and go with the label more than chance would have it."""
     n, pos = len(y), y.sum()
     df = np.bincount(rows.words, minlength=rows.width)
     a = np.bincount(rows.words, np.repeat(y, rows.size), rows.width)
@@ -119,11 +119,16 @@ def fit_linear(rows: _Rows, extra: np.ndarray, y: np.ndarray) -> tuple[np.ndarra
     return out, b
 
 
-def fit_chain(words: list[np.ndarray], labels: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word weights and dense weights of each category; labels has a column for each category in order."""
-    width, n = 1 << FEATURE_BITS, labels.shape[1]
-    rows = _Rows(words, width)
-    weights, dense = np.zeros((n, width), np.float32), np.zeros((n, n), np.float64)
+def fit_chain(words: list[np.ndarray], labels: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words with a weight in order, their weights and dense weights of each category; labels has a column for each category in order."""
+    n = labels.shape[1]
+    known, place, seen = np.unique(np.concatenate([np.zeros(0, np.uint64), *words]), return_inverse=True, return_counts=True)
+    common = seen >= LEAST_TEXTS  # a rarer word has no weight in any fold
+    rows = _Rows([], len(known))
+    rows.size = np.array([len(w) for w in words])
+    rows.at, rows.words = np.concatenate([[0], np.cumsum(rows.size)]), place
+    rows, known = rows.only(np.flatnonzero(common)), known[common]
+    weights, dense = np.zeros((n, len(known)), np.float32), np.zeros((n, n), np.float64)
     earlier = np.zeros((len(fold), 0))
     for c in range(n):
         y = labels[:, c].astype(float)
@@ -136,7 +141,8 @@ def fit_chain(words: list[np.ndarray], labels: np.ndarray, fold: np.ndarray) ->
         w, b = fit_linear(rows, earlier, y)
         weights[c], dense[c, : len(b)] = w, b
         earlier = np.concatenate([earlier, out[:, None]], axis=1)
-    return weights, dense
+    used = (weights != 0).any(axis=0)
+    return known[used], weights[:, used], dense
 
 
 def categories_of(labels: DataFrame) -> DataFrame:
@@ -145,7 +151,7 @@ def categories_of(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", *(c.cast("int").alias(k) for k, c in zip(CATEGORIES, (low, toxic, low & toxic), strict=True)))
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGORIES, sample_rows: int = SAMPLE_ROWS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGORIES, sample_rows: int = SAMPLE_ROWS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The chain fitted on a bounded sample of labelled rows."""
     key: Column = F.xxhash64(F.lit(seed), id_col)
     chosen = keep(labels.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).withColumn("draw", key).orderBy("draw", id_col).limit(sample_rows))
@@ -156,37 +162,41 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATE
         for b in batches:
             for i, words, at in word_features(X.column(b, "text")):
                 n = len(at) - 1
-                yield pa.RecordBatch.from_arrays([X.column(b, "draw").slice(i, n), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(words.astype(np.int32))), *(X.column(b, c).slice(i, n) for c in categories)], ["draw", "words", *categories])
+                yield pa.RecordBatch.from_arrays([X.column(b, "draw").slice(i, n), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(words.view(np.int64))), *(X.column(b, c).slice(i, n) for c in categories)], ["draw", "words", *categories])
 
-    rows = sample.mapInArrow(features, "draw long, words array<int>, " + ", ".join(f"{c} int" for c in categories))
+    rows = sample.mapInArrow(features, "draw long, words array<long>, " + ", ".join(f"{c} int" for c in categories))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("draw").drop_duplicates("draw")
-        w, b = fit_chain([np.asarray(x, np.int64) for x in pdf["words"]], pdf[list(categories)].to_numpy(), pdf["draw"].to_numpy() % FOLDS)
-        return pd.DataFrame({"category": range(len(categories)), "weights": [x.tobytes() for x in w], "dense": [x.tobytes() for x in b]})
+        known, w, b = fit_chain([np.asarray(x, np.int64).view(np.uint64) for x in pdf["words"]], pdf[list(categories)].to_numpy(), pdf["draw"].to_numpy() % FOLDS)
+        return pd.DataFrame({"category": range(len(categories)), "known": [known.tobytes()] * len(categories), "weights": [x.tobytes() for x in w], "dense": [x.tobytes() for x in b]})
 
-    got = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "category int, weights binary, dense binary").collect()
+    got = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "category int, known binary, weights binary, dense binary").collect()
     got.sort(key=lambda r: r["category"])
     n = len(categories)
     if not got:
-        return np.zeros((n, 1 << FEATURE_BITS), np.float32), np.concatenate([np.full((n, 1), -30.0), np.zeros((n, n - 1))], axis=1)
-    return np.stack([np.frombuffer(r["weights"], np.float32) for r in got]), np.stack([np.frombuffer(r["dense"], np.float64) for r in got])
+        return np.zeros(0, np.uint64), np.zeros((n, 0), np.float32), np.concatenate([np.full((n, 1), -30.0), np.zeros((n, n - 1))], axis=1)
+    return np.frombuffer(got[0]["known"], np.uint64), np.stack([np.frombuffer(r["weights"], np.float32) for r in got]), np.stack([np.frombuffer(r["dense"], np.float64) for r in got])
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], categories: tuple[str, ...] = CATEGORIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray], categories: tuple[str, ...] = CATEGORIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_words and the probability of each category."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # categories x 2^18 floats, whatever the input
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the words that passed the screen, from a bounded sample
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, dense = shared.value
+        known, weights, dense = shared.value
         for b in batches:
             for i, words, at in word_features(X.column(b, text_col)):
                 n = len(at) - 1
+                where = np.searchsorted(known, words)
+                where[np.append(known, np.uint64(0))[where] != words] = len(known)
+                hit = np.flatnonzero(where < len(known))
+                edge, where = np.searchsorted(hit, at), where[hit]
                 p: list[np.ndarray] = []
                 for c in range(len(categories)):
-                    run_ = np.concatenate([[0.0], np.cumsum(weights[c][words], dtype=np.float64)])
-                    z = run_[at[1:]] - run_[at[:-1]] + dense[c, 0]
+                    run_ = np.concatenate([[0.0], np.cumsum(weights[c][where], dtype=np.float64)])
+                    z = run_[edge[1:]] - run_[edge[:-1]] + dense[c, 0]
                     for k, earlier in enumerate(p):
                         z = z + dense[c, k + 1] * earlier
                     p.append(_sigmoid(z))

@@ -114,6 +114,23 @@ def test_toxicity_of_odd_rows(odd, none, spark):
     assert all(r.p_toxic < 1e-6 for r in toxicity.score(odd, empty).collect())
 
 
+def test_unseen_words_have_no_weight(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    bad = [f"vile{k}" for k in range(40)]
+    plain = [f"word{k}" for k in range(300)]
+    texts = [" ".join([*rng.choice(plain, 30), *(rng.choice(bad, 20) if k % 2 else [])]) for k in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(600)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, toxicity.categories_of(labels))
+    new = " ".join(f"unseen{k}" for k in range(600_000))
+    rows = [(1, ""), (2, new), (3, " ".join(bad)), (4, f"{new} {' '.join(bad)}"), (5, " ".join(plain[:30])), (6, f"{' '.join(plain[:30])} {new}")]
+    got = {r.doc_id: r for r in toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert got[2].p_toxic == got[1].p_toxic and got[4].p_toxic == got[3].p_toxic > 0.5 > got[6].p_toxic == got[5].p_toxic
+    assert got[2].n_distinct_words == 600_000
+
+
 def test_packing_of_odd_rows(odd, none):
     rows = packing.best_two_fit(odd, TOKENS).collect()
     assert sum(r.piece == 0 for r in rows) == 10
