@@ -75,10 +75,16 @@ def impulse_padding(b: np.ndarray, a: np.ndarray, segment: int, tail: float = 1e
     return min(2 * long, segment)
 
 
-def band_filter(x: np.ndarray, b: np.ndarray, a: np.ndarray) -> np.ndarray:
-    """Zero-phase filter of the rows of x."""
-    n = x.shape[-1]
-    return np.fft.irfft(np.fft.rfft(x) * power_response(b, a, n), n)
+def filter_length(bank: list[tuple[float, float, np.ndarray, np.ndarray]], segment: int) -> int:
+    """Transform length of the bank's filters: the segment and the largest padding, even and smooth, at most twice the segment."""
+    padding = max((impulse_padding(b, a, segment) for _, _, b, a in bank), default=0)
+    return min(smooth_length(segment + padding, even=True), 2 * segment)
+
+
+def band_filter(x: np.ndarray, b: np.ndarray, a: np.ndarray, length: int | None = None) -> np.ndarray:
+    """Zero-phase filter of the rows of x, padded with zeros to a transform of `length`; without one the filter is circular."""
+    n = length or x.shape[-1]
+    return np.fft.irfft(np.fft.rfft(x, n) * power_response(b, a, n), n)[..., : x.shape[-1]]
 
 
 def rolling_mean(x: np.ndarray, width: int) -> np.ndarray:
@@ -101,9 +107,9 @@ def run_abs(x: np.ndarray, width: int, clip: float = 20.0) -> np.ndarray:
     return np.clip(np.nan_to_num(out, nan=0.0, posinf=0.0, neginf=0.0), -clip, clip)
 
 
-def run_abs_bands(x: np.ndarray, bank: list[tuple[float, float, np.ndarray, np.ndarray]], delta: float) -> np.ndarray:
+def run_abs_bands(x: np.ndarray, bank: list[tuple[float, float, np.ndarray, np.ndarray]], delta: float, length: int | None = None) -> np.ndarray:
     """Sum over the bands after the first of the filtered rows, each normalised with its own window."""
-    return sum((run_abs(band_filter(x, b, a), running_window(lo, delta, 1.0)) for lo, _, b, a in bank[1:]), np.zeros_like(x))
+    return sum((run_abs(band_filter(x, b, a, length), running_window(lo, delta, 1.0)) for lo, _, b, a in bank[1:]), np.zeros_like(x))
 
 
 def spectral_taper(n_freq: int, df: float, low: float, high: float) -> np.ndarray:

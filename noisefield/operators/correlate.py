@@ -36,7 +36,9 @@ def slot(src: Column, rec: Column) -> Column:
 
 @dataclass
 class Conditioning:
-    """How traces become spectra. Bands in Hz; normalize is OFF, ONE-BIT, RUN-ABS, RUN-ABS-MF or AUTO; whiten OFF, BEFORE, AFTER or BOTH."""
+    """How traces become spectra. Bands in Hz; normalize is OFF, ONE-BIT, RUN-ABS, RUN-ABS-MF or AUTO; whiten OFF, BEFORE, AFTER or BOTH.
+
+    With filter_padding, filters run on windows padded by twice their impulse length, else they are circular."""
 
     delta: float
     window: int
@@ -47,6 +49,7 @@ class Conditioning:
     whiten: str = "AFTER"
     phase_only: bool = False
     skip_steps: tuple[int, ...] = ()
+    filter_padding: bool = False
 
     def __post_init__(self) -> None:
         if self.normalize == "AUTO":
@@ -56,6 +59,7 @@ class Conditioning:
         if self.whiten not in ("OFF", "BEFORE", "AFTER", "BOTH"):
             raise ValueError(f"unknown whitening {self.whiten!r}")
         self.length = S.output_length(self.window, self.max_lag)
+        self.filter_length = S.filter_length(S.filter_bank(list(self.bands), self.delta), self.window) if self.bands and self.filter_padding else None
 
 
 def condition(rows: np.ndarray, c: Conditioning) -> np.ndarray:
@@ -73,7 +77,7 @@ def condition(rows: np.ndarray, c: Conditioning) -> np.ndarray:
         k = np.arange(n)
         head[n - ramp + 1 :] = 0.5 * (1 - np.cos(np.pi * (n - k[n - ramp + 1 :]) / ramp))
         head[:ramp] = 0.5 * (1 - np.cos(np.pi * k[:ramp] / ramp))
-        x = S.band_filter(x * head, bank[0][2], bank[0][3])
+        x = S.band_filter(x * head, bank[0][2], bank[0][3], c.filter_length)
         if c.whiten in ("BEFORE", "BOTH"):
             x = S.whiten(x, bank[0][0], bank[0][1], c.delta)
     if c.normalize == "ONE-BIT":
@@ -81,7 +85,7 @@ def condition(rows: np.ndarray, c: Conditioning) -> np.ndarray:
     elif c.normalize == "RUN-ABS":
         x = S.run_abs(x, S.running_window(bank[0][0], c.delta) if bank else n)
     elif c.normalize == "RUN-ABS-MF":
-        x = S.run_abs_bands(x, bank, c.delta)
+        x = S.run_abs_bands(x, bank, c.delta, c.filter_length)
     if bank and c.whiten in ("AFTER", "BOTH"):
         x = S.whiten(x, bank[0][0], bank[0][1], c.delta)
     return x

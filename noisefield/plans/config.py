@@ -100,7 +100,7 @@ class RunConfig:
 
         window = segment_samples(self.window_seconds, self.delta)
         shift = segment_samples(self.shift_seconds, self.delta) if self.shift_seconds else window
-        return Conditioning(self.delta, window, shift, round(self.max_lag_seconds / self.delta), self.bands, self.normalize, self.whiten, self.phase_only, self.skip_steps)
+        return Conditioning(self.delta, window, shift, round(self.max_lag_seconds / self.delta), self.bands, self.normalize, self.whiten, self.phase_only, self.skip_steps, filter_padding=True)
 
 
 #: Section of each setting in a file.

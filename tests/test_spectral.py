@@ -28,6 +28,23 @@ def test_response_is_one_inside_and_small_outside():
     assert 0 < S.impulse_padding(b, a, 500) <= 500
 
 
+@pytest.mark.parametrize("normalize", ["OFF", "RUN-ABS-MF"])
+def test_filters_of_a_run_do_not_wrap(normalize):
+    from dataclasses import replace
+
+    from noisefield.operators.correlate import condition
+    from noisefield.plans.config import RunConfig
+
+    run = RunConfig(window_seconds=400, delta=1.0, bands=((0.03, 0.06), (0.06, 0.12)), normalize=normalize, whiten="OFF").conditioning()
+    bank = S.filter_bank(list(run.bands), 1.0)
+    assert run.filter_length == S.filter_length(bank, run.window) == S.smooth_length(run.window + max(S.impulse_padding(b, a, run.window) for _, _, b, a in bank), even=True) <= 2 * run.window
+    x = rng.normal(size=(3, run.window)) * np.linspace(0, 1, run.window) ** 4
+    long, bare = replace(run), replace(run, filter_padding=False)
+    long.filter_length = 20 * run.window
+    want = condition(x, long)
+    assert np.abs(condition(x, run) - want).max() < 1e-3 * np.abs(want).max() < np.abs(condition(x, bare) - want).max()
+
+
 def test_rolling_mean_has_a_constant_divisor():
     x = np.arange(6.0)
     assert S.rolling_mean(x, 4) == pytest.approx([sum(x[max(i - 2, 0) : i + 2]) / 4 for i in range(6)])
