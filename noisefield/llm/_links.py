@@ -12,7 +12,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Large-star and small-star rounds (Kiveris et al., Connected Components in MapReduce and Beyond): each node links its
     larger neighbours, then its smaller ones, to the smallest node it knows. Both are a minimum by key and a join, so
-    a node with very many neighbours is never gathered. Rounds go on until the links no longer change.
+    a node with very many neighbours is never gathered. Rounds go on until the links no longer change;
+    if they still do after `most_rounds`, an error is raised.
     """
     edges = keep(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
     seen = None
@@ -28,5 +29,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"links still change after {most_rounds} rounds")
     leaves = edges.select(F.col("b").alias("node"), F.col("a").alias("comp"))
     return keep(leaves.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct()))

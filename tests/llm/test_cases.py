@@ -289,6 +289,15 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert near.near_duplicates(none).count() == 0 and near.keep_first(none).count() == 0
 
 
+def test_unsettled_links_are_an_error(spark):
+    from noisefield.llm import _links
+
+    path = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        _links.components(path, 2)
+    assert {r.comp for r in _links.components(path).collect()} == {0}
+
+
 def test_estimates_are_corrected_for_chance():
     import numpy as np
 
