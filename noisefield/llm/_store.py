@@ -1,15 +1,20 @@
-"""Where intermediate results go: the folder that the session's cluster names."""
+"""Where intermediate results go: the folder that the session's cluster names; and joins that a hot key does not slow down."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+#: Keys whose facts are broadcast because each of them has more than one in so many of all rows; so there are no more of them.
+MOST_HOT = 2000
+#: Rows below which a key is never hot.
+LEAST_HOT = 500
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary one only where none is set (tests on one machine)."""
+    """spark.checkpoint.dir of the session; a temporary one only where none is set and the session runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -18,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     known = spark.sparkContext._jsc.sc().getCheckpointDir()
     if known.isDefined():
         return known.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     made = tempfile.mkdtemp(prefix="noisefield-")
     spark.sparkContext.setCheckpointDir(made)
     return made
@@ -31,3 +38,15 @@ def keep(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def attach(rows: DataFrame, facts: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """rows joined (inner) with facts, which hold each key once and in `size` its number of rows.
+
+    A key with more than one in `MOST_HOT` of all rows would fill one task of a shuffled join; the facts of such keys, at most
+    `MOST_HOT`, are broadcast instead."""
+    total = facts.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) > max(LEAST_HOT, total // MOST_HOT)
+    many = F.broadcast(facts.where(hot))
+    others = rows.join(many.select(*keys), keys, "left_anti")
+    return others.join(facts.where(~hot), keys).unionByName(rows.join(many, keys))

@@ -1,18 +1,25 @@
 """Near-duplicate documents by b-bit MinHash.
 
-A document's set holds the hashes of its distinct word shingles. Equal sets are one node. Each node has 128 minima;
-bands of four give candidates, and the two low bits of each minimum are packed into four longs.
-
-Nodes that share a band bucket, directly or through others, form a cluster. Clusters are compared inside tasks: small ones
-many to a task, large ones in blocks of nodes, a task for each pair of blocks. A task estimates the similarity of all
-its pairs from the low bits (corrected for chance agreement), confirms those not far below the threshold on
-the full sets, and returns a spanning forest of the links it found, never all pairs. Clusters beyond `MOST_CLUSTER` nodes
-are compared bucket by bucket instead, in the same way. At the threshold a pair misses all 32 bands with a chance of
+A document's set holds the hashes of its distinct word shingles. Rows of equal sets are one node. Each node has 128
+minima; bands of four give candidate pairs, and the two low bits of each minimum are packed into four longs.
+
+Nodes that share a band bucket, directly or through others, form a cluster; a cluster only says which nodes travel
+together. Small clusters are put many to a task, larger ones are cut into blocks of nodes, a task for each pair of blocks,
+at every size alike. A first pass sees 32 bytes of low bits and the band keys of each node: pairs that share a band, and
+whose similarity as estimated from the low bits (corrected for chance agreement) is not far below the threshold,
+stay. A second pass gets the full sets of nodes that are in such a pair, confirms the pairs on them and returns a
+spanning forest of the links it found, never all pairs. At the threshold a pair misses all 32 bands with a chance of
 5e-8 and the low-bit filter with 1e-9.
 
-Edge cases: a null or empty text, or one without words, has an empty set and is linked with nothing; a text with fewer
-words than a shingle has its whole word sequence as one; rows that repeat an id are one document; null ids come
-last; an empty table gives no rows; extra columns play no part.
+Scale: only slim rows (ids and hashes) are grouped and joined; keys with very many rows (a text or a group of copies that is
+a third of the table) get their facts by broadcast, of which there are at most `MOST_HOT`, so no task holds all rows of a
+key. A cluster of n nodes costs n * n / 2 comparisons of 32 bytes.
+
+Edge cases: every row is a document of its own, also where ids repeat or are null. A null or empty text, or one without
+words, has an empty set and is linked with nothing; a text with fewer words than a shingle has its whole word sequence as
+one; a very long text is one set as well. Of a group the row of the smallest id stays (null ids last; among equal ids the
+first row read), whatever its text; a group without ids has a null component_id. An empty table gives no rows; extra
+columns play no part and may have any name.
 """
 
 from __future__ import annotations
@@ -25,18 +32,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import _text as X
 from ._links import components
-from ._store import keep
+from ._store import attach, keep
 
 HASHES, ROWS, BITS = 128, 4, 2
 BANDS = HASHES // ROWS
 #: Standard deviations of the low-bit estimate below the threshold at which a pair is refused.
 SLACK = 6.5
-#: Nodes of a block, of small clusters put together in one task, and of a cluster that is compared as a whole.
-BLOCK_NODES, PACK_NODES, MOST_CLUSTER = 1024, 256, 1 << 16
+#: Nodes of a block, and of small clusters put together in one task.
+BLOCK_NODES, PACK_NODES = 1024, 256
 #: Candidate pairs in a task above which intersections are counted by matrix products.
 DENSE_PAIRS, DENSE_COLUMNS = 2000, 4096
-#: Ids that may be broadcast to fetch texts (8 bytes each).
-BROADCAST_IDS = 500_000
+#: Row keys that may be broadcast (16 bytes each).
+BROADCAST_KEYS = 500_000
+#: Pairs whose band keys are compared at a time.
+PAIRS_AT_A_TIME = 1 << 15
 
 _rng = np.random.default_rng(20240229)
 _A = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -93,42 +102,53 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 _WORDS = [f"s{k}" for k in range(HASHES * BITS // 64)]
+_ROW_KEY = ("key_1", "key_2")
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text and two hashes of both together, by which a row is found again."""
+    key = [F.col(id_col).cast("long"), F.col(text_col)]
+    return docs.select(key[0].alias("id"), key[1].alias("text"), F.xxhash64(F.lit(1), *key).alias("key_1"), F.xxhash64(F.lit(2), *key).alias("key_2"))
+
+
+def _set_hashes(hashes: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of each set."""
+    out = []
+    for v in (X.mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), X.mix(hashes + np.uint64(0x5851F42D4C957F2D))):
+        run = np.concatenate([np.zeros(1, np.uint64), np.cumsum(v, dtype=np.uint64)])
+        out.append((run[at[1:]] - run[at[:-1]]).view(np.int64))
+    return out
 
 
-def signatures(docs: DataFrame, words_each: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, a 128-bit hash of the set, its packed low bits and its band keys."""
+def signatures(rows: DataFrame, words_each: int) -> DataFrame:
+    """From `keyed` rows: id, the row's keys, n_shingles, a 128-bit hash of the set, its packed low bits and its band keys."""
+    carried = ["id", *_ROW_KEY]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = X.column(b, id_col)
-            for i, hashes, at in shingle_sets(X.column(b, text_col), words_each):
+            for i, hashes, at in shingle_sets(X.column(b, "text"), words_each):
                 n = len(at) - 1
                 least = np.stack([minima(hashes[at[d] : at[d + 1]]) for d in range(n)])
-                one, two = X.mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), X.mix(hashes + np.uint64(0x5851F42D4C957F2D))
-                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(v, dtype=np.uint64)]) for v in (one, two)]
-                hi, lo = ((s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums)
+                hi, lo = _set_hashes(hashes, at)
                 bits, keys = pack_low_bits(least), band_keys(least)
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(i, n).cast(pa.int64()), pa.array(np.diff(at), pa.int64()), pa.array(hi), pa.array(lo), *(pa.array(np.ascontiguousarray(bits[:, k]).view(np.int64)) for k in range(bits.shape[1])), listed], ["id", "n_shingles", "set_hi", "set_lo", *_WORDS, "bands"])
+                yield pa.RecordBatch.from_arrays([*(X.column(b, c).slice(i, n) for c in carried), pa.array(np.diff(at), pa.int64()), pa.array(hi), pa.array(lo), *(pa.array(np.ascontiguousarray(bits[:, k]).view(np.int64)) for k in range(bits.shape[1])), listed], [*carried, "n_shingles", "set_hi", "set_lo", *_WORDS, "bands"])
         X.give_back()
 
-    schema = "id long, n_shingles long, set_hi long, set_lo long, " + ", ".join(f"{w} long" for w in _WORDS) + ", bands array<long>"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    schema = "id long, key_1 long, key_2 long, n_shingles long, set_hi long, set_lo long, " + ", ".join(f"{w} long" for w in _WORDS) + ", bands array<long>"
+    return rows.mapInArrow(run, schema)
+
 
+def _sets(rows: DataFrame, words_each: int) -> DataFrame:
+    """From `keyed` rows: the row's keys, the hash of its set and the set."""
 
-def _sets(docs: DataFrame, words_each: int, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = X.column(b, id_col)
-            for i, hashes, at in shingle_sets(X.column(b, text_col), words_each):
-                n = len(at) - 1
-                one, two = X.mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), X.mix(hashes + np.uint64(0x5851F42D4C957F2D))
-                sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(v, dtype=np.uint64)]) for v in (one, two)]
-                hi, lo = ((s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums)
-                yield pa.RecordBatch.from_arrays([ids.slice(i, n).cast(pa.int64()), pa.array(hi), pa.array(lo), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(hashes.view(np.int64)))], ["set_id", "set_hi", "set_lo", "members"])
+            for i, hashes, at in shingle_sets(X.column(b, "text"), words_each):
+                yield pa.RecordBatch.from_arrays([*(X.column(b, c).slice(i, len(at) - 1) for c in _ROW_KEY), *map(pa.array, _set_hashes(hashes, at)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(hashes.view(np.int64)))], [*_ROW_KEY, "set_hi", "set_lo", "members"])
         X.give_back()
 
-    return docs.select(id_col, text_col).mapInArrow(run, "set_id long, set_hi long, set_lo long, members array<long>")
+    return rows.mapInArrow(run, "key_1 long, key_2 long, set_hi long, set_lo long, members array<long>")
 
 
 def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -191,23 +211,47 @@ def spanning_forest(n: int, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int
     return out
 
 
-def _compare(percent: int):
+def _pairs(t: pa.Table, percent: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of a task's rows: they share a band, and neither low bits nor sizes rule them out."""
+    node, n = X.column(t, "node").to_numpy(), X.column(t, "n_shingles").to_numpy()
+    left, right = (X.column(t, c).to_numpy(zero_copy_only=False) for c in ("left", "right"))
+    bits = np.stack([X.column(t, w).to_numpy().view(np.uint64) for w in _WORDS], 1)
+    bands = X.column(t, "bands").flatten().to_numpy().reshape(-1, BANDS)
+    i, j = np.flatnonzero(left), np.flatnonzero(right)
+    ok = estimates(bits[i], bits[j]) >= least
+    ok &= 100 * np.minimum(n[i][:, None], n[j][None, :]) >= percent * np.maximum(n[i][:, None], n[j][None, :])
+    if (left & right).any():  # a block with itself
+        ok &= node[i][:, None] < node[j][None, :]
+    p, q = np.nonzero(ok)
+    x, y = i[p], j[q]
+    near = [(bands[x[k : k + PAIRS_AT_A_TIME]] == bands[y[k : k + PAIRS_AT_A_TIME]]).any(axis=1) for k in range(0, len(x), PAIRS_AT_A_TIME)]
+    near = np.concatenate([np.zeros(0, bool), *near])
+    return x[near], y[near]
+
+
+def _screen(percent: int):
+    """First pass: the rows of a task that are in a candidate pair."""
+    least = least_estimate(percent)
+
+    def run(t: pa.Table) -> pa.Table:
+        used = np.zeros(len(t), bool)
+        for side in _pairs(t, percent, least):
+            used[side] = True
+        return t.select(_PLACE).filter(pa.array(used))
+
+    return run
+
+
+def _confirm(percent: int):
+    """Second pass: a spanning forest of the candidate pairs that the full sets confirm."""
     least = least_estimate(percent)
 
     def run(t: pa.Table) -> pa.Table:
         node, n = X.column(t, "node").to_numpy(), X.column(t, "n_shingles").to_numpy()
-        left, right = X.column(t, "left").to_numpy(zero_copy_only=False), X.column(t, "right").to_numpy(zero_copy_only=False)
-        bits = np.stack([X.column(t, w).to_numpy().view(np.uint64) for w in _WORDS], 1)
         listed = X.column(t, "members")
         edge, flat = np.asarray(listed.offsets), listed.values.to_numpy()
         sets = [flat[edge[k] : edge[k + 1]] for k in range(len(t))]
-        i, j = np.flatnonzero(left), np.flatnonzero(right)
-        ok = estimates(bits[i], bits[j]) >= least
-        ok &= 100 * np.minimum(n[i][:, None], n[j][None, :]) >= percent * np.maximum(n[i][:, None], n[j][None, :])
-        if (left & right).any():  # a block with itself
-            ok &= node[i][:, None] < node[j][None, :]
-        p, q = np.nonzero(ok)
-        x, y = i[p], j[q]
+        x, y = _pairs(t, percent, least)
         common = common_members(sets, x, y)
         link = 100 * common >= percent * (n[x] + n[y] - common)
         found = spanning_forest(len(t), x[link], y[link])
@@ -217,62 +261,72 @@ def _compare(percent: int):
     return run
 
 
-def _groups(shared: DataFrame) -> DataFrame:
-    """Which nodes are compared in which task: node, left, right, and the task's key. shared: key, node, low (the bucket's smallest node)."""
+_PLACE = ["task", "i", "j", "node", "left", "right"]
+
+
+def _places(shared: DataFrame) -> DataFrame:
+    """Which nodes are compared in which task. shared: node, low (the smallest node of a bucket that the node is in)."""
     cluster = components(shared.select(F.col("low").alias("a"), F.col("node").alias("b")).where("a < b"))
-    sizes = cluster.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
-    cluster = keep(cluster.join(sizes, "comp"))
-    whole = cluster.where(F.col("n") <= MOST_CLUSTER)
-    nodes = whole.where(F.col("n") <= PACK_NODES).count()
-    packs = nodes // (2 * PACK_NODES) + 1
+    sizes = keep(cluster.groupBy("comp").agg(F.count(F.lit(1)).alias("n")))
+    cluster = attach(cluster, sizes, ["comp"], "n")
+    packs = (sizes.where(F.col("n") <= PACK_NODES).agg(F.sum("n")).first()[0] or 0) // (2 * PACK_NODES) + 1
     small = F.col("n") <= PACK_NODES
-    whole = whole.select("node", F.when(small, -1 - F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(F.col("comp")).alias("task"), F.lit(0).alias("kind"), F.when(small, 1).otherwise(F.ceil(F.col("n") / BLOCK_NODES)).cast("int").alias("blocks"))
-    huge = cluster.where(F.col("n") > MOST_CLUSTER).select("node")
-    buckets = shared.select("key", "node").join(huge, "node")
-    count = buckets.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_NODES).cast("int").alias("blocks"))
-    buckets = buckets.join(count, "key").select("node", F.col("key").alias("task"), F.lit(1).alias("kind"), "blocks")
-    every = whole.unionByName(buckets).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    every = every.select("node", "task", "kind", "mine", other)
-    return every.select("node", "task", "kind", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") <= F.col("other")).alias("left"), (F.col("mine") >= F.col("other")).alias("right"))
+    every = cluster.select("node", F.when(small, -1 - F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(F.col("comp")).alias("task"), F.when(small, 1).otherwise(F.ceil(F.col("n") / BLOCK_NODES)).cast("int").alias("blocks"))
+    every = every.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    every = every.select("node", "task", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return every.select("task", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", (F.col("mine") <= F.col("other")).alias("left"), (F.col("mine") >= F.col("other")).alias("right"))
+
+
+def _groups(docs: DataFrame, words_each: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row a row of docs: row, id, its keys, n_shingles, component_id and kept."""
+    source = keyed(docs, id_col, text_col)
+    rows = keep(signatures(source, words_each).withColumn("row", F.monotonically_increasing_id()))
+    full = rows.where("n_shingles > 0")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row"))  # the smallest id, null ones last
+    sets = keep(full.groupBy("set_hi", "set_lo").agg(F.min("row").alias("node"), first.alias("low"), F.count(F.lit(1)).alias("n")))
+    nodes = keep(full.join(sets.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node").drop("id"))
+    entries = nodes.select("node", F.explode("bands").alias("key"))
+    hubs = keep(entries.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    shared = keep(attach(entries, hubs, ["key"], "n").select("node", "low").distinct())
+
+    places = keep(_places(shared))
+    facts = nodes.select("node", "n_shingles", *_ROW_KEY, "set_hi", "set_lo", *_WORDS, "bands")
+    facts = keep(facts.join(shared.select("node").distinct(), "node"))
+    slim = places.join(facts.select("node", "n_shingles", *_WORDS, "bands"), "node")
+    pairs = keep(slim.groupBy("task", "i", "j").applyInArrow(_screen(percent), places.select(_PLACE).schema))
+
+    asked = keep(facts.join(pairs.select("node").distinct(), "node"))
+    small = F.broadcast if asked.count() <= BROADCAST_KEYS else (lambda x: x)
+    texts = source.join(small(asked.select(*_ROW_KEY)), list(_ROW_KEY), "left_semi")
+    members = _sets(texts, words_each).join(asked, [*_ROW_KEY, "set_hi", "set_lo"]).drop(*_ROW_KEY, "set_hi", "set_lo").dropDuplicates(["node"])
+    links = pairs.join(members, "node").groupBy("task", "i", "j").applyInArrow(_confirm(percent), "a long, b long")
+    comp = components(links)
+
+    sets = keep(sets.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    heads = keep(sets.groupBy("comp").agg(F.min("low").alias("head"), F.count(F.lit(1)).alias("held")))
+    sets = attach(sets.select("comp", "set_hi", "set_lo", "n"), heads, ["comp"], "held").select("set_hi", "set_lo", "n", "head")
+    slim = full.select("row", "id", *_ROW_KEY, "n_shingles", "set_hi", "set_lo")
+    found = attach(slim, keep(sets), ["set_hi", "set_lo"], "n").select("row", "id", *_ROW_KEY, "n_shingles", F.col("head.id").alias("component_id"), (F.col("row") == F.col("head.row")).alias("kept"))
+    return found.unionByName(rows.where("n_shingles = 0").select("row", "id", *_ROW_KEY, "n_shingles", F.col("id").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def near_duplicates(docs: DataFrame, words_each: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_shingles, component_id (smallest id reachable) and kept for each row of docs."""
-    docs = docs.select(id_col, text_col)
-    rows = keep(signatures(docs, words_each, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
-    first = rows.where("n_shingles > 0").groupBy("set_hi", "set_lo").agg(F.min("row").alias("node"))
-    member = keep(rows.where("n_shingles > 0").select("row", "id", "set_hi", "set_lo").join(first, ["set_hi", "set_lo"]).select("row", "id", "node"))
-    nodes = rows.join(member.where("row = node").select("row"), "row", "left_semi").withColumnRenamed("row", "node")
-    entries = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = entries.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    shared = keep(entries.join(hubs.select("key", "low"), "key"))  # buckets of two nodes or more
-
-    asked = keep(nodes.drop("bands").join(shared.select("node").distinct(), "node"))
-    small = F.broadcast if asked.count() <= BROADCAST_IDS else (lambda x: x)
-    texts = docs.join(small(asked.select(F.col("id").alias("asked_id")).distinct()), F.expr(f"`{id_col}` <=> asked_id"), "left_semi")
-    sets = _sets(texts, words_each, id_col, text_col).join(asked, ["set_hi", "set_lo"]).where("set_id <=> id").drop("set_id", "set_hi", "set_lo", "id")
-    work = _groups(shared).join(sets.dropDuplicates(["node"]), "node")
-    links = work.groupBy("task", "kind", "i", "j").applyInArrow(_compare(percent), "a long, b long")
-    same_id = member.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("id is not null and a < b")
-    same_id = member.join(same_id.select("id", "a"), "id").where("a < node").select("a", F.col("node").alias("b"))
-    comp = components(links.unionByName(same_id))
-
-    member = member.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    lowest = member.groupBy("comp").agg(F.min("id").alias("component_id"))
-    found = member.join(lowest, "comp").select("row", "component_id")
-    out = rows.select("row", "id", "n_shingles").join(found, "row", "left")
-    out = out.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id")))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.expr("id <=> component_id").alias("kept"))
+    """id, n_shingles, component_id (smallest id reachable) and kept (the row that stays of its group) for each row of docs."""
+    return _groups(docs, words_each, percent, id_col, text_col).select(F.col("id").alias(id_col), "n_shingles", "component_id", "kept")
 
 
 def keep_first(docs: DataFrame, words_each: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, of the smallest id of each group; of rows that repeat an id, one."""
-    found = near_duplicates(docs, words_each, percent, id_col, text_col)
-    ids = keep(found.where("kept").groupBy(F.col(id_col).alias("kept_id")).agg(F.count(F.lit(1)).alias("times")))
-    left = docs.join(ids.select("kept_id"), F.expr(f"`{id_col}` <=> kept_id"), "left_semi")
-    if ids.where("times > 1").isEmpty():
-        return left
-    twice = ids.where("times > 1").select("kept_id")
-    once = left.join(twice, F.expr(f"`{id_col}` <=> kept_id"), "left_anti")
-    return once.unionByName(left.join(twice, F.expr(f"`{id_col}` <=> kept_id"), "left_semi").dropDuplicates([id_col]))
+    """The rows of docs, all columns, that `near_duplicates` marks as kept. Of rows equal in id and text any one stands for the kept one."""
+    found = _groups(docs, words_each, percent, id_col, text_col).where("n_shingles > 0")
+    keys = keep(found.groupBy(*_ROW_KEY).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1"))
+    names = {"key_1": "_near_key_1", "key_2": "_near_key_2"}
+    key = [F.col(id_col).cast("long"), F.col(text_col)]
+    left = docs.withColumns({names["key_1"]: F.xxhash64(F.lit(1), *key), names["key_2"]: F.xxhash64(F.lit(2), *key)})
+    keys = keys.withColumnsRenamed(names)
+    on = list(names.values())
+    small = F.broadcast if keys.count() <= BROADCAST_KEYS else (lambda x: x)
+    out = left.join(small(keys.select(*on)), on, "left_anti")
+    twice = keys.where("kept").select(*on)
+    if not twice.isEmpty():
+        out = out.unionByName(left.join(small(twice), on, "left_semi").dropDuplicates(on))
+    return out.drop(*on)

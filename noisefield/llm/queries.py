@@ -209,7 +209,8 @@ from d left join c on c.doc_id = d.doc_id left join k on k.doc_id = d.doc_id
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_duplicates(_docs(spark, sf_dir), words_each=4, percent=80)
+    found = near.near_duplicates(_docs(spark, sf_dir), words_each=4, percent=80)
+    return found.withColumn("kept", F.expr("doc_id <=> component_id"))
 
 
 NEAR_SQL = """

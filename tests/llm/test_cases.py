@@ -257,13 +257,17 @@ def _brute(rows, n, percent):
     return sorted((d, len(sets[i]), best[find(i)]) for i, (d, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("blocks", [(1024, 256, 1 << 16), (4, 2, 1 << 16), (4, 2, 3)])
+@pytest.mark.parametrize("blocks", [(1024, 256), (4, 2)])
 def test_near_duplicates_against_brute_force(spark, monkeypatch, blocks):
     import random
 
-    for name, value in zip(("BLOCK_NODES", "PACK_NODES", "MOST_CLUSTER"), blocks, strict=True):
+    from noisefield.llm import _store
+
+    for name, value in zip(("BLOCK_NODES", "PACK_NODES"), blocks, strict=True):
         monkeypatch.setattr(near, name, value)
     monkeypatch.setattr(near, "DENSE_PAIRS", 5)
+    monkeypatch.setattr(near, "PAIRS_AT_A_TIME", 3)
+    monkeypatch.setattr(_store, "LEAST_HOT", blocks[1])
     rng = random.Random(9)
     rows = []
     for g in range(12):
@@ -280,15 +284,46 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, blocks):
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
 
+def test_one_large_group_of_near_copies(spark, monkeypatch):
+    """A text and a group of near copies that hold a third of all rows each, in many blocks."""
+    import random
+
+    monkeypatch.setattr(near, "BLOCK_NODES", 16)
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(150):
+        w = list(base)
+        w[rng.randrange(200)] = f"x{k}"
+        rows.append((k, " ".join(w)))
+    rows += [(1000 + k, "one text that very many rows share word for word") for k in range(600)]
+    rows += [(2000 + k, " ".join(f"y{k}_{j}" for j in range(30))) for k in range(100)]
+    out = {r.doc_id: r.component_id for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {d: 0 if d < 150 else 1000 if d < 2000 else d for d, _ in rows}
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     out = near.near_duplicates(odd).collect()
     assert len(out) == 10
     assert {r.component_id for r in out if r.doc_id == 7} == {7} and {r.component_id for r in out if r.doc_id is None} == {None}
+    assert sum(r.kept for r in out) == 9 and all(r.kept for r in out if r.doc_id != 1)
     kept = near.keep_first(odd)
-    assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [None, 1, 2, 3, 4, 5, 6, 7]))
+    assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [None, 1, 2, 3, 4, 5, 6, 7, 7]))
     assert near.near_duplicates(none).count() == 0 and near.keep_first(none).count() == 0
 
 
+def test_rows_without_or_with_repeated_ids_are_kept_by_row(spark):
+    text = lambda k: " ".join(f"t{k}w{j}" for j in range(20))
+    rows = [(None, text(k)) for k in range(40)]  # different texts without ids
+    rows += [(None, text(100)), (9, text(100)), (5, text(101)), (5, text(102)), (5, text(103)), (3, text(103)), (3, text(103)), (None, text(104)), (None, text(104)), (8, None), (8, ""), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(None, text(k)) for k in range(40)] + [(9, text(100)), (5, text(101)), (5, text(102)), (3, text(103)), (None, text(104)), (8, None), (8, ""), (None, "")]
+    sort = lambda x: sorted(map(str, x))
+    assert sort(tuple(r) for r in near.keep_first(df).collect()) == sort(want)
+    marked = near.near_duplicates(df).where("kept")
+    assert sort(r.doc_id for r in marked.collect()) == sort(d for d, _ in want)
+
+
 def test_unsettled_links_are_an_error(spark):
     from noisefield.llm import _links
 
