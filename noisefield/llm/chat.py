@@ -3,12 +3,16 @@
 A turn's content is a list of parts (text, image, audio, document). They are flattened in order: text is escaped,
 every other part becomes a placeholder, its reference and expanded token count recorded in order. Turns become
 `<|turn|>role<|body|>content</s>`. A control string inside a text is broken by a backslash after its first
-character and backslashes are doubled, so no control string survives in a text and the change can be undone. The
+character and backslashes are doubled, so no control string survives in a text and the change can be undone. Neighbouring
+text parts are joined before they are escaped, so that none forms across a seam either; a text next to a placeholder cannot
+form one, since no control string holds another one's beginning or end. The
 loss mask is a list of spans over the assistant's contents. Only DataFrame operations are used.
 
-Edge cases: a null role or text reads as empty; null parts or an empty list give an empty content; turns are
-ordered by turn (null first), then role and content, and repeated rows stay; a null conv_id is a conversation; an
-empty table gives no rows; extra columns play no part. A conversation is one output row, so it is gathered whole.
+Edge cases: a null role or text reads as empty; null parts or an empty list give an empty content. A part of an unknown type
+(or none) that has a text is a text; one without a text is an attachment of type `unknown` with its own placeholder, its
+reference, and no tokens. Turns are ordered by turn (null first), then role and content, and repeated rows stay; a
+null conv_id is a conversation; an empty table gives no rows; extra columns play no part. A conversation is one output row, so it
+is gathered whole, very long texts too: its size is bounded by what a row can hold (2 GB), not by this operator.
 """
 
 from __future__ import annotations
@@ -16,11 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 TURN, BODY, END = "<|turn|>", "<|body|>", "</s>"
-PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
+PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>", "unknown": "<|unknown|>"}
 #: Strings that a text may not contain as they stand.
 CONTROLS = [TURN, BODY, END, *PLACEHOLDERS.values(), "<s>", "[INST]", "[/INST]"]
 #: Tokens of one unit: an image's tile, a second of audio, a document's page.
-UNIT_TOKENS = {"image": 256, "audio": 25, "document": 600}
+UNIT_TOKENS = {"image": 256, "audio": 25, "document": 600, "unknown": 0}
 CHARS_PER_TOKEN = 4
 PARTS = "array<struct<type:string,text:string,ref:string,units:double>>"
 
@@ -41,33 +45,49 @@ def text_parts(text: Column) -> Column:
     return F.array(F.struct(F.lit("text").alias("type"), text.alias("text"), F.lit(None).cast("string").alias("ref"), F.lit(None).cast("double").alias("units"))).cast(PARTS)
 
 
-def _by_type(part: Column, choices: dict[str, object], otherwise: Column) -> Column:
+def _by_type(kind: Column, choices: dict[str, object], otherwise: Column) -> Column:
     out = otherwise
-    for kind, value in choices.items():
-        out = F.when(part["type"] == kind, F.lit(value)).otherwise(out)
+    for name, value in choices.items():
+        out = F.when(kind == name, F.lit(value)).otherwise(out)
     return out
 
 
-def flatten(parts: Column) -> Column:
-    """The parts as one string: escaped texts and placeholders."""
-    return F.coalesce(F.concat_ws("", F.transform(parts, lambda p: _by_type(p, PLACEHOLDERS, escape(p["text"])))), F.lit(""))
+def visit(parts: Column) -> Column:
+    """The parts in order as structs (kind, text, ref, tokens): kind is text or a placeholder's name."""
 
+    def one(p: Column) -> Column:
+        kind = F.when(p["type"].isin(*(k for k in PLACEHOLDERS if k != "unknown")), p["type"]).when(p["text"].isNotNull() | F.coalesce(p["type"] == "text", F.lit(False)), "text").otherwise("unknown")
+        units = F.coalesce(p["units"], F.lit(1.0))
+        return F.struct(kind.alias("kind"), F.when(kind == "text", F.coalesce(p["text"], F.lit(""))).alias("text"), p["ref"].alias("ref"), F.ceil(units * _by_type(kind, UNIT_TOKENS, F.lit(0))).cast("long").alias("tokens"))
 
-def attachments(parts: Column) -> Column:
-    """Type, reference and expanded tokens of the parts that are not text, in order."""
-    files = F.filter(F.coalesce(parts, F.array().cast(PARTS)), lambda p: p["type"].isin(*PLACEHOLDERS))
-    return F.transform(files, lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), F.ceil(F.coalesce(p["units"], F.lit(1.0)) * _by_type(p, UNIT_TOKENS, F.lit(0))).cast("long").alias("tokens")))
+    return F.transform(F.coalesce(parts, F.array().cast(PARTS)), one)
 
 
-def text_tokens(parts: Column) -> Column:
-    chars = F.aggregate(F.coalesce(parts, F.array().cast(PARTS)), F.lit(0), lambda n, p: n + F.when(p["type"].isin(*PLACEHOLDERS), 0).otherwise(F.coalesce(F.length(p["text"]), F.lit(0))))
+def flatten(seen: Column) -> Column:
+    """Visited parts as one string: escaped texts and placeholders. Texts between two placeholders are one text."""
+    # a part begins a new piece if it or the one before is a placeholder
+    state = "struct<done:string,open:string>"
+    begin = F.struct(F.lit("").alias("done"), F.lit("").alias("open")).cast(state)
+    text = lambda p: p["kind"] == "text"
+    step = lambda s, p: F.struct(F.when(text(p), s["done"]).otherwise(F.concat(s["done"], escape(s["open"]), _by_type(p["kind"], PLACEHOLDERS, F.lit("")))).alias("done"), F.when(text(p), F.concat(s["open"], p["text"])).otherwise("").alias("open")).cast(state)
+    return F.aggregate(seen, begin, step, lambda s: F.concat(s["done"], escape(s["open"])))
+
+
+def attachments(seen: Column) -> Column:
+    """Type, reference and expanded tokens of the visited parts that are not text, in order."""
+    return F.transform(F.filter(seen, lambda p: p["kind"] != "text"), lambda p: F.struct(p["kind"].alias("type"), p["ref"].alias("ref"), p["tokens"].alias("tokens")))
+
+
+def text_tokens(seen: Column) -> Column:
+    chars = F.aggregate(seen, F.lit(0).cast("long"), lambda n, p: n + F.coalesce(F.length(p["text"]), F.lit(0)))
     return F.ceil(chars / CHARS_PER_TOKEN).cast("long")
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
     """From conv_id, turn, role and parts: one row a conversation with formatted, loss_spans, attachments and expanded_tokens."""
     role = F.coalesce(F.col("role"), F.lit(""))
-    t = turns.select("conv_id", "turn", role.alias("role"), flatten(F.col("parts")).alias("content"), attachments(F.col("parts")).alias("files"), text_tokens(F.col("parts")).alias("text_tokens"))
+    t = turns.select("conv_id", "turn", role.alias("role"), visit(F.col("parts")).alias("seen"))
+    t = t.select("conv_id", "turn", "role", flatten(F.col("seen")).alias("content"), attachments(F.col("seen")).alias("files"), text_tokens(F.col("seen")).alias("text_tokens"))
     head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(BODY))
     t = t.select("conv_id", "turn", "role", "content", F.length(head).alias("head_chars"), F.concat(head, "content", F.lit(END)).alias("rendered"), "files", "text_tokens")
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "content").rowsBetween(Window.unboundedPreceding, -1)
