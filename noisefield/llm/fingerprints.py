@@ -1,120 +1,226 @@
 """Document fingerprints that can be subtracted: invertible Bloom lookup sketches of paragraphs.
 
-A text is cut into paragraphs (lines, and sentences inside them). Each paragraph has a 40-bit digest that is added to
-one cell in each of four tables; a cell holds a count, the sum of digests and the sum of check values. The cells of
-two versions subtract, and peeling takes out, table after table, the digests that stand alone in a cell (with their
-multiplicity) until none is left: what was taken out is the difference of the two texts. Where cells are left
-over, the pair is sketched again with twice the cells and other hashes, until it peels. Likeness is
-common paragraphs / (all paragraphs of both - common). Only DataFrame operations are used; sums keep the multiplicity
-of repeated paragraphs, which exclusive-or would cancel.
-
-Scale: all sketches and rounds of peeling of a document stay in the task that holds its range of ids, so texts are
-shuffled once and cells never. Ranges are even steps between the smallest and largest id, at most 65536; each range
-is given the first document of the next one, so no window spans the table.
-
-Edge cases: null text is empty, which is one empty paragraph; equal ids are ordered by text, null ids come last; a
-table of one document is its own next; an empty table gives no rows; extra columns play no part.
+A text is cut into paragraphs: at line ends, and after sentences that end with one of a few letters, so that cuts depend on
+the words around them alone and a long line has several. The k-th copy of a paragraph in a text has a 40-bit key of its own,
+so repeats count. A key is put in one cell in each of three tables; a cell holds how many keys it has, and the exclusive-or of the keys and
+of their 16-bit check values. The cells themselves are the fingerprint. The cells of two versions of one size subtract; where sizes
+differ, the smaller sketch is made at the larger size (`at_size` does so from a fingerprint alone, by listing its keys). Peeling
+takes out, table after table, the keys that stand alone in a cell until none is left: those are the paragraphs that
+only one of the two has. Pairs with cells left over are sketched again from their texts with four times the cells and
+other hashes, until they peel. Likeness is common paragraphs / (all paragraphs of both - common). Only DataFrame
+operations are used.
+
+Scale: documents are ordered by (id descending, null ids last, hash of the text, hash of the other columns) and cut into blocks
+of equal counts at exact ranks; at most `MOST_BLOCKS` border keys reach the driver. Texts are shuffled once, by block;
+windows, sketches and peeling stay in the task of a block. Each block is given the first document of the next one. Far ids, null ids and
+repeated ids fill blocks like others; only rows equal in all columns stay together.
+
+Edge cases: null text is empty, which is one empty paragraph; a very long text has as many more cells; equal ids are ordered by the
+hash of the text; a table of one document is its own next; an empty table gives no rows; extra columns only break ties,
+whatever their names.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ._store import keep
 
-PARAGRAPH_ENDS = r"\n|(?<=[.!?]) "
-TABLES = 4
-#: Fewest cells in a table.
-LEAST_CELLS = 32
-ROUNDS = 12
-#: Ranges of ids, at most, and documents in one.
-MOST_RANGES, RANGE_DOCS = 1 << 16, 256
+PARAGRAPH_ENDS = r"\n|(?<=[a-f][.!?]) "
+TABLES = 3
+#: Fewest cells in a table, and cells a paragraph (the next power of two is taken).
+LEAST_CELLS, CELLS_EACH = 16, 1.5
+ROUNDS = 9
+#: Documents in a block, and blocks at most (a block has more documents then).
+BLOCK_DOCS, MOST_BLOCKS = 500, 1 << 16
 #: Documents in a task.
 TASK_DOCS = 2000
 #: Pairs to try again that may be broadcast (ids and hashes only).
 BROADCAST_ROWS = 100_000
-_KEY, _CHECK = (1 << 40) - 1, (1 << 20) - 1
+_KEY_BITS, _CHECK_BITS = 40, 16
+_KEY, _CHECK = (1 << _KEY_BITS) - 1, (1 << _CHECK_BITS) - 1
+#: Bits of a packed cell: table and place, count, check value and key.
+_PLACE_BITS = 28
+CELLS = "array<struct<t:int,c:int,n:int,v:bigint>>"
+_ORDER = ["o_null", "o_id", "o_text", "o_rest"]
+
+
+# Sketches --------------------------------------------------------------------------------------------------------
 
 
 def digests(text: Column) -> Column:
-    return F.transform(F.split(text, PARAGRAPH_ENDS), lambda p: F.xxhash64(p).bitwiseAND(F.lit(_KEY)))
+    """A hash of each paragraph, in order."""
+    return F.transform(F.split(text, PARAGRAPH_ENDS), lambda p: F.xxhash64(p))
 
 
 def cells_for(n: Column) -> Column:
-    """Cells in a table for n paragraphs: the next power of two."""
-    return F.greatest(F.lit(LEAST_CELLS), F.pow(F.lit(2.0), F.ceil(F.log2(n.cast("double")))).cast("int"))
+    """Cells in a table for n paragraphs."""
+    return F.greatest(F.lit(LEAST_CELLS), F.pow(F.lit(2.0), F.ceil(F.log2(n * CELLS_EACH))).cast("int"))
 
 
 def _cell(key: Column, table: int | Column, cells: Column, salt: int) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(table) if isinstance(table, int) else table, F.lit(salt)), cells.cast("long")).cast("long")
+    return F.xxhash64(key, F.lit(table) if isinstance(table, int) else table, F.lit(salt)).bitwiseAND(cells - 1).cast("int")
 
 
 def _check(key: Column) -> Column:
     return F.xxhash64(F.lit("check"), key).bitwiseAND(F.lit(_CHECK))
 
 
-def sketch(entries: DataFrame, by: list[str], salt: int = 0) -> DataFrame:
-    """Cells (t, c, n, key, chk) of signed digests. entries: columns `by`, cells, sign, digest."""
-    cells = F.array(*(F.struct(F.lit(t).alias("t"), _cell(F.col("digest"), t, F.col("cells"), salt).alias("c")) for t in range(TABLES)))
-    e = entries.select(*by, "cells", "sign", "digest", F.inline(cells))
-    e = e.select(*by, "cells", "t", "c", F.col("sign").cast("long").alias("n"), (F.col("sign") * F.col("digest")).alias("key"), (F.col("sign") * _check(F.col("digest"))).alias("chk"))
-    return _settle(e, by)
+def _places(key: Column, cells: Column, salt: int) -> Column:
+    return F.array(*(F.struct(F.lit(t).alias("t"), _cell(key, t, cells, salt).alias("c")) for t in range(TABLES)))
 
 
 def _settle(rows: DataFrame, by: list[str]) -> DataFrame:
-    return rows.groupBy(*by, "cells", "t", "c").agg(*(F.sum(k).alias(k) for k in ("n", "key", "chk"))).where((F.col("n") != 0) | (F.col("key") != 0) | (F.col("chk") != 0))
+    """Cells of equal place put together; n: keys of the first text less those of the second."""
+    return rows.groupBy(*by, "cells", "t", "c").agg(F.sum("n").cast("int").alias("n"), F.bit_xor("v").alias("v")).where((F.col("n") != 0) | (F.col("v") != 0))
+
+
+def sketch(entries: DataFrame, by: list[str], salt: int = 0) -> DataFrame:
+    """Cells (t, c, n, v) of paragraphs. entries: columns `by`, cells, digest; a row a paragraph."""
+    e = entries.groupBy(*by, "cells", "digest").agg(F.count(F.lit(1)).alias("times"))
+    e = e.select(*by, "cells", "digest", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("copy"))
+    return place_keys(e.select(*by, "cells", F.lit(1).alias("n"), F.xxhash64("digest", "copy").bitwiseAND(F.lit(_KEY)).alias("key")), by, salt)
+
+
+def place_keys(keys: DataFrame, by: list[str], salt: int = 0) -> DataFrame:
+    """Cells of keys. keys: columns `by`, cells, n, key."""
+    k = keys.withColumn("v", F.col("key").bitwiseOR(F.shiftleft(_check(F.col("key")), _KEY_BITS)))
+    return _settle(k.select(*by, "cells", "n", "v", F.inline(_places(F.col("key"), F.col("cells"), salt))), by)
 
 
-def peel(cells: DataFrame, by: list[str], rounds: int = ROUNDS, salt: int = 0) -> DataFrame:
-    """Recovered digests are rows with t = TABLES, c the digest and n its signed multiplicity; other rows could not be peeled."""
+def peel(cells: DataFrame, by: list[str], rounds: int = ROUNDS, salt: int = 0, listed: bool = True) -> DataFrame:
+    """Recovered keys are rows with t = TABLES, c the key and n its sign; other rows could not be peeled.
+
+    Without `listed` there is one row for all keys of a sketch, n their number."""
+    cells = cells.select(*by, "cells", F.col("t").cast("int").alias("t"), F.col("c").cast("long").alias("c"), "n", "v")
     for r in range(rounds):
         table = r % TABLES
-        n, c, t = F.col("n"), F.col("c"), F.col("t")
-        key = F.expr("if(n <> 0, key div n, -1)")
-        alone = (t == table) & (n != 0) & (key * n == F.col("key")) & (key >= 0) & (key <= _KEY)
-        cells = cells.withColumn("one", F.when(alone, key).otherwise(-1))
-        alone = (F.col("one") >= 0) & (F.col("chk") == n * _check(F.col("one"))) & (c == _cell(F.col("one"), table, F.col("cells"), salt))
-        cells = cells.withColumn("one", F.when(alone, F.col("one")).otherwise(-1))
+        n, v, key = F.col("n"), F.col("v"), F.col("v").bitwiseAND(F.lit(_KEY))
+        alone = (F.col("t") == table) & (F.abs("n") == 1) & (F.shiftrightunsigned("v", _KEY_BITS) == _check(key)) & (F.col("c") == _cell(key, table, F.col("cells"), salt))
+        cells = cells.withColumn("one", F.when(alone, key).otherwise(F.lit(-1)))
         one = F.col("one")
 
-        def row(t: object, c: Column, n: Column, key: Column, chk: Column) -> Column:
-            return F.struct((F.lit(t) if isinstance(t, int) else t).alias("t"), c.alias("c"), n.alias("n"), key.alias("key"), chk.alias("chk"))
+        def row(t: int | Column, c: Column, n: Column, v: Column) -> Column:
+            return F.struct((F.lit(t) if isinstance(t, int) else t).alias("t"), c.cast("long").alias("c"), n.cast("int").alias("n"), v.cast("long").alias("v"))
 
-        out = [row(u, _cell(one, u, F.col("cells"), salt), -n, -F.col("key"), -F.col("chk")) for u in range(TABLES) if u != table]
-        out.append(row(TABLES, one, n, F.lit(0).cast("long"), F.lit(0).cast("long")))
-        stay = F.array(row(t, c, n, F.col("key"), F.col("chk")))
-        cells = cells.select(*by, "cells", F.inline(F.when(one >= 0, F.array(*out)).otherwise(stay)))
+        out = [row(u, _cell(one, u, F.col("cells"), salt), -n, v) for u in range(TABLES) if u != table]
+        out.append(row(TABLES, one, n, F.lit(0)) if listed else row(TABLES, F.lit(0), F.lit(1), F.lit(0)))
+        cells = cells.select(*by, "cells", F.inline(F.when(one >= 0, F.array(*out)).otherwise(F.array(row(F.col("t"), F.col("c"), n, v)))))
         cells = _settle(cells, by)
     return cells
 
 
 def differences(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Per pair: differing (paragraphs that only one of the two has) and failed."""
+    """From peeled cells, per pair: differing (paragraphs that only one of the two has) and failed."""
     return cells.groupBy(*by).agg(F.sum(F.when(F.col("t") == TABLES, F.abs("n")).otherwise(0)).alias("differing"), F.max(F.col("t") < TABLES).alias("failed"))
 
 
+def subtract(pairs: DataFrame, by: list[str]) -> DataFrame:
+    """Cells of the difference of two sketches of one size. pairs: `by`, cells, left, right (of type CELLS)."""
+    sides = F.array(F.struct(F.lit(1).alias("sign"), F.col("left").alias("held")), F.struct(F.lit(-1).alias("sign"), F.col("right").alias("held")))
+    e = pairs.select(*by, "cells", F.inline(sides)).select(*by, "cells", "sign", F.inline("held"))
+    return _settle(e.select(*by, "cells", "t", F.col("c").cast("long").alias("c"), (F.col("sign") * F.col("n")).alias("n"), "v"), by)
+
+
 def likeness(a: Column, b: Column, differing: Column) -> Column:
     common = (a + b - differing) / 2
     return common / (a + b - common)
 
 
+# Fingerprints as strings -----------------------------------------------------------------------------------------
+
+
+def pack(cells: Column) -> Column:
+    """Sorted cells as 13 bytes each."""
+    place = F.lit(0).cast("long")
+    return F.unhex(F.concat_ws("", F.transform(cells, lambda s: F.concat(F.lpad(F.hex(F.shiftleft(place + s["t"], _PLACE_BITS + 16) + F.shiftleft(place + s["c"], 16) + s["n"]), 12, "0"), F.lpad(F.hex(s["v"]), 14, "0")))))
+
+
+def print_of(cells_each: Column, packed: Column) -> Column:
+    """The fingerprint: cells a table, a colon, and the packed cells in base 64."""
+    return F.concat(cells_each.cast("string"), F.lit(":"), F.regexp_replace(F.base64(packed), r"\s", ""))
+
+
+def read_print(fingerprint: Column) -> tuple[Column, Column]:
+    """Cells a table, and the cells."""
+    size = F.split_part(fingerprint, F.lit(":"), F.lit(1)).cast("int")
+    raw = F.hex(F.unbase64(F.split_part(fingerprint, F.lit(":"), F.lit(2))))
+    number = lambda i, start, n: F.conv(F.substring(raw, i * 26 + start, F.lit(n)), 16, 10).cast("long")
+
+    def cell(i: Column) -> Column:
+        place = number(i, F.lit(1), 8)
+        return F.struct(F.shiftright(place, _PLACE_BITS).cast("int").alias("t"), place.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).cast("int").alias("c"), number(i, F.lit(9), 4).cast("int").alias("n"), number(i, F.lit(13), 14).alias("v"))
+
+    return size, F.transform(F.sequence(F.lit(0), (F.length(raw) / 26).cast("int") - 1), cell).cast(CELLS)
+
+
+def at_size(prints: DataFrame, by: list[str]) -> DataFrame:
+    """Sketches made larger without their texts: all keys are listed by peeling and placed anew. prints: `by`, cells, held, size; cells left over fail."""
+    rows = prints.select(*by, "size", "cells", F.inline("held"))
+    got = peel(rows, [*by, "size"], 2 * ROUNDS)
+    keys = got.where(F.col("t") == TABLES).select(*by, F.col("size").alias("cells"), "n", F.col("c").alias("key"))
+    left = got.where(F.col("t") < TABLES).select(*by, F.col("size").alias("cells"), F.lit(0).alias("t"), F.lit(-1).cast("long").alias("c"), F.lit(0).alias("n"), F.lit(1).cast("long").alias("v")).distinct()
+    return place_keys(keys, by).unionByName(left)
+
+
+def compare(pairs: DataFrame, by: list[str]) -> DataFrame:
+    """`by`, differing and failed of pairs of fingerprints (columns left, right), from these strings alone."""
+    rows = None
+    for sign, one, two in ((1, "left", "right"), (-1, "right", "left")):
+        (size, held), (other, _) = read_print(F.col(one)), read_print(F.col(two))
+        side = pairs.select(*by, size.alias("cells"), held.alias("held"), F.greatest(size, other).alias("size"))
+        same = side.where("cells = size").select(*by, "cells", F.inline("held")).withColumn("c", F.col("c").cast("long"))
+        each = same.unionByName(at_size(side.where("cells < size"), by)).withColumn("n", F.col("n") * sign)
+        rows = each if rows is None else rows.unionByName(each)
+    pairs = pairs.select(*by)
+    found = differences(peel(_settle(rows, by), by, 2 * ROUNDS, listed=False), by)
+    return pairs.join(found, by, "left").select(*by, F.coalesce("differing", F.lit(0)).alias("differing"), F.coalesce("failed", F.lit(False)).alias("failed"))
+
+
+# Neighbours ------------------------------------------------------------------------------------------------------
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text, and the columns that order the documents."""
+    others = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
+    doc, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
+    order = {"o_null": doc.isNull().cast("int"), "o_id": F.bitwise_not(F.coalesce(doc.cast("long"), F.lit(0))), "o_text": F.xxhash64(text), "o_rest": F.xxhash64(F.lit(0), *others)}
+    return docs.select(doc.alias("id"), text.alias("text"), *(v.alias(k) for k, v in order.items()))
+
+
+def _borders(base: DataFrame) -> list[tuple[int, ...]]:
+    """The keys of the documents at which blocks begin, in order."""
+    slim = base.select(*_ORDER)
+    each = max(BLOCK_DOCS, -(-slim.count() // MOST_BLOCKS))
+    ranked = slim.repartitionByRange(*_ORDER).sortWithinPartitions(*_ORDER).withColumn("at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    return sorted({tuple(r)[: len(_ORDER)] for r in ranked.where(F.col("at") % each == 0).collect()})  # n / each, and one a partition
+
+
+def _block_of(borders: list[tuple[int, ...]]) -> Column:
+    """The last border that is not after a row's key, by bisection."""
+    kind = "struct<o_null:int,o_id:bigint,o_text:bigint,o_rest:bigint>"
+    held = F.from_json(F.lit(json.dumps([dict(zip(_ORDER, b, strict=True)) for b in borders])), f"array<{kind}>")
+    mine = F.struct(*_ORDER)
+    steps = [1 << k for k in reversed(range(max(len(borders) - 1, 1).bit_length()))]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when((at + step < len(borders)) & (F.get(held, at + step) <= mine), at + step).otherwise(at))
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each document with the next one in descending id order (after the last: the first): range, row, id, text, next_id, next_text."""
-    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    low, high, n = base.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
-    ranges = min(MOST_RANGES, n // RANGE_DOCS + 1)
-    step = (int(high) - int(low)) // ranges + 1 if high is not None else 1
-    where = F.coalesce(F.floor((F.col("id").cast("decimal(20,0)") - F.lit(int(low or 0)).cast("decimal(20,0)")) / F.lit(step).cast("decimal(20,0)")).cast("long"), F.lit(-1))
-    base = base.withColumn("range", where)
-    tops = base.groupBy("range").agg(F.max("id").alias("top"))  # at most MOST_RANGES + 1 rows
-    down = Window.partitionBy(F.lit(0)).orderBy(F.desc("range"))
-    after = tops.select("top", F.coalesce(F.lag("range").over(down), F.first("range").over(Window.partitionBy(F.lit(0)).orderBy("range"))).alias("to"))
-    guests = base.drop("range").join(F.broadcast(after), F.expr("id <=> top")).groupBy("to").agg(F.min("text").alias("text"), F.first("top", True).alias("id"))
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // TASK_DOCS)
-    rows = base.select("range", "id", "text", F.lit(0).alias("guest")).unionByName(guests.select(F.col("to").alias("range"), "id", "text", F.lit(1).alias("guest"))).repartition(tasks, "range")
-    order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("id"), "text")
-    rows = rows.select("range", F.row_number().over(order).alias("row"), "guest", "id", "text", F.lead("id").over(order).alias("next_id"), F.lead("text").over(order).alias("next_text"))
-    return rows.where(F.col("guest") == 0).drop("guest")
+    """Each document with the next one in descending id order (after the last: the first): block, row, guest, id, text, next_id, next_text.
+
+    A block's last row is a guest, the first document of the next block."""
+    base = _keyed(docs, id_col, text_col)
+    borders = _borders(base)
+    count = max(len(borders), 1)
+    rows = base.withColumn("block", _block_of(borders) if borders else F.lit(0))
+    first = docs.sparkSession.createDataFrame([(*b, (k - 1) % count) for k, b in enumerate(borders)], "o_null int, o_id long, o_text long, o_rest long, block int")
+    guests = base.join(F.broadcast(first), _ORDER).dropDuplicates(["block"]).withColumn("guest", F.lit(1))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), count * BLOCK_DOCS // TASK_DOCS)
+    both = rows.withColumn("guest", F.lit(0)).unionByName(guests).repartition(tasks, "block")
+    order = Window.partitionBy("block").orderBy("guest", *_ORDER)
+    return both.select("block", F.row_number().over(order).alias("row"), "guest", "id", "text", F.lead("id").over(order).alias("next_id"), F.lead("text").over(order).alias("next_text"))
 
 
 def edit(text: Column, following: Column) -> Column:
@@ -123,70 +229,103 @@ def edit(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
 
 
-def _streams(rows: DataFrame, by: list[str], grow: int) -> DataFrame:
-    """Signed digests of the sketches of a text (0), its edited text (1), and of their pairs: with the edited text (2), with the next (3)."""
-    q = {k: cells_for(F.size(k)) * grow for k in ("a", "e", "x")}
-    both = {2: F.greatest(q["a"], q["e"]), 3: F.greatest(q["a"], q["x"])}
-    parts = [(0, 1, "a", q["a"]), (1, 1, "e", q["e"]), (2, 1, "a", both[2]), (2, -1, "e", both[2]), (3, 1, "a", both[3]), (3, -1, "x", both[3])]
-    kinds = F.array(*(F.struct(F.lit(s).alias("stream"), F.lit(sign).alias("sign"), F.col(k).alias("held"), m.alias("cells")) for s, sign, k, m in parts))
-    return rows.select(*by, F.inline(kinds)).select(*by, "stream", "sign", "cells", F.explode("held").alias("digest"))
+# The operator ----------------------------------------------------------------------------------------------------
+
+
+def _sized(rows: DataFrame, by: list[str], grow: int) -> DataFrame:
+    """Paragraph digests and cells a table of the text (a), the edited text (e) and the next text (x)."""
+    d = rows.select(*by, digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.coalesce("next_text", F.lit(""))).alias("x"))
+    return d.withColumns({f"cells_{k}": cells_for(F.size(k)) * grow for k in "aex"})
+
+
+def _arrays(d: DataFrame, by: list[str], kinds: list[tuple[str, Column, Column]], salt: int) -> DataFrame:
+    """`by` and, for each kind (which digests, at which size, where at all), its cells as s0, s1, ..., and its keys as n0, n1, ..."""
+    made = F.array(*(F.struct(F.lit(k).alias("stream"), size.alias("cells"), F.when(when, F.col(held)).alias("held")) for k, (held, size, when) in enumerate(kinds)))
+    e = d.select(*by, F.inline(made)).select(*by, "stream", "cells", F.explode("held").alias("digest"))
+    mine = lambda k, x: F.when(F.col("stream") == k, x)
+    cells = lambda k: F.sort_array(F.collect_list(mine(k, F.struct("t", F.col("c").cast("int").alias("c"), "n", "v")))).cast(CELLS).alias(f"s{k}")
+    keys = lambda k: F.sum(mine(k, F.when(F.col("t") == 0, F.col("n")))).cast("int").alias(f"n{k}")
+    return sketch(e, [*by, "stream"], salt).groupBy(*by).agg(*(f(k) for k in range(len(kinds)) for f in (cells, keys)))
+
+
+def _pairs(rows: DataFrame, by: list[str], grow: int = 1, salt: int = 0) -> DataFrame:
+    """The two pairs of a row as e_pair and x_pair (cells, left, right): its text with the edited and with the next text.
+
+    A sketch has its own size; the smaller one of a pair is also made at the larger size."""
+    d = _sized(rows, by, grow)
+    m = {k: F.col(f"cells_{k}") for k in "aex"}
+    always = F.lit(True)
+    kinds = [("a", m["a"], always), ("e", m["e"], always), ("x", m["x"], always), ("a", m["e"], m["e"] > m["a"]), ("e", m["a"], m["a"] > m["e"]), ("a", m["x"], m["x"] > m["a"]), ("x", m["a"], m["a"] > m["x"])]
+    s = _arrays(d, by, kinds, salt)
+    size = {k: cells_for(F.col(f"n{i}")) * grow for i, k in enumerate("aex")}
+
+    def pair(other: str, own: int, larger_a: int, larger: int) -> Column:
+        a, o = size["a"], size[other]
+        return F.struct(F.greatest(a, o).alias("cells"), F.when(o > a, F.col(f"s{larger_a}")).otherwise(F.col("s0")).alias("left"), F.when(a > o, F.col(f"s{larger}")).otherwise(F.col(f"s{own}")).alias("right"))
+
+    return s.select(*by, pair("e", 1, 3, 4).alias("e_pair"), pair("x", 2, 5, 6).alias("x_pair"))
+
+
+def _prints(rows: DataFrame, by: list[str]) -> DataFrame:
+    """`by`, cells_a, cells_e, and the packed cells of a text and its edited text."""
+    d = _sized(rows, by, 1)
+    s = _arrays(d, by, [(k, F.col(f"cells_{k}"), F.lit(True)) for k in "ae"], 0)
+    return s.select(*by, cells_for(F.col("n0")).alias("cells_a"), cells_for(F.col("n1")).alias("cells_e"), pack(F.col("s0")).alias("a"), pack(F.col("s1")).alias("e"))
+
+
+def _differ(pairs: DataFrame, by: list[str], rounds: int = ROUNDS, salt: int = 0) -> DataFrame:
+    """`by`, differing and failed of both pairs of a row."""
+    each = pairs.select(*by, F.inline(F.array(F.struct(F.lit("e").alias("pair"), F.col("e_pair").alias("p")), F.struct(F.lit("x").alias("pair"), F.col("x_pair").alias("p")))))
+    each = each.select(*by, "pair", "p.cells", "p.left", "p.right")
+    got = differences(peel(subtract(each, [*by, "pair"]), [*by, "pair"], rounds, salt, listed=False), [*by, "pair"])
+    pick = lambda s, c: F.max(F.when(F.col("pair") == s, F.col(c))).alias(f"{c}_{s}")
+    return got.groupBy(*by).agg(*(pick(s, c) for s in "ex" for c in ("differing", "failed")))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_chars, edited_sha256, fingerprint, edited_fingerprint (digests of the sketches), near_edited, near_next, and the differing paragraphs found."""
-    rows = with_next(docs, id_col, text_col).withColumn("edited", edit(F.col("text"), F.col("next_text")))
-    by = ["range", "row"]
-    sets = rows.select(*by, digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("x"))
-    cells = sketch(_streams(sets, by, 1), [*by, "stream"])
-    hashed = [F.bit_xor(F.xxhash64(F.lit(k), "cells", "t", "c", "n", "key", "chk")) for k in (1, 2)]
-    print_ = F.concat(*(F.lpad(F.hex(h), 16, "0") for h in hashed))
-    one = cells.where("stream < 2").groupBy(*by, "stream").agg(print_.alias("print"))
-    two = differences(peel(cells.where("stream >= 2"), [*by, "stream"]), [*by, "stream"])
-    facts = one.select(*by, "stream", "print", F.lit(None).cast("long").alias("differing"), F.lit(None).cast("boolean").alias("failed")).unionByName(two.select(*by, "stream", F.lit(None).cast("string").alias("print"), "differing", "failed"))
-    pick = lambda s, c: F.max(F.when(F.col("stream") == s, F.col(c)))
-    facts = facts.groupBy(*by).agg(pick(0, "print").alias("fingerprint"), pick(1, "print").alias("edited_fingerprint"), *(f(pick(s, c)).alias(f"{c}_{s}") for s in (2, 3) for c, f in (("differing", lambda x: F.coalesce(x, F.lit(0))), ("failed", lambda x: F.coalesce(x, F.lit(False))))))
-    plain = rows.select(*by, "id", "next_id", F.length("text").alias("n_chars"), F.xxhash64("text").alias("own_hash"), F.xxhash64("next_text").alias("next_hash"), F.sha2("edited", 256).alias("edited_sha256"), *(F.size(F.split(c, PARAGRAPH_ENDS)).alias(f"n_{k}") for k, c in (("a", "text"), ("e", "edited"), ("x", "next_text"))))
-    out = keep(plain.join(facts, by))
-    grow = 2
+    """id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and the differing paragraphs found."""
+    rows = with_next(docs, id_col, text_col).where("guest = 0").withColumn("edited", edit(F.col("text"), F.col("next_text")))
+    by = ["block", "row"]
+    found = _differ(_pairs(rows, by), by)
+    count = lambda c: F.size(F.split(c, PARAGRAPH_ENDS))
+    plain = rows.select(*by, count("text").alias("n_a"), count("edited").alias("n_e"), count("next_text").alias("n_x"), "id", "next_id", F.length("text").alias("n_chars"), F.xxhash64("text").alias("own_hash"), F.xxhash64("next_text").alias("next_hash"), F.sha2("edited", 256).alias("edited_sha256"))
+    out = plain.join(_prints(rows, by), by).join(found, by, "left")
+    out = keep(out.withColumns({f"differing_{s}": F.coalesce(f"differing_{s}", F.lit(0)) for s in "ex"} | {f"failed_{s}": F.coalesce(f"failed_{s}", F.lit(False)) for s in "ex"}))
+    grow = 4
     while True:
-        left = out.where("failed_2 or failed_3")
+        left = out.where("failed_e or failed_x")
         n = left.count()
         if not n:
             break
-        out = keep(_again(docs, out, left, n, grow, id_col, text_col))
-        grow *= 2
+        better = keep(_again(docs, left, n, grow, id_col, text_col))
+        out = out.join(F.broadcast(better) if n <= BROADCAST_ROWS else better, by, "left")
+        for s in "ex":
+            out = out.withColumn(f"differing_{s}", F.coalesce(f"new_differing_{s}", f"differing_{s}")).withColumn(f"failed_{s}", F.coalesce(f"new_failed_{s}", F.lit(False)))
+        out = keep(out.drop(*(f"new_{c}_{s}" for s in "ex" for c in ("differing", "failed"))))
+        grow *= 4
     return out.select(
         F.col("id").alias(id_col),
         F.col("n_chars").cast("long").alias("n_chars"),
         "edited_sha256",
-        "fingerprint",
-        "edited_fingerprint",
-        likeness(F.col("n_a"), F.col("n_e"), F.col("differing_2")).alias("near_edited"),
-        likeness(F.col("n_a"), F.col("n_x"), F.col("differing_3")).alias("near_next"),
-        F.col("differing_2").alias("n_differing_edited"),
-        F.col("differing_3").alias("n_differing_next"),
+        print_of(F.col("cells_a"), F.col("a")).alias("fingerprint"),
+        print_of(F.col("cells_e"), F.col("e")).alias("edited_fingerprint"),
+        likeness(F.col("n_a"), F.col("n_e"), F.col("differing_e")).alias("near_edited"),
+        likeness(F.col("n_a"), F.col("n_x"), F.col("differing_x")).alias("near_next"),
+        F.col("differing_e").cast("long").alias("n_differing_edited"),
+        F.col("differing_x").cast("long").alias("n_differing_next"),
     )
 
 
-def _again(docs: DataFrame, out: DataFrame, left: DataFrame, n: int, grow: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs in `left` sketched with `grow` times the cells and other hashes, in place of their failed results."""
-    left = left.select("range", "row", "id", "own_hash", "next_id", "next_hash")
+def _again(docs: DataFrame, left: DataFrame, n: int, grow: int, id_col: str, text_col: str) -> DataFrame:
+    """block, row and the new differing and failed of rows in `left`, sketched with `grow` times the cells and other hashes."""
+    left = left.select("block", "row", "id", "own_hash", "next_id", "next_hash")
     texts = docs.select(F.col(id_col).alias("k_id"), F.coalesce(F.col(text_col), F.lit("")).alias("k_text")).withColumn("k_hash", F.xxhash64("k_text"))
     want = left.select("id", F.col("own_hash").alias("h")).union(left.select("next_id", "next_hash")).distinct()
     small = F.broadcast if n <= BROADCAST_ROWS else (lambda x: x)
-    texts = texts.join(small(want), F.expr("k_id <=> id and k_hash = h"), "left_semi").dropDuplicates(["k_id", "k_hash"])
-    texts = keep(texts)
-    pair = left.join(texts, F.expr("k_id <=> id and k_hash = own_hash")).select("range", "row", "next_id", "next_hash", F.col("k_text").alias("text"))
-    pair = pair.join(texts, F.expr("k_id <=> next_id and k_hash = next_hash")).select("range", "row", "text", F.col("k_text").alias("next_text")).withColumn("edited", edit(F.col("text"), F.col("next_text")))
-    by = ["range", "row"]
-    sets = pair.select(*by, digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("x"))
-    again = _streams(sets, by, grow).where("stream >= 2")
-    d = differences(peel(sketch(again, [*by, "stream"], grow), [*by, "stream"], ROUNDS * 2, grow), [*by, "stream"])
-    pick = lambda s, c: F.max(F.when(F.col("stream") == s, F.col(c)))
-    d = d.groupBy(*by).agg(*(pick(s, c).alias(f"new_{c}_{s}") for s in (2, 3) for c in ("differing", "failed")))
-    d = left.select(*by, F.lit(True).alias("retried")).join(d, by, "left")
-    out = out.join(d, by, "left")
-    for s in (2, 3):
-        hit = F.col(f"failed_{s}") & F.coalesce(F.col("retried"), F.lit(False))
-        out = out.withColumn(f"differing_{s}", F.when(hit, F.coalesce(f"new_differing_{s}", F.lit(0))).otherwise(F.col(f"differing_{s}"))).withColumn(f"failed_{s}", F.when(hit, F.coalesce(f"new_failed_{s}", F.lit(False))).otherwise(F.lit(False)))
-    return out.drop("retried", *(f"new_{c}_{s}" for s in (2, 3) for c in ("differing", "failed")))
+    texts = keep(texts.join(small(want), F.expr("k_id <=> id and k_hash = h"), "left_semi").dropDuplicates(["k_id", "k_hash"]))
+    pair = left.join(texts, F.expr("k_id <=> id and k_hash = own_hash")).select("block", "row", "next_id", "next_hash", F.col("k_text").alias("text"))
+    pair = pair.join(texts, F.expr("k_id <=> next_id and k_hash = next_hash")).select("block", "row", "text", F.col("k_text").alias("next_text")).withColumn("edited", edit(F.col("text"), F.col("next_text")))
+    by = ["block", "row"]
+    d = _differ(_pairs(pair, by, grow, grow), by, 2 * ROUNDS, grow)
+    d = left.select(*by).join(d, by, "left")
+    return d.select(*by, *(F.coalesce(f"{c}_{s}", F.lit(0) if c == "differing" else F.lit(False)).alias(f"new_{c}_{s}") for s in "ex" for c in ("differing", "failed")))

@@ -118,18 +118,24 @@ def test_fingerprints_of_odd_rows(odd, none):
 
 
 def test_peeling_recovers_the_difference_or_says_so(spark):
-    entries = [("p", 64, 1, k) for k in range(1, 40)] + [("p", 64, -1, k) for k in range(20, 60)] + [("q", 64, 1, 5)] * 3 + [("q", 64, -1, 5)] + [("full", 4, 1, k) for k in range(100)]
-    df = spark.createDataFrame(entries, "id string, cells int, sign int, digest long")
-    left = fingerprints.peel(fingerprints.sketch(df, ["id"]), ["id"])
+    sets = {"p": (64, range(1, 40), range(20, 60)), "q": (64, [5, 5, 5], [5]), "full": (4, range(100), [])}
+    entries = [(i, side, m, k) for i, (m, *both) in sets.items() for side, held in zip((1, -1), both, strict=True) for k in held]
+    df = spark.createDataFrame(entries, "id string, side int, cells int, digest long")
+    one = fingerprints.sketch(df, ["id", "side"])
+    difference = fingerprints._settle(one.withColumn("n", F.col("n") * F.col("side")), ["id"])
+    left = fingerprints.peel(difference, ["id"])
+    key = {(d, c): k for d, c, k in df.select("digest").distinct().selectExpr("digest", "explode(sequence(1L, 3L)) c").selectExpr("digest", "c", "xxhash64(digest, c) & 1099511627775").collect()}
     found = {(r.id, r.c): r.n for r in left.where(f"t = {fingerprints.TABLES}").collect()}
-    assert {c: n for (i, c), n in found.items() if i == "p"} == {k: 1 for k in range(1, 20)} | {k: -1 for k in range(40, 60)}
-    assert found["q", 5] == 2
+    assert {c: n for (i, c), n in found.items() if i == "p"} == {key[k, 1]: 1 for k in range(1, 20)} | {key[k, 1]: -1 for k in range(40, 60)}
+    assert {c: n for (i, c), n in found.items() if i == "q"} == {key[5, 2]: 1, key[5, 3]: 1}
     assert {r.id: r.failed for r in fingerprints.differences(left, ["id"]).collect()} == {"p": False, "q": False, "full": True}
+    counted = fingerprints.differences(fingerprints.peel(difference, ["id"], listed=False), ["id"])
+    assert {r.id: r.differing for r in counted.where("not failed").collect()} == {"p": 39, "q": 2}
 
 
 def test_failed_pairs_are_tried_again(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "LEAST_CELLS", 2)
-    monkeypatch.setattr(fingerprints, "ROUNDS", 2)
+    monkeypatch.setattr(fingerprints, "CELLS_EACH", 0.1)
     text = lambda k: "\n".join(f"line {k} {i}" for i in range(20))
     df = spark.createDataFrame([(k, text(k // 2)) for k in range(8)], "doc_id long, text string")
     got = {r.doc_id: (r.near_next, r.n_differing_next) for r in fingerprints.fingerprints(df).collect()}
@@ -137,6 +143,41 @@ def test_failed_pairs_are_tried_again(spark, monkeypatch):
     assert {k: got[k] for k in (6, 4, 2, 0)} == dict.fromkeys((6, 4, 2, 0), (0.0, 40))
 
 
+@pytest.mark.parametrize("docs_each", [500, 7])
+def test_neighbours_with_far_and_missing_ids(spark, monkeypatch, docs_each):
+    monkeypatch.setattr(fingerprints, "BLOCK_DOCS", docs_each)
+    rows = [(k * 3, f"text {k}") for k in range(100)] + [(10**15, "far"), (-(10**12), "low")] + [(None, f"none {k}") for k in range(110)] + [(None, "same")] * 3 + [(6, "again")]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, guest long")
+    got = fingerprints.with_next(df).where("guest = 0").collect()
+    assert sorted(map(str, ((r.id, r.text) for r in got))) == sorted(map(str, rows))
+    held = [sum(r.block == b for r in got) for b in {r.block for r in got}]
+    assert docs_each == 500 or (max(held) <= 2 * docs_each and len(held) > 20)
+    # one ring that falls by id, null ids last
+    ids = [r.id for r in sorted(got, key=lambda r: (r.block, r.row))]
+    assert ids == sorted((i for i, _ in rows if i is not None), reverse=True) + [None] * 113
+    ring = sorted(got, key=lambda r: (r.block, r.row))
+    assert [(r.next_id, r.next_text) for r in ring] == [(r.id, r.text) for r in [*ring[1:], ring[0]]]
+
+
+def test_two_fingerprints_alone_give_the_likeness(spark):
+    import random
+
+    rng = random.Random(5)
+    line = lambda: " ".join(rng.choice("alpha beta gamma delta epsilon".split()) for _ in range(9))
+    texts = ["\n".join(line() for _ in range(rng.choice((1, 2, 5, 20, 90)))) for _ in range(60)]
+    texts += [t + "\n" + line() for t in texts[:20]] + ["", "a\na\na", "a\na"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = fingerprints.fingerprints(df).cache()
+    prints = {r.doc_id: r.fingerprint for r in out.collect()}
+    pairs = [(r.doc_id, "e", r.fingerprint, r.edited_fingerprint) for r in out.collect()] + [(d, "x", p, prints[d - 1] if d else prints[max(prints)]) for d, p in prints.items()]
+    got = fingerprints.compare(spark.createDataFrame(pairs, "doc_id long, pair string, left string, right string"), ["doc_id", "pair"])
+    found = {(r.doc_id, r.pair): (r.differing, r.failed) for r in got.collect()}
+    want = {(r.doc_id, p): n for r in out.collect() for p, n in (("e", r.n_differing_edited), ("x", r.n_differing_next))}
+    assert len(found) == len(want) == 2 * len(texts)
+    peeled = {k: n for k, (n, failed) in found.items() if not failed}
+    assert len(peeled) >= 0.97 * len(want) and all(want[k] == n for k, n in peeled.items())
+
+
 def test_toxicity_of_odd_rows(odd, none, spark):
     labels = spark.createDataFrame([(1, 1, 1), (5, None, None), (99, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
     model = toxicity.train(odd, toxicity.categories_of(labels))
