@@ -176,9 +176,17 @@ def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: Context limits and shares that the report answers besides every length that occurs.
+LIMITS, SHARES = [2**k for k in range(7, 18)], [0.01, 0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99, 1.0]
+
+
 def op10_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = lengths.encoded_lengths(_docs(spark, sf_dir), public_tokenizers.path(TOKENIZER))
-    return lengths.suffix_report(lengths.histogram(counted))
+    report = lengths.suffix_report(lengths.histogram(counted))
+    no_share = F.lit(None).cast("double").alias("share")
+    rows = report.select(F.lit("length").alias("kind"), no_share, "*")
+    rows = rows.unionByName(lengths.at_limits(report, LIMITS).select(F.lit("limit").alias("kind"), no_share, "*"))
+    return rows.unionByName(lengths.quantiles(report, SHARES).select(F.lit("quantile").alias("kind"), "*"))
 
 
 # 7 ---------------------------------------------------------------------------------------------------------------

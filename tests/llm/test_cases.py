@@ -449,8 +449,11 @@ def test_lengths_of_odd_rows(odd, none):
     report = lengths.suffix_report(lengths.histogram(lengths.encoded_lengths(odd, TOKENS)))
     rows = {r.context_limit: r for r in report.collect()}
     assert rows[0].n_docs == 3 and rows[0].docs_at_least == 10 and rows[30_001].truncated_tokens == rows[0].total_tokens
-    assert {r.share: r.length for r in lengths.length_at(report, [0.3, 1.0]).collect()} == {0.3: 0, 1.0: 30_001}
-    assert lengths.suffix_report(lengths.histogram(lengths.encoded_lengths(none, TOKENS))).count() == 0
+    assert {r.share: r.context_limit for r in lengths.quantiles(report, [0.3, 1.0]).collect()} == {0.3: 0, 1.0: 30_001}
+    total = rows[0].total_tokens
+    assert [(r.context_limit, r.docs_at_least, r.truncated_tokens, r.share_fitting) for r in lengths.at_limits(report, [10_000, 50_000]).collect()] == [(10_000, 1, total - 20_001, 0.9), (50_000, 0, total, 1.0)]
+    empty = lengths.suffix_report(lengths.histogram(lengths.encoded_lengths(none, TOKENS)))
+    assert empty.count() == lengths.at_limits(empty, [5]).count() == lengths.quantiles(empty, [0.5]).count() == 0
 
 
 def test_word_ids_equal_whole_texts():

@@ -62,11 +62,17 @@ def test_lengths_answer_every_limit(spark):
     tok = Tokenizer.from_file(public_tokenizers.path(Q.TOKENIZER))
     sizes = [len(tok.encode(r.text or "", add_special_tokens=False).ids) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows = Q.op10_token_lengths(spark, SF).collect()
-    assert {r.context_limit for r in rows} == set(sizes)
+    assert sorted(r.context_limit for r in rows if r.kind == "length") == sorted(set(sizes))
+    assert [r.context_limit for r in rows if r.kind == "limit"] == Q.LIMITS
     for r in rows:
         c = r.context_limit
         want = (sizes.count(c), sum(s >= c for s in sizes), sum(s for s in sizes if s >= c), len(sizes), sum(sizes), sum(min(s, c) for s in sizes), sum(s <= c for s in sizes) / len(sizes))
-        assert tuple(r)[1:] == pytest.approx(want)
+        assert tuple(r)[3:] == pytest.approx(want)
+    ordered = sorted(sizes)
+    for r in rows:
+        if r.kind == "quantile":
+            assert r.context_limit == next(s for k, s in enumerate(ordered, 1) if sum(x <= s for x in sizes) / len(sizes) >= r.share)
+    assert [r.share for r in rows if r.kind == "quantile"] == Q.SHARES
 
 
 def test_fingerprints_against_sets_of_paragraphs(spark):
