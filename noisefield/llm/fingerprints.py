@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ._store import keep
 
-PARAGRAPH_ENDS = r"\n|(?<=[a-f][.!?]) "
+PARAGRAPH_ENDS = r"[\n ](?<=\n|[a-f][.!?] )"
 TABLES = 3
 #: Fewest cells in a table, and cells a paragraph (the next power of two is taken).
 LEAST_CELLS, CELLS_EACH = 16, 1.5
@@ -117,13 +117,6 @@ def differences(cells: DataFrame, by: list[str]) -> DataFrame:
     return cells.groupBy(*by).agg(F.sum(F.when(F.col("t") == TABLES, F.abs("n")).otherwise(0)).alias("differing"), F.max(F.col("t") < TABLES).alias("failed"))
 
 
-def subtract(pairs: DataFrame, by: list[str]) -> DataFrame:
-    """Cells of the difference of two sketches of one size. pairs: `by`, cells, left, right (of type CELLS)."""
-    sides = F.array(F.struct(F.lit(1).alias("sign"), F.col("left").alias("held")), F.struct(F.lit(-1).alias("sign"), F.col("right").alias("held")))
-    e = pairs.select(*by, "cells", F.inline(sides)).select(*by, "cells", "sign", F.inline("held"))
-    return _settle(e.select(*by, "cells", "t", F.col("c").cast("long").alias("c"), (F.col("sign") * F.col("n")).alias("n"), "v"), by)
-
-
 def likeness(a: Column, b: Column, differing: Column) -> Column:
     common = (a + b - differing) / 2
     return common / (a + b - common)
@@ -132,10 +125,10 @@ def likeness(a: Column, b: Column, differing: Column) -> Column:
 # Fingerprints as strings -----------------------------------------------------------------------------------------
 
 
-def pack(cells: Column) -> Column:
-    """Sorted cells as 13 bytes each."""
-    place = F.lit(0).cast("long")
-    return F.unhex(F.concat_ws("", F.transform(cells, lambda s: F.concat(F.lpad(F.hex(F.shiftleft(place + s["t"], _PLACE_BITS + 16) + F.shiftleft(place + s["c"], 16) + s["n"]), 12, "0"), F.lpad(F.hex(s["v"]), 14, "0")))))
+def _packed(t: Column, c: Column, n: Column, v: Column) -> Column:
+    """A cell as 26 hexadecimal digits: table and place, count, check value and key."""
+    place = F.shiftleft(t.cast("long"), _PLACE_BITS + 16) + F.shiftleft(c.cast("long"), 16) + n
+    return F.concat(F.lpad(F.hex(place), 12, "0"), F.lpad(F.hex(v), 14, "0"))
 
 
 def print_of(cells_each: Column, packed: Column) -> Column:
@@ -232,64 +225,76 @@ def edit(text: Column, following: Column) -> Column:
 # The operator ----------------------------------------------------------------------------------------------------
 
 
-def _sized(rows: DataFrame, by: list[str], grow: int) -> DataFrame:
-    """Paragraph digests and cells a table of the text (a), the edited text (e) and the next text (x)."""
-    d = rows.select(*by, digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.coalesce("next_text", F.lit(""))).alias("x"))
-    return d.withColumns({f"cells_{k}": cells_for(F.size(k)) * grow for k in "aex"})
+def _sets(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """keys and the paragraph digests of the text (a) and the edited text (e)."""
+    return rows.select(*keys, digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"))
+
+
+def _entries(sets: DataFrame, by: list[str], kinds: list[tuple[str, Column, Column, Column]]) -> DataFrame:
+    """One row a paragraph of each kind (which digests, cells a table, whether at all, uses): `by`, stream, uses, cells, digest."""
+    made = F.array(*(F.struct(F.lit(k).alias("stream"), uses.alias("uses"), size.alias("cells"), F.when(when, F.col(held)).alias("held")) for k, (held, size, when, uses) in enumerate(kinds)))
+    return sets.select(*by, F.inline(made)).where("held is not null").select(*by, "stream", "uses", "cells", F.explode("held").alias("digest"))
 
 
-def _arrays(d: DataFrame, by: list[str], kinds: list[tuple[str, Column, Column]], salt: int) -> DataFrame:
-    """`by` and, for each kind (which digests, at which size, where at all), its cells as s0, s1, ..., and its keys as n0, n1, ..."""
-    made = F.array(*(F.struct(F.lit(k).alias("stream"), size.alias("cells"), F.when(when, F.col(held)).alias("held")) for k, (held, size, when) in enumerate(kinds)))
-    e = d.select(*by, F.inline(made)).select(*by, "stream", "cells", F.explode("held").alias("digest"))
-    mine = lambda k, x: F.when(F.col("stream") == k, x)
-    cells = lambda k: F.sort_array(F.collect_list(mine(k, F.struct("t", F.col("c").cast("int").alias("c"), "n", "v")))).cast(CELLS).alias(f"s{k}")
-    keys = lambda k: F.sum(mine(k, F.when(F.col("t") == 0, F.col("n")))).cast("int").alias(f"n{k}")
-    return sketch(e, [*by, "stream"], salt).groupBy(*by).agg(*(f(k) for k in range(len(kinds)) for f in (cells, keys)))
+def _sizes(names: str, grow: int = 1) -> dict[str, Column]:
+    return {k: cells_for(F.size(k)) * grow for k in names}
 
 
-def _pairs(rows: DataFrame, by: list[str], grow: int = 1, salt: int = 0) -> DataFrame:
-    """The two pairs of a row as e_pair and x_pair (cells, left, right): its text with the edited and with the next text.
+#: What a sketch is used for: the pairs with the edited (0) and with the next text (1), on the left (+) or on the right (-).
+_USES = {1: (0, 1), 2: (0, -1), 4: (1, 1), 8: (1, -1)}
 
-    A sketch has its own size; the smaller one of a pair is also made at the larger size."""
-    d = _sized(rows, by, grow)
-    m = {k: F.col(f"cells_{k}") for k in "aex"}
-    always = F.lit(True)
-    kinds = [("a", m["a"], always), ("e", m["e"], always), ("x", m["x"], always), ("a", m["e"], m["e"] > m["a"]), ("e", m["a"], m["a"] > m["e"]), ("a", m["x"], m["x"] > m["a"]), ("x", m["a"], m["a"] > m["x"])]
-    s = _arrays(d, by, kinds, salt)
-    size = {k: cells_for(F.col(f"n{i}")) * grow for i, k in enumerate("aex")}
 
-    def pair(other: str, own: int, larger_a: int, larger: int) -> Column:
-        a, o = size["a"], size[other]
-        return F.struct(F.greatest(a, o).alias("cells"), F.when(o > a, F.col(f"s{larger_a}")).otherwise(F.col("s0")).alias("left"), F.when(a > o, F.col(f"s{larger}")).otherwise(F.col(f"s{own}")).alias("right"))
+def _pairs(sets: DataFrame, by: list[str], grow: int = 1, salt: int = 0) -> DataFrame:
+    """Cells of the differences of each row's two pairs (its text with the edited and with the next text): `by`, pair, cells, t, c, n, v.
 
-    return s.select(*by, pair("e", 1, 3, 4).alias("e_pair"), pair("x", 2, 5, 6).alias("x_pair"))
+    sets: the paragraph digests a of the text, e of the edited, x of the next text. Every sketch has its own size; the smaller one of a pair is also
+    made at the larger size. Sketches are made first and subtracted cell by cell."""
+    m = _sizes("aex", grow)
+    yes, no = F.lit(True), F.lit(0)
+    if_ = lambda when, use: F.when(when, use).otherwise(no)
+    kinds = [
+        ("a", m["a"], yes, if_(m["e"] <= m["a"], 1) + if_(m["x"] <= m["a"], 4)),
+        ("e", m["e"], yes, if_(m["a"] <= m["e"], 2)),
+        ("x", m["x"], yes, if_(m["a"] <= m["x"], 8)),
+        ("a", m["e"], m["e"] > m["a"], F.lit(1)),
+        ("e", m["a"], m["a"] > m["e"], F.lit(2)),
+        ("a", m["x"], m["x"] > m["a"], F.lit(4)),
+        ("x", m["a"], m["a"] > m["x"], F.lit(8)),
+    ]
+    one = sketch(_entries(sets, by, kinds).where("uses > 0"), [*by, "uses", "stream"], salt)
+    uses = F.filter(F.array(*(F.struct(F.lit(u).alias("use"), F.lit(p).alias("pair"), F.lit(s).alias("sign")) for u, (p, s) in _USES.items())), lambda x: x["use"].bitwiseAND(F.col("uses")) > 0)
+    each = one.select(*by, "cells", "t", "c", "n", "v", F.inline(uses))
+    return _settle(each.select(*by, "pair", "cells", "t", F.col("c").cast("long").alias("c"), (F.col("n") * F.col("sign")).alias("n"), "v"), [*by, "pair"])
 
 
-def _prints(rows: DataFrame, by: list[str]) -> DataFrame:
+def _prints(sets: DataFrame, by: list[str]) -> DataFrame:
     """`by`, cells_a, cells_e, and the packed cells of a text and its edited text."""
-    d = _sized(rows, by, 1)
-    s = _arrays(d, by, [(k, F.col(f"cells_{k}"), F.lit(True)) for k in "ae"], 0)
-    return s.select(*by, cells_for(F.col("n0")).alias("cells_a"), cells_for(F.col("n1")).alias("cells_e"), pack(F.col("s0")).alias("a"), pack(F.col("s1")).alias("e"))
+    m = _sizes("ae")
+    cells = sketch(_entries(sets, by, [(k, m[k], F.lit(True), F.lit(0)) for k in "ae"]), [*by, "stream"])
+    held = lambda k: F.unhex(F.concat_ws("", F.sort_array(F.collect_list(F.when(F.col("stream") == k, F.col("packed"))))))
+    size = lambda k: F.max(F.when(F.col("stream") == k, F.col("cells")))
+    cells = cells.select(*by, "stream", "cells", _packed(F.col("t"), F.col("c"), F.col("n"), F.col("v")).alias("packed"))
+    return cells.groupBy(*by).agg(size(0).alias("cells_a"), size(1).alias("cells_e"), held(0).alias("a"), held(1).alias("e"))
 
 
-def _differ(pairs: DataFrame, by: list[str], rounds: int = ROUNDS, salt: int = 0) -> DataFrame:
+def _differ(difference: DataFrame, by: list[str], rounds: int = ROUNDS, salt: int = 0) -> DataFrame:
     """`by`, differing and failed of both pairs of a row."""
-    each = pairs.select(*by, F.inline(F.array(F.struct(F.lit("e").alias("pair"), F.col("e_pair").alias("p")), F.struct(F.lit("x").alias("pair"), F.col("x_pair").alias("p")))))
-    each = each.select(*by, "pair", "p.cells", "p.left", "p.right")
-    got = differences(peel(subtract(each, [*by, "pair"]), [*by, "pair"], rounds, salt, listed=False), [*by, "pair"])
-    pick = lambda s, c: F.max(F.when(F.col("pair") == s, F.col(c))).alias(f"{c}_{s}")
-    return got.groupBy(*by).agg(*(pick(s, c) for s in "ex" for c in ("differing", "failed")))
+    got = differences(peel(difference, [*by, "pair"], rounds, salt, listed=False), [*by, "pair"])
+    pick = lambda k, s, c: F.max(F.when(F.col("pair") == k, F.col(c))).alias(f"{c}_{s}")
+    return got.groupBy(*by).agg(*(pick(k, s, c) for k, s in enumerate("ex") for c in ("differing", "failed")))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and the differing paragraphs found."""
-    rows = with_next(docs, id_col, text_col).where("guest = 0").withColumn("edited", edit(F.col("text"), F.col("next_text")))
+    rows = with_next(docs, id_col, text_col).withColumn("edited", edit(F.col("text"), F.coalesce("next_text", F.lit(""))))
     by = ["block", "row"]
-    found = _differ(_pairs(rows, by), by)
-    count = lambda c: F.size(F.split(c, PARAGRAPH_ENDS))
-    plain = rows.select(*by, count("text").alias("n_a"), count("edited").alias("n_e"), count("next_text").alias("n_x"), "id", "next_id", F.length("text").alias("n_chars"), F.xxhash64("text").alias("own_hash"), F.xxhash64("next_text").alias("next_hash"), F.sha2("edited", 256).alias("edited_sha256"))
-    out = plain.join(_prints(rows, by), by).join(found, by, "left")
+    rows = keep(_sets(rows.withColumns({"n_chars": F.length("text"), "own_hash": F.xxhash64("text"), "next_hash": F.xxhash64("next_text"), "edited_sha256": F.sha2("edited", 256)}), [*by, "guest", "id", "next_id", "n_chars", "own_hash", "next_hash", "edited_sha256"]))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.where("guest = 0").count() // TASK_DOCS)
+    sets = rows.select(*by, "guest", "a", "e").repartition(tasks, "block").withColumn("x", F.lead("a").over(Window.partitionBy("block").orderBy("row"))).where("guest = 0")
+    found = _differ(_pairs(sets, by), by)
+    plain = rows.where("guest = 0").select(*by, "id", "next_id", "n_chars", "own_hash", "next_hash", "edited_sha256", F.size("a").alias("n_a"), F.size("e").alias("n_e"))
+    nexts = rows.select("block", (F.col("row") - 1).alias("row"), F.size("a").alias("n_x"))
+    out = plain.join(nexts, by).join(_prints(sets, by), by).join(found, by, "left")
     out = keep(out.withColumns({f"differing_{s}": F.coalesce(f"differing_{s}", F.lit(0)) for s in "ex"} | {f"failed_{s}": F.coalesce(f"failed_{s}", F.lit(False)) for s in "ex"}))
     grow = 4
     while True:
@@ -326,6 +331,7 @@ def _again(docs: DataFrame, left: DataFrame, n: int, grow: int, id_col: str, tex
     pair = left.join(texts, F.expr("k_id <=> id and k_hash = own_hash")).select("block", "row", "next_id", "next_hash", F.col("k_text").alias("text"))
     pair = pair.join(texts, F.expr("k_id <=> next_id and k_hash = next_hash")).select("block", "row", "text", F.col("k_text").alias("next_text")).withColumn("edited", edit(F.col("text"), F.col("next_text")))
     by = ["block", "row"]
-    d = _differ(_pairs(pair, by, grow, grow), by, 2 * ROUNDS, grow)
+    sets = _sets(pair, [*by, "next_text"]).withColumn("x", digests(F.col("next_text"))).drop("next_text")
+    d = _differ(_pairs(sets, by, grow, grow), by, 2 * ROUNDS, grow)
     d = left.select(*by).join(d, by, "left")
     return d.select(*by, *(F.coalesce(f"{c}_{s}", F.lit(0) if c == "differing" else F.lit(False)).alias(f"new_{c}_{s}") for s in "ex" for c in ("differing", "failed")))
