@@ -7,9 +7,14 @@ a word's presence; words are known by 64-bit hashes. The chain is fitted in one
 those of least seeded hash; the model holds the words with a weight alone, and every document is scored where it is read by
 looking its words up, so an unseen word has no weight however long the text is.
 
-Edge cases: a null or empty text has no words and gets the models' intercepts; a null label counts as 0; rows
-that repeat an id are scored each by itself; labels of unknown ids are unused; without any labels all probabilities
-are 0; an empty table gives no rows; extra columns play no part.
+The labels hold two judgements of a document, its quality and its toxicity, so the chain has two links: low quality, then toxic
+given the words and the probability of low quality. A third category made from these two would have nothing of its own to learn.
+`categories` may name others where labels hold them.
+
+Edge cases: a null or empty text has no words and gets the models' intercepts; a null label counts as 0, and where
+labels repeat an id each category has its largest value; rows that repeat an id are scored each by itself, and the one whose text has the
+least hash is fitted on; labels of unknown ids are unused; without any labels all probabilities
+are 0; very long texts are scored whole; an empty table gives no rows; extra columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from . import _text as X
 from ._store import keep
 
-CATEGORIES = ("low_quality", "toxic", "toxic_low_quality")
+CATEGORIES = ("low_quality", "toxic")
 #: Labelled rows in the sample.
 SAMPLE_ROWS = 20_000
 FOLDS, STEPS, RATE, DECAY = 3, 300, 0.5, 1e-5
@@ -148,26 +153,27 @@ def fit_chain(words: list[np.ndarray], labels: np.ndarray, fold: np.ndarray) ->
 def categories_of(labels: DataFrame) -> DataFrame:
     """doc_id with a 0/1 column for each category, from quality and toxic."""
     low, toxic = F.coalesce(F.col("quality"), F.lit(1)) == 0, F.coalesce(F.col("toxic"), F.lit(0)) == 1
-    return labels.select("doc_id", *(c.cast("int").alias(k) for k, c in zip(CATEGORIES, (low, toxic, low & toxic), strict=True)))
+    return labels.select("doc_id", *(c.cast("int").alias(k) for k, c in zip(CATEGORIES, (low, toxic), strict=True)))
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGORIES, sample_rows: int = SAMPLE_ROWS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The chain fitted on a bounded sample of labelled rows."""
     key: Column = F.xxhash64(F.lit(seed), id_col)
-    chosen = keep(labels.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).withColumn("draw", key).orderBy("draw", id_col).limit(sample_rows))
+    one = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*(F.max(c).alias(c) for c in categories))
+    chosen = keep(one.withColumn("draw", key).orderBy("draw", id_col).limit(sample_rows))
     sample = docs.select(F.col(id_col).alias("sample_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("sample_id") == F.col(id_col))  # at most sample_rows ids
-    sample = sample.select(id_col, "draw", "text", *categories)
+    sample = sample.select(id_col, "draw", F.xxhash64("text").alias("text_hash"), "text", *categories)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, words, at in word_features(X.column(b, "text")):
                 n = len(at) - 1
-                yield pa.RecordBatch.from_arrays([X.column(b, "draw").slice(i, n), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(words.view(np.int64))), *(X.column(b, c).slice(i, n) for c in categories)], ["draw", "words", *categories])
+                yield pa.RecordBatch.from_arrays([X.column(b, "draw").slice(i, n), X.column(b, "text_hash").slice(i, n), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(words.view(np.int64))), *(X.column(b, c).slice(i, n) for c in categories)], ["draw", "text_hash", "words", *categories])
 
-    rows = sample.mapInArrow(features, "draw long, words array<long>, " + ", ".join(f"{c} int" for c in categories))
+    rows = sample.mapInArrow(features, "draw long, text_hash long, words array<long>, " + ", ".join(f"{c} int" for c in categories))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("draw").drop_duplicates("draw")
+        pdf = pdf.sort_values(["draw", "text_hash"]).drop_duplicates("draw")
         known, w, b = fit_chain([np.asarray(x, np.int64).view(np.uint64) for x in pdf["words"]], pdf[list(categories)].to_numpy(), pdf["draw"].to_numpy() % FOLDS)
         return pd.DataFrame({"category": range(len(categories)), "known": [known.tobytes()] * len(categories), "weights": [x.tobytes() for x in w], "dense": [x.tobytes() for x in b]})
 
