@@ -10,15 +10,17 @@ anchors, so neighbouring strings of one anchor travel together, as one segment,
   2. Blocks send the segments of those anchors. An anchor with very many documents is split: its strings go, one by
      one and once a block, to buckets of their own hash; in a block all but the smallest id are settled on the spot.
   3. A bucket concatenates its distinct segments and sorts their suffixes in two stages: suffixes smaller than their
-     successors are sorted directly, the others are induced by scans of the buckets of first bytes. Common
+     successors are sorted directly, the others are induced by scans of the buckets of first bytes. The lengths of the common
      prefixes of neighbours mark equal strings; each gets its smallest document, and larger ids lose the bytes.
+     Segments of equal hashes are put together only where their bytes are equal.
   4. Blocks join the spans of each document.
 
 Scale: texts are shuffled once (all passes over blocks reuse that exchange); blocks and buckets have a bounded mean
 size, their number grows with the bytes. No list of documents or matches reaches the driver.
 
 Edge cases: null and empty texts have no bytes; a null id counts as larger than all others; equal ids never remove from
-each other; repeated rows are treated alike; an empty table gives no rows; extra columns play no part.
+each other; repeated rows are treated alike; a very long text is looked at in pieces that overlap by a string's length and sits in
+one block; an empty table gives no rows; extra columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -120,16 +122,15 @@ def suffix_order(text: np.ndarray, depth: int = LENGTH) -> tuple[np.ndarray, np.
     return np.concatenate(out), words
 
 
-def same_strings(order: np.ndarray, words: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Whether each suffix in order shares its first `length` bytes with the one before."""
-    same = np.ones(len(order), bool)
-    same[:1] = False
-    for k in range(0, length, 8):
-        w = words[order + k]
-        if length - k < 8:
-            w = w >> np.uint64(8 * (8 - (length - k)))
-        same[1:] &= w[1:] == w[:-1]
-    return same
+def common_prefixes(order: np.ndarray, words: np.ndarray, most: int = LENGTH) -> np.ndarray:
+    """Bytes that each suffix in order has in common with the one before, `most` at most; 0 for the first."""
+    out = np.zeros(len(order), np.int64)
+    open_ = np.arange(1, len(order))
+    for k in range(0, most, 8):
+        differ = words[order[open_] + k] ^ words[order[open_ - 1] + k]
+        out[open_] = k + sum((differ >> np.uint64(64 - 8 * b) == 0).astype(np.int64) for b in range(1, 9))
+        open_ = open_[differ == 0]
+    return np.minimum(out, most)
 
 
 # Anchors ---------------------------------------------------------------------------------------------------------
@@ -188,8 +189,10 @@ class _Block:
         self.table = texts.take(pa.array(order))
         self.ids, self.digest = ids[order], digest[order]
         self.raw, self.at = X.as_bytes(X.column(self.table, "text"))
-        known = set(zip(X.column(firsts, "a").to_pylist(), X.column(firsts, "b").to_pylist(), strict=True))
-        self.first = np.fromiter(((i, d) in known for i, d in zip(self.ids.tolist(), self.digest.tolist(), strict=True)), bool, len(self.ids))
+        pairs = np.concatenate([np.stack([self.ids, self.digest], 1), np.stack([X.column(firsts, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in "ab"], 1)])
+        _, number = np.unique(pairs, axis=0, return_inverse=True)
+        number = number.ravel()
+        self.first = np.isin(number[: len(self.ids)], number[len(self.ids) :])
 
     def runs(self) -> tuple[np.ndarray, ...]:
         keep = np.flatnonzero(self.first)
@@ -286,6 +289,8 @@ def _answer(asked: pa.Table) -> pa.Table:
 
 _SEGMENTS_DDL = "bucket long, block long, ids binary, rows binary, starts binary, sizes binary, parts binary, data binary, settled binary"
 _SEGMENTS = ["bucket", "block", "ids", "rows", "starts", "sizes", "parts", "data", "settled"]
+#: Strings whose bytes are compared at a time.
+_AT_A_TIME = 1 << 14
 #: Parts of a bucket that are sorted one after another; equal strings are in one part.
 _PARTS = 8
 
@@ -340,10 +345,14 @@ def _one_by_one(held: _Block, d: np.ndarray, first: np.ndarray, last: np.ndarray
     row, start = np.repeat(d, n), _ragged(first, n)
     begin = held.at[row] + start
     key = X.span_hashes(held.raw, begin, begin + LENGTH)
-    _, which = np.unique(key, return_inverse=True)
-    least = np.full(which.max() + 1, LAST_ID, np.int64)
+    _, one, which = np.unique(key, return_index=True, return_inverse=True)
+    least = np.full(len(one), LAST_ID, np.int64)
     np.minimum.at(least, which, held.ids[row])
     sent = held.ids[row] == least[which]
+    for k in range(0, len(begin), _AT_A_TIME):  # a string is settled only if its bytes, not just its hash, are those of another
+        p = slice(k, k + _AT_A_TIME)
+        at = np.arange(LENGTH)
+        sent[p] |= (held.raw[begin[p, None] + at] != held.raw[begin[one[which[p]], None] + at]).any(axis=1)
     gone = ~sent
     settled = np.stack([row[gone], start[gone], start[gone] + LENGTH]).astype("<i8").tobytes() if gone.any() else b""
     return key[sent], row[sent], start[sent], settled
@@ -374,12 +383,25 @@ def _match(sent: pa.Table) -> pa.Table:
     return _extra(_SPANS, spans[0, cut].tolist(), [0] * len(cut), *(_blobs(v.astype("<i8"), cut) for v in spans[1:]))
 
 
+def _unlike(data: np.ndarray, begin: np.ndarray, size: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Which spans differ in bytes from the span `like` that has the same hash."""
+    wrong = size != size[like]
+    k = np.flatnonzero(~wrong & (like != np.arange(len(like))))
+    if len(k):
+        differ = data[_ragged(begin[k], size[k])] != data[_ragged(begin[like[k]], size[k])]
+        wrong[k] = np.add.reduceat(differ, np.cumsum(size[k]) - size[k]) > 0
+    return np.flatnonzero(wrong)
+
+
 def _match_part(ids: np.ndarray, block: np.ndarray, row: np.ndarray, start: np.ndarray, size: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Removed spans: block, row, start, end."""
     end = np.cumsum(size)
     # one of each content, with its smallest id
     h = X.span_hashes(data, end - size, end)
     _, one, which = np.unique(h, return_index=True, return_inverse=True)
+    other = _unlike(data, end - size, size, one[which])
+    which[other] = len(one) + np.arange(len(other))  # equal hashes of different bytes: a content of its own each
+    one = np.concatenate([one, other])
     least = np.full(len(one), LAST_ID, np.int64)
     np.minimum.at(least, which, ids)
     length = size[one]
@@ -390,7 +412,7 @@ def _match_part(ids: np.ndarray, block: np.ndarray, row: np.ndarray, start: np.n
     starts[_ragged(text_end - length, windows)] = True
     order, words = suffix_order(text)
     order = order[starts[order]]
-    begin = np.flatnonzero(~same_strings(order, words))
+    begin = np.flatnonzero(common_prefixes(order, words) < LENGTH)
     low = np.minimum.reduceat(least[np.searchsorted(text_end, order, "right")], begin)
     smallest = np.full(len(text), LAST_ID, np.int64)
     smallest[order] = np.repeat(low, np.diff(np.r_[begin, len(order)]))
