@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 MOST_HOT = 2000
 #: Rows below which a key is never hot.
 LEAST_HOT = 500
+#: Facts (slim rows) that are broadcast as a whole.
+BROADCAST_FACTS = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,11 +43,13 @@ def keep(df: DataFrame) -> DataFrame:
 
 
 def attach(rows: DataFrame, facts: DataFrame, keys: list[str], size: str) -> DataFrame:
-    """rows joined (inner) with facts, which hold each key once and in `size` its number of rows.
+    """rows joined (inner) with facts, slim rows that hold each key once and in `size` its number of rows.
 
-    A key with more than one in `MOST_HOT` of all rows would fill one task of a shuffled join; the facts of such keys, at most
-    `MOST_HOT`, are broadcast instead."""
-    total = facts.agg(F.sum(size)).first()[0] or 0
+    Few facts are broadcast. Of many, a key with more than one in `MOST_HOT` of all rows would fill one task of a shuffled join;
+    the facts of such keys, at most `MOST_HOT`, are broadcast, those of the others are not."""
+    n, total = facts.agg(F.count(F.lit(1)), F.sum(size)).first()
+    if n <= BROADCAST_FACTS:
+        return rows.join(F.broadcast(facts), keys)
     hot = F.col(size) > max(LEAST_HOT, total // MOST_HOT)
     many = F.broadcast(facts.where(hot))
     others = rows.join(many.select(*keys), keys, "left_anti")

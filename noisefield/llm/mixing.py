@@ -7,20 +7,22 @@ its subtree holds, so shortages are settled among siblings before they reach an
 epochs while its budget lasts, then a prefix of one more epoch whose order is a seeded digest; the last document
 of the prefix is taken in part. Only DataFrame operations are used.
 
-Scale: the tree is aggregated first, so the budget windows see nodes, never documents. A leaf's prefix is found
+Scale: the tree is aggregated first, so the budget windows see nodes, never documents. The leaves' budgets reach the rows by
+broadcast, all of them if they are few, else those of large leaves, so no task gets a whole leaf. A leaf's prefix is found
 from token sums over 4096 ranges of the digest; only the range where the prefix ends is sorted, so a source
 with a third of all rows is not gathered in a task.
 
 Edge cases: a null level is the node `(none)`; a null or empty text has no tokens, is never in a prefix and
-takes part in whole epochs; rows with equal ids are ordered by their token counts; a leaf or weight of 0 gets
-nothing; an empty table gives no rows; extra columns play no part.
+takes part in whole epochs; a very long text may be taken in part. Rows without an id are ordered by the hash of their text, rows
+with equal ids by their token counts, then by the hash of the text; a leaf or weight of 0 gets
+nothing; an empty table gives no rows; extra columns play no part, whatever their names.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._store import keep
+from ._store import attach, keep
 
 LEVELS = ("domain", "lang", "source")
 NONE = "(none)"
@@ -78,38 +80,56 @@ def mix(
     levels: dict[str, Column] | None = None,
     tokens: Column | None = None,
     id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """Id, levels, n_tokens, epochs (whole ones), last_tokens (of the next epoch's prefix) and tokens_taken of each document."""
+    out = _mix(docs, budget_share, weights, max_epochs, seed, levels, tokens, id_col, text_col)
+    return out.drop(*_ROW_KEY).withColumnRenamed("id", id_col)
+
+
+_ROW_KEY = ("key_1", "key_2")
+
+
+def _row_keys(docs: DataFrame, id_col: str, text_col: str) -> dict[str, Column]:
+    return {k: F.xxhash64(F.lit(n), F.col(id_col), F.col(text_col)) for n, k in enumerate(_ROW_KEY, 1)}
+
+
+def _mix(docs, budget_share, weights, max_epochs, seed, levels, tokens, id_col, text_col) -> DataFrame:
+    """The columns of `mix` with the id as `id`, and two hashes of id and text that find a row again."""
     levels = levels or {k: F.col(k) for k in LEVELS}
     names = list(levels)
-    rows = docs.select(F.col(id_col).alias("id"), *(F.coalesce(c.cast("string"), F.lit(NONE)).alias(k) for k, c in levels.items()), (words_in(F.col("text")) if tokens is None else tokens.cast("long")).alias("n_tokens"))
+    doc = F.col(id_col)
+    rows = docs.select(doc.alias("id"), *(v.alias(k) for k, v in _row_keys(docs, id_col, text_col).items()), F.coalesce(doc.cast("string"), F.concat(F.lit("null"), F.xxhash64(text_col).cast("string"))).alias("draw"), *(F.coalesce(c.cast("string"), F.lit(NONE)).alias(k) for k, c in levels.items()), (words_in(F.col(text_col)) if tokens is None else tokens.cast("long")).alias("n_tokens"))
     rows = keep(rows)
-    leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))
-    plan = leaf_budgets(leaves, names, budget_share, weights or {}, max_epochs)
+    leaves = keep(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("leaf_rows")))
+    plan = leaf_budgets(leaves.drop("leaf_rows"), names, budget_share, weights or {}, max_epochs)
     plan = plan.withColumn("epochs", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(0).cast("long"))
-    plan = keep(plan.withColumn("rest", (F.col("budget") - F.col("epochs") * F.col("tokens")).cast("long")).select(*names, "epochs", "rest"))
-    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs").cast("string"), F.coalesce(F.col("id").cast("string"), F.lit("null"))))
-    rows = rows.join(plan, names).withColumn("order_key", order).withColumn("range", F.substring("order_key", 1, 3))
+    plan = plan.withColumn("rest", (F.col("budget") - F.col("epochs") * F.col("tokens")).cast("long")).select(*names, "epochs", "rest")
+    plan = keep(plan.join(leaves.select(*names, "leaf_rows"), names))
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epochs").cast("string"), F.col("draw")))
+    rows = attach(rows, plan, names, "leaf_rows").drop("leaf_rows").withColumn("order_key", order).withColumn("range", F.substring("order_key", 1, 3))
     run = Window.partitionBy(*names).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = rows.groupBy(*names, "range", "rest").agg(F.sum("n_tokens").alias("held")).withColumn("before", F.coalesce(F.sum("held").over(run), F.lit(0)))
     last = ranges.where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("held") >= F.col("rest"))).select(*names, F.col("range").alias("last_range"), "before")
-    rows = rows.join(last, names, "left")
-    inside = Window.partitionBy(*names).orderBy("order_key", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    last = keep(leaves.select(*names, "leaf_rows").join(last, names, "left"))
+    rows = attach(rows, last, names, "leaf_rows")
+    inside = Window.partitionBy(*names).orderBy("order_key", "n_tokens", *_ROW_KEY).rowsBetween(Window.unboundedPreceding, -1)
     here = F.col("range") == F.col("last_range")
     edge = rows.where(here).withColumn("ahead", F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     edge = edge.withColumn("last_tokens", F.greatest(F.lit(0), F.least(F.col("n_tokens"), F.col("rest") - F.col("ahead")))).drop("ahead")
     rest = rows.where(~F.coalesce(here, F.lit(False))).withColumn("last_tokens", F.when(F.col("range") < F.col("last_range"), F.col("n_tokens")).otherwise(0))
     both = edge.unionByName(rest)
-    return both.select(F.col("id").alias(id_col), *names, "n_tokens", "epochs", "last_tokens", (F.col("epochs") * F.col("n_tokens") + F.col("last_tokens")).alias("tokens_taken"))
+    return both.select("id", *_ROW_KEY, *names, "n_tokens", "epochs", "last_tokens", (F.col("epochs") * F.col("n_tokens") + F.col("last_tokens")).alias("tokens_taken"))
 
 
-def keep_mixed(docs: DataFrame, budget_share: float, weights: dict[tuple[str, ...], float] | None = None, seed: int = 7, levels: dict[str, Column] | None = None, id_col: str = "doc_id") -> DataFrame:
+def keep_mixed(docs: DataFrame, budget_share: float, weights: dict[tuple[str, ...], float] | None = None, seed: int = 7, levels: dict[str, Column] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, that a mix of one epoch reads in whole or in part, or that have no words.
 
-    Where ids repeat, all rows of an id stay if one is read."""
-    taken = mix(docs, budget_share, weights, 1, seed, levels, id_col=id_col)
-    ids = taken.where("tokens_taken > 0 or n_tokens = 0").select(F.col(id_col).alias("taken_id")).distinct()
-    return docs.join(ids, F.expr(f"`{id_col}` <=> taken_id"), "left_semi")
+    Rows equal in id and text stay together if one is read."""
+    taken = _mix(docs, budget_share, weights, 1, seed, levels, None, id_col, text_col).where("tokens_taken > 0 or n_tokens = 0")
+    names = {k: f"_mix_{k}" for k in _ROW_KEY}
+    keys = taken.select(*(F.col(k).alias(v) for k, v in names.items())).distinct()
+    return docs.withColumns({names[k]: v for k, v in _row_keys(docs, id_col, text_col).items()}).join(keys, list(names.values()), "left_semi").drop(*names.values())
 
 
 def source_domain(source: Column, domains: int = 4) -> Column:
