@@ -9,8 +9,9 @@ In prose the share of words and word pairs seen before grows with length, so for
 looked for twice in each window of `WINDOW_WORDS` consecutive words, over all windows of the text; a text of one window
 is judged as a whole. The counts `rep_n` are those of the whole text for every n.
 
-Edge cases: a null text reads as empty; a text without words has zero counts and fails the base rules;
-repeated rows are judged each by itself; other columns of the input play no part.
+Edge cases: a null text reads as empty; a text without words has zero counts and fails the base rules; a very long text is a numpy
+pass of its own; repeated rows are judged each by itself; an empty table gives no rows; other columns of the
+input play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,8 +30,6 @@ NGRAM_LIMITS = {1: 0.7, 2: 0.45, 3: 0.35, 5: 0.25, 7: 0.25, 10: 0.25}
 #: Lengths judged by windows, and the words of a window: about the longest text that the limits were set on.
 SHORT, WINDOW_WORDS = (1, 2), 20_000
 LINE_LIMIT = 0.2
-#: Largest number of `#*$%&|<>` a word.
-SYMBOL_LIMIT = 0.1
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -133,26 +132,31 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {id_type}, " + ", ".join(f"{k} long" for k in names))
 
 
-def judge(measured: DataFrame, limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT, symbol_limit: float = SYMBOL_LIMIT) -> DataFrame:
-    """Adds base_failed and kept to the rows of `measure`."""
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    good = (F.col("dup_line_chars") <= line_limit * F.col("word_chars")) & (F.col("n_symbols") <= symbol_limit * F.col("n_words"))
+def base_failed(m):
+    """The base rules, on numpy arrays or on columns by name."""
+    return (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
+
+
+def verdict(m, limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT):
+    """Whether the base rules and the repetition coverage let a text pass, on numpy arrays or on columns by name."""
+    ok = ~base_failed(m) & (m["dup_line_chars"] <= line_limit * m["word_chars"])
     for n, most in limits.items():
-        good &= F.col(_judged(n)) <= most * F.col("word_chars")
-    return measured.withColumn("base_failed", base).withColumn("kept", ~base & good)
+        ok = ok & (m[_judged(n)] <= most * m["word_chars"])
+    return ok
+
+
+def judge(measured: DataFrame, limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT) -> DataFrame:
+    """Adds base_failed and kept to the rows of `measure`."""
+    m = {c: F.col(c) for c in measured.columns}
+    return measured.withColumn("base_failed", base_failed(m)).withColumn("kept", verdict(m, limits, line_limit))
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, text_col: str = "text", limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT) -> DataFrame:
     """The rows of docs, all columns, whose texts pass. The verdict is made beside the row itself, so no join follows."""
-    lengths = tuple(NGRAM_LIMITS)
+    lengths = tuple(limits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            m = measure_batch(X.column(b, text_col), lengths)
-            ok = (m["n_words"] >= 10) & (100 * m["n_repeat_words"] <= 20 * m["n_words"])
-            ok &= (m["dup_line_chars"] <= LINE_LIMIT * m["word_chars"]) & (m["n_symbols"] <= SYMBOL_LIMIT * m["n_words"])
-            for n, most in NGRAM_LIMITS.items():
-                ok &= m[_judged(n)] <= most * m["word_chars"]
-            yield b.filter(pa.array(ok))
+            yield b.filter(pa.array(verdict(measure_batch(X.column(b, text_col), lengths), limits, line_limit)))
 
     return docs.mapInArrow(run, docs.schema)

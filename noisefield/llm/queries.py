@@ -113,25 +113,32 @@ from t group by conv_id
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = quality.judge(quality.measure(_docs(spark, sf_dir)))
-    return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "dup_line_chars", *(f"rep_{n}" for n in quality.NGRAM_LIMITS))
+    return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "dup_line_chars", *(f"rep_{n}" for n in quality.NGRAM_LIMITS), *(f"win_{n}" for n in quality.SHORT))
 
 
 def _quality_sql() -> str:
     sizes = sorted(quality.NGRAM_LIMITS)
     most = max(sizes)
+    short, width = quality.SHORT, quality.WINDOW_WORDS
     leads = "".join(f", lead(w, {k}) over (partition by rid order by i) w{k}" for k in range(1, most))
     gram = "".join(f", case when w{n - 1} is not null then hash(concat_ws(' ', {', '.join(f'w{k}' for k in range(n))})) end g{n}" for n in sizes)
+    # a gram lies inside a window if its last word does
+    inside = "".join(f", case when (i + {n - 2}) // {width} = win then g{n} end h{n}" for n in short)
     twice = "".join(f", case when g{n} is not null and count(*) over (partition by doc_id, g{n}) > 1 then i end t{n}" for n in sizes)
+    twice += "".join(f", case when h{n} is not null and count(*) over (partition by doc_id, win, h{n}) > 1 then i end u{n}" for n in short)
     cover = "".join(f", coalesce(i - max(t{n}) over (partition by doc_id order by i rows between unbounded preceding and current row) < {n}, false) c{n}" for n in sizes)
-    rep = "".join(f", coalesce(sum(length(w)) filter (c{n}), 0)::bigint rep_{n}" for n in sizes)
-    good = "".join(f" and rep_{n} <= {m} * word_chars" for n, m in quality.NGRAM_LIMITS.items())
+    cover += "".join(f", coalesce(i - max(u{n}) over (partition by doc_id, win order by i rows between unbounded preceding and current row) < {n}, false) d{n}" for n in short)
+    rep = "".join(f", coalesce(sum(length(w)) filter (c{n}), 0)::bigint rep_{n}" for n in sizes) + "".join(f", coalesce(sum(length(w)) filter (d{n}), 0)::bigint win_{n}" for n in short)
+    held = [f"rep_{n}" for n in sizes] + [f"win_{n}" for n in short]
+    good = "".join(f" and {'win' if n in short else 'rep'}_{n} <= {m} * word_chars" for n, m in quality.NGRAM_LIMITS.items())
     return f"""
 with d as (select row_number() over () rid, doc_id, coalesce(text, '') as text from documents),
 e as (select rid, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') ws from d),
 w as (select rid, unnest(ws) w, unnest(range(1, len(ws) + 1)) i from e),
-v as (select rid as doc_id, w, w as w0, i{leads} from w),
-g as (select doc_id, w, i{gram} from v),
-t as (select doc_id, w, i{twice} from g),
+v as (select rid as doc_id, w, w as w0, i, (i - 1) // {width} win{leads} from w),
+g as (select doc_id, w, i, win{gram} from v),
+h as (select *{inside} from g),
+t as (select doc_id, w, i, win{twice} from h),
 c as (select doc_id, w{cover} from t),
 s as (select doc_id rid, count(*) filter (c5) n_repeat_words{rep} from c group by doc_id),
 l as (select rid, n, line from (select rid, unnest(string_split(text, chr(10))) line, unnest(range(1, len(string_split(text, chr(10))) + 1)) n from e)
@@ -140,10 +147,10 @@ r as (select rid, line, row_number() over (partition by rid, line order by n) k
 q as (select rid, count(*) filter (k > 1) n_dup_lines, coalesce(sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g'))) filter (k > 1), 0) dup_line_chars from r group by rid),
 x as (select doc_id, len(ws)::bigint n_words, length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g'))::bigint word_chars,
       length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint n_symbols, coalesce(n_dup_lines, 0)::bigint n_dup_lines,
-      coalesce(n_repeat_words, 0)::bigint n_repeat_words, coalesce(dup_line_chars, 0)::bigint dup_line_chars{"".join(f", coalesce(rep_{n}, 0)::bigint rep_{n}" for n in sizes)}
+      coalesce(n_repeat_words, 0)::bigint n_repeat_words, coalesce(dup_line_chars, 0)::bigint dup_line_chars{"".join(f", coalesce({c}, 0)::bigint {c}" for c in held)}
       from e left join s using (rid) left join q using (rid)),
 y as (select *, (n_words < 10 or 100 * n_repeat_words > 20 * n_words) base_failed from x)
-select *, (not base_failed and dup_line_chars <= {quality.LINE_LIMIT} * word_chars and n_symbols <= {quality.SYMBOL_LIMIT} * n_words{good}) kept from y
+select *, (not base_failed and dup_line_chars <= {quality.LINE_LIMIT} * word_chars{good}) kept from y
 """
 
 

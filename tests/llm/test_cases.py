@@ -284,7 +284,22 @@ def test_suffix_order_is_sorted():
         order, words = suffix.suffix_order(t)
         keys = [t[i : i + 50].tobytes().ljust(50, b"\0") for i in order]
         assert sorted(order) == list(range(n)) and keys == sorted(keys)
-        assert suffix.same_strings(order, words).tolist() == [i > 0 and keys[i] == keys[i - 1] for i in range(n)]
+        common = [next((k for k in range(50) if a[k] != b[k]), 50) for a, b in zip(keys[:-1], keys[1:], strict=True)]
+        assert suffix.common_prefixes(order, words).tolist() == ([0, *common] if n else [])
+
+
+def test_equal_hashes_of_different_bytes(spark, monkeypatch):
+    import numpy as np
+
+    from noisefield.llm import _text
+
+    monkeypatch.setattr(suffix.X, "span_hashes", lambda raw, start, end: _text.mix((end - start).astype(np.uint64)))
+    ids = np.array([3, 1, 2, 2])
+    texts = [b"a" * 60, b"b" * 60, b"a" * 60, b"c" * 10 + b"a" * 50]
+    size = np.array([len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    spans = suffix._match_part(ids, np.zeros(4, np.int64), np.arange(4), np.zeros(4, np.int64), size, data)
+    assert sorted(map(tuple, spans.T.tolist())) == [(0, 0, 0, 60)]
 
 
 def test_shards_of_odd_rows(odd, none, tmp_path, spark):
@@ -367,7 +382,9 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, blocks):
         monkeypatch.setattr(near, name, value)
     monkeypatch.setattr(near, "DENSE_PAIRS", 5)
     monkeypatch.setattr(near, "PAIRS_AT_A_TIME", 3)
-    monkeypatch.setattr(_store, "LEAST_HOT", blocks[1])
+    if blocks[0] == 4:
+        monkeypatch.setattr(_store, "LEAST_HOT", 2)
+        monkeypatch.setattr(_store, "BROADCAST_FACTS", 0)
     rng = random.Random(9)
     rows = []
     for g in range(12):
