@@ -199,3 +199,25 @@ def test_pipeline_equals_its_stages_by_hand(spark):
         if k + 1 < len(P.STAGES):
             assert docs.columns == columns
     assert sorted(map(tuple, P.run(spark, SF).select("doc_id", "piece", "ids_crc32").collect())) == sorted(map(tuple, docs.select("doc_id", "piece", "ids_crc32").collect()))
+
+
+def test_pipeline_of_odd_rows_and_of_none(spark, tmp_path):
+    import corpus_pipeline as P
+
+    words = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    rows = [
+        *((k, words(k, 40), "en", f"src{k % 3}") for k in range(20)),
+        (20, words(3, 40), "en", "src1"), (None, words(50, 40), "fr", None), (None, words(51, 40), None, "odd"), (None, words(51, 40), None, "odd"),
+        (7, words(60, 40), "de", "src2"), (21, None, "en", "src1"), (22, "", None, None), (23, " \n\t", "en", "src2"), (24, words(70, 30_000), "en", "src9"), (25, "short", "en", "src1"),
+    ]
+    df = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, docs in (("odd", df), ("none", df.where("false"))):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+    out = P.run(spark, str(tmp_path / "odd")).collect()
+    left = {r.doc_id for r in out}
+    assert 20 not in left and not left & {21, 22, 23, 25} and 24 in left and len(left) > 15
+    held = {}
+    for r in out:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sum(n for _, n in v) <= 4096 for v in held.values())
+    assert P.run(spark, str(tmp_path / "none")).count() == 0
