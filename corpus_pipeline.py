@@ -1,4 +1,10 @@
-"""From raw documents to packed training sequences: each stage works on all that the one before kept."""
+"""From raw documents to packed training sequences: each stage works on all that the one before kept.
+
+Edge cases: a row is a document, also where ids repeat or are null. Documents without a text, with an empty one or with fewer than ten
+words go at the first stage; of rows equal in id and text one stays at the second; very long texts pass through every stage
+whole and are cut into pieces at the last; a null language or source is a node of its own in the mix; an empty table gives no rows.
+Columns that the documents have besides those named are carried along.
+"""
 
 from __future__ import annotations
 
