@@ -142,11 +142,18 @@ def complete_groups(channels: DataFrame, keys: list[str], components: int) -> Da
     return channels.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where(F.col("_n") == components).drop("_n")
 
 
+#: Stations of a run: their numbers fill four digits of a pair id.
+MOST_STATIONS = 9999
+
+
 def stations(channels: DataFrame) -> DataFrame:
     """Stations with ids from 1 in the order of (group, network, station, location), their components and first file."""
     key = ["group", "network", "station", "location"]
     nodes = channels.groupBy(*key).agg(F.sort_array(F.collect_set("component")).alias("components"), F.min("path").alias("path"))
-    return nodes.withColumn("nsl_id", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*key)))  # at most 9999 stations
+    found = len(nodes.select("station").take(MOST_STATIONS + 1))
+    if found > MOST_STATIONS:
+        raise ValueError(f"more than {MOST_STATIONS} stations; choose some by a list or split the run")
+    return nodes.withColumn("nsl_id", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*key)))  # few rows, as just counted
 
 
 def with_geometry(nodes: DataFrame, table: DataFrame, close: float = 1e-6) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions import arrays as A, geodesy, spectral as S
+from ..functions import arrays as A, spectral as S
 from ..operators import correlate, gather, inventory, lookup, pairs, rotate, stack
 from ..streaming import incremental
 from .shared import scratch
@@ -183,12 +183,42 @@ _SRC = "select a.nsl_id src_id, b.nsl_id rec_id, a.grp src_group, b.grp rec_grou
 _GEO_COLS = "round(gcarc_deg, 6) + 0.0 gcarc_deg, round(distance_km, 4) + 0.0 distance_km, round(azimuth_deg, 4) + 0.0 azimuth_deg, round(back_azimuth_deg, 4) + 0.0 back_azimuth_deg"
 
 
+#: There may be more suppliers than stations in a network.
+SUPPLIER_BASE = 1_000_000_000
+
+
+def _distances_sql(source: str) -> str:
+    """gcarc_deg, azimuth_deg, back_azimuth_deg and distance_km ty other formulas than the library's: spherical trigonometry on geocentric latitudes,
+    and the section ellipse in its own axes, its arc ty Simpson's rule over the eccentric anomaly."""
+    f = 1 / 298.257223563
+    e2 = f * (2 - f)
+    radius = 6378.137
+    dot = lambda a, b: "(" + " + ".join(f"{a}{k} * {b}{k}" for k in "xyz") + ")"
+    turn = lambda x: f"case when {x} < 0 and abs({x}) < 1e-8 then 0 when {x} < 0 then {x} + 360 else {x} end"
+    return f"""(with o0 as (select *, lat1 = lat2 and lon1 = lon2 same_, radians(case when lat1 = 0 then 1e-10 else lat1 end) p1, radians(case when lat2 = 0 then 1e-10 else lat2 end) p2, radians(lon2) - radians(lon1) dl from {source}),
+    o1 as (select *, case when abs(lat1) = 90 then p1 else atan({1 - e2!r} * tan(p1)) end c1, case when abs(lat2) = 90 then p2 else atan({1 - e2!r} * tan(p2)) end c2 from o0),
+    o2 as (select *, cos(c2) * sin(dl) ea, cos(c1) * sin(c2) - sin(c1) * cos(c2) * cos(dl) na, cos(c1) * -sin(dl) eb, cos(c2) * sin(c1) - sin(c2) * cos(c1) * cos(dl) nb, sin(c1) * sin(c2) + cos(c1) * cos(c2) * cos(dl) up from o1),
+    o3 as (select *, degrees(atan2(sqrt(ea * ea + na * na), up)) arc_, degrees(atan2(ea, na)) az_, degrees(atan2(eb, nb)) baz_,
+      {radius} / sqrt(1 - {e2!r} * pow(sin(p1), 2)) n1, {radius} / sqrt(1 - {e2!r} * pow(sin(p2), 2)) n2 from o2),
+    o4 as (select *, n1 * cos(p1) sx, 0.0 sy, n1 * {1 - e2!r} * sin(p1) sz, n2 * cos(p2) * cos(dl) tx, n2 * cos(p2) * sin(dl) ty, n2 * {1 - e2!r} * sin(p2) tz,
+      case when p2 > 0 then cos(p1) else cos(p2) * cos(dl) end vx, case when p2 > 0 then 0.0 else cos(p2) * sin(dl) end vy, case when p2 > 0 then sin(p1) else sin(p2) end vz from o3),
+    o5 as (select *, vy * (tz - sz) - vz * (ty - sy) kx, vz * (tx - sx) - vx * (tz - sz) ky, vx * (ty - sy) - vy * (tx - sx) kz from o4),
+    o6 as (select * replace (kx / k as kx, ky / k as ky, kz / k as kz) from (select *, sqrt({dot('k', 'k')}) k from o5)),
+    o7 as (select *, {dot('k', 's')} h, 1 - {e2!r} * kz * kz kk, sqrt(kx * kx + ky * ky) flat_ from o6),
+    o8 as (select *, case when flat_ < 1e-12 then 1.0 else -ky / flat_ end ix, case when flat_ < 1e-12 then 0.0 else kx / flat_ end iy, 0.0 iz, sqrt({radius * radius} - h * h / kk) long_, h / kk * kx ox, h / kk * ky oy, h / kk * (1 - {e2!r}) * kz oz from o7),
+    o9 as (select *, ky * iz - kz * iy jx, kz * ix - kx * iz jy, kx * iy - ky * ix jz, long_ / sqrt(1 + {e2 / (1 - e2)!r} * flat_ * flat_) short_ from o8),
+    o10 as (select *, atan2(((sx - ox) * jx + (sy - oy) * jy + (sz - oz) * jz) / short_, ((sx - ox) * ix + (sy - oy) * iy) / long_) u1, atan2(((tx - ox) * jx + (ty - oy) * jy + (tz - oz) * jz) / short_, ((tx - ox) * ix + (ty - oy) * iy) / long_) u2 from o9),
+    o11 as (select *, case when u2 - u1 > pi() then u2 - u1 - 2 * pi() when u2 - u1 < -pi() then u2 - u1 + 2 * pi() else u2 - u1 end du from o10),
+    o12 as (select *, abs(du) / 3 / 128 * list_sum([case when i in (0, 128) then 1 when i % 2 = 1 then 4 else 2 end * sqrt(pow(long_ * sin(u1 + du * i / 128), 2) + pow(short_ * cos(u1 + du * i / 128), 2)) for i in range(129)]) km_ from o11)
+    select src_id, rec_id, src_group, rec_group, case when same_ then 0 else arc_ end gcarc_deg, case when same_ then 0 else {turn('az_')} end azimuth_deg, case when same_ then 0 else {turn('baz_')} end back_azimuth_deg, case when same_ then 0 else km_ end distance_km from o12)"""
+
+
 def _pair_sql(on: str, where: str = "true") -> str:
-    return f"with {STATIONS}, p as ({_SRC} {on}) select (src_id * 10000 + rec_id)::bigint path_id, {_GEO_COLS} from ({geodesy.distaz_sql('p', 'lat1', 'lon1', 'lat2', 'lon2')}) where {where}"
+    return f"with {STATIONS}, p as ({_SRC} {on}) select (src_id * {SUPPLIER_BASE} + rec_id)::bigint path_id, {_GEO_COLS} from {_distances_sql('p')} where {where}"
 
 
 def _pairs(spark, sf_dir, **kw):
-    p = pairs.station_pairs(suppliers(spark, sf_dir), **kw)
+    p = pairs.station_pairs(suppliers(spark, sf_dir), id_base=SUPPLIER_BASE, **kw)
     return p.select("path_id", rounded(F.col("gcarc_deg")).alias("gcarc_deg"), *(rounded(F.col(c), 4).alias(c) for c in ("distance_km", "azimuth_deg", "back_azimuth_deg")))
 
 
@@ -227,10 +257,10 @@ def pairs_azimuth_wrap(spark, sf_dir):
     return _pairs(spark, sf_dir, azimuth=[(350.0, 20.0)])
 
 
-@query(f"with {STATIONS}, p as ({_SRC} a.nsl_id < b.nsl_id), q as (select * from ({geodesy.distaz_sql('p', 'lat1', 'lon1', 'lat2', 'lon2')}) where distance_km between 0 and 1450) select nsl_id, lat, lon from n where nsl_id in (select src_id from q union select rec_id from q)")
+@query(f"with {STATIONS}, p as ({_SRC} a.nsl_id < b.nsl_id), q as (select * from {_distances_sql('p')} where distance_km between 0 and 1450) select nsl_id, lat, lon from n where nsl_id in (select src_id from q union select rec_id from q)")
 def pairs_retained_stations(spark, sf_dir):
     s = suppliers(spark, sf_dir)
-    return pairs.retained(s, pairs.station_pairs(s, distance_km=(0.0, 1450.0))).select("nsl_id", "lat", "lon")
+    return pairs.retained(s, pairs.station_pairs(s, distance_km=(0.0, 1450.0), id_base=SUPPLIER_BASE)).select("nsl_id", "lat", "lon")
 
 
 # Conditioning ----------------------------------------------------------------------------------------------------

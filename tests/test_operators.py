@@ -21,6 +21,62 @@ def test_known_distances(spark):
     assert pole.gcarc_deg == pytest.approx(90, abs=1e-6) and pole.distance_km == pytest.approx(10001.966, abs=0.05)
 
 
+def _section_km(la, lo, lb, mo):
+    """The plane through one end's vertical and the other end cuts the ellipsoid; the arc is added up from very many short chords."""
+    a, f = 6378.137, 1 / 298.257223563
+    b = a * (1 - f)
+    if lb <= 0:
+        la, lo, lb, mo = lb, mo, la, lo
+    place = lambda p, q: np.array([a * math.cos(u := math.atan2(b * math.sin(math.radians(p)), a * math.cos(math.radians(p)))) * math.cos(math.radians(q)), a * math.cos(u) * math.sin(math.radians(q)), b * math.sin(u)])
+    p, q = place(la, lo), place(lb, mo)
+    up = np.array([math.cos(math.radians(la)) * math.cos(math.radians(lo)), math.cos(math.radians(la)) * math.sin(math.radians(lo)), math.sin(math.radians(la))])
+    # rays from the middle of the earth in the plane's own frame do not all stay in it: shoot from the foot of the vertical instead
+    foot = p - up * a
+    side = (q - foot) - ((q - foot) @ up) * up
+    side /= np.linalg.norm(side)
+    end = math.atan2((q - foot) @ side, (q - foot) @ up)
+    t = np.linspace(0, end, 20_001)[:, None]
+    ray = np.cos(t) * up + np.sin(t) * side
+    scale = np.array([1 / a, 1 / a, 1 / b])
+    r, m = ray * scale, foot * scale
+    k2, k1, k0 = (r * r).sum(1), (r * m).sum(1), (m * m).sum() - 1
+    hit = foot + ((-k1 + np.sqrt(k1 * k1 - k2 * k0)) / k2)[:, None] * ray
+    return np.linalg.norm(np.diff(hit, axis=0), axis=1).sum()
+
+
+def test_distances_against_short_chords(spark):
+    rng = np.random.default_rng(11)
+    rows = [(*rng.uniform((-90, -180), (90, 180)), *rng.uniform((-90, -180), (90, 180))) for _ in range(60)]
+    rows += [(90, 0, -89.5, 3), (-90, 10, 45, 20), (0, 0, 0.3, 179.2), (10, 20, -9.9, -160.1), (89.9, 5, 89.9, -170), (45, 0, 45.00001, 0.00001), (0, 0, 0, 90), (-33.9, 18.4, 35.7, 139.7), (90, 0, -90, 0)]
+    for want, got in zip(rows, distaz(spark, *rows), strict=True):
+        if want != (90, 0, -90, 0):  # no single plane: any meridian will do
+            assert got.distance_km == pytest.approx(_section_km(*map(float, want)), abs=5e-5)
+        else:
+            assert got.distance_km == pytest.approx(2 * 10001.965729, abs=1e-4)
+
+
+def test_azimuths_at_poles_and_across_the_date_line(spark):
+    from_pole, to_pole, east, west, far = distaz(spark, (90, 0, 10, 50), (10, 50, -90, 0), (10, 179.5, 10, -179.5), (10, -179.5, 10, 179.5), (0, 0, 0, 180))
+    assert from_pole.back_azimuth_deg % 360 == pytest.approx(0, abs=1e-6) and to_pole.azimuth_deg == pytest.approx(180, abs=1e-6)
+    assert east.azimuth_deg == pytest.approx(89.913, abs=1e-2) and west.azimuth_deg == pytest.approx(270.087, abs=1e-2)
+    assert east.distance_km == pytest.approx(west.distance_km, abs=1e-6) and far.gcarc_deg == pytest.approx(180, abs=1e-6)
+
+
+def test_station_numbers_that_do_not_fit(spark):
+    df = spark.createDataFrame([(1, "a", 0.0, 0.0), (10_002, "a", 0.0, 0.1)], "nsl_id int, group string, lat double, lon double")
+    with pytest.raises(Exception, match="up to 9999, not 10002"):
+        pairs.station_pairs(df).collect()
+    assert pairs.station_pairs(df, id_base=1_000_000).first().path_id == 1_010_002
+    many = spark.range(10_000).select(F.lit("g").alias("group"), F.lit("N").alias("network"), F.col("id").cast("string").alias("station"), F.lit("00").alias("location"), F.lit("Z").alias("component"), F.lit("p").alias("path"))
+    with pytest.raises(ValueError, match="more than 9999 stations"):
+        inventory.stations(many)
+
+
+def test_pairs_inside_groups_are_an_equi_join(nodes):
+    plan = pairs.station_pairs(nodes, group_mode="intra", autocorr="include")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_null_coordinates(spark):
     df = spark.createDataFrame([(1.0, None, 2.0, 3.0)], "a double, b double, c double, d double")
     assert geodesy.with_distaz(df, "a", "b", "c", "d").first().distance_km is None
