@@ -143,20 +143,16 @@ def correlation(source: np.ndarray, receiver: np.ndarray, half: int, n: int, del
     return np.concatenate([whole[..., n - half :], whole[..., : half + 1]], axis=-1) if half else whole[..., :1]
 
 
-def analytic(x: np.ndarray) -> np.ndarray:
-    """Rows with only positive frequencies, doubled; the constant part and the rest are 0."""
-    n = x.shape[-1]
-    spec = np.fft.fft(x)
+def positive(spec: np.ndarray) -> np.ndarray:
+    """Spectra with only positive frequencies, doubled; the constant part and the rest are 0."""
+    n = spec.shape[-1]
     keep = np.zeros(n)
     keep[1 : (n + 1) // 2] = 2
-    return np.fft.ifft(spec * keep)
+    return spec * keep
 
 
-def phase_weighted(chunks: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Linear stack of the chunk means times the coherence of their phases."""
-    z = analytic(chunks)
-    unit = z / np.maximum(np.abs(z), 1e-7)
-    return (weights @ chunks) * np.abs(weights @ unit)
+def analytic(x: np.ndarray) -> np.ndarray:
+    return np.fft.ifft(positive(np.fft.fft(x)))
 
 
 def gaussian_windows(n: int, first: int, last: int, scale: float = 0.1, zero_shift_gain: float = 1.0) -> np.ndarray:
@@ -190,32 +186,9 @@ def band_mix(freq: np.ndarray, low: float, high: float, taper: float) -> np.ndar
     return np.where(inside, 0.5 - 0.5 * np.cos(np.pi * np.clip(edge, 0, 1)), 0.0)
 
 
-def time_frequency_weighted(sums: np.ndarray, counts: np.ndarray, delta: float = 1.0, band: tuple[float, float] | None = None, taper: float | None = None, scale: float = 0.1, zero_shift_gain: float = 1.0, block: int = 64) -> np.ndarray:
-    """Linear stack whose local spectrum is weighted by the coherence of the chunks' local phases.
-
-    sums: chunk sums, counts: records in each. Frequencies are taken in blocks, so memory is block x samples x chunks.
-    Outside `band` the linear stack's spectrum stays; blocks outside it are skipped."""
-    n = sums.shape[-1]
-    share = counts / counts.sum()
-    keep = np.zeros(n)
-    keep[1 : (n + 1) // 2] = 2
-    specs, own = np.fft.fft(sums) * keep, np.fft.fft(sums.sum(axis=0) / counts.sum()) * keep
-    half = n // 2 + 1
-    alpha = np.ones(half)
-    if band is not None:
-        low, high = band[0], min(band[1], 0.5 / delta)
-        alpha = band_mix(np.arange(half) / (n * delta), low, high, 0.05 * (high - low) if taper is None else taper)
-    out = own[:half].copy()
-    for first in range(0, half, block):
-        last = min(first + block, half)
-        a = alpha[first:last]
-        if not a.any():
-            continue
-        local = s_transform(specs, first, last, scale, zero_shift_gain)
-        size = np.abs(local)
-        coherence = np.abs(np.einsum("c,cft->ft", share, local / np.where(size <= 1e-7, 1.0, size)))
-        mine = s_transform(own[None], first, last, scale, zero_shift_gain)[0]
-        out[first:last] = out[first:last] * (1 - a) + (mine * coherence).sum(axis=-1) * a
-    whole = np.zeros(n, complex)
-    whole[:half] = out
-    return np.fft.ifft(whole).real
+def band_share(n: int, delta: float, band: tuple[float, float] | None, taper: float | None) -> np.ndarray:
+    """Share of the weighted stack at the frequencies of a transform of length n; 1 everywhere without a band."""
+    if band is None:
+        return np.ones(n // 2 + 1)
+    low, high = band[0], min(band[1], 0.5 / delta)
+    return band_mix(np.arange(n // 2 + 1) / (n * delta), low, high, 0.05 * (high - low) if taper is None else taper)

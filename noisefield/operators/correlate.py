@@ -1,13 +1,17 @@
 """Conditioning, spectra and pairwise correlations.
 
-channels: timestamp, nsl_id, component, data (array of doubles). Traces and spectra are computed once a channel, before the
-pair join. A pair's correlation is cut to its lags inside the join's own task, so only 2 * half + 1 numbers
-a pair, slot and step are shuffled to the mean over steps.
+channels: timestamp, nsl_id, component, data (array of doubles). Traces and spectra are computed once a channel, before pairs
+are formed; records are cut into windows inside the task.
+
+Stations are dealt into blocks of neighbouring numbers, and a task gets a tile: two blocks at one timestamp. A trace or
+spectrum is sent once to each tile that its block is in and has pairs, not once a pair; the tile correlates its pairs by matrix products,
+sums over steps and returns lags. What is shuffled grows with stations times blocks; a tile's memory is bounded by `TILE_BYTES`, which
+sets the stations of a block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,8 +19,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import arrays as A, spectral as S
-from .vectors import mean_arrays
+from ..functions import spectral as S
+from .vectors import lists
 
 #: Order of components inside a pair.
 COMPONENT_RANK = {"E": 0, "1": 0, "R": 0, "N": 1, "2": 1, "T": 1, "Z": 2, "3": 2}
@@ -38,7 +42,7 @@ def slot(src: Column, rec: Column) -> Column:
 class Conditioning:
     """How traces become spectra. Bands in Hz; normalize is OFF, ONE-BIT, RUN-ABS, RUN-ABS-MF or AUTO; whiten OFF, BEFORE, AFTER or BOTH.
 
-    With filter_padding, filters run on windows padded by twice their impulse length, else they are circular."""
+    Filters run on windows padded by twice their impulse length, a window at most."""
 
     delta: float
     window: int
@@ -49,7 +53,6 @@ class Conditioning:
     whiten: str = "AFTER"
     phase_only: bool = False
     skip_steps: tuple[int, ...] = ()
-    filter_padding: bool = False
 
     def __post_init__(self) -> None:
         if self.normalize == "AUTO":
@@ -59,7 +62,7 @@ class Conditioning:
         if self.whiten not in ("OFF", "BEFORE", "AFTER", "BOTH"):
             raise ValueError(f"unknown whitening {self.whiten!r}")
         self.length = S.output_length(self.window, self.max_lag)
-        self.filter_length = S.filter_length(S.filter_bank(list(self.bands), self.delta), self.window) if self.bands and self.filter_padding else None
+        self.filter_length = S.filter_length(S.filter_bank(list(self.bands), self.delta), self.window) if self.bands else None
 
 
 def condition(rows: np.ndarray, c: Conditioning) -> np.ndarray:
@@ -91,37 +94,46 @@ def condition(rows: np.ndarray, c: Conditioning) -> np.ndarray:
     return x
 
 
+def windows(x: np.ndarray, c: Conditioning) -> np.ndarray:
+    """The windows of a trace, a shift apart; a rest that fills no window is dropped."""
+    if len(x) < c.window:
+        return np.zeros((0, c.window))
+    return np.lib.stride_tricks.sliding_window_view(x, c.window)[:: c.shift]
+
+
 def spectra(channels: DataFrame, c: Conditioning, keys: list[str] | None = None) -> DataFrame:
     """One row a channel and step: keys, component, step, re, im. All components of a station and step share their weights.
 
-    A task works on one station's record of one timestamp at a time, all its steps at once."""
+    A task works on one station's record of one timestamp at a time, all its steps at once. A record all of whose steps are to be skipped is an error."""
     keys = keys or ["timestamp", "nsl_id"]
-    cut = channels.select(*keys, "component", F.posexplode(A.segments(F.col("data"), c.window, c.shift)).alias("step", "data"))
-    if c.skip_steps:
-        cut = cut.where(~F.col("step").isin(list(c.skip_steps)))
+    skipped = np.array(c.skip_steps, int)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["step", "component"])
-        each = pdf.groupby("step").size().to_numpy()
-        rows = np.stack(pdf["data"].to_numpy())
-        if (each == each[0]).all():
-            parts = [rows.reshape(len(each), each[0], -1)]
-        else:  # some channels have fewer windows
-            parts = np.split(rows, np.cumsum(each)[:-1])
-        z = np.concatenate([S.spectrum(condition(p, c), c.length, c.delta).reshape(-1, c.length // 2 + 1) for p in parts])
-        if c.phase_only:
-            size = np.abs(z)
-            z = np.where(size <= 1e-30, 0, z / np.maximum(size, 1e-30))
-        out = pdf[[*keys, "component", "step"]].copy()
-        out["re"], out["im"] = list(z.real), list(z.imag)
+        pdf = pdf.sort_values("component")
+        cut = [windows(np.asarray(x, float), c) for x in pdf["data"]]
+        count = np.array([len(x) for x in cut])
+        found = []
+        # channels may have different numbers of windows: stretches of steps with the same channels
+        edges = np.unique(np.append(count, 0))
+        for first, last in zip(edges[:-1], edges[1:], strict=True):
+            steps = np.setdiff1d(np.arange(first, last), skipped)
+            if len(steps):
+                held = np.flatnonzero(count >= last)
+                z = S.spectrum(condition(np.stack([cut[k][steps] for k in held], 1), c), c.length, c.delta)
+                if c.phase_only:
+                    size = np.abs(z)
+                    z = np.where(size <= 1e-30, 0, z / np.maximum(size, 1e-30))
+                found += [(k, s, z[i, j]) for i, s in enumerate(steps) for j, k in enumerate(held)]
+        if not found and count.any():
+            raise ValueError(f"skip_steps leaves none of the {count.max()} steps of a record")
+        at = [k for k, _, _ in found]
+        out = pdf[[*keys, "component"]].iloc[at].reset_index(drop=True)
+        out["step"] = np.array([s for _, s, _ in found], np.int32)
+        out["re"], out["im"] = [z.real for *_, z in found], [z.imag for *_, z in found]
         return out
 
     types = {f.name: f.dataType.simpleString() for f in channels.schema.fields}
-    return cut.groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", component string, step int, re array<double>, im array<double>")
-
-
-def _lists(rows: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(np.ascontiguousarray(rows).ravel()))
+    return channels.select(*keys, "component", "data").groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", component string, step int, re array<double>, im array<double>")
 
 
 def plain_spectra(channels: DataFrame, length: int, delta: float) -> DataFrame:
@@ -132,39 +144,105 @@ def plain_spectra(channels: DataFrame, length: int, delta: float) -> DataFrame:
         for b in batches:
             if len(b):
                 z = S.spectrum(b.column("data").flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1), length, delta)
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), _lists(z.real), _lists(z.imag)], [*names, "re", "im"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), lists(z.real), lists(z.imag)], [*names, "re", "im"])
 
     types = {f.name: f.dataType.simpleString() for f in channels.schema.fields}
     return channels.select(*names, "data").mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in names) + ", re array<double>, im array<double>")
 
 
-def pair_rows(rows: DataFrame, paths: DataFrame, on: list[str], carry: list[str]) -> DataFrame:
-    """Rows joined with themselves through the pair table on the keys `on`; all component pairs."""
-    side = lambda p: rows.select(*on, F.col("nsl_id").alias(f"{p}_id"), F.col("component").alias(f"{p}_component"), *(F.col(x).alias(f"{p}_{x}") for x in carry))
-    return side("src").join(paths.select("path_id", "src_id", "rec_id"), "src_id").join(side("rec"), [*on, "rec_id"])
+#: Bytes of the traces or spectra of a tile, on average, and most stations of a block.
+TILE_BYTES, MOST_BLOCK = 64 << 20, 64
+
+#: From source and receiver arrays (channel, step, number), and the wanted (source, receiver) places: lags of each, summed over steps.
+Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def _tiles(rows: DataFrame, paths: DataFrame, carry: list[str], station_bytes: int, half: int, kernel: Kernel) -> DataFrame:
+    """timestamp, path_id, slot, steps and data (the mean over common steps) of all pairs of `paths`. rows: timestamp, nsl_id, component, step and `carry`, at most once each."""
+    block = max(1, min(MOST_BLOCK, TILE_BYTES // (2 * max(station_bytes, 1))))
+    of = lambda c: F.floor(F.col(c) / block).cast("int")
+    pairs = paths.select("path_id", "src_id", "rec_id", of("src_id").alias("i"), of("rec_id").alias("j"))
+    # where a station's rows go: as a source with its receivers there (a block of them at most), as a receiver without
+    sources = pairs.groupBy(F.col("src_id").alias("nsl_id"), "i", "j").agg(F.collect_list("rec_id").alias("receivers"), F.collect_list("path_id").alias("path_ids"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in sources.dtypes[3:]]
+    ends = sources.unionByName(pairs.select(F.col("rec_id").alias("nsl_id"), "i", "j").distinct().select("*", *none))
+    sent = rows.select("timestamp", "nsl_id", "component", "step", *carry).join(ends, "nsl_id")
+    time_type = rows.schema["timestamp"].dataType.simpleString()
+
+    def run(t: pa.Table) -> pa.Table:
+        station, step = _column(t, "nsl_id").to_numpy(), _column(t, "step").to_numpy()
+        rank = np.array([COMPONENT_RANK.get(c[-1:], 100) for c in _column(t, "component").to_pylist()], np.int64)
+        lists_at = np.flatnonzero(_column(t, "receivers").is_valid().to_numpy(zero_copy_only=False))
+        _, first = np.unique(station[lists_at], return_index=True)
+        told = t.take(pa.array(lists_at[first]))
+        path, rec = (_column(told, c).flatten().to_numpy() for c in ("path_ids", "receivers"))
+        src = np.repeat(_column(told, "nsl_id").to_numpy(), _column(told, "receivers").value_lengths().to_numpy())
+        channel, which = np.unique(np.stack([station, rank], 1), axis=0, return_inverse=True)
+        which = which.ravel()
+        steps, at = np.unique(step, return_inverse=True)
+        values = _numbers(t, carry)
+        x = np.zeros((len(channel), len(steps), values.shape[1]), values.dtype)
+        x[which, at] = values
+        there = np.zeros((len(channel), len(steps)))
+        there[which, at] = 1
+        # every channel of a pair's source with every one of its receiver
+        begin, end = (np.searchsorted(channel[:, 0], np.concatenate([src, rec]), side) for side in ("left", "right"))
+        n_src, n_rec = (end - begin)[: len(src)], (end - begin)[len(src) :]
+        pair = np.repeat(np.arange(len(src)), n_src * n_rec)
+        turn = np.arange(len(pair)) - np.repeat(np.cumsum(n_src * n_rec) - n_src * n_rec, n_src * n_rec)
+        p, q = begin[: len(src)][pair] + turn // np.maximum(n_rec[pair], 1), begin[len(src) :][pair] + turn % np.maximum(n_rec[pair], 1)
+        common = (there[p] * there[q]).sum(axis=1)
+        p, q, pair, common = (v[common > 0] for v in (p, q, pair, common))
+        lags = kernel(x, x, p, q) / common[:, None] if len(p) else np.zeros((0, 2 * half + 1))
+        slots = channel[p, 1] * 3 + channel[q, 1]
+        when = t.column("timestamp").take(pa.array(np.zeros(len(p), np.int64)))
+        return pa.Table.from_arrays([when, pa.array(path[pair]), pa.array(slots, pa.int32()), pa.array(common.astype(np.int64)), lists(lags)], names=["timestamp", "path_id", "slot", "steps", "data"])
+
+    return sent.groupBy("timestamp", "i", "j").applyInArrow(run, f"timestamp {time_type}, path_id long, slot int, steps long, data array<double>")
+
+
+def _column(t: pa.Table, name: str) -> pa.Array:
+    return t.column(name).combine_chunks()
+
+
+def _numbers(t: pa.Table, carry: list[str]) -> np.ndarray:
+    """The array columns of a table as rows of numbers; two columns are the parts of complex ones."""
+    parts = [_column(t, c).flatten().to_numpy(zero_copy_only=False).reshape(len(t), -1) for c in carry]
+    return parts[0] + 1j * parts[1] if len(parts) == 2 else parts[0]
+
+
+def _blocks(p: np.ndarray, most: int) -> Iterator[slice]:
+    for k in range(0, len(p), most):
+        yield slice(k, k + most)
+
+
+def correlate_direct(channels: DataFrame, paths: DataFrame, half: int, dt: float = 1.0, samples: int = 64) -> DataFrame:
+    """Correlations in the time domain: timestamp, path_id, slot, data; dt * sum over t of source[t] * receiver[t + lag]. samples: numbers in a trace."""
+
+    def kernel(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        n = x.shape[-1]
+        out = np.zeros((len(p), 2 * half + 1))
+        for s in _blocks(p, 4096):
+            a, b = x[p[s], 0], y[q[s], 0]
+            for lag in range(-min(half, n - 1), min(half, n - 1) + 1):
+                out[s, lag + half] = dt * np.einsum("ij,ij->i", a[:, max(-lag, 0) : n - max(lag, 0)], b[:, max(lag, 0) : n - max(-lag, 0)])
+        return out
 
+    rows = channels.withColumn("step", F.lit(0))
+    return _tiles(rows, paths, ["data"], 3 * 8 * samples, half, kernel).drop("steps")
 
-def correlate_direct(channels: DataFrame, paths: DataFrame, half: int, dt: float = 1.0) -> DataFrame:
-    """Correlations in the time domain, inside the JVM: timestamp, path_id, slot, data."""
-    pairs = pair_rows(channels, paths, ["timestamp"], ["data"])
-    return pairs.select("timestamp", "path_id", slot(F.col("src_component"), F.col("rec_component")).alias("slot"), A.cross_correlation(F.col("src_data"), F.col("rec_data"), half, dt).alias("data"))
 
+def correlate_spectra(spec: DataFrame, paths: DataFrame, half: int, length: int, delta: float, steps: int = 1) -> DataFrame:
+    """Mean over steps of the correlations from spectra: timestamp, path_id, slot, steps, data. steps: those of a record, by which blocks are sized."""
 
-def correlate_spectra(spec: DataFrame, paths: DataFrame, half: int, length: int, delta: float) -> DataFrame:
-    """Mean over steps of the correlations from spectra: timestamp, path_id, slot, steps, data."""
-    pairs = pair_rows(spec, paths, ["timestamp", "step"], ["re", "im"]).withColumn("slot", slot(F.col("src_component"), F.col("rec_component")))
-    time_type = spec.schema["timestamp"].dataType.simpleString()
+    def kernel(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(p), 2 * half + 1))
+        for s in _blocks(p, max(1, (16 << 20) // (16 * max(x.shape[1] * x.shape[2], 1)))):
+            cross = np.einsum("psf,psf->pf", np.conj(x[p[s]]), y[q[s]])
+            out[s] = S.correlation(np.ones(1), cross, half, length, delta)
+        return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not len(b):
-                continue
-            m = {k: b.column(k).flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1) for k in ("src_re", "src_im", "rec_re", "rec_im")}
-            lags = S.correlation(m["src_re"] + 1j * m["src_im"], m["rec_re"] + 1j * m["rec_im"], half, length, delta)
-            yield pa.RecordBatch.from_arrays([b.column("timestamp"), b.column("path_id"), b.column("slot"), _lists(lags)], ["timestamp", "path_id", "slot", "data"])
-
-    lags = pairs.select("timestamp", "path_id", "slot", "src_re", "src_im", "rec_re", "rec_im").mapInArrow(run, f"timestamp {time_type}, path_id long, slot int, data array<double>")
-    return mean_arrays(lags, ["timestamp", "path_id", "slot"], 2 * half + 1, "steps")
+    return _tiles(spec, paths, ["re", "im"], 3 * 16 * (length // 2 + 1) * steps, half, kernel)
 
 
 def lags_of(ncf: DataFrame, half: int, *keys: str) -> DataFrame:

@@ -1,47 +1,126 @@
 """Stacks over time of the correlations of a pair and slot.
 
-The linear stack is a plain aggregate of each lag. The two phase-weighted stacks first sum records in time order in
-chunks of `size`; a chunk is a group of its own, so that partial sums are shuffled, not records, and only
-chunks of one pair and slot meet in a task.
+All three are sums. The linear stack is an aggregate of each lag. The phase-weighted stacks first sum records in time order in
+chunks of `size`; each chunk then gives its sum and its counted unit phasors, which are summed by key in Arrow batches before they are shuffled,
+and the stack is finished from the sums. For the time-frequency stack the key has a block of frequencies too, so no task holds
+all chunks of a pair, nor all frequencies of a chunk.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import spectral as S
-from .vectors import mean_arrays, sum_arrays
+from .vectors import lists, mean_arrays, rows_of, sum_arrays
 
 KEYS = ["path_id", "slot"]
 
 
 def linear_stack(ncf: DataFrame, width: int, keys: list[str] | None = None) -> DataFrame:
-    """keys, n and the mean of the records. width: numbers in data."""
+    """keys, n and the mean of the records. width: numbers in data, the same in all records."""
     return mean_arrays(ncf, keys or KEYS, width, "n")
 
 
 def chunks(ncf: DataFrame, size: int, width: int) -> DataFrame:
-    """Sums of consecutive records: path_id, slot, chunk, count, data."""
+    """Sums of consecutive records: path_id, slot, chunk, count, data. Records are numbered by their keys alone."""
     order = Window.partitionBy(*KEYS).orderBy("timestamp")
-    cut = ncf.withColumn("chunk", F.floor((F.row_number().over(order) - 1) / max(size, 1)).cast("int"))
-    return sum_arrays(cut, [*KEYS, "chunk"], width, "count")
+    number = ncf.select(*KEYS, "timestamp").distinct().withColumn("chunk", F.floor((F.row_number().over(order) - 1) / max(size, 1)).cast("int"))
+    return sum_arrays(ncf.join(number, [*KEYS, "timestamp"]), [*KEYS, "chunk"], width, "count")
 
 
-def _weighted(parts: DataFrame, stack) -> DataFrame:
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("chunk")
-        counts = pdf["count"].to_numpy(float)
-        data = stack(np.stack(pdf["data"].to_numpy()), counts)
-        return pd.DataFrame({"path_id": pdf["path_id"].iloc[:1], "slot": pdf["slot"].iloc[:1], "n": [int(counts.sum())], "chunks": [len(pdf)], "data": [data]})
+def _per_batch(df: DataFrame, made, schema: str) -> DataFrame:
+    """A function of each non-empty batch's keys and arrays."""
 
-    return parts.groupBy(*KEYS).applyInPandas(run, "path_id long, slot int, n long, chunks int, data array<double>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                yield from made(b)
 
+    return df.mapInArrow(run, schema)
 
-def phase_weighted_stack(ncf: DataFrame, size: int, width: int) -> DataFrame:
-    return _weighted(chunks(ncf, size, width), lambda sums, counts: S.phase_weighted(sums / counts[:, None], counts / counts.sum()))
 
+def _totals(parts: DataFrame, width: int) -> DataFrame:
+    """path_id, slot, n (records), chunks and the sum of all records."""
+    t = sum_arrays(parts, KEYS, width, "chunks")
+    return t.join(parts.groupBy(*KEYS).agg(F.sum("count").alias("n")), KEYS)
 
-def time_frequency_stack(ncf: DataFrame, size: int, width: int, delta: float = 1.0, band: tuple[float, float] | None = None, taper: float | None = None, zero_shift_gain: float = 1.0) -> DataFrame:
-    return _weighted(chunks(ncf, size, width), lambda sums, counts: S.time_frequency_weighted(sums, counts, delta, band, taper, zero_shift_gain=zero_shift_gain))
+
+def phase_weighted_stack(ncf: DataFrame, size: int, width: int) -> DataFrame:
+    """The mean of the records times the coherence of the chunks' phases, sample by sample."""
+
+    def made(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        z = S.analytic(rows_of(b, "data"))
+        unit = z / np.maximum(np.abs(z), 1e-7)
+        count = b.column("count").to_numpy()[:, None]
+        # the means of the chunks have the phases of their sums
+        small = np.abs(z) < 1e-7 * count
+        unit = np.where(small, z / (1e-7 * count), unit)
+        yield pa.RecordBatch.from_arrays([b.column("path_id"), b.column("slot"), lists(np.concatenate([unit.real * count, unit.imag * count], 1))], [*KEYS, "phasors"])
+
+    parts = chunks(ncf, size, width)
+    phasors = sum_arrays(_per_batch(parts, made, "path_id long, slot int, phasors array<double>"), KEYS, 2 * width, "chunks_", "phasors").drop("chunks_")
+    both = _totals(parts, width).join(phasors, KEYS)
+    re, im = F.slice("phasors", 1, width), F.slice("phasors", width + 1, width)
+    coherence = F.zip_with(re, im, lambda a, b: F.sqrt(a * a + b * b) / F.col("n"))
+    return both.select(*KEYS, "n", F.col("chunks").cast("int").alias("chunks"), F.zip_with("data", coherence, lambda v, w: v / F.col("n") * w).alias("data"))
+
+
+#: Frequencies in a block.
+BLOCK = 64
+
+
+def time_frequency_stack(ncf: DataFrame, size: int, width: int, delta: float = 1.0, band: tuple[float, float] | None = None, taper: float | None = None, zero_shift_gain: float = 1.0, scale: float = 0.1) -> DataFrame:
+    """The mean of the records, its local spectrum weighted by the coherence of the chunks' local phases; outside `band` the mean's spectrum stays."""
+    half = width // 2 + 1
+    alpha = S.band_share(width, delta, band, taper)
+    blocks = [(k, min(k + BLOCK, half)) for k in range(0, half, BLOCK) if alpha[k : k + BLOCK].any()]
+
+    def local(x: np.ndarray, first: int, last: int) -> np.ndarray:
+        return S.s_transform(S.positive(np.fft.fft(x)), first, last, scale, zero_shift_gain)
+
+    def phasors(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        x, count = rows_of(b, "data"), b.column("count").to_numpy()[:, None, None]
+        for first, last in blocks:
+            for k in range(0, len(b), 16):
+                z = local(x[k : k + 16], first, last)
+                size_ = np.abs(z)
+                unit = z / np.where(size_ <= 1e-7, 1.0, size_) * count[k : k + 16]
+                full = np.zeros((len(unit), 2, BLOCK, width))
+                full[:, 0, : last - first], full[:, 1, : last - first] = unit.real, unit.imag
+                rows = b.slice(k, 16)
+                yield pa.RecordBatch.from_arrays([rows.column("path_id"), rows.column("slot"), pa.array([first] * len(rows), pa.int32()), lists(full.reshape(len(full), -1))], [*KEYS, "first", "phasors"])
+
+    def weighted(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        x, n = rows_of(b, "data"), b.column("n").to_numpy().astype(float)
+        held = rows_of(b, "phasors").reshape(len(b), 2, BLOCK, width)
+        out = np.zeros((len(b), 2 * BLOCK))
+        for k, first in enumerate(b.column("first").to_pylist()):
+            last = min(first + BLOCK, half)
+            z = (local(x[k : k + 1] / n[k], first, last)[0] * (np.hypot(held[k, 0], held[k, 1])[: last - first] / n[k])).sum(axis=-1)
+            out[k, : last - first], out[k, BLOCK : BLOCK + last - first] = z.real, z.imag
+        yield pa.RecordBatch.from_arrays([b.column("path_id"), b.column("slot"), b.column("first"), lists(out)], [*KEYS, "first", "sums"])
+
+    def finish(key: tuple, total: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
+        if not len(total):
+            return pd.DataFrame(columns=[*KEYS, "n", "chunks", "data"])
+        n = int(total["n"].iloc[0])
+        own = S.positive(np.fft.fft(np.asarray(total["data"].iloc[0], float) / n))[:half]
+        for first, sums in zip(pieces["first"], pieces["sums"], strict=True):
+            s = slice(first, min(first + BLOCK, half))
+            z = np.asarray(sums, float)
+            own[s] = own[s] * (1 - alpha[s]) + (z[:BLOCK] + 1j * z[BLOCK:])[: s.stop - s.start] * alpha[s]
+        whole = np.zeros(width, complex)
+        whole[:half] = own
+        return pd.DataFrame({"path_id": [key[0]], "slot": [key[1]], "n": [n], "chunks": [int(total["chunks"].iloc[0])], "data": [np.fft.ifft(whole).real]})
+
+    parts = chunks(ncf, size, width)
+    totals = _totals(parts, width)
+    by = [*KEYS, "first"]
+    sums = sum_arrays(_per_batch(parts, phasors, "path_id long, slot int, first int, phasors array<double>"), by, 2 * BLOCK * width, "chunks_", "phasors").drop("chunks_")
+    pieces = _per_batch(sums.join(totals.drop("chunks"), KEYS), weighted, "path_id long, slot int, first int, sums array<double>")
+    return totals.groupBy(*KEYS).cogroup(pieces.groupBy(*KEYS)).applyInPandas(finish, "path_id long, slot int, n long, chunks int, data array<double>")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..functions import arrays as A, spectral as S
+from ..functions import arrays as A
 from ..operators import correlate, gather, inventory, lookup, pairs, rotate, stack
 from ..streaming import incremental
 from .shared import scratch
@@ -381,14 +381,27 @@ def _chain(spark, sf_dir, **kw):
     return z.select("timestamp", "nsl_id", "component", "step", F.posexplode(F.arrays_zip("re", "im")).alias("k", "z")).select("timestamp", "nsl_id", "component", "step", "k", rounded(F.col("z.re")).alias("re"), rounded(F.col("z.im")).alias("im"))
 
 
-def _list_sql(values) -> str:
-    return f"[{', '.join(repr(float(v)) for v in values)}]::double[]"
+#: Fixed values of the conditioning chain at 64 samples and an interval of 1: for each lowest edge the transform length of the padded filters and the
+#: running window over the outer band (2 * floor(1 / (0.667 low)) + 1) and over a band of its own (2 * floor(1 / low) + 1).
+FILTER_LENGTH, OUTER_WINDOW, BAND_WINDOW = {0.05: 128, 0.15: 108}, {0.05: 59, 0.15: 19}, {0.05: 41, 0.15: 13}
+
+
+def _response_sql(low: float, high: float, n: int) -> str:
+    """Squared gain of the Butterworth band-pass of order 2 at bin k of n, in closed form: edges and frequency are warped by the tangent."""
+    w = f"tan(pi() * k / {n})"
+    a, b = f"tan(pi() * {low})", f"tan(pi() * {high})"
+    return f"case when k in (0, {n // 2}) then 0 else 1 / (1 + pow(({w} * {w} - {a} * {b}) / (({b} - {a}) * {w}), 4)) end"
+
+
+def _taper_sql(low: float, high: float, n: int) -> str:
+    """1 inside the band, cosine ramps down to 0.667 times its lower and 1.333 times its upper edge."""
+    f, f1, f4 = f"(k / {n}::double)", 0.667 * low, 1.333 * high
+    return f"case when {f} between {low} and {high} then 1 when {f} > {f1!r} and {f} < {low} then 0.5 * (1 - cos(pi() * ({f} - {f1!r}) / ({low} - {f1!r}))) when {f} > {high} and {f} < {f4!r} then 0.5 * (1 + cos(pi() * ({f} - {high}) / ({f4!r} - {high}))) else 0 end"
 
 
 def _chain_sql(bands, normalize: str, whiten: tuple[bool, bool], phase_only: bool = False) -> str:
-    """The conditioning chain at 64 samples by sums: detrend, taper, band filter, whitening, normalisation, spectrum of 72."""
-    bank = S.filter_bank(list(bands), 1.0)
-    low, high = bank[0][:2]
+    """The conditioning chain at 64 samples by sums: detrend, taper, padded band filter, whitening, normalisation, spectrum of 72."""
+    low, high = min(lo for lo, _ in bands), max(hi for _, hi in bands)
     ramp = min(int(2 / low), N)
     key = "timestamp, nsl_id, component"
     ctes = [
@@ -401,17 +414,18 @@ def _chain_sql(bands, normalize: str, whiten: tuple[bool, bool], phase_only: boo
         ctes.append(f"z{len(ctes)} as (select {key}, k, sum(v * cos(2 * pi() * k * i / {n})) re, -sum(v * sin(2 * pi() * k * i / {n})) im from {src} cross join (select unnest(range({n // 2 + 1})) k) group by all)")
         return f"z{len(ctes) - 1}"
 
-    def back(src: str, weight: str) -> str:
-        ctes.append(f"x{len(ctes)} as (select {key}, i::int i, sum(case when k in (0, {N // 2}) then 1 else 2 end * {weight} * (re * cos(2 * pi() * k * i / {N}) - im * sin(2 * pi() * k * i / {N}))) / {N} v from {src} cross join (select unnest(range({N})) i) group by all)")
+    def back(src: str, weight: str, n: int = N) -> str:
+        ctes.append(f"x{len(ctes)} as (select {key}, i::int i, sum(case when k in (0, {n // 2}) then 1 else 2 end * ({weight}) * (re * cos(2 * pi() * k * i / {n}) - im * sin(2 * pi() * k * i / {n}))) / {n} v from {src} cross join (select unnest(range({N})) i) group by all)")
         return f"x{len(ctes) - 1}"
 
-    def band(src: str, k: int) -> str:
-        return back(forward(src), f"({_list_sql(S.power_response(bank[k][2], bank[k][3], N))})[k + 1]")
+    def band(src: str, lo: float, hi: float) -> str:
+        n = FILTER_LENGTH[low]
+        return back(forward(src, n), _response_sql(lo, hi, n), n)
 
     def white(src: str) -> str:
         z = forward(src)
         ctes.append(f"z{len(ctes)} as (select {key}, k, re / w re, im / w im from (select *, greatest(sum(sqrt(re * re + im * im)) over (partition by timestamp, nsl_id, k), 1e-30) w from {z}))")
-        return back(f"z{len(ctes) - 1}", f"({_list_sql(S.spectral_taper(N // 2 + 1, 1 / N, low, high))})[k + 1]")
+        return back(f"z{len(ctes) - 1}", _taper_sql(low, high, N))
 
     def level(src: str, width: int) -> str:
         n = len(ctes)
@@ -419,13 +433,13 @@ def _chain_sql(bands, normalize: str, whiten: tuple[bool, bool], phase_only: boo
         ctes.append(f"x{n + 1} as (select {key}, i, greatest(-20, least(20, case when w < 1e-30 then 0 else v / w end)) v from (select *, sum(m) over (partition by timestamp, nsl_id, i) w from m{n}))")
         return f"x{n + 1}"
 
-    x = band("x0", 0)
+    x = band("x0", low, high)
     if whiten[0]:
         x = white(x)
     if normalize == "RUN-ABS":
-        x = level(x, S.running_window(low, 1.0))
+        x = level(x, OUTER_WINDOW[low])
     elif normalize == "RUN-ABS-MF":
-        each = [level(band(x, k), S.running_window(bank[k][0], 1.0, 1.0)) for k in range(1, len(bank))]
+        each = [level(band(x, lo, hi), BAND_WINDOW[lo]) for lo, hi in bands]
         ctes.append(f"x{len(ctes)} as (select {key}, i, sum(v) v from ({' union all '.join(f'select * from {e}' for e in each)}) group by all)")
         x = f"x{len(ctes) - 1}"
     if whiten[1]:
@@ -493,7 +507,7 @@ def xc_autocorr(spark, sf_dir):
 def xc_spectra(spark, sf_dir):
     c = correlate.Conditioning(1.0, 32, 16, HALF, normalize="OFF", whiten="OFF")
     z = correlate.spectra(complete(spark, sf_dir), c)
-    x = correlate.correlate_spectra(z, wave_paths(spark, sf_dir).where("src_id < rec_id"), HALF, c.length, c.delta)
+    x = correlate.correlate_spectra(z, wave_paths(spark, sf_dir).where("src_id < rec_id"), HALF, c.length, c.delta, steps=3)
     return correlate.lags_of(x, HALF, "timestamp", "path_id", "slot").withColumn("v", rounded(F.col("v"), 4))
 
 

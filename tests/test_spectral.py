@@ -39,8 +39,8 @@ def test_filters_of_a_run_do_not_wrap(normalize):
     bank = S.filter_bank(list(run.bands), 1.0)
     assert run.filter_length == S.filter_length(bank, run.window) == S.smooth_length(run.window + max(S.impulse_padding(b, a, run.window) for _, _, b, a in bank), even=True) <= 2 * run.window
     x = rng.normal(size=(3, run.window)) * np.linspace(0, 1, run.window) ** 4
-    long, bare = replace(run), replace(run, filter_padding=False)
-    long.filter_length = 20 * run.window
+    long, bare = replace(run), replace(run)
+    long.filter_length, bare.filter_length = 20 * run.window, None
     want = condition(x, long)
     assert np.abs(condition(x, run) - want).max() < 1e-3 * np.abs(want).max() < np.abs(condition(x, bare) - want).max()
 
@@ -67,29 +67,67 @@ def test_correlation_equals_the_time_domain():
     assert S.correlation(S.spectrum(y, n, 1), S.spectrum(x, n, 1), 10, n, 1) == pytest.approx(S.correlation(S.spectrum(x, n, 1), S.spectrum(y, n, 1), 10, n, 1)[::-1])
 
 
-def test_phase_weighted_stack_of_equal_traces_is_the_trace():
+@pytest.fixture()
+def stacked(spark):
+    """A stack of records of one pair, one record a timestamp."""
+    from noisefield.operators import stack
+
+    def run(records, method, size=2, **kw):
+        df = spark.createDataFrame([(k, 1, 0, x.tolist()) for k, x in enumerate(records)], "timestamp int, path_id long, slot int, data array<double>").repartition(3)
+        row = getattr(stack, method)(df, size, len(records[0]), **kw).first()
+        return np.array(row.data), row.n, row.chunks
+
+    return run
+
+
+def _all_at_once(sums, counts, alpha, scale=0.1, gain=1.0):
+    """The time-frequency stack with all chunks and frequencies in memory."""
+    n, half = sums.shape[-1], sums.shape[-1] // 2 + 1
+    own = S.positive(np.fft.fft(sums.sum(axis=0) / counts.sum()))
+    local = S.s_transform(S.positive(np.fft.fft(sums)), 0, half, scale, gain)
+    size = np.abs(local)
+    coherence = np.abs(np.einsum("c,cft->ft", counts / counts.sum(), local / np.where(size <= 1e-7, 1.0, size)))
+    mine = (S.s_transform(own[None], 0, half, scale, gain)[0] * coherence).sum(axis=-1)
+    whole = np.zeros(n, complex)
+    whole[:half] = own[:half] * (1 - alpha) + mine * alpha
+    return np.fft.ifft(whole).real
+
+
+def test_phase_weighted_stack(stacked):
     x = rng.normal(size=65)
-    assert S.phase_weighted(np.stack([x] * 4), np.full(4, 0.25)) == pytest.approx(x)
+    got, n, chunks = stacked([x] * 5, "phase_weighted_stack")
+    assert got == pytest.approx(x) and (n, chunks) == (5, 3)
+    records = rng.normal(size=(7, 65))
+    means = np.stack([records[k : k + 3].mean(axis=0) for k in (0, 3, 6)])
+    weights = np.array([3, 3, 1]) / 7
+    z = S.analytic(means)
+    got, *_ = stacked(records, "phase_weighted_stack", 3)
+    assert got == pytest.approx(records.mean(axis=0) * np.abs(weights @ (z / np.maximum(np.abs(z), 1e-7))))
+
 
+@pytest.mark.parametrize("block", [64, 7])
+def test_time_frequency_stack(stacked, monkeypatch, block):
+    from noisefield.operators import stack
 
-def test_time_frequency_stack_of_equal_traces():
+    monkeypatch.setattr(stack, "BLOCK", block)
     x = rng.normal(size=65)
-    counts = np.array([2.0, 2.0, 1.0])
-    sums = x[None] * counts[:, None]
-    assert S.time_frequency_weighted(sums, counts) == pytest.approx(x - x.mean())
-    assert S.time_frequency_weighted(sums, counts, zero_shift_gain=0.0) == pytest.approx(np.zeros(65), abs=1e-9)
-    assert S.time_frequency_weighted(sums, counts, block=7) == pytest.approx(S.time_frequency_weighted(sums, counts))
-
-
-def test_band_outside_is_untouched():
-    sums, counts = rng.normal(size=(5, 65)), np.ones(5)
-    out = np.fft.rfft(S.time_frequency_weighted(sums, counts, band=(0.2, 0.3), taper=0.02))
-    linear = np.fft.rfft(sums.mean(axis=0))
-    f = np.arange(33) / 65
+    assert stacked([x] * 5, "time_frequency_stack")[0] == pytest.approx(x - x.mean())
+    records = rng.normal(size=(9, 65))
+    sums, counts = np.stack([records[k : k + 2].sum(axis=0) for k in range(0, 9, 2)]), np.array([2, 2, 2, 2, 1.0])
+    assert stacked(records, "time_frequency_stack")[0] == pytest.approx(_all_at_once(sums, counts, np.ones(33)))
+    band = {"band": (0.2, 0.3), "taper": 0.02}
+    got = stacked(records, "time_frequency_stack", **band)[0]
+    assert got == pytest.approx(_all_at_once(sums, counts, S.band_share(65, 1.0, **band)))
+    out, linear, f = np.fft.rfft(got), np.fft.rfft(records.mean(axis=0)), np.arange(33) / 65
     assert out[(f > 0) & (f < 0.2)] == pytest.approx(linear[(f > 0) & (f < 0.2)])
     assert not np.allclose(out[(f > 0.24) & (f < 0.26)], linear[(f > 0.24) & (f < 0.26)])
 
 
+def test_records_of_other_lengths_are_an_error(stacked):
+    with pytest.raises(Exception, match="arrays of 65 numbers are summed, not of 64"):
+        stacked([np.zeros(65), np.zeros(64)], "phase_weighted_stack")
+
+
 def test_whitening_keeps_the_band():
     x = rng.normal(size=(3, 512))
     z = np.abs(np.fft.rfft(S.whiten(x, 0.1, 0.2, 1.0)))
