@@ -38,6 +38,26 @@ def select_spectra(spectra: DataFrame, station: str, components: list[str] | Non
     return spectra.where(ok)
 
 
+def select_receivers(traces: DataFrame, receivers: list[str] | None = None, distance: tuple[float | None, float | None] = (None, None)) -> DataFrame:
+    """Traces of the listed receivers (by code or network.code; a name without a trace is an error) at distances in a closed range."""
+    names = [r.strip() for r in receivers or [] if r.strip()]
+    if names:
+        c = {k: F.col(f"rec_{k}") for k in ("network", "station", "location")}
+        ok = [station_matches(c, r) for r in names]
+        held = traces.agg(*(F.max(k).alias(f"m{i}") for i, k in enumerate(ok))).first()
+        missing = [r for r, k in zip(names, held, strict=True) if not k]
+        if missing:
+            raise ValueError(f"no traces of {', '.join(missing)}")
+        any_ = F.lit(False)
+        for k in ok:
+            any_ = any_ | k
+        traces = traces.where(any_)
+    low, high = distance
+    if low is not None:
+        traces = traces.where(F.col("distance") >= low)
+    return traces if high is None else traces.where(F.col("distance") <= high)
+
+
 def gaussian_smooth(values: np.ndarray, sigma: tuple[float, float]) -> np.ndarray:
     """Rows and columns smoothed with normalised Gaussians of 4 sigma; beyond the edges the outermost value stands."""
     for axis, s in enumerate(sigma):
@@ -69,11 +89,21 @@ def smooth_spectra(spectra: DataFrame, kind: str, step: float, frequency: float,
     return spectra.select(*keys, "step", "re", "im").groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + f", step {types['step']}, value array<double>")
 
 
-def lines(traces: DataFrame, half: int, dt: float, lag_window: float, scale: Column, *keys: str) -> DataFrame:
+def lag_window(points: DataFrame, most: float) -> DataFrame:
+    """Points whose lag lies within +-most."""
+    return points.where(F.abs("lag") <= most)
+
+
+def frequency_range(bins: DataFrame, low: float, high: float, step: float = 1.0) -> DataFrame:
+    """Bins (k, a frequency step apart) whose frequency lies in a closed range."""
+    return bins.where((F.col("k") * step).between(low, high))
+
+
+def lines(traces: DataFrame, half: int, dt: float, window: float, scale: Column, *keys: str) -> DataFrame:
     """Points of a record section: keys, lag in seconds, and distance plus the normalised trace times scale."""
     t = traces.select(*keys, "distance", scale.alias("scale"), F.posexplode(A.normalized(F.col("data"))).alias("k", "v"))
     t = t.withColumn("lag", (F.col("k") - half) * dt)
-    return t.where(F.abs("lag") <= lag_window).select(*keys, "lag", (F.col("distance") + F.col("v") * F.col("scale")).alias("y"))
+    return lag_window(t, window).select(*keys, "lag", (F.col("distance") + F.col("v") * F.col("scale")).alias("y"))
 
 
 def grid_layout(traces: DataFrame) -> tuple[int, int]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -20,21 +22,53 @@ def final_path(r: dict[str, Column]) -> Column:
     return F.concat(key("src"), F.lit("/"), key("rec"), F.lit("/"), F.concat_ws(".", both("network"), both("station"), both("location"), both("component")), F.lit(".ncf.SAC"))
 
 
-def extract(index: DataFrame, timestamp: str, src: str, rec: str, allow_reverse: bool = False) -> DataFrame:
-    """Records of one station and component pair, given as station.component at each end; with `reversed` set where the ends are swapped."""
-    (s, sc), (r, rc) = src.rsplit(".", 1), rec.rsplit(".", 1)
-    end = lambda a, b, c, d: (F.col("src_station") == a) & (F.col("src_component") == b) & (F.col("rec_station") == c) & (F.col("rec_component") == d)
-    hit, back = end(s, sc, r, rc), end(r, rc, s, sc)
-    t = F.regexp_replace(F.col("timestamp").cast("string"), ":", "_") == timestamp.replace(":", "_")
-    ok = hit | back if allow_reverse else hit
-    return index.where(t & ok).withColumn("reversed", ~hit)
+def parse_component_pair(text: str) -> tuple[str, str]:
+    """Two components as A-B or A/B."""
+    parts = [x.strip() for x in re.split("[-/]", text) if x.strip()]
+    if len(parts) != 2:
+        raise ValueError(f"{text!r} is not a pair of components; write SRC-REC, for example BHE-BHZ")
+    return parts[0], parts[1]
+
+
+def parse_final_path(path: Column) -> dict[str, Column]:
+    """The names in a path of `final_path`: src_ and rec_network, station, location and component."""
+    held = F.split_part(path, F.lit("/"), F.lit(-1))
+    out = {}
+    for k, name in enumerate(("network", "station", "location", "component"), 1):
+        part = F.split_part(held, F.lit("."), F.lit(k))
+        out[f"src_{name}"], out[f"rec_{name}"] = F.split_part(part, F.lit("-"), F.lit(1)), F.split_part(part, F.lit("-"), F.lit(2))
+    return out
+
+
+def extract(index: DataFrame, timestamp: str | None, src: str, rec: str, component_pair: str, allow_reverse: bool = False, **more: str | None) -> DataFrame:
+    """Records of a station pair and component pair at one time, or at all; `reversed` is set where the ends are swapped.
+
+    more: src_network, rec_network, src_location and rec_location, each only if it is to be the same. Times may be written with : or _."""
+    unknown = set(more) - {f"{p}_{c}" for p in ("src", "rec") for c in ("network", "location")}
+    if unknown:
+        raise TypeError(f"unknown: {', '.join(sorted(unknown))}")
+    sc, rc = parse_component_pair(component_pair)
+    wanted = {"src_station": src, "rec_station": rec, "src_component": sc, "rec_component": rc} | {k: v for k, v in more.items() if v is not None}
+    swap = {"src": "rec", "rec": "src"}
+
+    def matches(turned: bool) -> Column:
+        ok = F.lit(True)
+        for k, v in wanted.items():
+            ok = ok & (F.col(f"{swap[k[:3]]}{k[3:]}" if turned else k) == v)
+        return ok
+
+    hit = matches(False)
+    ok = hit | matches(True) if allow_reverse else hit
+    if timestamp is not None:
+        ok = ok & (safe_name(F.col("timestamp").cast("string")) == re.sub("[^0-9A-Za-z._:-]+", "-", timestamp).replace(":", "_"))
+    return index.where(ok).withColumn("reversed", ~F.coalesce(hit, F.lit(False)))
 
 
 def one(found: DataFrame) -> DataFrame:
     """The frame if it has exactly one row."""
     n = len(found.limit(2).take(2))
     if n != 1:
-        raise LookupError("no record matches" if not n else "more than one record matches; name the network and location")
+        raise LookupError("no record matches" if not n else "more than one record matches; give src_network, rec_network, src_location or rec_location")
     return found
 
 

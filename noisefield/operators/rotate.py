@@ -27,7 +27,9 @@ def rotate(stacks: DataFrame, geometry: DataFrame) -> DataFrame:
 
     stacks: path_id, slot, data. geometry: path_id, azimuth_deg, back_azimuth_deg."""
     wide = stacks.groupBy("path_id").agg(*(F.max(F.when(F.col("slot") == k, F.col("data"))).alias(name) for k, name in enumerate(ENZ)))
-    wide = wide.dropna(subset=ENZ).join(geometry.select("path_id", "azimuth_deg", "back_azimuth_deg"), "path_id")
+    equal = F.size(F.array_distinct(F.array(*(F.size(c) for c in ENZ)))) == 1
+    wide = wide.dropna(subset=ENZ)
+    wide = wide.where(F.assert_true(equal, F.concat(F.lit("component pairs of different lengths cannot be rotated: pair "), F.col("path_id").cast("string"))).isNull()).join(geometry.select("path_id", "azimuth_deg", "back_azimuth_deg"), "path_id")
     src, rec = basis(F.col("azimuth_deg"), F.col("back_azimuth_deg"))
     rows = []
     for k, (s, r) in enumerate((s, r) for s in "RTZ" for r in "RTZ"):

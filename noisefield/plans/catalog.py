@@ -124,10 +124,10 @@ def inv_range_filter(spark, sf_dir):
     return inventory.in_ranges(d, "day", [(F.lit(a).cast("date"), F.lit(b).cast("date")) for a, b in (("1995-01-01", "1995-06-30"), ("1997-03-01", "1997-03-31"))]).select("path")
 
 
-@query(f"with {FILES} select station, strftime(day, '%Y') as year, count(*)::bigint n, string_agg(component || ':' || path, ',' order by component, path) channels from f group by 1, 2")
+@query(f"with {FILES} select network, station, strftime(day, '%Y-%m-%d') as day, count(*)::bigint n, string_agg(component || ':' || path, ',' order by component, path) channels from f group by 1, 2, 3")
 def inv_group_channels(spark, sf_dir):
-    g = inventory.group_channels(matched(spark, sf_dir).withColumn("year", F.date_format("time", "yyyy")), ["station", "year"])
-    return g.select("station", "year", F.size("component_list").cast("long").alias("n"), F.concat_ws(",", F.zip_with("component_list", "path_list", lambda c, p: F.concat(c, F.lit(":"), p))).alias("channels"))
+    g = inventory.group_channels(matched(spark, sf_dir).withColumn("day", F.date_format("time", "yyyy-MM-dd")), ["network", "station", "location", "day"])
+    return g.select("network", "station", "day", F.size("component_list").cast("long").alias("n"), F.concat_ws(",", F.zip_with("component_list", "path_list", lambda c, p: F.concat(c, F.lit(":"), p))).alias("channels"))
 
 
 @query(f"with {FILES} select path, component raw_component, case component when 'BHE' then 'E' when 'BHN' then 'N' else 'Z' end component from f")
@@ -643,10 +643,18 @@ def unpack_names(spark, sf_dir):
     return r.groupBy("output_path").agg(F.count(F.lit(1)).alias("records"), F.min("record").alias("first_record"))
 
 
+@query(f"with {RECORDS} select record, sn src_network, ss src_station, sc src_component, rn rec_network, rs rec_station, rc rec_component from r")
+def parse_names(spark, sf_dir):
+    """The names of both ends, read back from the paths of unpacked records."""
+    r = _records(spark, sf_dir)
+    got = lookup.parse_final_path(lookup.final_path({c: F.col(c) for c in r.columns}))
+    return r.select("record", *(got[k].alias(k) for k in ("src_network", "src_station", "src_component", "rec_network", "rec_station", "rec_component")))
+
+
 @query(f"with {RECORDS} select record, timestamp, not (ss = 'S7' and sc = 'Z' and rs = 'S12' and rc = 'E') reversed from r where (ss = 'S7' and sc = 'Z' and rs = 'S12' and rc = 'E') or (ss = 'S12' and sc = 'E' and rs = 'S7' and rc = 'Z')")
 def extract_ncf(spark, sf_dir):
     r = _records(spark, sf_dir).withColumn("stamp", F.col("timestamp")).withColumn("timestamp", F.lit("STACK"))
-    return lookup.extract(r, "STACK", "S7.Z", "S12.E", allow_reverse=True).select("record", F.col("stamp").alias("timestamp"), "reversed")
+    return lookup.extract(r, "STACK", "S7", "S12", "Z/E", allow_reverse=True).select("record", F.col("stamp").alias("timestamp"), "reversed")
 
 
 @query(f"with {STACK} select path_id, slot, t::double t, round(coalesce(max(case when lag = -t - 1 then v end), 0), 5) + 0.0 negative, round(max(case when lag = t then v end), 5) + 0.0 positive from st join (select unnest(range({HALF} + 1))::int t) on lag = t or lag = -t - 1 group by all")
@@ -658,7 +666,7 @@ def dat_export(spark, sf_dir):
 @query(f"with {STACK} select path_id, slot, lag, round(v, 5) + 0.0 v from st where abs(lag) <= 3")
 def lag_window(spark, sf_dir):
     x = correlate.lags_of(stack.linear_stack(ncf(spark, sf_dir), W), HALF, "path_id", "slot")
-    return x.where("abs(lag) <= 3").withColumn("v", rounded(F.col("v"), 5))
+    return gather.lag_window(x, 3).withColumn("v", rounded(F.col("v"), 5))
 
 
 def _gather(spark, sf_dir):
@@ -752,6 +760,13 @@ def spec_smooth(spark, sf_dir):
     return z.select("timestamp", "nsl_id", "component", F.posexplode("value").alias("k", "value")).withColumn("value", rounded(F.col("value"), 4))
 
 
+@query(f"with {STACK}, k as (select path_id, slot, lag, n, v, (path_id % 1000)::double distance from st where path_id % 10000 in (2, 4) and path_id % 1000 between 2 and 900) select path_id, slot, lag, round(v, 5) + 0.0 v from k")
+def gather_receivers(spark, sf_dir):
+    """Traces of two receivers by name, in a range of distances."""
+    x = stack.linear_stack(ncf(spark, sf_dir), W).withColumns({"distance": (F.col("path_id") % 1000).cast("double"), "rec_network": F.lit("NN"), "rec_station": F.concat(F.lit("S"), F.col("path_id") % 10000), "rec_location": F.lit("00")})
+    return correlate.lags_of(gather.select_receivers(x, ["S2", "NN.S4"], (2.0, 900.0)), HALF, "path_id", "slot").withColumn("v", rounded(F.col("v"), 5))
+
+
 @query(f"with {STACK}, m as (select path_id, slot, max(abs(v)) top from st group by all) select path_id, slot, (lag * 0.5)::double lag, round(path_id % 1000 + v / top * 2.5, 5) + 0.0 y from st join m using (path_id, slot) where abs(lag * 0.5) <= 2")
 def gather_lines(spark, sf_dir):
     x = stack.linear_stack(ncf(spark, sf_dir), W).withColumn("distance", (F.col("path_id") % 1000).cast("double"))

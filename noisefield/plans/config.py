@@ -6,6 +6,7 @@ import configparser
 import difflib
 import os
 import re
+import warnings
 from dataclasses import dataclass, field, fields
 
 from ..operators.correlate import Conditioning
@@ -48,7 +49,7 @@ class Source:
 
 @dataclass
 class RunConfig:
-    """Every setting of a run; the defaults are those of the settings table in the README."""
+    """Every setting of a run; `init` writes a file with all defaults."""
 
     sources: list[Source] = field(default_factory=list)
     time_start: str | None = None
@@ -95,6 +96,20 @@ class RunConfig:
         if self.pre_stack_size < 1 or (self.tf_taper_hz or 0) < 0:
             raise ValueError("pre_stack_size is at least 1 and tf_taper_hz at least 0")
 
+    def steps(self) -> int:
+        """Windows of a record."""
+        c, n = self.conditioning(), int(round(self.record_seconds / self.delta))
+        return max((n - c.window) // c.shift + 1, 0)
+
+    def check_skipped_steps(self) -> None:
+        """All steps skipped is an error; a step that a record does not have is a warning."""
+        n = self.steps()
+        if n and set(self.skip_steps) >= set(range(n)):
+            raise ValueError(f"skip_steps leaves none of the {n} steps of a record")
+        beyond = sorted(k for k in self.skip_steps if not 0 <= k < n)
+        if beyond:
+            warnings.warn(f"skip_steps names {', '.join(map(str, beyond))}; a record has the steps 0 to {n - 1}", stacklevel=2)
+
     def conditioning(self) -> Conditioning:
         from ..functions.spectral import segment_samples
 

@@ -1,7 +1,7 @@
 """A run from waveform files to stacked and rotated correlations, stage by stage.
 
 Each stage reads and writes Parquet tables below the output folder, so a run goes on where another one ended. Tables:
-channels, stations, pairs, spectra, ncf, stack_<method>, rotated_<method>.
+channels, timestamps, stations, pairs, spectra, ncf, stack_<method>, rotated_<method>, and inventory.json with their counts.
 """
 
 from __future__ import annotations
@@ -63,11 +63,14 @@ class Run:
         if c.time_list:
             found = found.join(tables.times(self.spark, c.time_list).withColumnRenamed("timestamp", "time"), "time", "left_semi")
         nodes = inventory.stations(inventory.require_rows(found, "inventory"))
-        heads = sac.station_geometry(self.spark, c.sources[0].path) if len(c.sources) == 1 else self._all_heads()
-        heads = heads.select(F.regexp_replace("path", "^file:/*", "/").alias("path"), F.col("stla").alias("lat"), F.col("stlo").alias("lon"))
-        nodes = nodes.join(heads, "path", "left")
+        heads = sac.station_geometry(nodes)  # one header a station
+        nodes = nodes.join(heads.select("path", F.col("stla").alias("lat"), F.col("stlo").alias("lon")), "path", "left")
+        changed = {"coordinates_updated": 0, "coordinates_in_conflict": 0}
         if c.geometry:
-            nodes = inventory.with_geometry(nodes, tables.station_coordinates(self.spark, c.geometry)).drop("updated", "conflict")
+            nodes = inventory.with_geometry(nodes, tables.station_coordinates(self.spark, c.geometry))
+            counts = nodes.agg(F.count_if("updated"), F.count_if("conflict")).first()
+            changed = dict(zip(changed, counts, strict=True))
+            nodes = nodes.drop("updated", "conflict")
         full = c.azimuth_deg[0] <= 0 and c.azimuth_deg[1] >= 360
         p = pairs.station_pairs(nodes, c.group_pairs, c.autocorr, c.distance_km, None if full else [c.azimuth_deg])
         self._write(nodes, "stations")
@@ -76,24 +79,19 @@ class Run:
         kept = pairs.retained(self.table("stations"), self.table("pairs"))
         keys = ["group", "network", "station", "location"]
         self._write(found.join(kept.select(*keys, "nsl_id"), keys).withColumn("timestamp", F.col("time")), "channels")
-
-    def _all_heads(self) -> DataFrame:
-        out = None
-        for s in self.config.sources:
-            h = sac.station_geometry(self.spark, s.path)
-            out = h if out is None else out.unionByName(h)
-        return out
+        self._write(inventory.timestamp_index(self.table("channels")), "timestamps")
+        stations, channels = self.table("stations"), self.table("channels")
+        facts = {"stations": stations.count(), "stations_without_coordinates": stations.where("lat is null or lon is null").count(), "stations_in_pairs": kept.count(), "pairs": self.table("pairs").count(), "channels": channels.count(), "timestamps": self.table("timestamps").count()}
+        tables.write_summary(self.spark, self.path("inventory.json"), facts | changed | {"sources": [s.path for s in c.sources]})
 
     def spectra(self) -> None:
         """Traces of the channels, cut or padded to the record's length, to conditioned spectra."""
         c = self.config
         channels = self.table("channels")
         n = int(round(c.record_seconds / c.delta))
-        data = None
-        for s in c.sources:
-            d = sac.read(self.spark, s.path).select(F.regexp_replace("path", "^file:/*", "/").alias("path"), "delta", F.col("data").cast("array<double>").alias("data"))
-            data = d if data is None else data.unionByName(d)
-        rows = channels.join(data, "path")
+        c.check_skipped_steps()
+        data = sac.read_records(channels.select("path").distinct())  # the files of the channels that are in a pair
+        rows = channels.join(data.select("path", "delta", F.col("data").cast("array<double>").alias("data")), "path")
         close = F.abs(F.col("delta") - c.delta) <= F.greatest(F.lit(1e-6), 1e-5 * F.col("delta"))
         rows = rows.withColumn("data", F.when(F.assert_true(close, F.concat(F.lit("sampling interval of "), "path")).isNull(), A.fit_length(F.col("data"), n)))
         wanted = max(len(s.components) for s in c.sources)
@@ -101,7 +99,7 @@ class Run:
         self._write(correlate.spectra(rows, self.chain), "spectra")
 
     def correlate(self) -> None:
-        x = correlate.correlate_spectra(self.table("spectra"), self.table("pairs"), self.chain.max_lag, self.chain.length, self.chain.delta)
+        x = correlate.correlate_spectra(self.table("spectra"), self.table("pairs"), self.chain.max_lag, self.chain.length, self.chain.delta, self.config.steps())
         self._write(x, "ncf")
 
     def stack(self) -> None:
@@ -122,7 +120,7 @@ class Run:
             self._write(rotate.rotate(self.table(f"stack_{m}"), self.table("pairs")), f"rotated_{m}")
 
     def records(self, name: str, labels: str) -> DataFrame:
-        """Stacks or rotated stacks with the names and geometry that a record carries."""
+        """Stacks or rotated stacks with the names and geometry that a record carries, its extremes, and in the user fields what it was made of."""
         s = self.table("stations").select("nsl_id", "network", "station", "location", "lat", "lon")
         end = lambda p: s.select(*(F.col(k).alias(f"{p}_{k}") for k in ("network", "station", "location", "lat", "lon")), F.col("nsl_id").alias(f"{p}_id"))
         t = self.table(name).join(self.table("pairs"), "path_id").join(end("src"), "src_id").join(end("rec"), "rec_id")
@@ -131,8 +129,17 @@ class Run:
         half, dt = self.chain.max_lag, self.chain.delta
         t = t.withColumn("output_path", F.concat(F.lit(f"{name}/"), lookup.final_path({k: F.col(k) for k in t.columns})))
         head = {"delta": dt, "b": -half * dt, "e": half * dt, "iftype": 1, "nzyear": 2010, "nzjday": 214, "nzhour": 0, "nzmin": 0, "nzsec": 0, "nzmsec": 0}
+        if "chunks" in t.columns:
+            user = {"user0": F.col("n"), "user1": F.col("chunks"), "user2": F.lit(self.config.pre_stack_size), "kuser0": F.lit("NTRACE"), "kuser1": F.lit("NGROUP"), "kuser2": F.lit("SUBSTK")}
+        elif "n" in t.columns:  # user0 is the divisor of a linear stack
+            user = {"user0": F.col("n"), "user1": F.col("rec_id"), "user2": F.col("path_id")}
+        else:
+            user = {"user0": F.col("src_id"), "user1": F.col("rec_id"), "user2": F.col("path_id")}
+        turned = {"cmpaz": F.pmod(F.col("back_azimuth_deg") + 180.0, F.lit(360.0)), "cmpinc": F.lit(90.0)} if labels == "RTZ" else {}
+        mean = A.total(F.col("data")) / F.size("data")
         return t.select(
-            "output_path", *(F.lit(v).alias(k) for k, v in head.items()),
+            "output_path", *(F.lit(v).alias(k) for k, v in head.items()), *(v.alias(k) for k, v in (user | turned).items()),
+            F.array_min("data").alias("depmin"), F.array_max("data").alias("depmax"), mean.alias("depmen"),
             F.col("rec_station").alias("kstnm"), F.col("rec_network").alias("knetwk"), F.concat_ws(".", "src_network", "src_station").alias("kevnm"), F.concat_ws("-", "src_component", "rec_component").alias("kcmpnm"),
             F.col("rec_lat").alias("stla"), F.col("rec_lon").alias("stlo"), F.col("src_lat").alias("evla"), F.col("src_lon").alias("evlo"),
             F.col("distance_km").alias("dist"), F.col("azimuth_deg").alias("az"), F.col("back_azimuth_deg").alias("baz"), F.col("gcarc_deg").alias("gcarc"), "data",

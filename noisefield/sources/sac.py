@@ -7,6 +7,7 @@ header field in use, with the format's null marks as nulls, and `data`. `registe
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
 
@@ -15,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from .store import listed, read_bytes, write_bytes
+
 HEADER_BYTES = 632
 NULL = -12345.0
 # Header fields in the order of the format; words not named here are unused.
@@ -34,7 +37,7 @@ COLUMNS = {
     "delta": "float", "b": "float", "e": "float", "depmin": "float", "depmax": "float", "depmen": "float", "stla": "float", "stlo": "float", "stel": "float", "evla": "float", "evlo": "float",
     "dist": "float", "az": "float", "baz": "float", "gcarc": "float", "cmpaz": "float", "cmpinc": "float", "user0": "float", "user1": "float", "user2": "float",
     "nzyear": "int", "nzjday": "int", "nzhour": "int", "nzmin": "int", "nzsec": "int", "nzmsec": "int", "npts": "int", "iftype": "int",
-    "kstnm": "string", "kevnm": "string", "kcmpnm": "string", "knetwk": "string", "khole": "string",
+    "kstnm": "string", "kevnm": "string", "kcmpnm": "string", "knetwk": "string", "khole": "string", "kuser0": "string", "kuser1": "string", "kuser2": "string",
 }
 SCHEMA = "path string, " + ", ".join(f"{k} {t}" for k, t in COLUMNS.items()) + ", data array<float>"
 
@@ -109,21 +112,52 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return found.mapInPandas(run, SCHEMA)
 
 
-def station_geometry(spark: SparkSession, path: str) -> DataFrame:
-    """path, kstnm, stla, stlo, stel from the headers alone; places outside the globe are null."""
-    head = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.substring("content", 1, HEADER_BYTES).alias("head"))
+def read_records(places: DataFrame, path_col: str = "path", offset_col: str | None = None, bytes_col: str | None = None, files_each: int = 256) -> DataFrame:
+    """The records at the places that a table names, and no other bytes: rows of SCHEMA with the offset as `record_offset`.
+
+    A file holds one record, or several, each at its offset; a number of bytes that is not the record's own is an error. Tasks open `files_each` records each."""
+    want = places.select(F.col(path_col).alias("path"), (F.col(offset_col) if offset_col else F.lit(0)).cast("long").alias("record_offset"), (F.col(bytes_col) if bytes_col else F.lit(None)).cast("long").alias("bytes"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for path, offset, size in zip(b["path"], b["record_offset"], b["bytes"], strict=True):
+                head = read_bytes(path, int(offset), HEADER_BYTES)
+                whole = HEADER_BYTES + 4 * _samples(head)
+                if size is not None and size == size and int(size) != whole:
+                    raise ValueError(f"{path}: a record of {int(size)} bytes is named, its header says {whole}")
+                rows.append({"path": path, "record_offset": offset, **decode(head + read_bytes(path, int(offset) + HEADER_BYTES, whole - HEADER_BYTES))})
+            yield pd.DataFrame(rows, columns=["path", "record_offset", *COLUMNS, "data"])
+
+    return _spread(want, files_each).mapInPandas(run, SCHEMA.replace("path string", "path string, record_offset long"))
+
+
+def _samples(head: bytes) -> int:
+    """Numbers that follow a header."""
+    npts, kind = (int(np.frombuffer(head, byte_order(head) + "i4", 1, 280 + 4 * INT_FIELDS.index(k))[0]) for k in ("npts", "iftype"))
+    return max(npts, 0) * (2 if kind == IXY else 1)
+
+
+def _spread(df: DataFrame, each: int) -> DataFrame:
+    """Rows dealt over tasks, `each` to a task."""
+    return df.repartition(max(1, -(-df.count() // each)))
+
+
+def station_geometry(places: DataFrame, path_col: str = "path", files_each: int = 256) -> DataFrame:
+    """path, kstnm, stla, stlo, stel from the headers of the files that a table names, 632 bytes of each; places outside the globe are null."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for p, raw in zip(b["path"], b["head"], strict=True):
+            for path in b["path"]:
+                raw = read_bytes(path, 0, HEADER_BYTES)
                 floats = np.frombuffer(raw, byte_order(raw) + "f4", 70)
                 lat, lon, ele = (float(floats[FLOAT_FIELDS.index(k)]) for k in ("stla", "stlo", "stel"))
                 ok = abs(lat) <= 90 and abs(lon) <= 360
-                rows.append((p, raw[440:448].decode("ascii", "replace").strip(), lat if ok else None, lon if ok else None, ele if abs(ele - NULL) > 1e-3 else None))
+                rows.append((path, raw[440:448].decode("ascii", "replace").strip(), lat if ok else None, lon if ok else None, ele if abs(ele - NULL) > 1e-3 else None))
             yield pd.DataFrame(rows, columns=["path", "kstnm", "stla", "stlo", "stel"])
 
-    return head.mapInPandas(run, "path string, kstnm string, stla double, stlo double, stel double")
+    return _spread(places.select(F.col(path_col).alias("path")), files_each).mapInPandas(run, "path string, kstnm string, stla double, stlo double, stel double")
 
 
 class _Files(InputPartition):
@@ -136,17 +170,13 @@ class _Reader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[_Files]:
-        from pyarrow import fs
-
-        source, base = fs.FileSystem.from_uri(self.options["path"]) if "://" in self.options["path"] else (fs.LocalFileSystem(), self.options["path"])
-        found = sorted(x.path for x in source.get_file_info(fs.FileSelector(base, recursive=True)) if x.is_file)
+        found = listed(self.options["path"])
         size = int(self.options.get("files", 256))
         return [_Files(found[k : k + size]) for k in range(0, len(found), size)]
 
     def read(self, partition: _Files) -> Iterator[tuple]:
         for path in partition.paths:
-            with open(path, "rb") as f:
-                got = decode(f.read())
+            got = decode(read_bytes(path))
             yield (path, *(got[k] for k in COLUMNS), got["data"].tolist())
 
 
@@ -175,19 +205,33 @@ def write(df: DataFrame, folder: str, name_col: str = "output_path") -> DataFram
     order = [c for c in ("timestamp",) if c in df.columns]
 
     def run(t: pd.DataFrame) -> pd.DataFrame:
-        import os
-        import uuid
-
         t = t.sort_values(order) if order else t
         raw = b"".join(encode(r) for r in t.to_dict("records"))
         name = t[name_col].iloc[0]
-        path = os.path.join(folder, name)
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        part = f"{path}.{uuid.uuid4().hex}"
-        with open(part, "wb") as f:
-            f.write(raw)
-        os.replace(part, path)
+        write_bytes(f"{folder}/{name}", raw)
         return pd.DataFrame({"name": [name], "records": [len(t)], "bytes": [len(raw)]})
 
     return df.groupBy(name_col).applyInPandas(run, "name string, records long, bytes long")
 
+
+def write_dat(df: DataFrame, folder: str, half: int, name_col: str = "output_path") -> DataFrame:
+    """One text file a record (rows with the header's columns and data): two lines with longitude, latitude and elevation of source and receiver, then time, negative and positive side.
+
+    The negative side is read backwards from lag -dt on, the positive from lag 0 on. Returns name and lines."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for r in b.to_dict("records"):
+                number = lambda k, r=r: 0.0 if r.get(k) is None or r[k] != r[k] else float(r[k])
+                if number("delta") <= 0:
+                    raise ValueError(f"{r[name_col]}: the sampling interval is {number('delta')}")
+                x = np.asarray(r["data"], float)
+                sides = np.stack([np.arange(half + 1) * number("delta"), np.append(x[:half][::-1], 0.0), x[half:]], 1)
+                rows = [[number(k) for k in ks] for ks in (("evlo", "evla", "evel"), ("stlo", "stla", "stel"))] + sides.tolist()
+                name = re.sub(r"\.sac$", "", r[name_col], flags=re.IGNORECASE) + ".dat"
+                write_bytes(f"{folder}/{name}", "".join(" ".join(f"{v:.7e}" for v in row) + "\n" for row in rows).encode())
+                out.append((name, len(rows)))
+            yield pd.DataFrame(out, columns=["name", "lines"])
+
+    return df.mapInPandas(run, "name string, lines long")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.inventory import read_time
+from . import store
 
+# The columns of a record index file, in its order.
 INDEX_COLUMNS = (
     "timestamp path_id component_slot source_key receiver_key src_id rec_id src_network src_station src_location src_component rec_network rec_station rec_location "
     "rec_component npts dt dist az baz record_path record_offset bytes storage_kind final_pair_path"
@@ -53,10 +57,33 @@ def times(spark: SparkSession, path: str) -> DataFrame:
     return t.select("timestamp", F.assert_true(F.col("timestamp").isNotNull(), F.concat(F.lit("not a time: "), "text")).alias("_")).drop("_")
 
 
-def record_index(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """The record indexes of one run or several, as one table of INDEX_COLUMNS."""
+def found_indexes(spark: SparkSession, place: str, name: str = "record_index.tsv") -> list[str]:
+    """The record indexes at a place: a file of that kind itself, one in the folder, or one in each folder below; a list file (.txt) names them a line each."""
+    if place.endswith(".txt"):
+        base = place.rpartition("/")[0]
+        found = [r.text if "/" == r.text[:1] or "://" in r.text else f"{base}/{r.text}" for r in listed(spark, place, "text").collect()]  # names of files
+    elif place.endswith(".tsv"):
+        found = [place]
+    else:
+        files = store.listed(place, f"/{name}")
+        own = [x for x in files if x.rpartition("/")[0].rstrip("/").endswith(place.rpartition("://")[2].rstrip("/"))]
+        found = own or files
+    if not found:
+        raise FileNotFoundError(f"no {name} in {place}")
+    return sorted(found)
+
+
+def record_index(spark: SparkSession, paths: str | list[str], strict: bool = True) -> DataFrame:
+    """The record indexes of one run or several, as one table of INDEX_COLUMNS.
+
+    Rows whose numbers cannot be read, or without a record path or with an offset below 0, are an error; where not `strict` they are left out."""
     t = require_columns(_tsv(spark, paths), INDEX_COLUMNS, "the record index")
-    return t.select(*(F.col(c).cast(_NUMBERS.get(c, "string")).alias(c) for c in INDEX_COLUMNS))
+    read = t.select(*(F.expr(f"try_cast(trim(`{c}`) as {_NUMBERS[c]})").alias(c) if c in _NUMBERS else F.col(c) for c in INDEX_COLUMNS))
+    good = F.col("record_path").isNotNull() & (F.col("record_offset") >= 0) & F.col("path_id").isNotNull() & F.col("component_slot").between(0, 8) & (F.col("bytes") > 0)
+    if not strict:
+        return read.where(good)
+    checked = F.assert_true(F.coalesce(good, F.lit(False)), F.concat_ws(" ", F.lit("the record index has a row that cannot be read:"), F.col("timestamp"), F.col("record_path")))
+    return read.where(checked.isNull())
 
 
 def write_tsv(df: DataFrame, path: str, floats: str = "%.7g") -> None:
@@ -68,3 +95,8 @@ def write_tsv(df: DataFrame, path: str, floats: str = "%.7g") -> None:
 def write_by_time(df: DataFrame, path: str, *order: str) -> None:
     """Parquet, a folder for each timestamp, rows in order inside it."""
     df.repartition("timestamp").sortWithinPartitions("timestamp", *order).write.partitionBy("timestamp").parquet(path)
+
+
+def write_summary(spark: SparkSession, path: str, facts: dict[str, object]) -> None:
+    """Facts of a stage as one JSON document."""
+    spark.createDataFrame([(json.dumps(facts, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -182,15 +182,6 @@ def test_direct_and_spectral_correlations_agree(spark):
         assert v == pytest.approx(fft[k], abs=1e-9)
 
 
-def test_lookup_of_one_record(spark):
-    df = spark.createDataFrame([("2022:1", "A", "Z", "B", "N"), ("2022:1", "B", "N", "A", "Z")], "timestamp string, src_station string, src_component string, rec_station string, rec_component string")
-    assert lookup.one(lookup.extract(df, "2022_1", "A.Z", "B.N")).first().reversed is False
-    with pytest.raises(LookupError):
-        lookup.one(lookup.extract(df, "2022_1", "A.Z", "B.N", allow_reverse=True))
-    with pytest.raises(LookupError):
-        lookup.one(lookup.extract(df, "2022_1", "A.Z", "C.N"))
-
-
 def test_long_arrays_are_summed_like_short_ones(spark, monkeypatch):
     rng = np.random.default_rng(6)
     rows = [(k % 3, None if k % 5 == 0 else "a", [float(v) for v in rng.normal(size=7)]) for k in range(40)]
@@ -214,3 +205,51 @@ def test_windows_leave_zeros_outside_the_trace(spark):
     x = [1.0, 2.0, 3.0, 4.0]
     for t1, t2, want in ((-2, 2, [0, 0, 1, 2]), (1, 6, [2, 3, 4, 0, 0]), (9, 11, [0, 0]), (-9, -7, [0, 0])):
         assert one(spark, lambda c, t1=t1, t2=t2: A.window(c, F.lit(0.0), 1.0, t1, t2), x) == want
+
+
+def test_records_of_a_pair(spark):
+    rows = [("t:1", "N1", "A", "00", "BHE", "N2", "B", "", "BHZ"), ("t:1", "N3", "A", "00", "BHE", "N2", "B", "", "BHZ"), ("t:1", "N2", "B", "", "BHZ", "N1", "A", "00", "BHE")]
+    names = [f"{p}_{k}" for p in ("src", "rec") for k in ("network", "station", "location", "component")]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ["timestamp", *names]))
+    with pytest.raises(LookupError, match="src_network"):
+        lookup.one(lookup.extract(df, "t_1", "A", "B", "BHE-BHZ"))
+    assert lookup.one(lookup.extract(df, "t_1", "A", "B", "BHE/BHZ", src_network="N3")).first().src_network == "N3"
+    both = lookup.extract(df, None, "A", "B", "BHE-BHZ", allow_reverse=True, src_network="N1").collect()
+    assert sorted(r.reversed for r in both) == [False, True]
+    with pytest.raises(LookupError, match="no record"):
+        lookup.one(lookup.extract(df, "t_2", "A", "B", "BHE-BHZ"))
+    with pytest.raises(ValueError, match="BHE-BHZ"):
+        lookup.parse_component_pair("BHE")
+    back = df.select(*(v.alias(k) for k, v in lookup.parse_final_path(lookup.final_path({c: F.col(c) for c in names})).items())).first().asDict()
+    assert back == dict(zip(names, rows[0][1:], strict=True))
+    assert df.select(lookup.safe_name(F.lit("a b/c:d")).alias("x"), lookup.id_text(F.lit(7), 4).alias("y")).first() == ("a-b-c_d", "0007")
+
+
+def test_receivers_and_distances(spark):
+    df = spark.createDataFrame([("N", "A", "00", 1.0), ("N", "B", "00", 5.0), ("M", "B", "00", 9.0)], "rec_network string, rec_station string, rec_location string, distance double")
+    assert {r.distance for r in gather.select_receivers(df, ["B"]).collect()} == {5.0, 9.0}
+    assert {r.distance for r in gather.select_receivers(df, ["N.B", "A"], (None, 4.0)).collect()} == {1.0}
+    assert gather.select_receivers(df, None, (5.0, None)).count() == 2
+    with pytest.raises(ValueError, match="C"):
+        gather.select_receivers(df, ["A", "C"])
+    grid = lambda n: spark.range(n).select(F.col("id").alias("slot"))
+    assert gather.grid_layout(grid(1)) == (1, 1) and gather.grid_layout(grid(9)) == (3, 3)
+    with pytest.raises(ValueError, match="not 4"):
+        gather.grid_layout(grid(4))
+    assert gather.frequency_range(spark.range(10).select(F.col("id").alias("k")), 0.2, 0.5, 0.1).count() == 4
+
+
+def test_rotation_refuses_other_lengths(spark):
+    df = spark.createDataFrame([(1, k, [1.0] * (3 if k else 4)) for k in range(9)], "path_id long, slot int, data array<double>")
+    geometry = spark.createDataFrame([(1, 10.0, 200.0)], "path_id long, azimuth_deg double, back_azimuth_deg double")
+    with pytest.raises(Exception, match="different lengths"):
+        rotate.rotate(df, geometry).collect()
+    assert rotate.rotate(df.withColumn("data", F.slice("data", 1, 3)), geometry).count() == 9
+    assert rotate.incomplete(df.where("slot < 8")).first().n_slots == 8
+
+
+def test_channels_of_every_station(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "station string, k int")
+    assert inventory.channel_count(df.where("station = 'a'"), "station") == 2
+    with pytest.raises(ValueError, match="between 1 and 2"):
+        inventory.channel_count(df, "station")
