@@ -24,7 +24,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b")
         small = small.select(F.col("m").alias("a"), "b").unionByName(small.select(F.col("m").alias("a"), F.col("a").alias("b"))).where("a < b").distinct()
-        edges = keep(small)
+        edges = keep(small, edges)
         now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == seen:
             break
@@ -32,4 +32,4 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"links still change after {most_rounds} rounds")
     leaves = edges.select(F.col("b").alias("node"), F.col("a").alias("comp"))
-    return keep(leaves.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct()))
+    return keep(leaves.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct()), edges)

@@ -32,14 +32,20 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def keep(df: DataFrame) -> DataFrame:
+def keep(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     """The frame computed once into a Parquet table in the shared folder, its lineage cut there.
 
-    The table stays until the folder is cleared, since later stages may read it again after an executor is lost."""
+    The table stays, since later stages may read it again after an executor is lost; `replaces`, an earlier table that only
+    this one was made from, is removed once this one is whole."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kept = path
+    if replaces is not None:
+        old = spark._jvm.org.apache.hadoop.fs.Path(replaces._kept)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return out
 
 
 def attach(rows: DataFrame, facts: DataFrame, keys: list[str], size: str) -> DataFrame:

@@ -302,11 +302,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         n = left.count()
         if not n:
             break
-        better = keep(_again(docs, left, n, grow, id_col, text_col))
+        better, before = keep(_again(docs, left, n, grow, id_col, text_col)), out
         out = out.join(F.broadcast(better) if n <= BROADCAST_ROWS else better, by, "left")
         for s in "ex":
             out = out.withColumn(f"differing_{s}", F.coalesce(f"new_differing_{s}", f"differing_{s}")).withColumn(f"failed_{s}", F.coalesce(f"new_failed_{s}", F.lit(False)))
-        out = keep(out.drop(*(f"new_{c}_{s}" for s in "ex" for c in ("differing", "failed"))))
+        out = keep(out.drop(*(f"new_{c}_{s}" for s in "ex" for c in ("differing", "failed"))), before)
         grow *= 4
     return out.select(
         F.col("id").alias(id_col),
