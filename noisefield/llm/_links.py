@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ._store import keep
+from ._store import attach, keep
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -12,15 +12,15 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Large-star and small-star rounds (Kiveris et al., Connected Components in MapReduce and Beyond): each node links its
     larger neighbours, then its smaller ones, to the smallest node it knows. Both are a minimum by key and a join, so
-    a node with very many neighbours is never gathered. Rounds go on until the links no longer change;
+    a node with very many neighbours is never gathered, and `attach` keeps its links apart. Rounds go on until the links no longer change;
     if they still do after `most_rounds`, an error is raised.
     """
     edges = keep(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
     seen = None
     for _ in range(most_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a < b").distinct()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = attach(both.where("b > a"), least, ["a"], "n").select(F.col("m").alias("a"), "b").where("a < b").distinct()
         least = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(least, "b")
         small = small.select(F.col("m").alias("a"), "b").unionByName(small.select(F.col("m").alias("a"), F.col("a").alias("b"))).where("a < b").distinct()

@@ -1,13 +1,13 @@
 """Best-two-fit packing of tokenized documents into sequences of a fixed length.
 
-Documents become ids and an end id; only those longer than a sequence are cut. Pieces are dealt by a hash of
-(id, piece) to groups of a bounded mean size, and each group is packed by one task: fill a sequence greedily
+Documents become ids and an end id; only those longer than a sequence are cut. Pieces are dealt by a hash of their
+place in the table, so that repeated rows are spread too, to groups of a bounded mean size, and each group is packed by one task: fill a sequence greedily
 with the largest piece that fits, then put its smallest piece back if two unpacked pieces fill the widened gap
 more tightly. A group wastes at most its last sequence, so the count stays within one a group of packing all
 together. Full pieces need no packing and get a sequence each where they are cut.
 
-Edge cases: a null or empty text is its end id alone; repeated rows are packed each by itself; an empty table
-gives no rows; extra columns play no part.
+Edge cases: a null or empty text is its end id alone; a very long text is cut into full pieces, and only its last piece is packed; repeated
+rows and null ids are packed each by itself; an empty table gives no rows; extra columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -122,5 +122,5 @@ def best_two_fit(docs: DataFrame, tokenizer_path: str, end_id: int = 1, most: in
             seq[where], offset[where] = s + (group << 36), o
         return pd.DataFrame({id_col: pdf[id_col], "piece": pdf["piece"], "start": pdf["start"], "length": pdf["length"], "ids_crc32": pdf["ids_crc32"], "sequence_id": seq, "offset": offset})
 
-    dealt = cut.withColumn("pack_group", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(groups)))
+    dealt = cut.withColumn("pack_group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("pack_group").applyInPandas(run, schema)
