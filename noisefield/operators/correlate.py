@@ -4,7 +4,7 @@ channels: timestamp, nsl_id, component, data (array of doubles). Traces and spec
 are formed; records are cut into windows inside the task.
 
 Stations are dealt into blocks of neighbouring numbers, and a task gets a tile: two blocks at one timestamp. A trace or
-spectrum is sent once to each tile that its block is in and has pairs, not once a pair; the tile correlates its pairs by matrix products,
+spectrum is sent once to each tile that its block is in and has pairs, not once a pair; the tile correlates its pairs,
 sums over steps and returns lags. What is shuffled grows with stations times blocks; a tile's memory is bounded by `TILE_BYTES`, which
 sets the stations of a block.
 """
@@ -153,8 +153,8 @@ def plain_spectra(channels: DataFrame, length: int, delta: float) -> DataFrame:
 #: Bytes of the traces or spectra of a tile, on average, and most stations of a block.
 TILE_BYTES, MOST_BLOCK = 64 << 20, 64
 
-#: From source and receiver arrays (channel, step, number), and the wanted (source, receiver) places: lags of each, summed over steps.
-Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+#: From an array (channel, step, number) and the places of sources and receivers in it: the lags of each pair, summed over steps.
+Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
 def _tiles(rows: DataFrame, paths: DataFrame, carry: list[str], station_bytes: int, half: int, kernel: Kernel) -> DataFrame:
@@ -193,7 +193,7 @@ def _tiles(rows: DataFrame, paths: DataFrame, carry: list[str], station_bytes: i
         p, q = begin[: len(src)][pair] + turn // np.maximum(n_rec[pair], 1), begin[len(src) :][pair] + turn % np.maximum(n_rec[pair], 1)
         common = (there[p] * there[q]).sum(axis=1)
         p, q, pair, common = (v[common > 0] for v in (p, q, pair, common))
-        lags = kernel(x, x, p, q) / common[:, None] if len(p) else np.zeros((0, 2 * half + 1))
+        lags = kernel(x, p, q) / common[:, None] if len(p) else np.zeros((0, 2 * half + 1))
         slots = channel[p, 1] * 3 + channel[q, 1]
         when = t.column("timestamp").take(pa.array(np.zeros(len(p), np.int64)))
         return pa.Table.from_arrays([when, pa.array(path[pair]), pa.array(slots, pa.int32()), pa.array(common.astype(np.int64)), lists(lags)], names=["timestamp", "path_id", "slot", "steps", "data"])
@@ -219,11 +219,11 @@ def _blocks(p: np.ndarray, most: int) -> Iterator[slice]:
 def correlate_direct(channels: DataFrame, paths: DataFrame, half: int, dt: float = 1.0, samples: int = 64) -> DataFrame:
     """Correlations in the time domain: timestamp, path_id, slot, data; dt * sum over t of source[t] * receiver[t + lag]. samples: numbers in a trace."""
 
-    def kernel(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    def kernel(x: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         n = x.shape[-1]
         out = np.zeros((len(p), 2 * half + 1))
         for s in _blocks(p, 4096):
-            a, b = x[p[s], 0], y[q[s], 0]
+            a, b = x[p[s], 0], x[q[s], 0]
             for lag in range(-min(half, n - 1), min(half, n - 1) + 1):
                 out[s, lag + half] = dt * np.einsum("ij,ij->i", a[:, max(-lag, 0) : n - max(lag, 0)], b[:, max(lag, 0) : n - max(-lag, 0)])
         return out
@@ -235,10 +235,10 @@ def correlate_direct(channels: DataFrame, paths: DataFrame, half: int, dt: float
 def correlate_spectra(spec: DataFrame, paths: DataFrame, half: int, length: int, delta: float, steps: int = 1) -> DataFrame:
     """Mean over steps of the correlations from spectra: timestamp, path_id, slot, steps, data. steps: those of a record, by which blocks are sized."""
 
-    def kernel(x: np.ndarray, y: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    def kernel(x: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
         out = np.zeros((len(p), 2 * half + 1))
         for s in _blocks(p, max(1, (16 << 20) // (16 * max(x.shape[1] * x.shape[2], 1)))):
-            cross = np.einsum("psf,psf->pf", np.conj(x[p[s]]), y[q[s]])
+            cross = np.einsum("psf,psf->pf", np.conj(x[p[s]]), x[q[s]])
             out[s] = S.correlation(np.ones(1), cross, half, length, delta)
         return out
 
