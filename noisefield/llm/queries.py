@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprints, lengths, mixing, near, packing, quality, shards, suffix, toxicity
+from . import chat, fingerprints, lengths, mixing, near, packing, quality, shards, suffix, tokenfile, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -244,6 +244,16 @@ from documents d left join c on c.doc_id = d.doc_id join (select a, min(b) compo
 """
 
 
+# 13 --------------------------------------------------------------------------------------------------------------
+
+FILE_TOKENIZER, FILE_END = "byte_bpe_50k.json", 2
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = tokenfile.token_files(_docs(spark, sf_dir), public_tokenizers.path(FILE_TOKENIZER), FILE_END)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": op1_mix_sources,
@@ -256,6 +266,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_shards": op8_shards,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_token_lengths": op10_token_lengths,
+        "op13_token_files": op13_token_files,
     }
 
 
