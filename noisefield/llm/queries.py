@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, fingerprints, lengths, mixing, near, packing, quality, shards, suffix, tokenfile, toxicity
+from . import chat, divergence, fingerprints, lengths, mixing, near, packing, periods, quality, shards, suffix, tokenfile, toxicity
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -244,6 +244,83 @@ from documents d left join c on c.doc_id = d.doc_id join (select a, min(b) compo
 """
 
 
+# 11 --------------------------------------------------------------------------------------------------------------
+
+
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_docs(spark, sf_dir))
+
+
+DIVERGENCE_SQL = """
+with d as (
+  select row_number() over () r, coalesce(lang, '') lang, coalesce(source, '') source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+w as (select r, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) term from d),
+c as (select lang, source, term, count(*) n, count(distinct r) docs from w group by all),
+k as (select lang, term, sum(n) total from c group by all having sum(docs) >= 10),
+v as (select lang, count(*) v, sum(total) whole from k group by all),
+g as (select distinct lang, source from d),
+a as (select g.lang, g.source, k.term, k.total, coalesce(c.n, 0) n from g join k on k.lang = g.lang left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+s as (select lang, source, sum(n) own from a group by all),
+p as (select a.lang, a.source, a.term, a.n, 1 + 1000000000::hugeint * (a.n + 2) // (own + 2 * v) p, 1 + 1000000000::hugeint * (total + 2) // (whole + 2 * v) q
+      from a join s on s.lang = a.lang and s.source = a.source join v on v.lang = a.lang),
+f as (select x.lang, x.source, y.source item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) value from p x join p y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by all),
+o as (select x.lang, x.source, 'pair' part, y.source item, coalesce(value, 0)::bigint value from g x join g y on x.lang = y.lang and x.source <> y.source
+      left join f on f.lang = x.lang and f.source = x.source and f.item = y.source
+      union all select lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::bigint from p where n > 0 and p > q),
+z as (select *, row_number() over (partition by lang, source, part order by value desc, item)::int rank from o)
+select * from z where part = 'pair' or rank <= 10
+"""
+
+
+# 12 --------------------------------------------------------------------------------------------------------------
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where one document in ten is periodic from some word on, all of it set by the check sum of its id (of a null id: by 0)."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words")).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n"))).withColumn("p", F.floor((F.col("n") - F.col("a")) / (F.col("g") % 8 + 3)) + 1)
+    source = lambda i: F.when(i >= F.col("a"), F.col("a") + (i - F.col("a")) % F.col("p")).otherwise(i)
+    made = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", source(i).cast("int"))), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(planted(_docs(spark, sf_dir))).withColumn("best", periods.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    of = F.col("best")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), of["start"].alias("start"), of["length"].alias("length"), of["period"].alias("period"),
+        F.call_function("div", of["length"] * 1000, of["period"]).alias("exponent_milli"), F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+# Equal windows of eight words at two places i and i + q; stretches of such i are runs of period q, the smallest of those that share start and length.
+PERIODS_SQL = """
+with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') ws,
+             list_prepend(4294967295, flatten(list_transform(string_split(doc_id::varchar, ''), x -> [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))) bits from documents),
+h as (select doc_id, ws, len(ws) n, xor(4294967295, list_reduce(bits, (c, x) -> case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) h from t),
+g as (select *, h // 10 g, (h // 10) % greatest(n, 1) a from h),
+m as (select doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n), lambda i: ws[1 + case when i >= a then a + (i - a) % (1 + (n - a) // (3 + g % 8)) else i end]) else ws end ws from g),
+w as (select doc_id, unnest(ws) w, unnest(range(n)) i from m),
+k as (select doc_id, n, i, md5_number(concat_ws(' ', w, lead(w, 1) over d, lead(w, 2) over d, lead(w, 3) over d, lead(w, 4) over d, lead(w, 5) over d, lead(w, 6) over d, lead(w, 7) over d)) key
+      from w join (select doc_id, n from m) using (doc_id) window d as (partition by doc_id order by i)),
+e as (select x.doc_id, x.i, y.i - x.i q from k x join k y on x.doc_id = y.doc_id and x.key = y.key and x.i < y.i where x.i + 8 <= x.n and y.i + 8 <= y.n and 3 * (y.i - x.i) <= x.n),
+s as (select doc_id, q, i - row_number() over (partition by doc_id, q order by i) island, i from e),
+r as (select doc_id, q, min(i) start, count(*) + 7 + q length from s group by doc_id, q, island having count(*) + 7 + q >= greatest(24, 3 * q)),
+u as (select doc_id, start, length, min(q) period from r group by doc_id, start, length),
+b as (select doc_id, count(*) n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) lines from u group by doc_id),
+o as (select *, row_number() over (partition by doc_id order by length / period desc, start, period) k from u),
+x as (select w.doc_id, w.i, w.w from w left join u on u.doc_id = w.doc_id and w.i >= u.start + u.period and w.i < u.start + u.length group by all having count(u.start) = 0),
+c as (select doc_id, string_agg(w, ' ' order by i) kept from x group by doc_id)
+select m.doc_id, coalesce(n_runs, 0)::bigint n_runs, start::bigint start, length::bigint length, period::bigint period, (1000 * length // period)::bigint exponent_milli,
+  sha256(coalesce(lines, '')) runs_sha256, sha256(coalesce(kept, '')) collapsed_sha256
+from m left join b on b.doc_id = m.doc_id left join o on o.doc_id = m.doc_id and o.k = 1 left join c on c.doc_id = m.doc_id
+"""
+
+
 # 13 --------------------------------------------------------------------------------------------------------------
 
 FILE_TOKENIZER, FILE_END = "byte_bpe_50k.json", 2
@@ -266,9 +343,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_shards": op8_shards,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_token_lengths": op10_token_lengths,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_periodic_runs": op12_periodic_runs,
         "op13_token_files": op13_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": MIX_SQL, "op2_format_chats": CHAT_SQL, "op3_quality_rules": _quality_sql(), "op7_cut_repeats": REPEATS_SQL, "op9_near_duplicates": NEAR_SQL}
+    return {"op1_mix_sources": MIX_SQL, "op2_format_chats": CHAT_SQL, "op3_quality_rules": _quality_sql(), "op7_cut_repeats": REPEATS_SQL, "op9_near_duplicates": NEAR_SQL, "op11_source_divergence": DIVERGENCE_SQL, "op12_periodic_runs": PERIODS_SQL}
