@@ -300,8 +300,8 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Equal windows of eight words at two places i and i + q; stretches of such i are runs of period q, the smallest of those that share start and length.
 PERIODS_SQL = """
 with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') ws,
-             list_prepend(4294967295, flatten(list_transform(string_split(doc_id::varchar, ''), x -> [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))) bits from documents),
-h as (select doc_id, ws, len(ws) n, xor(4294967295, list_reduce(bits, (c, x) -> case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) h from t),
+             list_prepend(4294967295, flatten(list_transform(string_split(doc_id::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))) bits from documents),
+h as (select doc_id, ws, len(ws) n, xor(4294967295, list_reduce(bits, lambda c, x: case when x >= 0 then xor(c, x) when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) h from t),
 g as (select *, h // 10 g, (h // 10) % greatest(n, 1) a from h),
 m as (select doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n), lambda i: ws[1 + case when i >= a then a + (i - a) % (1 + (n - a) // (3 + g % 8)) else i end]) else ws end ws from g),
 w as (select doc_id, unnest(ws) w, unnest(range(n)) i from m),
