@@ -188,8 +188,8 @@ SUPPLIER_BASE = 1_000_000_000
 
 
 def _distances_sql(source: str) -> str:
-    """gcarc_deg, azimuth_deg, back_azimuth_deg and distance_km ty other formulas than the library's: spherical trigonometry on geocentric latitudes,
-    and the section ellipse in its own axes, its arc ty Simpson's rule over the eccentric anomaly."""
+    """gcarc_deg, azimuth_deg, back_azimuth_deg and distance_km by other formulas than the library's: spherical trigonometry on geocentric latitudes,
+    and the section ellipse in its own axes, its arc by Simpson's rule over the eccentric anomaly."""
     f = 1 / 298.257223563
     e2 = f * (2 - f)
     radius = 6378.137
