@@ -93,3 +93,16 @@ def test_damaged_files_are_errors(tmp_path):
             f.write(cut)
         with pytest.raises(ValueError, match="seek table|short|directory"):
             tokenfile.FrameReader(path)
+
+
+def test_pieces_stay_right_when_few_are_kept(tok, monkeypatch):
+    monkeypatch.setattr(_pieces, "PIECES_KEPT", 40)
+    monkeypatch.setattr(_pieces, "PASS_BYTES", 300)
+    monkeypatch.setattr(_pieces, "PART_BYTES", 100)
+    monkeypatch.setattr(_pieces, "_known", {})
+    rng = random.Random(3)
+    words = [f"{rng.choice('abcdef')}{k}".replace("7", "é") for k in range(60)]
+    texts = [" ".join(rng.choice(words[: 4 if k % 3 else 60]) + rng.choice(["", "", ",", ".", "!)"]) for _ in range(rng.randrange(60))) for k in range(200)]
+    got = [ids[a:z].tolist() for _, ids, at in _pieces.encode(pa.array(texts), PATH, 2) for a, z in zip(at[:-1], at[1:], strict=True)]
+    assert got == [[*tok.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert len(_pieces._known[PATH].pieces) < 100
