@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import arrays as A
 from ..operators import correlate, gather, inventory, lookup, pairs, rotate, stack
+from ..sources import tables
 from ..streaming import incremental
 from .shared import scratch
 
@@ -263,6 +264,48 @@ def pairs_retained_stations(spark, sf_dir):
     return pairs.retained(s, pairs.station_pairs(s, distance_km=(0.0, 1450.0), id_base=SUPPLIER_BASE)).select("nsl_id", "lat", "lon")
 
 
+def _pair_lines(spark, sf_dir):
+    """Lines of a table of allowed pairs put together from orders: both forms, and lines with faults."""
+    k, a, b = F.col("o_orderkey"), F.col("o_custkey") % 40 + 1, F.col("o_orderkey") % 37 + 1
+    src, rec = F.when(k % 13 == 0, F.greatest(a, b)).otherwise(F.least(a, b)), F.when(k % 13 == 0, F.least(a, b)).otherwise(F.greatest(a, b))
+    km = F.format_string("%.1f", ((k % 50 + 1) * 111).cast("double"))
+    start = F.concat_ws("\t", F.when(k % 17 == 0, F.lit("x")).otherwise((src * 10000 + rec).cast("string")), src, rec, F.lit("g1"), F.lit("g2"))
+    angles = F.concat_ws("\t", (k % 360).cast("string"), (k % 90).cast("string"))
+    line = F.when(k % 19 == 0, start).when(k % 2 == 0, F.concat_ws("\t", start, (k % 180).cast("string"), km, angles)).otherwise(F.concat_ws("\t", start, km, angles))
+    return table(spark, sf_dir, "orders").select(F.when(k % 23 == 0, F.concat(F.lit("# "), line)).otherwise(line).alias("value"))
+
+
+PAIR_LINES = """
+l0 as (select o_orderkey k, o_custkey % 40 + 1 a, o_orderkey % 37 + 1 b from orders where o_orderkey % 23 <> 0),
+l1 as (select k, case when k % 13 = 0 then greatest(a, b) else least(a, b) end src_id, case when k % 13 = 0 then least(a, b) else greatest(a, b) end rec_id, ((k % 50 + 1) * 111)::double km from l0),
+l2 as (select *, case when k % 19 = 0 then 'short' when k % 17 = 0 then 'malformed' when src_id > rec_id then 'not_canonical' end fault, case when k % 2 = 0 then (k % 180)::double else km / 111.195 end arc from l1),
+l3 as (select * from (select *, row_number() over (partition by src_id, rec_id order by arc, km, k % 360, k % 90) r from l2 where fault is null) where r = 1)
+"""
+
+
+@query(f"with {PAIR_LINES} select (src_id * 10000 + rec_id)::bigint path_id, round(arc, 6) + 0.0 gcarc_deg, km distance_km, (k % 360)::double azimuth_deg, (k % 90)::double back_azimuth_deg from l3")
+def pair_table(spark, sf_dir):
+    """The pairs of a given table: faulty lines left out, each pair once."""
+    got = tables.allowed_pairs(tables.parse_pairs(_pair_lines(spark, sf_dir)))
+    return got.select("path_id", rounded(F.col("gcarc_deg")).alias("gcarc_deg"), "distance_km", "azimuth_deg", "back_azimuth_deg")
+
+
+@query(f"with {PAIR_LINES} select f.fault, count(l2.fault)::bigint lines from (values ('short'), ('malformed'), ('not_canonical')) f(fault) left join l2 on l2.fault = f.fault group by 1")
+def pair_table_faults(spark, sf_dir):
+    return tables.pair_faults(tables.parse_pairs(_pair_lines(spark, sf_dir)))
+
+
+@query(
+    f"""with {PAIR_LINES}, q as (select l_orderkey, l_linenumber, l_partkey % 45 + 1 s, l_suppkey % 45 + 1 r from lineitem)
+    select l_orderkey, l_linenumber, (l3.src_id * 10000 + l3.rec_id)::bigint path_id, q.s > q.r reversed, km distance_km from q join l3 on least(q.s, q.r) = l3.src_id and greatest(q.s, q.r) = l3.rec_id"""
+)
+def pair_table_lookup(spark, sf_dir):
+    """Asked pairs found in a given table in either order."""
+    asked = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 45 + 1).alias("s"), (F.col("l_suppkey") % 45 + 1).alias("r"))
+    allowed = tables.allowed_pairs(tables.parse_pairs(_pair_lines(spark, sf_dir)))
+    return tables.find_pairs(asked, allowed, "s", "r").select("l_orderkey", "l_linenumber", "path_id", "reversed", "distance_km")
+
+
 # Conditioning ----------------------------------------------------------------------------------------------------
 
 _KEY = "timestamp, nsl_id, component"

@@ -56,6 +56,7 @@ class RunConfig:
     time_end: str | None = None
     time_list: str | None = None
     geometry: str | None = None
+    pair_table: str | None = None
     record_seconds: float = 86400.0
     window_seconds: float = 3600.0
     shift_seconds: float | None = None
@@ -123,7 +124,7 @@ SECTIONS = {
     "time": ("time_start", "time_end", "time_list"),
     "geometry": ("geometry",),
     "spectra": ("record_seconds", "window_seconds", "shift_seconds", "delta", "bands", "normalize", "whiten", "skip_steps", "phase_only"),
-    "pairs": ("max_lag_seconds", "distance_km", "azimuth_deg", "group_pairs", "autocorr"),
+    "pairs": ("pair_table", "max_lag_seconds", "distance_km", "azimuth_deg", "group_pairs", "autocorr"),
     "stack": ("stack_flag", "pre_stack_size", "tf_band", "tf_taper_hz"),
     "output": ("unpack", "unpack_target", "output"),
 }

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import difflib
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import arrays as A
 from ..operators import correlate, inventory, lookup, pairs, rotate, stack
@@ -71,10 +71,8 @@ class Run:
             counts = nodes.agg(F.count_if("updated"), F.count_if("conflict")).first()
             changed = dict(zip(changed, counts, strict=True))
             nodes = nodes.drop("updated", "conflict")
-        full = c.azimuth_deg[0] <= 0 and c.azimuth_deg[1] >= 360
-        p = pairs.station_pairs(nodes, c.group_pairs, c.autocorr, c.distance_km, None if full else [c.azimuth_deg])
         self._write(nodes, "stations")
-        self._write(p, "pairs")
+        changed |= self._write_pairs(self.table("stations"))
         inventory.require_rows(self.table("pairs"), "pairs")
         kept = pairs.retained(self.table("stations"), self.table("pairs"))
         keys = ["group", "network", "station", "location"]
@@ -84,6 +82,20 @@ class Run:
         facts = {"stations": stations.count(), "stations_without_coordinates": stations.where("lat is null or lon is null").count(), "stations_in_pairs": kept.count(), "pairs": self.table("pairs").count(), "channels": channels.count(), "timestamps": self.table("timestamps").count()}
         tables.write_summary(self.spark, self.path("inventory.json"), facts | changed | {"sources": [s.path for s in c.sources]})
 
+    def _write_pairs(self, nodes: DataFrame) -> dict[str, int]:
+        """The pairs of the stations: those of a given table, as they stand there, or all that pass the filters. Returns what a table's lines were, counted as they are read."""
+        c = self.config
+        if not c.pair_table:
+            full = c.azimuth_deg[0] <= 0 and c.azimuth_deg[1] >= 360
+            self._write(pairs.station_pairs(nodes, c.group_pairs, c.autocorr, c.distance_km, None if full else [c.azimuth_deg]), "pairs")
+            return {}
+        seen = Observation()
+        lines = tables.pair_file(self.spark, c.pair_table).observe(seen, F.count(F.lit(1)).alias("pair_lines"), *(F.count_if(F.col("fault") == x).alias(f"pair_lines_{x}") for x in tables.PAIR_FAULTS))
+        ends = {p: nodes.select(F.col("nsl_id").alias(f"{p}_id"), F.col("group").alias(f"{p}_group")) for p in ("src", "rec")}
+        known = tables.allowed_pairs(lines).drop("src_group", "rec_group").join(F.broadcast(ends["src"]), "src_id").join(F.broadcast(ends["rec"]), "rec_id")  # at most 9999 stations
+        self._write(known.select("path_id", *(F.col(x).cast("int").alias(x) for x in ("src_id", "rec_id")), *(x for x in tables.PAIR_COLUMNS[3:])), "pairs")
+        return dict(seen.get)
+
     def spectra(self) -> None:
         """Traces of the channels, cut or padded to the record's length, to conditioned spectra."""
         c = self.config

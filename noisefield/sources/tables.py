@@ -1,4 +1,4 @@
-"""Small text tables: station coordinates, station lists, time lists, and the tables of a finished run."""
+"""Text tables: station coordinates, station lists, time lists, tables of allowed pairs, and the tables of a finished run."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.inventory import read_time
+from ..operators.pairs import ID_BASE
 from . import store
 
 # The columns of a record index file, in its order.
@@ -57,6 +58,62 @@ def times(spark: SparkSession, path: str) -> DataFrame:
     return t.select("timestamp", F.assert_true(F.col("timestamp").isNotNull(), F.concat(F.lit("not a time: "), "text")).alias("_")).drop("_")
 
 
+# The columns of a table of allowed pairs, the shorter form without the angle, and the kilometres of a degree that it is then taken from.
+PAIR_COLUMNS = "path_id src_id rec_id src_group rec_group gcarc_deg distance_km azimuth_deg back_azimuth_deg".split()
+KM_A_DEGREE = 111.195
+#: Why a line of such a table is not used.
+PAIR_FAULTS = ("short", "malformed", "not_canonical")
+PAIR_SCHEMA = "path_id long, src_id long, rec_id long, src_group string, rec_group string, gcarc_deg double, distance_km double, azimuth_deg double, back_azimuth_deg double"
+
+
+def parse_pairs(lines: DataFrame, column: str = "value", base: int = ID_BASE) -> DataFrame:
+    """Lines of a table of allowed pairs as PAIR_SCHEMA and `fault`, null where the pair may be used.
+
+    Fields are parted by tabs, of which several in a row count as one. Nine fields are PAIR_COLUMNS; eight lack the angle. Blank lines, comments from
+    # on and the header are no rows. `short` lines have fewer fields; in `malformed` ones a number cannot be read; of pairs that are
+    `not_canonical` the id is not src * base + rec, or not above 0, or the source has the larger number."""
+    line = F.rtrim(F.translate(F.col(column), "\r", ""))
+    rows = lines.where((F.trim(line) != "") & ~line.startswith("#") & ~line.startswith("path_id")).select(F.filter(F.split(line, "\t+"), lambda x: x != "").alias("f"))
+    n = F.size("f")
+    number = lambda k, kind: F.expr(f"try_cast(trim(get(f, {k})) as {kind})")
+    last = lambda back: F.try_element_at("f", F.when(n >= 9, 10 - back).otherwise(9 - back)).try_cast("double")
+    read = rows.select(
+        n.alias("n"), *(number(k, "bigint").alias(c) for k, c in enumerate(PAIR_COLUMNS[:3])), *(F.get("f", k).alias(c) for k, c in enumerate(PAIR_COLUMNS[3:5], 3)),
+        F.when(n >= 9, number(5, "double")).otherwise(last(3) / KM_A_DEGREE).alias("gcarc_deg"), *(last(3 - k).alias(c) for k, c in enumerate(PAIR_COLUMNS[6:])),
+    )
+    unread = F.greatest(*(F.col(c).isNull() for c in PAIR_COLUMNS))
+    canonical = (F.col("path_id") > 0) & (F.col("src_id") <= F.col("rec_id")) & (F.col("rec_id") < base) & (F.col("path_id") == F.col("src_id") * base + F.col("rec_id"))
+    fault = F.when(F.col("n") < 8, PAIR_FAULTS[0]).when(unread, PAIR_FAULTS[1]).when(~canonical, PAIR_FAULTS[2])
+    return read.select(*PAIR_COLUMNS, fault.alias("fault"))
+
+
+def allowed_pairs(parsed: DataFrame) -> DataFrame:
+    """The pairs that may be used, each once; of lines with one id that with the least values stays."""
+    least = F.min(F.struct(*PAIR_COLUMNS[3:]))
+    return parsed.where("fault is null").groupBy(*PAIR_COLUMNS[:3]).agg(least.alias("_x")).select(*PAIR_COLUMNS[:3], "_x.*")
+
+
+def pair_faults(parsed: DataFrame) -> DataFrame:
+    """fault, lines; a row for every fault, also where there is none of it."""
+    each = F.array(*(F.struct(F.lit(x).alias("fault"), F.count_if(F.col("fault") == x).alias("lines")) for x in PAIR_FAULTS))
+    return parsed.agg(each.alias("x")).select(F.inline("x"))
+
+
+def find_pairs(asked: DataFrame, allowed: DataFrame, src: str = "src_id", rec: str = "rec_id", base: int = ID_BASE) -> DataFrame:
+    """The rows of `asked` whose two stations are an allowed pair in either order: path_id, its geometry, and `reversed` where it is the other way round.
+
+    Both orders have one canonical id, so this is one equi-join."""
+    a, b = F.col(src).cast("long"), F.col(rec).cast("long")
+    key = F.least(a, b) * base + F.greatest(a, b)
+    own = [c for c in PAIR_COLUMNS[5:] if c not in asked.columns]
+    return asked.withColumn("path_id", key).join(allowed.select("path_id", *own), "path_id").withColumn("reversed", a > b)
+
+
+def pair_file(spark: SparkSession, path: str, base: int = ID_BASE) -> DataFrame:
+    """`parse_pairs` of a file or folder."""
+    return parse_pairs(spark.read.text(path), base=base)
+
+
 def found_indexes(spark: SparkSession, place: str, name: str = "record_index.tsv") -> list[str]:
     """The record indexes at a place: a file of that kind itself, one in the folder, or one in each folder below; a list file (.txt) names them a line each."""
     if place.endswith(".txt"):
