@@ -1,9 +1,9 @@
 """Stacks over time of the correlations of a pair and slot.
 
 All three are sums. The linear stack is an aggregate of each lag. The phase-weighted stacks first sum records in time order in
-chunks of `size`; each chunk then gives its sum and its counted unit phasors, which are summed by key in Arrow batches before they are shuffled,
-and the stack is finished from the sums. For the time-frequency stack the key has a block of frequencies too, so no task holds
-all chunks of a pair, nor all frequencies of a chunk.
+chunks of `size`. The chunks of a key go to one task, batch by batch; there each gives its counted unit phasors, of which only the sums
+are held, and the stack is finished from them: what is shuffled are chunks, never phasors. For the time-frequency stack a key has a block of
+frequencies too, so a task holds the phasors of one block, and a chunk is sent once to each block. `streaming.incremental` adds records to the same sums as they come in.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -33,94 +32,132 @@ def chunks(ncf: DataFrame, size: int, width: int) -> DataFrame:
     return sum_arrays(ncf.join(number, [*KEYS, "timestamp"]), [*KEYS, "chunk"], width, "count")
 
 
-def _per_batch(df: DataFrame, made, schema: str) -> DataFrame:
-    """A function of each non-empty batch's keys and arrays."""
+class Phases:
+    """The phase-weighted stack of a key: the mean of the records times the coherence of the chunks' phases, sample by sample."""
+
+    firsts: tuple[int, ...] = (0,)
+
+    def __init__(self, width: int) -> None:
+        self.width = width
+
+    def shape(self, first: int) -> tuple[int, ...]:
+        return (self.width,)
+
+    def phasors(self, x: np.ndarray, count: np.ndarray, first: int) -> np.ndarray:
+        """The unit phasors of the sums of chunks, counted and added up."""
+        z, count = S.analytic(x), count[:, None]
+        # the means of the chunks have the phases of their sums
+        return (z / np.maximum(np.abs(z), 1e-7 * count) * count).sum(axis=0)
+
+    def finish(self, total: np.ndarray, n: int, sums: np.ndarray, first: int) -> np.ndarray:
+        return total / n * np.abs(sums) / n
+
+
+#: Frequencies in a block, and chunks whose local spectra are held at once.
+BLOCK, AT_ONCE = 64, 16
+
+
+class LocalPhases(Phases):
+    """The time-frequency stack, block by block of frequencies: the mean's local spectrum weighted by the coherence of the chunks' local phases.
+
+    What a block gives is its part of the stack's spectrum, real parts before imaginary ones; the first number -1 stands for the mean's own spectrum, which
+    stays outside `band`."""
+
+    def __init__(self, width: int, delta: float = 1.0, band: tuple[float, float] | None = None, taper: float | None = None, zero_shift_gain: float = 1.0, scale: float = 0.1) -> None:
+        super().__init__(width)
+        self.half, self.gain, self.scale = width // 2 + 1, zero_shift_gain, scale
+        self.alpha = S.band_share(width, delta, band, taper)
+        self.firsts = (-1, *(k for k in range(0, self.half, BLOCK) if self.alpha[k : k + BLOCK].any()))
+
+    def _range(self, first: int) -> slice:
+        return slice(0, self.half) if first < 0 else slice(first, min(first + BLOCK, self.half))
+
+    def shape(self, first: int) -> tuple[int, ...]:
+        return (0,) if first < 0 else (self._range(first).stop - first, self.width)
+
+    def _local(self, x: np.ndarray, first: int) -> np.ndarray:
+        return S.s_transform(S.positive(np.fft.fft(x)), first, self._range(first).stop, self.scale, self.gain)
+
+    def phasors(self, x: np.ndarray, count: np.ndarray, first: int) -> np.ndarray:
+        out = np.zeros(self.shape(first), complex)
+        for k in range(0, len(x) if first >= 0 else 0, AT_ONCE):
+            z = self._local(x[k : k + AT_ONCE], first)
+            size = np.abs(z)
+            out += (z / np.where(size <= 1e-7, 1.0, size) * count[k : k + AT_ONCE, None, None]).sum(axis=0)
+        return out
+
+    def finish(self, total: np.ndarray, n: int, sums: np.ndarray, first: int) -> np.ndarray:
+        held = self._range(first)
+        own = S.positive(np.fft.fft(total / n))[held]
+        if first >= 0:
+            z = (self._local(total[None] / n, first)[0] * (np.abs(sums) / n)).sum(axis=-1)
+            own = own * (1 - self.alpha[held]) + z * self.alpha[held]
+        return np.concatenate([own.real, own.imag])
+
+    def whole(self, pieces: dict[int, np.ndarray]) -> np.ndarray:
+        """The stack from the parts of its spectrum."""
+        out = np.zeros(self.width, complex)
+        for first in sorted(pieces):
+            re, im = np.split(np.asarray(pieces[first], float), 2)
+            out[self._range(first)] = re + 1j * im
+        return np.fft.ifft(out).real
+
+
+class PhaseSums:
+    """What a stack needs of the records so far: their number, that of the chunks, and the sums of both and of the phasors."""
+
+    def __init__(self, how: Phases, first: int = 0) -> None:
+        self.how, self.first, self.n, self.chunks = how, first, 0, 0
+        self.total, self.sums = np.zeros(how.width), np.zeros(how.shape(first), complex)
+
+    def add(self, x: np.ndarray, count: np.ndarray) -> None:
+        """Sums of chunks, and their numbers of records."""
+        self.n, self.chunks = self.n + int(count.sum()), self.chunks + len(x)
+        self.total = self.total + x.sum(axis=0)
+        self.sums = self.sums + self.how.phasors(x, count, self.first)
+
+    def stack(self) -> np.ndarray:
+        return self.how.finish(self.total, self.n, self.sums, self.first)
+
+
+PIECES = "path_id long, slot int, first int, n long, chunks int, data array<double>"
+
+
+def weighted_pieces(parts: DataFrame, how: Phases) -> DataFrame:
+    """PIECES of each key from its chunks, a row for each of `how.firsts`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, key = None, None
         for b in batches:
             if len(b):
-                yield from made(b)
-
-    return df.mapInArrow(run, schema)
+                if sums is None:
+                    key = [b.column(c).slice(0, 1) for c in (*KEYS, "first")]
+                    sums = PhaseSums(how, key[2][0].as_py())
+                sums.add(rows_of(b, "data"), b.column("count").to_numpy().astype(float))
+        if sums is not None:
+            yield pa.RecordBatch.from_arrays([*key, pa.array([sums.n], pa.int64()), pa.array([sums.chunks], pa.int32()), lists(sums.stack()[None])], [*KEYS, "first", "n", "chunks", "data"])
 
+    sent = parts.withColumn("first", F.explode(F.array(*map(F.lit, how.firsts)))).select(*KEYS, "first", "count", "data")
+    return sent.groupBy(*KEYS, "first").applyInArrow(run, PIECES)
 
-def _totals(parts: DataFrame, width: int) -> DataFrame:
-    """path_id, slot, n (records), chunks and the sum of all records."""
-    t = sum_arrays(parts, KEYS, width, "chunks")
-    return t.join(parts.groupBy(*KEYS).agg(F.sum("count").alias("n")), KEYS)
 
+def assemble(pieces: DataFrame, how: LocalPhases) -> DataFrame:
+    """path_id, slot, n, chunks and data from the pieces of the time-frequency stack."""
 
-def phase_weighted_stack(ncf: DataFrame, size: int, width: int) -> DataFrame:
-    """The mean of the records times the coherence of the chunks' phases, sample by sample."""
-
-    def made(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        z = S.analytic(rows_of(b, "data"))
-        unit = z / np.maximum(np.abs(z), 1e-7)
-        count = b.column("count").to_numpy()[:, None]
-        # the means of the chunks have the phases of their sums
-        small = np.abs(z) < 1e-7 * count
-        unit = np.where(small, z / (1e-7 * count), unit)
-        yield pa.RecordBatch.from_arrays([b.column("path_id"), b.column("slot"), lists(np.concatenate([unit.real * count, unit.imag * count], 1))], [*KEYS, "phasors"])
+    def run(t: pa.Table) -> pa.Table:
+        data = how.whole(dict(zip(t.column("first").to_pylist(), t.column("data").to_pylist(), strict=True)))
+        one = t.slice(0, 1).combine_chunks()
+        return pa.Table.from_arrays([one.column(c) for c in (*KEYS, "n", "chunks")] + [lists(data[None])], [*KEYS, "n", "chunks", "data"])
 
-    parts = chunks(ncf, size, width)
-    phasors = sum_arrays(_per_batch(parts, made, "path_id long, slot int, phasors array<double>"), KEYS, 2 * width, "chunks_", "phasors").drop("chunks_")
-    both = _totals(parts, width).join(phasors, KEYS)
-    re, im = F.slice("phasors", 1, width), F.slice("phasors", width + 1, width)
-    coherence = F.zip_with(re, im, lambda a, b: F.sqrt(a * a + b * b) / F.col("n"))
-    return both.select(*KEYS, "n", F.col("chunks").cast("int").alias("chunks"), F.zip_with("data", coherence, lambda v, w: v / F.col("n") * w).alias("data"))
+    return pieces.groupBy(*KEYS).applyInArrow(run, "path_id long, slot int, n long, chunks int, data array<double>")
 
 
-#: Frequencies in a block.
-BLOCK = 64
+def phase_weighted_stack(ncf: DataFrame, size: int, width: int) -> DataFrame:
+    """path_id, slot, n, chunks and the mean of the records times the coherence of the chunks' phases, sample by sample."""
+    return weighted_pieces(chunks(ncf, size, width), Phases(width)).drop("first")
 
 
 def time_frequency_stack(ncf: DataFrame, size: int, width: int, delta: float = 1.0, band: tuple[float, float] | None = None, taper: float | None = None, zero_shift_gain: float = 1.0, scale: float = 0.1) -> DataFrame:
-    """The mean of the records, its local spectrum weighted by the coherence of the chunks' local phases; outside `band` the mean's spectrum stays."""
-    half = width // 2 + 1
-    alpha = S.band_share(width, delta, band, taper)
-    blocks = [(k, min(k + BLOCK, half)) for k in range(0, half, BLOCK) if alpha[k : k + BLOCK].any()]
-
-    def local(x: np.ndarray, first: int, last: int) -> np.ndarray:
-        return S.s_transform(S.positive(np.fft.fft(x)), first, last, scale, zero_shift_gain)
-
-    def phasors(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        x, count = rows_of(b, "data"), b.column("count").to_numpy()[:, None, None]
-        for first, last in blocks:
-            for k in range(0, len(b), 16):
-                z = local(x[k : k + 16], first, last)
-                size_ = np.abs(z)
-                unit = z / np.where(size_ <= 1e-7, 1.0, size_) * count[k : k + 16]
-                full = np.zeros((len(unit), 2, BLOCK, width))
-                full[:, 0, : last - first], full[:, 1, : last - first] = unit.real, unit.imag
-                rows = b.slice(k, 16)
-                yield pa.RecordBatch.from_arrays([rows.column("path_id"), rows.column("slot"), pa.array([first] * len(rows), pa.int32()), lists(full.reshape(len(full), -1))], [*KEYS, "first", "phasors"])
-
-    def weighted(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        x, n = rows_of(b, "data"), b.column("n").to_numpy().astype(float)
-        held = rows_of(b, "phasors").reshape(len(b), 2, BLOCK, width)
-        out = np.zeros((len(b), 2 * BLOCK))
-        for k, first in enumerate(b.column("first").to_pylist()):
-            last = min(first + BLOCK, half)
-            z = (local(x[k : k + 1] / n[k], first, last)[0] * (np.hypot(held[k, 0], held[k, 1])[: last - first] / n[k])).sum(axis=-1)
-            out[k, : last - first], out[k, BLOCK : BLOCK + last - first] = z.real, z.imag
-        yield pa.RecordBatch.from_arrays([b.column("path_id"), b.column("slot"), b.column("first"), lists(out)], [*KEYS, "first", "sums"])
-
-    def finish(key: tuple, total: pd.DataFrame, pieces: pd.DataFrame) -> pd.DataFrame:
-        if not len(total):
-            return pd.DataFrame(columns=[*KEYS, "n", "chunks", "data"])
-        n = int(total["n"].iloc[0])
-        own = S.positive(np.fft.fft(np.asarray(total["data"].iloc[0], float) / n))[:half]
-        for first, sums in zip(pieces["first"], pieces["sums"], strict=True):
-            s = slice(first, min(first + BLOCK, half))
-            z = np.asarray(sums, float)
-            own[s] = own[s] * (1 - alpha[s]) + (z[:BLOCK] + 1j * z[BLOCK:])[: s.stop - s.start] * alpha[s]
-        whole = np.zeros(width, complex)
-        whole[:half] = own
-        return pd.DataFrame({"path_id": [key[0]], "slot": [key[1]], "n": [n], "chunks": [int(total["chunks"].iloc[0])], "data": [np.fft.ifft(whole).real]})
-
-    parts = chunks(ncf, size, width)
-    totals = _totals(parts, width)
-    by = [*KEYS, "first"]
-    sums = sum_arrays(_per_batch(parts, phasors, "path_id long, slot int, first int, phasors array<double>"), by, 2 * BLOCK * width, "chunks_", "phasors").drop("chunks_")
-    pieces = _per_batch(sums.join(totals.drop("chunks"), KEYS), weighted, "path_id long, slot int, first int, sums array<double>")
-    return totals.groupBy(*KEYS).cogroup(pieces.groupBy(*KEYS)).applyInPandas(finish, "path_id long, slot int, n long, chunks int, data array<double>")
+    """path_id, slot, n, chunks and the mean of the records, its local spectrum weighted by the coherence of the chunks' local phases; outside `band` the mean's spectrum stays."""
+    how = LocalPhases(width, delta, band, taper, zero_shift_gain, scale)
+    return assemble(weighted_pieces(chunks(ncf, size, width), how), how)
