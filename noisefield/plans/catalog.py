@@ -766,6 +766,34 @@ def stream_incremental_stack(spark, sf_dir):
     return incremental.stack_of(spark, f"{folder}/sums", _CHANNEL_KEYS).withColumn("v", rounded(F.col("v")))
 
 
+def _record_stream(spark, sf_dir, folder, splits=3):
+    """The records of `ncf` as a stream of several files, one a batch, in the order of time."""
+    x = ncf(spark, sf_dir).select(F.col("timestamp").cast("long").alias("timestamp"), "path_id", "slot", "data")
+    x.write.parquet(f"{folder}/all")
+    x = spark.read.parquet(f"{folder}/all")
+    low, high = x.agg(F.min("timestamp"), F.max("timestamp")).first()
+    part = F.least(F.floor((F.col("timestamp") - low) * splits / (high - low + 1)), F.lit(splits - 1))
+    for k in range(splits):
+        x.where(part == k).coalesce(1).write.mode("append").parquet(f"{folder}/records")
+    return incremental.read_stream(spark, f"{folder}/records", x.schema, 1)
+
+
+@query(SQL["stack_pws"])
+def stream_phase_weighted_stack(spark, sf_dir):
+    """The phase-weighted stack from records that come in over several batches."""
+    folder, how = scratch(spark), stack.Phases(W)
+    incremental.materialize_weighted(_record_stream(spark, sf_dir, folder), how, 10, f"{folder}/updates", f"{folder}/progress").awaitTermination()
+    return correlate.lags_of(incremental.weighted_stack_of(spark, f"{folder}/updates", how), HALF, "path_id", "slot").withColumn("v", rounded(F.col("v"), 5))
+
+
+@query(SQL["stack_tfpws_band"])
+def stream_time_frequency_stack(spark, sf_dir):
+    """The time-frequency stack from records that come in over several batches."""
+    folder, how = scratch(spark), stack.LocalPhases(W, band=(0.1, 0.4), taper=0.05)
+    incremental.materialize_weighted(_record_stream(spark, sf_dir, folder, 2), how, 10, f"{folder}/updates", f"{folder}/progress").awaitTermination()
+    return correlate.lags_of(incremental.weighted_stack_of(spark, f"{folder}/updates", how), HALF, "path_id", "slot").withColumn("v", rounded(F.col("v"), 5))
+
+
 @query("select strftime(time_bucket(interval '6 hours', ts), '%Y-%m-%d %H:%M') as window_start, event_type, count(*)::bigint n from events group by 1, 2")
 def window_counts(spark, sf_dir):
     """Records of each kind in windows of six hours."""

@@ -6,6 +6,7 @@ import re
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
@@ -45,3 +46,27 @@ def listed(folder: str, suffix: str = "") -> list[str]:
     store, inner = filesystem(folder)
     head = folder[: -len(inner.lstrip("/"))] if "://" in folder and folder.endswith(inner.lstrip("/")) else ""
     return sorted(head + (x.path.lstrip("/") if head else x.path) for x in store.get_file_info(fs.FileSelector(inner, recursive=True)) if x.is_file and x.path.endswith(suffix))
+
+
+# Folders by Spark's own stores, on the driver ---------------------------------------------------------------------
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none where it does not exist."""
+    files, at = _hadoop(spark, path)
+    return sorted(x.getPath().getName() for x in files.listStatus(at) if x.isDirectory()) if files.exists(at) else []
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _hadoop(spark, path)
+    return bool(files.exists(at))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, at = _hadoop(spark, path)
+    files.delete(at, True)
