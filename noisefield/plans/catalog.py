@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ..functions import arrays as A
 from ..operators import correlate, gather, inventory, lookup, pairs, rotate, stack
 from ..sources import tables
-from ..streaming import incremental
+from ..streaming import incremental, indexes
 from .shared import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -794,6 +794,50 @@ def stream_time_frequency_stack(spark, sf_dir):
     return correlate.lags_of(incremental.weighted_stack_of(spark, f"{folder}/updates", how), HALF, "path_id", "slot").withColumn("v", rounded(F.col("v"), 5))
 
 
+#: Records of orders by a timestamp; marks of every seventh timestamp promise one record more than there is.
+_INDEX_SQL = """
+r as (select 't' || lpad((o_orderkey % 40)::varchar, 2, '0') as timestamp, (o_custkey % 30)::bigint path_id, (o_orderkey % 9)::int slot, o_orderkey::bigint record_offset from orders),
+i as (select timestamp, path_id, slot, min(record_offset) record_offset from r group by all)
+"""
+
+
+def _index_stream(spark, sf_dir, folder):
+    """Three files: records, marks and the other records, records once more."""
+    k = F.col("o_orderkey")
+    r = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("t"), F.lpad((k % 40).cast("string"), 2, "0")).alias("timestamp"), (F.col("o_custkey") % 30).cast("long").alias("path_id"), (k % 9).cast("int").alias("slot"),
+        F.lit("pack.sac").alias("record_path"), k.cast("long").alias("record_offset"), F.lit(700).cast("long").alias("bytes"), F.lit(None).cast("long").alias("expected"),
+    )
+    promised = F.count_distinct("path_id", "slot") + F.when(F.substring("timestamp", 2, 2).cast("int") % 7 == 0, 1).otherwise(0)
+    marks = r.groupBy("timestamp").agg(promised.alias("expected"))
+    parts = [r.where("record_offset % 5 < 3"), r.where("record_offset % 5 >= 3").unionByName(marks, allowMissingColumns=True), r.where("record_offset % 5 = 1").withColumn("record_offset", F.lit(-1).cast("long"))]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/rows")
+    return incremental.read_stream(spark, f"{folder}/rows", indexes.SCHEMA, 1)
+
+
+@query(f"with {_INDEX_SQL} select timestamp, path_id, slot, record_offset from i where substr(timestamp, 2)::int % 7 <> 0")
+def stream_record_index(spark, sf_dir):
+    """The indexes of finished timestamps from a stream of records and marks."""
+    folder = scratch(spark)
+    indexes.materialize(_index_stream(spark, sf_dir, folder), f"{folder}/made", f"{folder}/progress").awaitTermination()
+    return indexes.index_of(spark, f"{folder}/made").select("timestamp", "path_id", "slot", "record_offset")
+
+
+@query(f"""with {_INDEX_SQL}, l as (select 't' || lpad((o_orderkey % 40)::varchar, 2, '0') as timestamp, count(*)::bigint refused from orders where o_orderkey % 5 = 1 group by 1), n as (select timestamp, count(*)::bigint records from i group by 1),
+    a as (select timestamp, count(*)::bigint rows_ from r group by 1)
+    select a.timestamp, substr(a.timestamp, 2)::int % 7 <> 0 finished, records, case when substr(a.timestamp, 2)::int % 7 <> 0 then rows_ - records end repeated, case when substr(a.timestamp, 2)::int % 7 <> 0 then coalesce(refused, 0) else 0 end refused
+    from a join n on n.timestamp = a.timestamp left join l on l.timestamp = a.timestamp""")
+def stream_record_index_state(spark, sf_dir):
+    """What the stream of records and marks left: finished and open timestamps, repeated and refused records."""
+    folder = scratch(spark)
+    indexes.materialize(_index_stream(spark, sf_dir, folder), f"{folder}/made", f"{folder}/progress").awaitTermination()
+    done = indexes.closed(spark, f"{folder}/made").select("timestamp", F.lit(True).alias("finished"), "records", "repeated")
+    both = done.unionByName(indexes.unfinished(spark, f"{folder}/made").select("timestamp", F.lit(False).alias("finished"), "records"), allowMissingColumns=True)
+    late = indexes.refused(spark, f"{folder}/made").groupBy("timestamp").agg(F.count(F.lit(1)).alias("refused"))
+    return both.join(late, "timestamp", "left").select("timestamp", "finished", "records", "repeated", F.coalesce("refused", F.lit(0)).alias("refused"))
+
+
 @query("select strftime(time_bucket(interval '6 hours', ts), '%Y-%m-%d %H:%M') as window_start, event_type, count(*)::bigint n from events group by 1, 2")
 def window_counts(spark, sf_dir):
     """Records of each kind in windows of six hours."""

@@ -70,3 +70,12 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     files, at = _hadoop(spark, path)
     files.delete(at, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    files, at = _hadoop(spark, path)
+    out = files.create(at, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
