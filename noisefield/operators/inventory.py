@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -72,6 +73,23 @@ class PathPattern:
                 got = got.withColumn(name, F.lit(value))
         return got.withColumn("time", self._time()).drop("_rel")
 
+    def read(self, path: str) -> dict[str, object] | None:
+        """What `match` gives for one path, in Python: network, station, location, component and time; None if it does not match."""
+        home = self.home.rstrip("/") + "/"
+        found = re.match(re.sub(r"\\k<(\w+)>", r"(?P=\1)", self.regex.replace("(?<", "(?P<")), path[len(home) :]) if path.startswith(home) else None
+        if not found:
+            return None
+        held = found.groupdict()
+        number = lambda k: int(held.get(k) or 0)
+        year = number("YYYY") if "YYYY" in held else number("YY") + 2000
+        try:
+            day = datetime(year, number("MM"), number("DD")) if {"MM", "DD"} <= set(held) else datetime(year, 1, 1) + timedelta(days=number("JJJ") - 1)
+            time = day.replace(hour=number("HH"), minute=number("MI"))
+        except ValueError:
+            time = None
+        component = held.get("component") or held["channel"]
+        return {"network": held.get("network", DEFAULTS["network"]), "station": held["station"], "location": held.get("location", DEFAULTS["location"]), "component": component, "time": time}
+
     def _time(self) -> Column:
         num = lambda k: F.col(k).cast("int") if k in self.fields else F.lit(0)
         year = F.col("YYYY").cast("int") if "YYYY" in self.fields else F.col("YY").cast("int") + 2000

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import arrays as A
 from ..operators import correlate, gather, inventory, lookup, pairs, rotate, stack
-from ..sources import tables
+from ..sources import pack, sac, tables
 from ..streaming import incremental, indexes
 from .shared import scratch
 
@@ -906,3 +906,45 @@ def inv_component_counts(spark, sf_dir):
 def record_sizes(spark, sf_dir):
     """Records of each pair and slot, and their bytes as files."""
     return ncf(spark, sf_dir).groupBy("path_id", "slot").agg(F.count(F.lit(1)).alias("records"), F.sum(F.lit(632) + 4 * F.size("data")).cast("long").alias("bytes"))
+
+
+# Record files ----------------------------------------------------------------------------------------------------
+
+
+def _traces(spark, sf_dir):
+    """Every waveform as a record: header fields, data and the names that its file has."""
+    day, k = F.floor(F.col("vec_id") / 15), F.floor(F.col("vec_id") / 3) % 5 + 1
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(
+        (F.floor(day / 365) + 2000).cast("int").alias("nzyear"), (day % 365 + 1).cast("int").alias("nzjday"), F.concat(F.lit("S"), k).alias("kstnm"),
+        F.element_at(F.array(*map(F.lit, ("BHE", "BHN", "BHZ"))), (F.col("vec_id") % 3 + 1).cast("int")).alias("kcmpnm"), F.lit(1.0).cast("float").alias("delta"), F.col("embedding").cast("array<float>").alias("data"),
+    )
+
+
+_TRACES = "t as (select (2000 + vec_id // 15 // 365)::int nzyear, (vec_id // 15 % 365 + 1)::int nzjday, 'S' || (vec_id // 3 % 5 + 1) kstnm, ['BHE','BHN','BHZ'][(vec_id % 3 + 1)::int] kcmpnm, embedding from embeddings)"
+
+
+@query(
+    f"""with {_TRACES} select kstnm station, kcmpnm component, strftime(make_date(nzyear, 1, 1) + (nzjday - 1)::int, '%Y-%m-%d') as day, len(embedding)::int npts, round(embedding[1]::double, 5) + 0.0 first_value, round(list_sum(embedding::double[]), 4) + 0.0 total
+    from t where kstnm in ('S2', 'S4') and kcmpnm = 'BHZ'"""
+)
+def sac_source(spark, sf_dir):
+    """Waveforms written as files, then read as a source: the pattern gives names and times, the filters decide which files are opened."""
+    sac.register(spark)
+    folder = f"{scratch(spark)}/files"
+    name = F.concat(F.col("nzyear"), F.lit("/NN."), F.col("kstnm"), F.lit("."), F.lpad(F.col("nzjday").cast("string"), 3, "0"), F.lit("."), F.col("kcmpnm"), F.lit(".sac"))
+    sac.write(_traces(spark, sf_dir).withColumn("output_path", name), folder).write.format("noop").mode("overwrite").save()
+    got = spark.read.format("sac").option("pattern", PATTERN).load(folder).where(F.col("station").isin("S2", "S4") & (F.col("component") == "BHZ"))
+    x = F.col("data").cast("array<double>")
+    return got.select("station", "component", F.date_format("time", "yyyy-MM-dd").alias("day"), "npts", rounded(x[0], 5).alias("first_value"), rounded(A.total(x), 4).alias("total"))
+
+
+@query(f"with {_TRACES} select kstnm, kcmpnm, nzyear, nzjday, round(list_sum(embedding::double[]), 4) + 0.0 total from t where nzjday % 3 = 0")
+def pack_records(spark, sf_dir):
+    """Waveforms written to packs of several files with an index and a commit; the records of every third day are read back by their places."""
+    sac.register(spark)
+    folder, keys = f"{scratch(spark)}/packs", ["nzyear", "nzjday", "kstnm", "kcmpnm"]
+    _traces(spark, sf_dir).repartitionByRange(*keys).sortWithinPartitions(*keys).write.format("sacpack").option("keys", ",".join(keys)).option("roll_bytes", 1 << 20).mode("append").save(folder)
+    wanted = pack.pack_index(spark, folder).where(F.col("nzjday") % 3 == 0)
+    got = pack.read_pack(wanted.withColumnsRenamed({c: f"key_{c}" for c in keys}))
+    return got.select(*(F.col(f"key_{c}").alias(c) for c in ("kstnm", "kcmpnm", "nzyear", "nzjday")), rounded(A.total(F.col("data").cast("array<double>")), 4).alias("total"))

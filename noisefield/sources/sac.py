@@ -7,15 +7,18 @@ header field in use, with the format's null marks as nulls, and `data`. `registe
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from collections.abc import Iterator
+from datetime import datetime
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from ..operators.inventory import PathPattern
 from .store import listed, read_bytes, write_bytes
 
 HEADER_BYTES = 632
@@ -160,42 +163,142 @@ def station_geometry(places: DataFrame, path_col: str = "path", files_each: int
     return _spread(places.select(F.col(path_col).alias("path")), files_each).mapInPandas(run, "path string, kstnm string, stla double, stlo double, stel double")
 
 
+#: Columns that a source with a pattern takes from the path.
+PATH_FIELDS = {"network": "string", "station": "string", "location": "string", "component": "string", "time": "timestamp"}
+
+
 class _Files(InputPartition):
     def __init__(self, paths: list[str]):
         self.paths = paths
 
 
+#: Filters that are decided from a path alone, so that no file that they exclude is opened.
+_DECIDED = {
+    "EqualTo": lambda x, v: x == v,
+    "In": lambda x, v: x in v,
+    "GreaterThan": lambda x, v: x > v,
+    "GreaterThanOrEqual": lambda x, v: x >= v,
+    "LessThan": lambda x, v: x < v,
+    "LessThanOrEqual": lambda x, v: x <= v,
+    "StringStartsWith": lambda x, v: x.startswith(v),
+}
+
+
+class _Folder:
+    """The files below a folder, those of a pattern if one is given, with the fields of their paths."""
+
+    def __init__(self, options: dict[str, str]):
+        self.folder, self.each = options["path"], int(options.get("files", 256))
+        self.pattern = PathPattern(options["pattern"], re.sub("^file:/*", "/", self.folder)) if "pattern" in options else None
+        self.filters: list[tuple[str, str, object]] = []
+
+    def fields(self, path: str) -> dict[str, object] | None:
+        return {"path": path} if self.pattern is None else (got := self.pattern.read(path)) and {"path": path, **got}
+
+    def wanted(self, paths: list[str]) -> list[str]:
+        held = []
+        for path in paths:
+            own = self.fields(path)
+            if own and all(own[c] is not None and _DECIDED[kind](own[c], value) for kind, c, value in self.filters):
+                held.append(path)
+        return held
+
+    def parts(self, paths: list[str]) -> list[_Files]:
+        return [_Files(paths[k : k + self.each]) for k in range(0, max(len(paths), 1), self.each)]
+
+    def rows(self, partition: _Files) -> Iterator[tuple]:
+        for path in partition.paths:
+            got = decode(read_bytes(path))
+            own = self.fields(path)
+            yield (path, *(got[k] for k in COLUMNS), got["data"].tolist(), *(own[k] for k in PATH_FIELDS if self.pattern))
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
-        self.options = options
+        self.held = _Folder(options)
+
+    def pushFilters(self, filters):
+        known = {"path", *(PATH_FIELDS if self.held.pattern else ())}
+        for f in filters:
+            kind, column = type(f).__name__, f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            value = getattr(f, "value", None)
+            if kind in _DECIDED and column in known and value is not None and not (kind == "In" and None in value):
+                self.held.filters.append((kind, column, value.replace(tzinfo=None) if isinstance(value, datetime) else value))
+            else:
+                yield f
 
     def partitions(self) -> list[_Files]:
-        found = listed(self.options["path"])
-        size = int(self.options.get("files", 256))
-        return [_Files(found[k : k + size]) for k in range(0, len(found), size)]
+        return self.held.parts(self.held.wanted(listed(self.held.folder)))
 
     def read(self, partition: _Files) -> Iterator[tuple]:
-        for path in partition.paths:
-            got = decode(read_bytes(path))
-            yield (path, *(got[k] for k in COLUMNS), got["data"].tolist())
+        return self.held.rows(partition)
+
+
+class _StreamReader(DataSourceStreamReader):
+    """Offsets are numbers of log entries; an entry names files that were new when it was made. Each file is in one entry, whatever its time."""
+
+    def __init__(self, options: dict[str, str]):
+        self.held, self.log, self.most = _Folder(options), options.get("log"), int(options.get("files_per_batch", 1 << 30))
+        if not self.log:
+            raise ValueError("a stream of records needs the option log, a folder of its own")
+
+    def _entry(self, k: int) -> str:
+        return f"{self.log.rstrip('/')}/{k:09}.json"
+
+    def _logged(self) -> list[str]:
+        try:
+            return listed(self.log, ".json")
+        except FileNotFoundError:
+            return []
+
+    def initialOffset(self) -> dict:
+        return {"entry": 0}
+
+    def latestOffset(self) -> dict:
+        entries = self._logged()
+        seen = {path for e in entries for path in json.loads(read_bytes(e))}
+        fresh = [x for x in self.held.wanted(listed(self.held.folder)) if x not in seen][: self.most]
+        if fresh:
+            write_bytes(self._entry(len(entries) + 1), json.dumps(fresh).encode())
+        return {"entry": len(entries) + bool(fresh)}
+
+    def partitions(self, start: dict, end: dict) -> list[_Files]:
+        return self.held.parts([path for k in range(start["entry"] + 1, end["entry"] + 1) for path in json.loads(read_bytes(self._entry(k)))])
+
+    def read(self, partition: _Files) -> Iterator[tuple]:
+        return self.held.rows(partition)
+
+    def commit(self, end: dict) -> None:
+        pass
 
 
 class SacSource(DataSource):
-    """spark.read.format("sac").load(folder) for folders that all executors see."""
+    """spark.read.format("sac").load(folder), or readStream with the option `log`, for folders that all executors see.
+
+    With the option `pattern` (as in a configuration) only files that match it are read, the rows carry PATH_FIELDS, and filters on these and
+    on the path are decided before files are opened. A stream takes in each new file once; files must appear whole, as `write` leaves them."""
 
     @classmethod
     def name(cls) -> str:
         return "sac"
 
     def schema(self) -> str:
-        return SCHEMA
+        return SCHEMA + ("".join(f", {k} {t}" for k, t in PATH_FIELDS.items()) if "pattern" in self.options else "")
 
     def reader(self, schema) -> _Reader:
         return _Reader(self.options)
 
+    def streamReader(self, schema) -> _StreamReader:
+        return _StreamReader(self.options)
+
 
 def register(spark: SparkSession) -> None:
+    """Makes the formats `sac` and `sacpack` known, and lets filters reach them."""
+    from .pack import PackSink
+
     spark.dataSource.register(SacSource)
+    spark.dataSource.register(PackSink)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
 def write(df: DataFrame, folder: str, name_col: str = "output_path") -> DataFrame:

@@ -41,6 +41,21 @@ def write_bytes(path: str, raw: bytes) -> None:
     store.move(part, inner)
 
 
+def move(path: str, to: str) -> None:
+    store, inner = filesystem(path)
+    store.move(inner, filesystem(to)[1])
+
+
+def delete(path: str) -> None:
+    """A file, or a folder with all that is in it; nothing where there is neither."""
+    store, inner = filesystem(path)
+    kind = store.get_file_info(inner).type
+    if kind == fs.FileType.Directory:
+        store.delete_dir(inner)
+    elif kind == fs.FileType.File:
+        store.delete_file(inner)
+
+
 def listed(folder: str, suffix: str = "") -> list[str]:
     """Files below a folder in order; of a URI, as URIs."""
     store, inner = filesystem(folder)
