@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField
 
 #: Keys whose facts are broadcast because each of them has more than one in so many of all rows; so there are no more of them.
 MOST_HOT = 2000
@@ -48,6 +49,12 @@ def keep(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     return out
 
 
+def hashable(field: StructField) -> Column:
+    """A column as hash functions take it: one with maps inside as JSON, in which every value and null stands."""
+    column = F.col(f"`{field.name}`")
+    return F.to_json(F.struct(column), {"ignoreNullFields": "false"}) if "map<" in field.dataType.simpleString() else column
+
+
 def attach(rows: DataFrame, facts: DataFrame, keys: list[str], size: str) -> DataFrame:
     """rows joined (inner) with facts, slim rows that hold each key once and in `size` its number of rows.
 

@@ -6,17 +6,19 @@ so repeats count. A key is put in one cell in each of three tables; a cell holds
 of their 16-bit check values. The cells themselves are the fingerprint. The cells of two versions of one size subtract; where sizes
 differ, the smaller sketch is made at the larger size (`at_size` does so from a fingerprint alone, by listing its keys). Peeling
 takes out, table after table, the keys that stand alone in a cell until none is left: those are the paragraphs that
-only one of the two has. Pairs with cells left over are sketched again from their texts with four times the cells and
-other hashes, until they peel. Likeness is common paragraphs / (all paragraphs of both - common). Only DataFrame
-operations are used.
+only one of the two has. Pairs with cells left over are sketched again from their texts with four times the cells, other
+hashes and other keys, `RETRIES` times at most; two paragraphs with one key never peel, however many cells there are, so keys change too. What is
+then left is counted from the paragraphs' 64-bit digests themselves. Likeness is common paragraphs / (all paragraphs of both - common). Only
+DataFrame operations are used.
 
 Scale: documents are ordered by (id descending, null ids last, hash of the text, hash of the other columns) and cut into blocks
 of equal counts at exact ranks; at most `MOST_BLOCKS` border keys reach the driver. Texts are shuffled once, by block;
 windows, sketches and peeling stay in the task of a block. Each block is given the first document of the next one. Far ids, null ids and
-repeated ids fill blocks like others; only rows equal in all columns stay together.
+repeated ids fill blocks like others; only rows equal in all columns stay together. Blocks hold `BLOCK_DOCS` documents up to 131 million of
+them, and 38,000 at ten thousand million.
 
 Edge cases: null text is empty, which is one empty paragraph; a very long text has as many more cells; equal ids are ordered by the
-hash of the text; a table of one document is its own next; an empty table gives no rows; extra columns only break ties,
+hash of the text; a table of one document is its own next; an empty table gives no rows; extra columns, maps too, only break ties,
 whatever their names.
 """
 
@@ -26,15 +28,17 @@ import json
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._store import keep
+from ._store import hashable, keep
 
 PARAGRAPH_ENDS = r"[\n ](?<=\n|[a-f][.!?] )"
 TABLES = 3
 #: Fewest cells in a table, and cells a paragraph (the next power of two is taken).
 LEAST_CELLS, CELLS_EACH = 16, 1.5
 ROUNDS = 9
-#: Documents in a block, and blocks at most (a block has more documents then).
-BLOCK_DOCS, MOST_BLOCKS = 500, 1 << 16
+#: Sketches of a pair that failed, before its paragraphs are counted.
+RETRIES = 3
+#: Documents in a block, and blocks at most, whose borders reach the driver (a block has more documents then).
+BLOCK_DOCS, MOST_BLOCKS = 500, 1 << 18
 #: Documents in a task.
 TASK_DOCS = 2000
 #: Pairs to try again that may be broadcast (ids and hashes only).
@@ -81,7 +85,12 @@ def sketch(entries: DataFrame, by: list[str], salt: int = 0) -> DataFrame:
     """Cells (t, c, n, v) of paragraphs. entries: columns `by`, cells, digest; a row a paragraph."""
     e = entries.groupBy(*by, "cells", "digest").agg(F.count(F.lit(1)).alias("times"))
     e = e.select(*by, "cells", "digest", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("copy"))
-    return place_keys(e.select(*by, "cells", F.lit(1).alias("n"), F.xxhash64("digest", "copy").bitwiseAND(F.lit(_KEY)).alias("key")), by, salt)
+    return place_keys(e.select(*by, "cells", F.lit(1).alias("n"), _key_of(salt).alias("key")), by, salt)
+
+
+def _key_of(salt: int) -> Column:
+    """The key of a paragraph's copy; other salts give other keys."""
+    return F.xxhash64("digest", "copy", *([F.lit(salt)] if salt else [])).bitwiseAND(F.lit(_KEY))
 
 
 def place_keys(keys: DataFrame, by: list[str], salt: int = 0) -> DataFrame:
@@ -177,7 +186,7 @@ def compare(pairs: DataFrame, by: list[str]) -> DataFrame:
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, text, and the columns that order the documents."""
-    others = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
+    others = [hashable(f) for f in docs.schema.fields if f.name not in (id_col, text_col)]
     doc, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
     order = {"o_null": doc.isNull().cast("int"), "o_id": F.bitwise_not(F.coalesce(doc.cast("long"), F.lit(0))), "o_text": F.xxhash64(text), "o_rest": F.xxhash64(F.lit(0), *others)}
     return docs.select(doc.alias("id"), text.alias("text"), *(v.alias(k) for k, v in order.items()))
@@ -296,18 +305,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nexts = rows.select("block", (F.col("row") - 1).alias("row"), F.size("a").alias("n_x"))
     out = plain.join(nexts, by).join(_prints(sets, by), by).join(found, by, "left")
     out = keep(out.withColumns({f"differing_{s}": F.coalesce(f"differing_{s}", F.lit(0)) for s in "ex"} | {f"failed_{s}": F.coalesce(f"failed_{s}", F.lit(False)) for s in "ex"}))
-    grow = 4
-    while True:
+    for retry in range(1, RETRIES + 2):
         left = out.where("failed_e or failed_x")
         n = left.count()
         if not n:
             break
-        better, before = keep(_again(docs, left, n, grow, id_col, text_col)), out
+        pairs = keep(_pairs_left(docs, left, n, id_col, text_col))
+        found = _differ(_pairs(pairs, by, 4**retry, retry), by, 2 * ROUNDS, retry) if retry <= RETRIES else exact(pairs, by)
+        better = left.select(*by).join(found, by, "left").select(*by, *(F.coalesce(f"{c}_{s}", F.lit(0) if c == "differing" else F.lit(False)).alias(f"new_{c}_{s}") for s in "ex" for c in ("differing", "failed")))
+        better, before = keep(better, pairs), out
         out = out.join(F.broadcast(better) if n <= BROADCAST_ROWS else better, by, "left")
         for s in "ex":
             out = out.withColumn(f"differing_{s}", F.coalesce(f"new_differing_{s}", f"differing_{s}")).withColumn(f"failed_{s}", F.coalesce(f"new_failed_{s}", F.lit(False)))
         out = keep(out.drop(*(f"new_{c}_{s}" for s in "ex" for c in ("differing", "failed"))), before)
-        grow *= 4
     return out.select(
         F.col("id").alias(id_col),
         F.col("n_chars").cast("long").alias("n_chars"),
@@ -321,8 +331,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def _again(docs: DataFrame, left: DataFrame, n: int, grow: int, id_col: str, text_col: str) -> DataFrame:
-    """block, row and the new differing and failed of rows in `left`, sketched with `grow` times the cells and other hashes."""
+def exact(sets: DataFrame, by: list[str]) -> DataFrame:
+    """`by`, differing and failed (never) of both pairs of a row, from the digests: paragraphs of one text less those of the other, counted by digest."""
+    sides = F.array(*(F.struct(F.lit(p).alias("pair"), F.lit(n).alias("n"), F.col(c).alias("held")) for p, n, c in ((0, 1, "a"), (0, -1, "e"), (1, 1, "a"), (1, -1, "x"))))
+    each = sets.select(*by, F.inline(sides)).select(*by, "pair", "n", F.explode("held").alias("digest"))
+    each = each.groupBy(*by, "pair", "digest").agg(F.abs(F.sum("n")).alias("n"))
+    total = lambda p: F.coalesce(F.sum(F.when(F.col("pair") == p, F.col("n"))), F.lit(0))
+    return each.groupBy(*by).agg(total(0).alias("differing_e"), F.lit(False).alias("failed_e"), total(1).alias("differing_x"), F.lit(False).alias("failed_x"))
+
+
+def _pairs_left(docs: DataFrame, left: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """block, row and the digests a, e and x of the texts of rows in `left`, edited and next ones too."""
     left = left.select("block", "row", "id", "own_hash", "next_id", "next_hash")
     texts = docs.select(F.col(id_col).alias("k_id"), F.coalesce(F.col(text_col), F.lit("")).alias("k_text")).withColumn("k_hash", F.xxhash64("k_text"))
     want = left.select("id", F.col("own_hash").alias("h")).union(left.select("next_id", "next_hash")).distinct()
@@ -330,8 +349,4 @@ def _again(docs: DataFrame, left: DataFrame, n: int, grow: int, id_col: str, tex
     texts = keep(texts.join(small(want), F.expr("k_id <=> id and k_hash = h"), "left_semi").dropDuplicates(["k_id", "k_hash"]))
     pair = left.join(texts, F.expr("k_id <=> id and k_hash = own_hash")).select("block", "row", "next_id", "next_hash", F.col("k_text").alias("text"))
     pair = pair.join(texts, F.expr("k_id <=> next_id and k_hash = next_hash")).select("block", "row", "text", F.col("k_text").alias("next_text")).withColumn("edited", edit(F.col("text"), F.col("next_text")))
-    by = ["block", "row"]
-    sets = _sets(pair, [*by, "next_text"]).withColumn("x", digests(F.col("next_text"))).drop("next_text")
-    d = _differ(_pairs(sets, by, grow, grow), by, 2 * ROUNDS, grow)
-    d = left.select(*by).join(d, by, "left")
-    return d.select(*by, *(F.coalesce(f"{c}_{s}", F.lit(0) if c == "differing" else F.lit(False)).alias(f"new_{c}_{s}") for s in "ex" for c in ("differing", "failed")))
+    return _sets(pair, ["block", "row", "next_text"]).withColumn("x", digests(F.col("next_text"))).drop("next_text")
