@@ -7,8 +7,9 @@ the number of shards alone, not on partitions or on which task runs. Buckets fol
 of equal length, the shards, whose row counts differ by at most one (law `rows`). Only DataFrame operations are used.
 
 Scale: records are shuffled once. A task writes whole buckets, so a shard is made of many files of bounded size, each a run
-of slots. Buckets are sized by bytes and by rows. Records that are equal in all columns are copies of one another: where they
-are more than one in `_store.MOST_HOT` of all rows, one of them is read and its copies are dealt to buckets by number.
+of slots. Buckets are sized by bytes and by rows. Records that are equal in all columns, maps too, are copies of one another (by 128 bits of
+hash): where they are more than a bucket holds, one of them is read and its copies are dealt to buckets by number. Shuffling a
+bucket of n records costs n times the square root of n.
 
 Edge cases: nulls hash like any value; a null text has size 1 and the check sum of no bytes; a record with a very long text
 fills its bucket; repeated rows get a slot each; an empty table gives no rows; a record travels as one struct, so column names cannot
@@ -21,7 +22,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._store import LEAST_HOT, MOST_HOT, shared_dir
+from ._store import BROADCAST_FACTS, hashable, keep, shared_dir
 
 #: Bytes and records of a bucket, on average.
 BUCKET_BYTES, BUCKET_ROWS = 8 << 20, 2000
@@ -48,27 +49,34 @@ def offsets(counts: DataFrame, key: str, n: str) -> DataFrame:
 
 
 def fisher_yates(n: Column, *seed: Column) -> Column:
-    """A permutation of 0 .. n - 1: step i puts i at a place drawn from 0 .. i, and what was there at the end."""
+    """A permutation of 0 .. n - 1: step i puts i at a place drawn from 0 .. i, and what was there at the end.
+
+    The places are held in runs of about the square root of n, so a step copies two runs and not all places."""
+    run = F.ceil(F.sqrt(F.greatest(n, F.lit(1)))).cast("int")
 
     def step(out: Column, i: Column) -> Column:
         j = F.pmod(F.xxhash64(*seed, i), i + 1).cast("int")
-        swapped = F.concat(F.slice(out, F.lit(1), j), F.array(i), F.slice(out, j + 2, F.greatest(i - j - 1, F.lit(0))), F.array(F.get(out, j)))
-        return F.when(j == i, F.concat(out, F.array(i))).otherwise(swapped)
+        held, at = F.floor(j / run).cast("int"), F.pmod(j, run)
+        put = lambda x: F.concat(F.slice(x, F.lit(1), at), F.array(i), F.slice(x, at + 2, run))
+        swapped = F.when(j == i, out).otherwise(F.concat(F.slice(out, F.lit(1), held), F.array(put(F.get(out, held))), F.slice(out, held + 2, run + 1)))
+        last = F.array(F.when(j == i, i).otherwise(F.get(F.get(out, held), at)))
+        longer = F.concat(F.slice(swapped, F.lit(1), F.size(swapped) - 1), F.array(F.concat(F.element_at(swapped, -1), last)))
+        return F.when(F.pmod(i, run) == 0, F.concat(swapped, F.array(last))).otherwise(longer)
 
-    return F.aggregate(F.sequence(F.lit(0), n.cast("int") - 1), F.array().cast("array<int>"), step)
+    return F.aggregate(F.sequence(F.lit(0), n.cast("int") - 1), F.array().cast("array<array<int>>"), step, F.flatten)
 
 
 def two_pass(docs: DataFrame, shards: int = 16, seed: int = 7, text_col: str = "text", bucket_bytes: int = BUCKET_BYTES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """record (a struct of the columns of docs), shard and slot of each row, in tasks of whole buckets."""
-    plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    plain = [hashable(f) for f in docs.schema.fields]
     rows = docs.select(F.struct("*").alias("record"), record_size(F.col(text_col)).alias("size"), F.xxhash64(F.lit(1), *plain).alias("k1"), F.xxhash64(F.lit(2), *plain).alias("k2"))
     count, total = rows.agg(F.count(F.lit(1)), F.sum("size")).first()
     buckets = max(1, -(-(total or 0) // bucket_bytes), -(-count // bucket_rows))
     key = ["k1", "k2"]
-    hot = rows.groupBy(*key).agg(F.count(F.lit(1)).cast("long").alias("n")).where(F.col("n") > max(LEAST_HOT, count // MOST_HOT))
-    spread = rows.withColumn("copy", F.lit(0).cast("long"))
-    if not hot.isEmpty():
-        hot = F.broadcast(hot)  # fewer than MOST_HOT keys
+    hot = keep(rows.groupBy(*key).agg(F.count(F.lit(1)).cast("long").alias("n")).where(F.col("n") > bucket_rows))
+    spread, n_hot = rows.withColumn("copy", F.lit(0).cast("long")), hot.count()
+    if n_hot:
+        hot = F.broadcast(hot) if n_hot <= BROADCAST_FACTS else hot
         runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _RUN).cast("long"))
         one = rows.join(hot, key).dropDuplicates(key).withColumn("run", F.explode(runs))
         copy = F.explode(F.sequence(F.col("run") * _RUN, F.least(F.col("n"), (F.col("run") + 1) * _RUN) - 1))

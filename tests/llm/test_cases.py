@@ -143,6 +143,39 @@ def test_failed_pairs_are_tried_again(spark, monkeypatch):
     assert {k: got[k] for k in (6, 4, 2, 0)} == dict.fromkeys((6, 4, 2, 0), (0.0, 40))
 
 
+@pytest.mark.parametrize("hopeless", [False, True])
+def test_paragraphs_that_share_a_key(spark, monkeypatch, hopeless):
+    """Two paragraphs of one text with one key never peel at any size: other keys part them, or at last they are counted."""
+    import re
+    from collections import Counter
+
+    monkeypatch.setattr(fingerprints, "_KEY", (1 << 16) - 1)
+    keys = spark.range(3000).select(F.concat(F.lit("line "), "id").alias("p")).withColumn("k", F.xxhash64(F.xxhash64("p"), F.lit(1).cast("long")).bitwiseAND(F.lit(0xFFFF)))
+    twins = keys.groupBy("k").agg(F.sort_array(F.collect_list("p")).alias("p")).where("size(p) = 2").orderBy("k").limit(6).collect()
+    docs = {k: "\n".join([*r.p, *(f"plain {k * 40 + i}" for i in range(25))]) for k, r in enumerate(twins)}
+    rounds = []
+
+    def differ(*a, real=fingerprints._differ):
+        rounds.append(1)
+        return real(*a).withColumns({"failed_e": F.lit(True), "failed_x": F.lit(True)}) if hopeless else real(*a)
+
+    monkeypatch.setattr(fingerprints, "_differ", differ)
+    got = {r.doc_id: r for r in fingerprints.fingerprints(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert len(rounds) == 1 + fingerprints.RETRIES if hopeless else 2 <= len(rounds) <= 1 + fingerprints.RETRIES
+    cut = lambda t: Counter(re.split(r"\n|(?<=[a-f][.!?]) ", t))
+    for k, t in docs.items():
+        following = docs[(k - 1) % 6]
+        half = len(t) // 2
+        for c, other in (("edited", t[: len(t) - half] + following[:half]), ("next", following)):
+            a, b = cut(t), cut(other)
+            assert got[k][f"n_differing_{c}"] == (a - b).total() + (b - a).total()
+
+
+def test_exact_counts(spark):
+    df = spark.createDataFrame([(1, [1, 1, 2], [1, 3], [1, 1, 2]), (2, [5], [5], [6, 6])], "k int, a array<long>, e array<long>, x array<long>")
+    assert {r.k: (r.differing_e, r.differing_x, r.failed_e) for r in fingerprints.exact(df, ["k"]).collect()} == {1: (3, 0, False), 2: (0, 3, False)}
+
+
 @pytest.mark.parametrize("docs_each", [500, 7])
 def test_neighbours_with_far_and_missing_ids(spark, monkeypatch, docs_each):
     monkeypatch.setattr(fingerprints, "BLOCK_DOCS", docs_each)
@@ -333,8 +366,6 @@ def test_shards_depend_on_the_seed_alone(spark):
 
 
 def test_very_many_copies_are_dealt_by_number(spark, monkeypatch):
-    monkeypatch.setattr(shards, "LEAST_HOT", 10)
-    monkeypatch.setattr(shards, "MOST_HOT", 20)
     monkeypatch.setattr(shards, "_RUN", 64)
     df = spark.createDataFrame([(1, "same")] * 500 + [(k, "other") for k in range(500)], "doc_id long, text string")
     placed = shards.two_pass(df, 4, bucket_rows=50)
@@ -348,6 +379,55 @@ def test_fisher_yates_draws_every_permutation(spark):
     assert len(got) == 6 and all(850 < r["count"] < 1150 and sorted(r.p) == [0, 1, 2] for r in got)
 
 
+def test_records_that_differ_in_a_map_alone(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 1).alias("doc_id"), F.lit("same").alias("text"), F.create_map(F.lit("k"), F.when(F.col("id") > 0, F.col("id"))).alias("m"), F.array(F.create_map(F.lit(1), F.lit("v"))).alias("n"))
+    files = shards.write_shards(df, str(tmp_path / "out"), 4, bucket_rows=50)
+    assert files.select(F.col("record.m")["k"].alias("v")).distinct().count() == 1000 and files.count() == 1000
+    twice = df.unionByName(df.where("m['k'] = 5").crossJoin(spark.range(200)).drop("id"))
+    placed = shards.two_pass(twice, 4, bucket_rows=50).select(F.col("record.m")["k"].alias("v"), "shard", "slot").collect()
+    assert len(placed) == 1200 == len({(r.shard, r.slot) for r in placed}) and sum(r.v == 5 for r in placed) == 201
+    assert fingerprints.fingerprints(df.limit(5)).count() == 5
+
+
+def test_a_large_bucket_is_a_permutation(spark):
+    p = spark.range(1).select(shards.fisher_yates(F.lit(5000), F.lit(7), F.col("id")).alias("p")).first().p
+    draws = [r.h % (r.i + 1) for r in spark.range(5000).select(F.col("id").cast("int").alias("i"), F.xxhash64(F.lit(7), F.lit(0).cast("long"), F.col("id").cast("int")).alias("h")).orderBy("i").collect()]
+    want = []
+    for i, j in enumerate(draws):
+        want.append(i)
+        want[i], want[j] = want[j], i
+    assert p == want
+
+
+def test_both_passes_against_plain_python(spark):
+    """Buckets by hash, the order of hashes, draws step by step and runs of equal length, written out."""
+    n, seed, n_shards, rows_each = 300, 7, 7, 40
+    df = spark.createDataFrame([(k // 2, f"text {k // 3}" if k % 5 else None) for k in range(n)], "doc_id long, text string")
+    buckets = -(-n // rows_each)
+    keyed = df.select("*", F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64(F.lit(2), "doc_id", "text").alias("k2"))
+    rows = [(r.b, r.k1, r.k2, (r.doc_id, r.text)) for r in keyed.withColumn("b", F.pmod(F.xxhash64(F.lit(seed), "k1", "k2", F.lit(0).cast("long")), F.lit(buckets))).collect()]
+    draws = {(r.b, r.i): r.h for r in spark.range(buckets).withColumnRenamed("id", "b").crossJoin(spark.range(n).select(F.col("id").cast("int").alias("i"))).select("b", "i", F.xxhash64(F.lit(seed), "b", "i").alias("h")).collect()}
+    sequence = []
+    for b in range(buckets):
+        held = sorted((r for r in rows if r[0] == b), key=lambda r: r[1:3])
+        places = []
+        for i in range(len(held)):
+            j = draws[b, i] % (i + 1)
+            places.append(i)
+            places[i], places[j] = places[j], i
+        out = [None] * len(held)
+        for r, place in zip(held, places, strict=True):
+            out[place] = r[3]
+        sequence += out
+    want, at = [], 0
+    for s in range(n_shards):
+        size = n * (s + 1) // n_shards - n * s // n_shards
+        want += [(s, k, *x) for k, x in enumerate(sequence[at : at + size])]
+        at += size
+    got = shards.two_pass(df, n_shards, seed, bucket_rows=rows_each).select("shard", "slot", "record.*").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
 def _brute(rows, n, percent):
     import re
 
