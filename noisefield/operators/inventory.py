@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 # The names a path pattern may use, and what each matches.
 DATE_FIELDS = {"YYYY": r"\d{4}", "YY": r"\d{2}", "MM": r"\d{2}", "DD": r"\d{2}", "JJJ": r"\d{3}", "HH": r"\d{2}", "MI": r"\d{2}"}
@@ -153,11 +153,16 @@ def timestamp_index(files: DataFrame, time_col: str = "timestamp") -> DataFrame:
     return files.groupBy(time_col).agg(F.count(F.lit(1)).alias("sac_row_count"))
 
 
-def complete_groups(channels: DataFrame, keys: list[str], components: int) -> DataFrame:
-    """Only rows of groups with exactly as many channels as there are components; with one component all stay."""
-    if components == 1:
-        return channels
-    return channels.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where(F.col("_n") == components).drop("_n")
+def complete_groups(channels: DataFrame, keys: list[str], components: int, seen: Observation | None = None) -> DataFrame:
+    """Only rows of groups with exactly as many channels as there are components; with one component all stay.
+
+    seen: counts `channels_read`, `channels_dropped` and `groups_dropped`."""
+    size = F.count(F.lit(1)).over(Window.partitionBy(*keys)) if components > 1 else F.lit(1)
+    rows = channels.withColumn("_n", size)
+    wrong = F.col("_n") != components
+    if seen is not None:
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("channels_read"), F.count_if(wrong).alias("channels_dropped"), F.coalesce(F.round(F.sum(F.when(wrong, 1 / F.col("_n")))), F.lit(0.0)).cast("long").alias("groups_dropped"))
+    return rows.where(~wrong).drop("_n")
 
 
 #: Stations of a run: their numbers fill four digits of a pair id.

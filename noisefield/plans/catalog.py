@@ -7,12 +7,13 @@ integer coordinates; paths are put together from `orders`.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import arrays as A
-from ..operators import correlate, gather, inventory, lookup, pairs, rotate, stack
+from ..operators import correlate, gather, inventory, lookup, merge, pairs, rotate, stack
 from ..sources import pack, sac, tables
 from ..streaming import incremental, indexes
 from .shared import scratch
@@ -253,6 +254,12 @@ def pairs_distance(spark, sf_dir):
     return _pairs(spark, sf_dir, distance_km=(200.0, 1500.0))
 
 
+@query(_pair_sql("a.nsl_id < b.nsl_id", "distance_km between 6000 and 7000"))
+def pairs_far(spark, sf_dir):
+    """Pairs within far limits: caps that are nearer or farther as a whole are left out."""
+    return _pairs(spark, sf_dir, distance_km=(6000.0, 7000.0))
+
+
 @query(_pair_sql("a.nsl_id < b.nsl_id", "azimuth_deg >= 350 or azimuth_deg <= 20 or back_azimuth_deg >= 350 or back_azimuth_deg <= 20"))
 def pairs_azimuth_wrap(spark, sf_dir):
     return _pairs(spark, sf_dir, azimuth=[(350.0, 20.0)])
@@ -576,6 +583,16 @@ def stack_linear(spark, sf_dir):
     return correlate.lags_of(x, HALF, "path_id", "slot", "n").withColumn("v", rounded(F.col("v"), 5))
 
 
+@query(f"with {STACK} select path_id, slot, lag, n, round(v, 5) + 0.0 v from st")
+def stack_of_runs(spark, sf_dir):
+    """The linear stack of the records of two runs, each laid out by pair and slot in one bucketed table."""
+    none = lambda t: F.lit(None).cast(t)
+    x = ncf(spark, sf_dir).select("path_id", "slot", F.timestamp_seconds(F.col("timestamp") * 86400).alias("timestamp"), F.lit("ncf").alias("record_path"), none("long").alias("record_offset"), F.lit(1.0).alias("delta"), none("string").alias("head"), "data")
+    odd = F.dayofyear("timestamp") % 2
+    t = merge.bucket_records([x.where(odd == 0), x.where(odd == 1)], f"noisefield_runs_{uuid.uuid4().hex[:12]}", f"{scratch(spark)}/runs", 8)
+    return correlate.lags_of(merge.merged_stack(t), HALF, "path_id", "slot", "n").withColumn("v", rounded(F.col("v"), 5))
+
+
 CHUNKS = f"{NCF}, ch as (select path_id, slot, lag, ((rn - 1) // 10)::int chunk, count(*)::bigint count, sum(v) v from (select *, dense_rank() over (partition by path_id, slot order by timestamp) rn from x) group by all)"
 
 

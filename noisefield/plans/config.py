@@ -73,8 +73,11 @@ class RunConfig:
     autocorr: str = "off"
     stack_flag: str = "100"
     pre_stack_size: int = 10
+    other_indexes: tuple[str, ...] = ()
     tf_band: tuple[float, float] | None = None
     tf_taper_hz: float | None = None
+    buckets: int = 64
+    pack: bool = False
     unpack: bool = True
     unpack_target: str = "ALL"
     output: str = "output"
@@ -94,8 +97,8 @@ class RunConfig:
             raise ValueError("a distance range begins with the smaller value")
         if not re.fullmatch("[01]{3}", self.stack_flag):
             raise ValueError("stack_flag has three digits 0 or 1: linear, phase-weighted, time-frequency")
-        if self.pre_stack_size < 1 or (self.tf_taper_hz or 0) < 0:
-            raise ValueError("pre_stack_size is at least 1 and tf_taper_hz at least 0")
+        if self.pre_stack_size < 1 or self.buckets < 1 or (self.tf_taper_hz or 0) < 0:
+            raise ValueError("pre_stack_size and buckets are at least 1 and tf_taper_hz at least 0")
 
     def steps(self) -> int:
         """Windows of a record."""
@@ -125,8 +128,8 @@ SECTIONS = {
     "geometry": ("geometry",),
     "spectra": ("record_seconds", "window_seconds", "shift_seconds", "delta", "bands", "normalize", "whiten", "skip_steps", "phase_only"),
     "pairs": ("pair_table", "max_lag_seconds", "distance_km", "azimuth_deg", "group_pairs", "autocorr"),
-    "stack": ("stack_flag", "pre_stack_size", "tf_band", "tf_taper_hz"),
-    "output": ("unpack", "unpack_target", "output"),
+    "stack": ("stack_flag", "pre_stack_size", "other_indexes", "buckets", "tf_band", "tf_taper_hz"),
+    "output": ("pack", "unpack", "unpack_target", "output"),
 }
 
 
@@ -134,6 +137,8 @@ def _value(name: str, text: str) -> object:
     text = os.path.expandvars(os.path.expanduser(text.strip()))
     if name == "bands":
         return tuple(read_range(x) for x in text.split())
+    if name == "other_indexes":
+        return tuple(text.split())
     if name in ("distance_km", "azimuth_deg"):
         return read_range(text)
     if name == "tf_band":
@@ -142,9 +147,9 @@ def _value(name: str, text: str) -> object:
         return () if text == "-1" else tuple(int(x) for x in text.split(","))
     if name in ("shift_seconds", "tf_taper_hz") and text.upper() == "AUTO":
         return None
-    if name in ("phase_only", "unpack"):
+    if name in ("phase_only", "pack", "unpack"):
         return read_bool(text)
-    if name == "pre_stack_size":
+    if name in ("pre_stack_size", "buckets"):
         return int(text)
     if name.endswith("_seconds") or name in ("delta", "tf_taper_hz"):
         return float(text)
@@ -192,6 +197,8 @@ def dump(c: RunConfig, path: str) -> None:
             v = getattr(c, name)
             if name == "bands":
                 v = " ".join(map(rng, v))
+            elif name == "other_indexes":
+                v = " ".join(v)
             elif name == "skip_steps":
                 v = ",".join(map(str, v)) or "-1"
             elif isinstance(v, tuple):

@@ -7,15 +7,17 @@ channels, timestamps, stations, pairs, spectra, ncf, stack_<method>, rotated_<me
 from __future__ import annotations
 
 import difflib
+import hashlib
+import warnings
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import arrays as A
-from ..operators import correlate, inventory, lookup, pairs, rotate, stack
-from ..sources import sac, tables
+from ..operators import correlate, inventory, lookup, merge, pairs, rotate, stack
+from ..sources import pack, sac, tables
 from .config import RunConfig
 
-STAGES = ("prepare", "spectra", "correlate", "stack", "rotate", "unpack")
+STAGES = ("prepare", "spectra", "correlate", "pack", "stack", "rotate", "unpack")
 METHODS = ("linear", "pws", "tfpws")
 
 
@@ -38,8 +40,13 @@ class Run:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def _write(self, df: DataFrame, name: str) -> None:
-        df.write.mode("overwrite").parquet(self.path(name))
+    def _write(self, df: DataFrame, name: str, drop: tuple[str, ...] = (), **counts: Column) -> dict[str, int]:
+        """Writes a table, and counts as it is written."""
+        seen = Observation()
+        if counts:
+            df = df.observe(seen, *(c.alias(k) for k, c in counts.items()))
+        df.drop(*drop).write.mode("overwrite").parquet(self.path(name))
+        return dict(seen.get) if counts else {}
 
     def methods(self) -> list[str]:
         return [m for m, on in zip(METHODS, self.config.stack_flag, strict=True) if on == "1"]
@@ -65,36 +72,34 @@ class Run:
         nodes = inventory.stations(inventory.require_rows(found, "inventory"))
         heads = sac.station_geometry(nodes)  # one header a station
         nodes = nodes.join(heads.select("path", F.col("stla").alias("lat"), F.col("stlo").alias("lon")), "path", "left")
-        changed = {"coordinates_updated": 0, "coordinates_in_conflict": 0}
         if c.geometry:
             nodes = inventory.with_geometry(nodes, tables.station_coordinates(self.spark, c.geometry))
-            counts = nodes.agg(F.count_if("updated"), F.count_if("conflict")).first()
-            changed = dict(zip(changed, counts, strict=True))
-            nodes = nodes.drop("updated", "conflict")
-        self._write(nodes, "stations")
-        changed |= self._write_pairs(self.table("stations"))
+        else:
+            nodes = nodes.withColumns({"updated": F.lit(False), "conflict": F.lit(False)})
+        rows = F.count(F.lit(1))
+        bare = F.col("lat").isNull() | F.col("lon").isNull()
+        facts = self._write(nodes, "stations", ("updated", "conflict"), stations=rows, stations_without_coordinates=F.count_if(bare), coordinates_updated=F.count_if("updated"), coordinates_in_conflict=F.count_if("conflict"))
+        facts |= self._write_pairs(self.table("stations"))
         inventory.require_rows(self.table("pairs"), "pairs")
         kept = pairs.retained(self.table("stations"), self.table("pairs"))
         keys = ["group", "network", "station", "location"]
-        self._write(found.join(kept.select(*keys, "nsl_id"), keys).withColumn("timestamp", F.col("time")), "channels")
-        self._write(inventory.timestamp_index(self.table("channels")), "timestamps")
-        stations, channels = self.table("stations"), self.table("channels")
-        facts = {"stations": stations.count(), "stations_without_coordinates": stations.where("lat is null or lon is null").count(), "stations_in_pairs": kept.count(), "pairs": self.table("pairs").count(), "channels": channels.count(), "timestamps": self.table("timestamps").count()}
-        tables.write_summary(self.spark, self.path("inventory.json"), facts | changed | {"sources": [s.path for s in c.sources]})
+        facts["stations_in_pairs"] = kept.count()
+        facts |= self._write(found.join(kept.select(*keys, "nsl_id"), keys).withColumn("timestamp", F.col("time")), "channels", channels=rows)
+        facts |= self._write(inventory.timestamp_index(self.table("channels")), "timestamps", timestamps=rows)
+        tables.write_summary(self.spark, self.path("inventory.json"), facts | {"sources": [s.path for s in c.sources]})
 
     def _write_pairs(self, nodes: DataFrame) -> dict[str, int]:
         """The pairs of the stations: those of a given table, as they stand there, or all that pass the filters. Returns what a table's lines were, counted as they are read."""
         c = self.config
         if not c.pair_table:
             full = c.azimuth_deg[0] <= 0 and c.azimuth_deg[1] >= 360
-            self._write(pairs.station_pairs(nodes, c.group_pairs, c.autocorr, c.distance_km, None if full else [c.azimuth_deg]), "pairs")
-            return {}
+            return self._write(pairs.station_pairs(nodes, c.group_pairs, c.autocorr, c.distance_km, None if full else [c.azimuth_deg]), "pairs", pairs=F.count(F.lit(1)), pairs_without_coordinates=F.count_if(F.col("distance_km").isNull()))
         seen = Observation()
         lines = tables.pair_file(self.spark, c.pair_table).observe(seen, F.count(F.lit(1)).alias("pair_lines"), *(F.count_if(F.col("fault") == x).alias(f"pair_lines_{x}") for x in tables.PAIR_FAULTS))
         ends = {p: nodes.select(F.col("nsl_id").alias(f"{p}_id"), F.col("group").alias(f"{p}_group")) for p in ("src", "rec")}
         known = tables.allowed_pairs(lines).drop("src_group", "rec_group").join(F.broadcast(ends["src"]), "src_id").join(F.broadcast(ends["rec"]), "rec_id")  # at most 9999 stations
-        self._write(known.select("path_id", *(F.col(x).cast("int").alias(x) for x in ("src_id", "rec_id")), *(x for x in tables.PAIR_COLUMNS[3:])), "pairs")
-        return dict(seen.get)
+        facts = self._write(known.select("path_id", *(F.col(x).cast("int").alias(x) for x in ("src_id", "rec_id")), *(x for x in tables.PAIR_COLUMNS[3:])), "pairs", pairs=F.count(F.lit(1)))
+        return facts | dict(seen.get)
 
     def spectra(self) -> None:
         """Traces of the channels, cut or padded to the record's length, to conditioned spectra."""
@@ -102,22 +107,62 @@ class Run:
         channels = self.table("channels")
         n = int(round(c.record_seconds / c.delta))
         c.check_skipped_steps()
-        data = sac.read_records(channels.select("path").distinct())  # the files of the channels that are in a pair
-        rows = channels.join(data.select("path", "delta", F.col("data").cast("array<double>").alias("data")), "path")
+        # the files of the channels that are in a pair; what a channel is goes along, so traces are shuffled once, to their group
+        data = sac.read_records(channels.select("path", "timestamp", "nsl_id", "component"), carry=("timestamp", "nsl_id", "component"))
+        rows = data.select("path", "timestamp", "nsl_id", "component", "delta", F.col("data").cast("array<double>").alias("data"))
         close = F.abs(F.col("delta") - c.delta) <= F.greatest(F.lit(1e-6), 1e-5 * F.col("delta"))
         rows = rows.withColumn("data", F.when(F.assert_true(close, F.concat(F.lit("sampling interval of "), "path")).isNull(), A.fit_length(F.col("data"), n)))
         wanted = max(len(s.components) for s in c.sources)
-        rows = inventory.complete_groups(rows.select("timestamp", "nsl_id", "component", "data"), ["timestamp", "nsl_id"], wanted)
-        self._write(correlate.spectra(rows, self.chain), "spectra")
+        seen = Observation()
+        rows = inventory.complete_groups(rows.select("timestamp", "nsl_id", "component", "data"), ["timestamp", "nsl_id"], wanted, seen)
+        facts = self._write(correlate.spectra(rows, self.chain), "spectra", spectra=F.count(F.lit(1))) | dict(seen.get)
+        tables.write_summary(self.spark, self.path("spectra.json"), facts)
+        if facts["groups_dropped"]:
+            warnings.warn(f"{facts['groups_dropped']} groups have not {wanted} channels and are left out ({facts['channels_dropped']} channels)", stacklevel=2)
 
     def correlate(self) -> None:
         x = correlate.correlate_spectra(self.table("spectra"), self.table("pairs"), self.chain.max_lag, self.chain.length, self.chain.delta, self.config.steps())
         self._write(x, "ncf")
 
+    def pack(self) -> None:
+        """The correlations as packs of records, and a record index by which other runs can use them."""
+        sac.register(self.spark)
+        s = self.table("stations").select("nsl_id", "network", "station", "location")
+        end = lambda p: s.select(F.col("nsl_id").alias(f"{p}_id"), *(F.col(k).alias(f"{p}_{k}") for k in ("network", "station", "location")))
+        half, dt = self.chain.max_lag, self.chain.delta
+        order = ["path_id", "slot", "timestamp"]
+        rows = self.table("ncf").select(*order, F.lit(dt).cast("float").alias("delta"), F.lit(-half * dt).cast("float").alias("b"), F.col("data").cast("array<float>").alias("data"))
+        rows.repartitionByRange(*order).sortWithinPartitions(*order).write.format("sacpack").mode("overwrite").option("keys", ",".join(order)).save(self.path("packs"))
+        t = pack.pack_index(self.spark, self.path("packs")).join(self.table("pairs"), "path_id").join(end("src"), "src_id").join(end("rec"), "rec_id")
+        letter = F.array(*map(F.lit, "ENZ"))
+        t = t.withColumns({"src_component": F.element_at(letter, (F.floor(F.col("slot") / 3) + 1).cast("int")), "rec_component": F.element_at(letter, (F.col("slot") % 3 + 1).cast("int"))})
+        key = lambda p: F.concat_ws(".", f"{p}_network", f"{p}_station", f"{p}_location")
+        t = t.withColumns({"timestamp": inventory.time_text(F.col("timestamp")), "source_key": key("src"), "receiver_key": key("rec"), "dt": F.lit(dt), "dist": F.col("distance_km"), "az": F.col("azimuth_deg"), "baz": F.col("back_azimuth_deg"), "storage_kind": F.lit("pack")})
+        t = t.withColumn("component_slot", F.col("slot")).withColumn("final_pair_path", lookup.final_path({k: F.col(k) for k in t.columns}))
+        tables.write_tsv(t.select(*tables.INDEX_COLUMNS), f"{self.path('packs')}/record_index.tsv")
+
+    def correlations(self) -> list[DataFrame]:
+        """The records to stack: those of this run, and those that the indexes of other runs name; `merge.COLUMNS`."""
+        none = lambda t: F.lit(None).cast(t)
+        out = [self.table("ncf").select("path_id", "slot", "timestamp", none("string").alias("record_path"), none("long").alias("record_offset"), F.lit(self.chain.delta).alias("delta"), none("string").alias("head"), "data")]
+        for place in self.config.other_indexes:
+            index = tables.record_index(self.spark, tables.found_indexes(self.spark, place))
+            time = inventory.read_time(F.col("timestamp"))
+            keyed = index.select("path_id", F.col("component_slot").alias("slot"), F.when(F.assert_true(time.isNotNull(), F.concat(F.lit("not a time: "), "timestamp")).isNull(), time).alias("timestamp"), "record_path", "record_offset", "bytes")
+            rows = sac.read_records(keyed, "record_path", "record_offset", "bytes", carry=("path_id", "slot", "timestamp"))
+            head = F.to_json(F.struct(*(c for c in sac.COLUMNS if c != "npts")))
+            out.append(rows.select("path_id", "slot", "timestamp", F.col("path").alias("record_path"), "record_offset", F.col("delta").cast("double").alias("delta"), head.alias("head"), F.col("data").cast("array<double>").alias("data")))
+        return out
+
     def stack(self) -> None:
         c, width = self.config, 2 * self.chain.max_lag + 1
+        ncf, parts = self.table("ncf"), self.correlations()
+        if len(parts) > 1:  # laid out once by pair and slot
+            ncf = merge.bucket_records(parts, f"noisefield_{hashlib.sha256(c.output.encode()).hexdigest()[:16]}", self.path("records"), c.buckets)
         for m in self.methods():
-            ncf = self.table("ncf")
+            if m == "linear" and len(parts) > 1:
+                self._write(merge.merged_stack(ncf).drop("delta"), f"stack_{m}")
+                continue
             if m == "linear":
                 out = stack.linear_stack(ncf, width)
             elif m == "pws":
@@ -127,9 +172,13 @@ class Run:
             self._write(out, f"stack_{m}")
 
     def rotate(self) -> None:
-        """Only where stations have three components."""
+        """Only where stations have three components; pairs that lack some are left out and counted."""
+        facts = {}
         for m in self.methods():
-            self._write(rotate.rotate(self.table(f"stack_{m}"), self.table("pairs")), f"rotated_{m}")
+            seen = Observation()
+            self._write(rotate.rotate(self.table(f"stack_{m}"), self.table("pairs"), seen), f"rotated_{m}")
+            facts |= {f"{m}_{k}": v for k, v in seen.get.items()}
+        tables.write_summary(self.spark, self.path("rotate.json"), facts)
 
     def records(self, name: str, labels: str) -> DataFrame:
         """Stacks or rotated stacks with the names and geometry that a record carries, its extremes, and in the user fields what it was made of."""
@@ -171,7 +220,7 @@ class Run:
             self._write(made, "written")
 
     def go(self, only: list[str] | None = None, skip: list[str] | None = None) -> list[str]:
-        todo = chosen_stages(only, skip)
+        todo = [x for x in chosen_stages(only, skip) if x != "pack" or "pack" in (only or []) or self.config.pack]
         for name in todo:
             getattr(self, name)()
         return todo

@@ -150,5 +150,5 @@ def pack_index(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_pack(places: DataFrame) -> DataFrame:
     """The records at rows of `pack_index` (all, or those that a filter left), with their keys."""
-    rows = sac.read_records(places, "record_path", "record_offset", "bytes").withColumnRenamed("path", "record_path")
-    return places.drop("npts", "bytes").join(rows, ["record_path", "record_offset"])
+    keys = tuple(c for c in places.columns if c not in ("record_path", "record_offset", "bytes", "npts"))
+    return sac.read_records(places, "record_path", "record_offset", "bytes", carry=keys).withColumnRenamed("path", "record_path")

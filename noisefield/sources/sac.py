@@ -115,11 +115,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     return found.mapInPandas(run, SCHEMA)
 
 
-def read_records(places: DataFrame, path_col: str = "path", offset_col: str | None = None, bytes_col: str | None = None, files_each: int = 256) -> DataFrame:
-    """The records at the places that a table names, and no other bytes: rows of SCHEMA with the offset as `record_offset`.
+def read_records(places: DataFrame, path_col: str = "path", offset_col: str | None = None, bytes_col: str | None = None, files_each: int = 256, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The records at the places that a table names, and no other bytes: rows of SCHEMA with the offset as `record_offset` and the columns `carry` of the table.
 
     A file holds one record, or several, each at its offset; a number of bytes that is not the record's own is an error. Tasks open `files_each` records each."""
-    want = places.select(F.col(path_col).alias("path"), (F.col(offset_col) if offset_col else F.lit(0)).cast("long").alias("record_offset"), (F.col(bytes_col) if bytes_col else F.lit(None)).cast("long").alias("bytes"))
+    taken = sorted({"path", "record_offset", "data", *COLUMNS} & set(carry))
+    if taken:
+        raise ValueError(f"records have columns {', '.join(taken)} of their own")
+    want = places.select(F.col(path_col).alias("path"), (F.col(offset_col) if offset_col else F.lit(0)).cast("long").alias("record_offset"), (F.col(bytes_col) if bytes_col else F.lit(None)).cast("long").alias("bytes"), *carry)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -130,9 +133,10 @@ def read_records(places: DataFrame, path_col: str = "path", offset_col: str | No
                 if size is not None and size == size and int(size) != whole:
                     raise ValueError(f"{path}: a record of {int(size)} bytes is named, its header says {whole}")
                 rows.append({"path": path, "record_offset": offset, **decode(head + read_bytes(path, int(offset) + HEADER_BYTES, whole - HEADER_BYTES))})
-            yield pd.DataFrame(rows, columns=["path", "record_offset", *COLUMNS, "data"])
+            yield pd.DataFrame(rows, columns=["path", "record_offset", *COLUMNS, "data"]).assign(**{c: b[c].to_numpy() for c in carry})
 
-    return _spread(want, files_each).mapInPandas(run, SCHEMA.replace("path string", "path string, record_offset long"))
+    carried = "".join(f", `{c}` {places.schema[c].dataType.simpleString()}" for c in carry)
+    return _spread(want, files_each).mapInPandas(run, SCHEMA.replace("path string", "path string, record_offset long") + carried)
 
 
 def _samples(head: bytes) -> int:

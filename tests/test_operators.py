@@ -111,6 +111,30 @@ def test_near_and_far_joins_agree(spark):
     assert near == {r.path_id for r in pairs.station_pairs(df).where("distance_km <= 2500").collect()} and near
 
 
+@pytest.mark.parametrize("limits", [(3500, 20000), (500, 2800), (4000, 5200), (9000, 9500), (15000, 20100), (0, 3200)])
+def test_far_pairs_through_caps(spark, limits):
+    rng = np.random.default_rng(5)
+    places = [(float(rng.uniform(-90, 90)), float(rng.uniform(-180, 180))) for _ in range(90)] + [(float(rng.normal(40, 2)), float(rng.normal(10, 2))) for _ in range(60)]
+    places += [(90.0, 0.0), (-90.0, 10.0), (89.99, 179.9), (0.0, 180.0), (0.0, -180.0), (10.0, 179.99), (10.0, -179.99), (0.0, 0.0), (0.0, 360.0), (-0.0, 90.0)]
+    df = spark.createDataFrame([(k, "g", *p) for k, p in enumerate(places, 1)] + [(500, "g", None, 1.0)], "nsl_id int, group string, lat double, lon double")
+    want = {r.path_id for r in pairs.station_pairs(df).where(F.col("distance_km").between(*limits)).collect()}
+    assert {r.path_id for r in pairs.station_pairs(df, distance_km=limits).collect()} == want and want
+
+
+def test_caps_leave_out_most_pairs(spark):
+    rng = np.random.default_rng(6)
+    df = spark.createDataFrame([(float(rng.normal(c, 1)), float(rng.normal(20 * c, 1))) for c in range(-4, 5) for _ in range(30)], "src_lat double, src_lon double")
+    cells = df.select(pairs._cell("src_lat", "src_lon").alias("i")).groupBy("i").count()
+    tested = lambda low, high: pairs.cap_pairs(df, low, high).join(cells.withColumnRenamed("count", "a"), "i").join(cells.withColumnsRenamed({"i": "j", "count": "b"}), "j").agg(F.sum(F.col("a") * F.col("b"))).first()[0]
+    assert tested(0, 21000) == 270 * 270 and tested(4300, 4600) < 270 * 270 / 4 and not tested(30000, 40000)
+
+
+def test_all_pairs_are_dealt_over_tasks(spark):
+    df = spark.range(1, 101).select(F.col("id").cast("int").alias("nsl_id"), F.lit("g").alias("group"), (F.col("id") / 2).alias("lat"), (F.col("id") * 3.0 - 170).alias("lon")).coalesce(1)
+    made = pairs.station_pairs(df)
+    assert made.count() == 4950 and made.select(F.spark_partition_id().alias("k")).distinct().count() > 1
+
+
 def test_pattern_back_reference_and_wildcards(spark):
     p = inventory.PathPattern("{home}/{station}/{?}/{YYYY}{JJJ}.{station}.{*}.{component}", "/d")
     df = spark.createDataFrame([("/d/AB1/x/2022137.AB1.q.w.BHZ",), ("/d/AB1/x/2022137.AB2.q.BHZ",), ("/e/AB1/x/2022137.AB1.q.BHZ",), (None,)], "path string")

@@ -29,7 +29,7 @@ def test_config_checks_and_round_trip(tmp_path):
     for bad in ({"bands": ((0.1, 0.9),)}, {"whiten": "SOME"}, {"stack_flag": "12"}, {"distance_km": (5, 1)}, {"delta": 0}):
         with pytest.raises(ValueError):
             config.RunConfig(**bad)
-    assert chosen_stages(skip=["unpack"]) == ["prepare", "spectra", "correlate", "stack", "rotate"]
+    assert chosen_stages(skip=["unpack"]) == ["prepare", "spectra", "correlate", "pack", "stack", "rotate"]
     with pytest.raises(ValueError, match="spectra"):
         chosen_stages(only=["spectr"])
 
