@@ -5,12 +5,15 @@ are formed; records are cut into windows inside the task.
 
 Stations are dealt into blocks of neighbouring numbers, and a task gets a tile: two blocks at one timestamp. A trace or
 spectrum is sent once to each tile that its block is in and has pairs, not once a pair; the tile correlates its pairs,
-sums over steps and returns lags. What is shuffled grows with stations times blocks; a tile's memory is bounded by `TILE_BYTES`, which
-sets the stations of a block.
+sums over steps and returns lags. What is shuffled grows with stations times blocks; a tile's memory is bounded by `TILE_BYTES`. Where
+the spectra of two blocks are more than that, they are cut into ranges of frequency, a tile for each: the inverse transform is
+linear, so the lags of a pair's ranges are added up. `layout` chooses stations of a block and ranges so that spectra and partial lags
+together are least.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import spectral as S
-from .vectors import lists
+from .vectors import lists, sum_arrays
 
 #: Order of components inside a pair.
 COMPONENT_RANK = {"E": 0, "1": 0, "R": 0, "N": 1, "2": 1, "T": 1, "Z": 2, "3": 2}
@@ -151,22 +154,41 @@ def plain_spectra(channels: DataFrame, length: int, delta: float) -> DataFrame:
 
 
 #: Bytes of the traces or spectra of a tile, on average, and most stations of a block.
-TILE_BYTES, MOST_BLOCK = 64 << 20, 64
+TILE_BYTES, MOST_BLOCK = 128 << 20, 64
 
-#: From an array (channel, step, number) and the places of sources and receivers in it: the lags of each pair, summed over steps.
-Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+#: From an array (channel, step, number), the places of sources and receivers in it and the first number's frequency: the lags of each pair, summed over steps.
+Kernel = Callable[[np.ndarray, np.ndarray, np.ndarray, int], np.ndarray]
 
 
-def _tiles(rows: DataFrame, paths: DataFrame, carry: list[str], station_bytes: int, half: int, kernel: Kernel) -> DataFrame:
-    """timestamp, path_id, slot, steps and data (the mean over common steps) of all pairs of `paths`. rows: timestamp, nsl_id, component, step and `carry`, at most once each."""
-    block = max(1, min(MOST_BLOCK, TILE_BYTES // (2 * max(station_bytes, 1))))
+def layout(station_bytes: int, lag_bytes: int, numbers: int, tile_bytes: int | None = None) -> tuple[int, int]:
+    """Stations of a block, and ranges into which the numbers of a spectrum are cut.
+
+    With b stations a block and r ranges, station_bytes / b are sent for each pair of stations and 9 * r * lag_bytes / 2 come back if r > 1; a tile holds
+    2 * b * station_bytes / r."""
+    tile = tile_bytes or TILE_BYTES
+    whole = tile // (2 * max(station_bytes, 1))
+    if whole >= 8:  # blocks of a good size without a cut
+        return min(MOST_BLOCK, whole), 1
+    block = max(2, min(MOST_BLOCK, round(math.sqrt(tile / (9 * max(lag_bytes, 1))))))
+    return block, min(-(-2 * block * station_bytes // tile), numbers)
+
+
+def _tiles(rows: DataFrame, paths: DataFrame, carry: list[str], numbers: int, station_bytes: int, half: int, kernel: Kernel, tile_bytes: int | None = None) -> DataFrame:
+    """timestamp, path_id, slot, steps and data (the mean over common steps) of all pairs of `paths`. rows: timestamp, nsl_id, component, step and `carry` (arrays of `numbers`), at most once each."""
+    width = 2 * half + 1
+    block, ranges = layout(station_bytes, 8 * width, numbers, tile_bytes) if len(carry) == 2 else (max(1, min(MOST_BLOCK, (tile_bytes or TILE_BYTES) // (2 * max(station_bytes, 1)))), 1)
     of = lambda c: F.floor(F.col(c) / block).cast("int")
     pairs = paths.select("path_id", "src_id", "rec_id", of("src_id").alias("i"), of("rec_id").alias("j"))
     # where a station's rows go: as a source with its receivers there (a block of them at most), as a receiver without
     sources = pairs.groupBy(F.col("src_id").alias("nsl_id"), "i", "j").agg(F.collect_list("rec_id").alias("receivers"), F.collect_list("path_id").alias("path_ids"))
     none = [F.lit(None).cast(t).alias(c) for c, t in sources.dtypes[3:]]
     ends = sources.unionByName(pairs.select(F.col("rec_id").alias("nsl_id"), "i", "j").distinct().select("*", *none))
-    sent = rows.select("timestamp", "nsl_id", "component", "step", *carry).join(ends, "nsl_id")
+    rows = rows.select("timestamp", "nsl_id", "component", "step", F.lit(0).alias("first"), *carry)
+    if ranges > 1:
+        each = -(-numbers // ranges)
+        cut = F.array(*(F.struct(F.lit(k).alias("first"), *(F.slice(c, k + 1, each).alias(c) for c in carry)) for k in range(0, numbers, each)))
+        rows = rows.select("timestamp", "nsl_id", "component", "step", F.inline(cut))
+    sent = rows.join(ends, "nsl_id")
     time_type = rows.schema["timestamp"].dataType.simpleString()
 
     def run(t: pa.Table) -> pa.Table:
@@ -193,12 +215,13 @@ def _tiles(rows: DataFrame, paths: DataFrame, carry: list[str], station_bytes: i
         p, q = begin[: len(src)][pair] + turn // np.maximum(n_rec[pair], 1), begin[len(src) :][pair] + turn % np.maximum(n_rec[pair], 1)
         common = (there[p] * there[q]).sum(axis=1)
         p, q, pair, common = (v[common > 0] for v in (p, q, pair, common))
-        lags = kernel(x, p, q) / common[:, None] if len(p) else np.zeros((0, 2 * half + 1))
+        lags = kernel(x, p, q, t.column("first")[0].as_py()) / common[:, None] if len(p) else np.zeros((0, width))
         slots = channel[p, 1] * 3 + channel[q, 1]
         when = t.column("timestamp").take(pa.array(np.zeros(len(p), np.int64)))
         return pa.Table.from_arrays([when, pa.array(path[pair]), pa.array(slots, pa.int32()), pa.array(common.astype(np.int64)), lists(lags)], names=["timestamp", "path_id", "slot", "steps", "data"])
 
-    return sent.groupBy("timestamp", "i", "j").applyInArrow(run, f"timestamp {time_type}, path_id long, slot int, steps long, data array<double>")
+    parts = sent.groupBy("timestamp", "i", "j", "first").applyInArrow(run, f"timestamp {time_type}, path_id long, slot int, steps long, data array<double>")
+    return parts if ranges == 1 else sum_arrays(parts, ["timestamp", "path_id", "slot", "steps"], width, "_ranges").drop("_ranges")
 
 
 def _column(t: pa.Table, name: str) -> pa.Array:
@@ -219,7 +242,7 @@ def _blocks(p: np.ndarray, most: int) -> Iterator[slice]:
 def correlate_direct(channels: DataFrame, paths: DataFrame, half: int, dt: float = 1.0, samples: int = 64) -> DataFrame:
     """Correlations in the time domain: timestamp, path_id, slot, data; dt * sum over t of source[t] * receiver[t + lag]. samples: numbers in a trace."""
 
-    def kernel(x: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    def kernel(x: np.ndarray, p: np.ndarray, q: np.ndarray, first: int) -> np.ndarray:
         n = x.shape[-1]
         out = np.zeros((len(p), 2 * half + 1))
         for s in _blocks(p, 4096):
@@ -229,20 +252,22 @@ def correlate_direct(channels: DataFrame, paths: DataFrame, half: int, dt: float
         return out
 
     rows = channels.withColumn("step", F.lit(0))
-    return _tiles(rows, paths, ["data"], 3 * 8 * samples, half, kernel).drop("steps")
+    return _tiles(rows, paths, ["data"], samples, 3 * 8 * samples, half, kernel).drop("steps")
 
 
-def correlate_spectra(spec: DataFrame, paths: DataFrame, half: int, length: int, delta: float, steps: int = 1) -> DataFrame:
+def correlate_spectra(spec: DataFrame, paths: DataFrame, half: int, length: int, delta: float, steps: int = 1, tile_bytes: int | None = None) -> DataFrame:
     """Mean over steps of the correlations from spectra: timestamp, path_id, slot, steps, data. steps: those of a record, by which blocks are sized."""
+    numbers = length // 2 + 1
 
-    def kernel(x: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    def kernel(x: np.ndarray, p: np.ndarray, q: np.ndarray, first: int) -> np.ndarray:
         out = np.zeros((len(p), 2 * half + 1))
-        for s in _blocks(p, max(1, (16 << 20) // (16 * max(x.shape[1] * x.shape[2], 1)))):
-            cross = np.einsum("psf,psf->pf", np.conj(x[p[s]]), x[q[s]])
+        for s in _blocks(p, max(1, (16 << 20) // (16 * max(x.shape[1] * x.shape[2], numbers, 1)))):
+            cross = np.zeros((len(p[s]), numbers), complex)  # frequencies of other ranges are 0
+            cross[:, first : first + x.shape[2]] = np.einsum("psf,psf->pf", np.conj(x[p[s]]), x[q[s]])
             out[s] = S.correlation(np.ones(1), cross, half, length, delta)
         return out
 
-    return _tiles(spec, paths, ["re", "im"], 3 * 16 * (length // 2 + 1) * steps, half, kernel)
+    return _tiles(spec, paths, ["re", "im"], numbers, 3 * 16 * numbers * steps, half, kernel, tile_bytes)
 
 
 def lags_of(ncf: DataFrame, half: int, *keys: str) -> DataFrame:

@@ -135,6 +135,51 @@ def test_all_pairs_are_dealt_over_tasks(spark):
     assert made.count() == 4950 and made.select(F.spark_partition_id().alias("k")).distinct().count() > 1
 
 
+@pytest.mark.parametrize(("tile_bytes", "blocks", "ranges"), [(40_000, 4, 2), (400_000, 32, 1)])
+def test_tiles_of_blocks_and_ranges_give_the_same_lags(spark, monkeypatch, tile_bytes, blocks, ranges):
+    rng = np.random.default_rng(9)
+    length, half, steps = 128, 20, 2
+    numbers = length // 2 + 1
+    assert correlate.layout(3 * 16 * numbers * steps, 8 * (2 * half + 1), numbers, tile_bytes) == (blocks, ranges)
+    z = {(t, s, c, k): rng.normal(size=numbers) + 1j * rng.normal(size=numbers) for t in range(2) for s in range(1, 8) for c in "EZ" for k in range(steps) if (t, s, k) != (1, 3, 1)}
+    spec = spark.createDataFrame([(*k, v.real.tolist(), v.imag.tolist()) for k, v in z.items()], "timestamp long, nsl_id int, component string, step int, re array<double>, im array<double>")
+    paths = spark.createDataFrame([(a * 10000 + b, a, b) for a in range(1, 8) for b in range(a, 8) if (a + b) % 5], "path_id long, src_id int, rec_id int")
+    got = {(r.timestamp, r.path_id, r.slot): (r.steps, r.data) for r in correlate.correlate_spectra(spec, paths, half, length, 0.5, steps, tile_bytes).collect()}
+    want = {}
+    for t in range(2):
+        for p in paths.collect():
+            for i, a in ((0, "E"), (2, "Z")):
+                for j, b in ((0, "E"), (2, "Z")):
+                    each = [np.fft.irfft(np.conj(z[t, p.src_id, a, k]) * z[t, p.rec_id, b, k], length) / 0.5 for k in range(steps) if (t, p.src_id, a, k) in z and (t, p.rec_id, b, k) in z]
+                    mean = np.mean(each, axis=0)
+                    want[t, p.path_id, 3 * i + j] = (len(each), np.concatenate([mean[length - half :], mean[: half + 1]]))
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == n and np.allclose(got[k][1], x) for k, (n, x) in want.items())
+
+
+def test_layout_at_real_sizes():
+    """A day of 24 steps at 18,523 frequencies: a tile stays below its bound, and a spectrum is sent to blocks, not to pairs."""
+    numbers, steps, lags = 18_523, 24, 2001
+    station = 3 * 16 * numbers * steps
+    block, ranges = correlate.layout(station, 8 * lags, numbers)
+    assert block >= 16 and ranges > 1 and 2 * block * station / ranges <= correlate.TILE_BYTES
+    sent = lambda b, r: station / b + (9 * r * 8 * lags / 2 if r > 1 else 0)  # noqa: E731  (bytes a pair of stations)
+    assert sent(block, ranges) < sent(1, 1) / 8
+    assert correlate.layout(3 * 16 * 33, 8 * 17, 33) == (64, 1)
+
+
+def test_shuffled_bytes_grow_with_blocks(spark):
+    """Forty stations: what the tiles are sent, counted in the plan's own rows, is a spectrum a block and not a spectrum a pair."""
+    stations, numbers = 40, 513
+    block, ranges = correlate.layout(3 * 16 * numbers, 8 * 21, numbers, 1 << 17)
+    assert block >= 8 and ranges > 1
+    paths = spark.createDataFrame([(a * 10000 + b, a, b) for a in range(1, stations + 1) for b in range(a + 1, stations + 1)], "path_id long, src_id int, rec_id int")
+    of = lambda c: F.floor(F.col(c) / block)
+    ends = paths.select(F.col("src_id").alias("s"), of("src_id").alias("i"), of("rec_id").alias("j")).union(paths.select("rec_id", of("src_id"), of("rec_id"))).distinct()
+    blocks = -(-(stations + 1) // block)
+    assert ends.count() <= stations * (blocks + 1) < 2 * paths.count() / 4
+
+
 def test_pattern_back_reference_and_wildcards(spark):
     p = inventory.PathPattern("{home}/{station}/{?}/{YYYY}{JJJ}.{station}.{*}.{component}", "/d")
     df = spark.createDataFrame([("/d/AB1/x/2022137.AB1.q.w.BHZ",), ("/d/AB1/x/2022137.AB2.q.BHZ",), ("/e/AB1/x/2022137.AB1.q.BHZ",), (None,)], "path string")
