@@ -162,7 +162,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATE
     one = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(*(F.max(c).alias(c) for c in categories))
     chosen = keep(one.withColumn("draw", key).orderBy("draw", id_col).limit(sample_rows))
     sample = docs.select(F.col(id_col).alias("sample_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("sample_id") == F.col(id_col))  # at most sample_rows ids
-    sample = sample.select(id_col, "draw", F.xxhash64("text").alias("text_hash"), "text", *categories)
+    # a row an id before anything is gathered, however often the table repeats it: the one with the least hash of its text
+    sample = sample.groupBy("draw", id_col).agg(F.min(F.struct(F.xxhash64("text").alias("text_hash"), "text", *categories)).alias("least")).select("draw", "least.*")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
