@@ -1,7 +1,7 @@
 """Best-two-fit packing of tokenized documents into sequences of a fixed length.
 
-Documents become ids and an end id; only those longer than a sequence are cut. Pieces are dealt by a hash of their
-place in the table, so that repeated rows are spread too, to groups of a bounded mean size, and each group is packed by one task: fill a sequence greedily
+Documents become ids and an end id; only those longer than a sequence are cut. The pieces (numbers only) are written to a table; they are dealt by a hash of their
+place in it, so that repeated rows are spread too and a lost task deals as before, to groups of a bounded mean size, and each group is packed by one task: fill a sequence greedily
 with the largest piece that fits, then put its smallest piece back if two unpacked pieces fill the widened gap
 more tightly. A group wastes at most its last sequence, so the count stays within one a group of packing all
 together. Full pieces need no packing and get a sequence each where they are cut.
@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from . import _text as X, _tokens
+from ._store import keep
 
 SEQUENCE = 4096
 #: Mean number of documents whose pieces one task packs.
@@ -106,7 +107,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, most: int = SE
 def best_two_fit(docs: DataFrame, tokenizer_path: str, end_id: int = 1, most: int = SEQUENCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a piece with its sequence_id and offset."""
     groups = max(1, -(-docs.count() // GROUP_DOCS))
-    cut = pieces(docs, tokenizer_path, end_id, most, id_col, text_col)
+    cut = keep(pieces(docs, tokenizer_path, end_id, most, id_col, text_col))
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

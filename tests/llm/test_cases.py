@@ -567,3 +567,56 @@ def test_word_ids_equal_whole_texts():
     other = public_tokenizers.path("byte_bpe_50k.json")
     [(_, ids, at)] = list(_tokens.encode(pa.array(["two words", None]), other))
     assert ids.tolist() == _tokens.tokenizer(other).encode("two words").ids and at.tolist() == [0, len(ids), len(ids)]
+
+
+def test_a_repeated_id_brings_one_row_to_the_fit(spark, monkeypatch):
+    """Thousands of rows of one labelled id: the fit gets one of them, that with the least hash of its text."""
+    bad, good = "vile words here", "plain words there"
+    rows = [(k, f"{bad if k % 2 else good} {k % 5}") for k in range(60)] + [(7, f"{good} again {k % 3}") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 0, k % 2) for k in range(60)], "doc_id long, low_quality int, toxic int")
+    seen = []
+    real = type(docs).groupBy
+    monkeypatch.setattr(type(docs), "groupBy", lambda self, *c: (seen.append(self) if c == ("all",) else None) or real(self, *c))
+    once = toxicity.train(docs, labels)
+    assert [x.count() for x in seen] == [60]
+    least = docs.where("doc_id = 7").select("text", F.xxhash64("text").alias("h")).orderBy("h").first().text
+    alone = toxicity.train(docs.where("doc_id <> 7").unionByName(spark.createDataFrame([(7, least)], docs.schema)), labels)
+    assert all((a == b).all() for a, b in zip(once, alone, strict=True))
+
+
+def _slow_pack(lengths, most):
+    """Sequences by looking through all pieces and all pairs of pieces: largest that fits, then the pair that fills the gap best."""
+    left, out = sorted(lengths), []
+    while left:
+        held, gap = [], most
+        while fit := [x for x in left if x <= gap]:
+            left.remove(fit[-1])
+            held.append(fit[-1])
+            gap -= fit[-1]
+        if gap and left:
+            room = gap + held[-1]
+            best = max((left[i] + left[j] for i in range(len(left)) for j in range(i + 1, len(left)) if left[i] + left[j] <= room), default=0)
+            if best > held[-1]:
+                i, j = next((i, j) for i in range(len(left)) for j in range(i + 1, len(left)) if left[i] + left[j] == best)
+                pair = [left[i], left[j]]
+                left = sorted([*left[:i], *left[i + 1 : j], *left[j + 1 :], held.pop()])
+                held += pair
+        out.append(sum(held))
+    return out
+
+
+def test_packing_against_a_search_of_all_pairs():
+    import numpy as np
+
+    rng = np.random.default_rng(12)
+    for most in (20, 100, 257):
+        for n in (1, 2, 40, 90):
+            lengths = np.minimum(rng.geometric(4 / most, n), most)
+            seq, offset = packing.pack(lengths, most)
+            full = np.bincount(seq, lengths).astype(int).tolist()
+            assert full == _slow_pack(lengths.tolist(), most)
+            for k in range(seq.max() + 1):
+                mine = np.flatnonzero(seq == k)
+                order = mine[np.argsort(offset[mine])]
+                assert offset[order].tolist() == [0, *np.cumsum(lengths[order])[:-1].tolist()]
