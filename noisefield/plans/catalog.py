@@ -670,6 +670,22 @@ def rotate_rtz(spark, sf_dir):
     return correlate.lags_of(x, HALF, "path_id", "slot", "component_pair").withColumn("v", rounded(F.col("v"), 5))
 
 
+_AZ, _BAZ = "radians((path_id % 360)::double)", "radians((path_id * 7 % 360)::double)"
+_FROM_HEADS = _rotation_sql("st").replace(_AZ, f"case when path_id % 3 = 0 then radians(90.0) else {_AZ} end").replace(_BAZ, f"case when path_id % 3 = 0 then radians(270.0) else {_BAZ} end")
+
+
+@query(f"with {STACK}, rt as ({_FROM_HEADS}) select path_id, slot::int slot, component_pair, lag, case when path_id % 3 = 0 then 'coordinates' else 'header' end geometry, round(v, 4) + 0.0 v from rt")
+def rotate_from_headers(spark, sf_dir):
+    """Rotation by the geometry in the records' own headers: coordinates of both ends (here on the equator), else azimuths."""
+    third, none = F.col("path_id") % 3 == 0, F.lit(None).cast("double")
+    at = lambda v: F.when(third, F.lit(v)).otherwise(none)
+    x = stack.linear_stack(ncf(spark, sf_dir), W).withColumns(
+        {"delta": F.lit(1.0), "evla": at(0.0), "evlo": at(0.0), "stla": at(0.0), "stlo": at(10.0), "gcarc": none, "dist": none, "az": (F.col("path_id") % 360).cast("double"), "baz": (F.col("path_id") * 7 % 360).cast("double")}
+    )
+    out = rotate.rotate_records(x, "path_id")
+    return correlate.lags_of(out, HALF, "path_id", "slot", "component_pair", "geometry").withColumn("v", rounded(F.col("v"), 4))
+
+
 @query(f"with {STACK}, k as (select path_id, count(distinct slot) m from st where not (path_id % 3 = 0 and slot = 4) group by 1), y as (select st.* from st join k using (path_id) where m = 9), rt as ({_rotation_sql('y')}) select path_id, count(*)::bigint n_values from rt group by 1")
 def rotate_incomplete_skipped(spark, sf_dir):
     x = stack.linear_stack(ncf(spark, sf_dir), W).where("not (path_id % 3 = 0 and slot = 4)")

@@ -74,3 +74,19 @@ def test_a_run_stacks_the_packs_of_another(spark, tmp_path):
         assert got == {k: (n, pytest.approx(x, abs=1e-4)) for k, (n, x) in want.items()} and len(got) == 3
     one = second.table("stack_linear").where("path_id = 10002").select(F.from_json("head", "delta float, b float").alias("h"), "first_timestamp").first()
     assert (one.h.delta, one.h.b, one.first_timestamp.timetuple().tm_yday) == (1.0, -10.0, 137)
+
+    # the verbs that read what a run left
+    from noisefield.__main__ import main
+
+    index = f"{first.path('packs')}/record_index.tsv"
+    assert main(["extract", index, "AA", "CC", "Z-Z", str(tmp_path / "one"), "--timestamp", "2022.137.0000"]) == 0
+    record = sac.read(spark, str(tmp_path / "one")).first()
+    assert record.data == pytest.approx(first.table("ncf").where("path_id = 10003").first().data, rel=1e-5, abs=1e-5)
+    assert main(["extract", index, "CC", "AA", "Z/Z", str(tmp_path / "turned"), "--reverse"]) == 0
+    with pytest.raises(LookupError, match="no record matches"):
+        main(["extract", index, "CC", "AA", "Z/Z", str(tmp_path / "turned")])
+    config.dump(second.config, str(tmp_path / "c.ini"))
+    assert main(["dat", str(tmp_path / "c.ini"), "stack_linear", str(tmp_path / "dat"), "--receivers", "CC"]) == 0
+    assert len(list((tmp_path / "dat").rglob("*.dat"))) == 2
+    with pytest.raises(ValueError, match="no traces of XX"):
+        main(["dat", str(tmp_path / "c.ini"), "stack_linear", str(tmp_path / "dat"), "--receivers", "XX"])
