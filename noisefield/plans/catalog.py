@@ -981,3 +981,19 @@ def pack_records(spark, sf_dir):
     wanted = pack.pack_index(spark, folder).where(F.col("nzjday") % 3 == 0)
     got = pack.read_pack(wanted.withColumnsRenamed({c: f"key_{c}" for c in keys}))
     return got.select(*(F.col(f"key_{c}").alias(c) for c in ("kstnm", "kcmpnm", "nzyear", "nzjday")), rounded(A.total(F.col("data").cast("array<double>")), 4).alias("total"))
+
+
+@query(
+    """with t as (select 'v' || vec_id || '.sac' file, vec_id % 50 first, embedding from embeddings), w as (select file, first, unnest(range(20))::int i, embedding from t)
+    select file, i, case when first - 5 + i between 0 and 63 then round(embedding[(first - 5 + i + 1)::int]::double, 5) + 0.0 else 0.0 end v, (632 + 4 * least(20, first + 15, 64 - greatest(first - 5, 0)))::bigint bytes_read from w"""
+)
+def sac_windows(spark, sf_dir):
+    """Twenty samples of every waveform around a mark in its header (five before it), read by range: samples outside are 0."""
+    folder = f"{scratch(spark)}/marked"
+    e = table(spark, sf_dir, "embeddings")
+    name = F.concat(F.lit("v"), F.col("vec_id"), F.lit(".sac"))
+    rows = e.select(name.alias("output_path"), F.lit(1.0).alias("delta"), F.lit(100.0).alias("b"), (F.col("vec_id") % 50 + 100.0).alias("a"), F.col("embedding").cast("array<float>").alias("data"))
+    sac.write(rows, folder).write.format("noop").mode("overwrite").save()
+    places = e.select(F.concat(F.lit(f"{folder}/"), name).alias("path"), name.alias("file"))
+    got = sac.read_windows(places, "a", -5.0, 15.0, carry=("file",))
+    return got.select("file", F.posexplode("data").alias("i", "v"), "bytes_read").withColumn("v", rounded(F.col("v").cast("double"), 5))

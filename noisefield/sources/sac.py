@@ -37,7 +37,7 @@ TEXT_FIELDS = "kstnm kevnm khole ko ka kt0 kt1 kt2 kt3 kt4 kt5 kt6 kt7 kt8 kt9 k
 IXY = 4
 #: Header fields that rows carry.
 COLUMNS = {
-    "delta": "float", "b": "float", "e": "float", "depmin": "float", "depmax": "float", "depmen": "float", "stla": "float", "stlo": "float", "stel": "float", "evla": "float", "evlo": "float",
+    "delta": "float", "b": "float", "e": "float", "o": "float", "a": "float", **{f"t{k}": "float" for k in range(10)}, "depmin": "float", "depmax": "float", "depmen": "float", "stla": "float", "stlo": "float", "stel": "float", "evla": "float", "evlo": "float",
     "dist": "float", "az": "float", "baz": "float", "gcarc": "float", "cmpaz": "float", "cmpinc": "float", "user0": "float", "user1": "float", "user2": "float",
     "nzyear": "int", "nzjday": "int", "nzhour": "int", "nzmin": "int", "nzsec": "int", "nzmsec": "int", "npts": "int", "iftype": "int",
     "kstnm": "string", "kevnm": "string", "kcmpnm": "string", "knetwk": "string", "khole": "string", "kuser0": "string", "kuser1": "string", "kuser2": "string",
@@ -139,6 +139,44 @@ def read_records(places: DataFrame, path_col: str = "path", offset_col: str | No
     return _spread(want, files_each).mapInPandas(run, SCHEMA.replace("path string", "path string, record_offset long") + carried)
 
 
+#: What a window's times may count from: header fields, or the record's own clock.
+MARKS = (*(f"t{k}" for k in range(10)), "b", "o", "a", "absolute")
+
+
+def read_windows(places: DataFrame, mark: str, first: float, last: float, path_col: str = "path", offset_col: str | None = None, files_each: int = 256, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Windows of records from `first` to `last` seconds after a mark: path, record_offset, `carry`, delta, b (time of the first sample), npts, bytes_read and data.
+
+    A window has rint((last - first) / delta) samples and begins at the sample nearest to its first time; samples outside the record are 0. Of a
+    file only the header and the bytes of the window are read. A record without the mark, or without a positive interval, is an error."""
+    if mark not in MARKS or last < first:
+        raise ValueError(f"a window counts from one of {', '.join(MARKS)} and ends after it begins")
+    want = places.select(F.col(path_col).alias("path"), (F.col(offset_col) if offset_col else F.lit(0)).cast("long").alias("record_offset"), *carry)
+    names = ["path", "record_offset", "delta", "b", "npts", "bytes_read", "data"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path, offset in zip(batch["path"], batch["record_offset"], strict=True):
+                head = read_bytes(path, int(offset), HEADER_BYTES)
+                order = byte_order(head)
+                value = dict(zip(FLOAT_FIELDS, np.frombuffer(head, order + "f4", 70).astype(float), strict=True))
+                known = mark == "absolute" or abs(value[mark] - NULL) > 1e-3
+                if not known or value["delta"] <= 0:
+                    raise ValueError(f"{path}: the header has no {'sampling interval' if known else mark}")
+                begin = value["b"] if abs(value["b"] - NULL) > 1e-3 else 0.0
+                start = round(((0.0 if mark == "absolute" else value[mark]) + first - begin) / value["delta"])
+                n = round((last - first) / value["delta"])
+                a, z = max(start, 0), min(start + n, _samples(head))
+                data = np.zeros(n, np.float32)
+                raw = read_bytes(path, int(offset) + HEADER_BYTES + 4 * a, 4 * (z - a)) if z > a else b""
+                data[a - start : a - start + len(raw) // 4] = np.frombuffer(raw, order + "f4")
+                rows.append((path, offset, value["delta"], begin + start * value["delta"], n, HEADER_BYTES + len(raw), data))
+            yield pd.DataFrame(rows, columns=names).assign(**{c: batch[c].to_numpy() for c in carry})
+
+    carried = "".join(f", `{c}` {places.schema[c].dataType.simpleString()}" for c in carry)
+    return _spread(want, files_each).mapInPandas(run, "path string, record_offset long, delta double, b double, npts int, bytes_read long, data array<float>" + carried)
+
+
 def _samples(head: bytes) -> int:
     """Numbers that follow a header."""
     npts, kind = (int(np.frombuffer(head, byte_order(head) + "i4", 1, 280 + 4 * INT_FIELDS.index(k))[0]) for k in ("npts", "iftype"))

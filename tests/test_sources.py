@@ -1,5 +1,6 @@
 import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +133,30 @@ def test_empty_packs(spark, records, tmp_path):
     records.where("false").write.format("sacpack").mode("append").save(str(tmp_path / "packs"))
     with pytest.raises(FileNotFoundError):
         pack.pack_index(spark, str(tmp_path / "packs"))
+
+
+def test_windows_by_mark_read_only_their_bytes(spark, tmp_path):
+    x = np.arange(1, 101, dtype=float)
+    heads = {"plain": {"delta": 0.5, "b": 10.0, "t3": 20.0, "a": 12.25, "o": -40.0}, "none": {"delta": 0.5, "b": 10.0}}
+    for name, head in heads.items():
+        (tmp_path / f"{name}.sac").write_bytes(b"pad." * 3 + sac.encode({**head, "data": x}))
+    places = spark.createDataFrame([(str(tmp_path / "plain.sac"), 12, "k")], "path string, at long, key string")
+
+    def window(*a):
+        return sac.read_windows(places, *a, offset_col="at", carry=("key",)).first()
+
+    for mark, zero in (("t3", 20.0), ("a", 12.25), ("b", 10.0), ("o", -40.0), ("absolute", 0.0)):
+        for first, last in ((0.0, 5.0), (-30.0, 3.2), (30.0, 60.0), (500.0, 503.0), (1.0, 1.0), (-1e3, 1e3)):
+            r = window(mark, first, last)
+            start, n = round((zero + first - 10.0) / 0.5), round((last - first) / 0.5)
+            want = [float(x[k]) if 0 <= k < 100 else 0.0 for k in range(start, start + n)]
+            assert (r.data, r.npts, r.b, r.key) == (want, n, 10.0 + start * 0.5, "k") and r.bytes_read == 632 + 4 * sum(v > 0 for v in want)
+    bare = spark.createDataFrame([(str(tmp_path / "none.sac"), 12)], "path string, at long")
+    with pytest.raises(Exception, match="no t3"):
+        sac.read_windows(bare, "t3", 0, 1, offset_col="at").collect()
+    for bad in (("t10", 0, 1), ("a", 2, 1)):
+        with pytest.raises(ValueError, match="a window counts from"):
+            sac.read_windows(bare, *bad)
+    (tmp_path / "whole.sac").write_bytes(sac.encode({**heads["plain"], "data": x}))
+    whole = sac.read(spark, str(tmp_path / "whole.sac")).first()
+    assert (whole.t3, whole.a, whole.o, whole.t0) == (20.0, 12.25, -40.0, None)
