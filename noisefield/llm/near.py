@@ -4,8 +4,9 @@ A document's set holds the hashes of its distinct word shingles. Rows of equal s
 minima; bands of four give candidate pairs, and the two low bits of each minimum are packed into four longs.
 
 Nodes that share a band bucket, directly or through others, form a cluster; a cluster only says which nodes travel
-together. Small clusters are put many to a task, larger ones are cut into blocks of nodes, a task for each pair of blocks,
-at every size alike. A first pass sees 32 bytes of low bits and the band keys of each node: pairs that share a band, and
+together. Buckets with one smallest node form a star, and where the stars of a cluster cost fewer comparisons than the
+cluster (long chains of texts), its stars travel, not the whole. Small units of either kind are put many to a task, larger ones
+are cut into blocks of nodes, a task for each pair of blocks, at every size alike. A first pass sees 32 bytes of low bits and the band keys of each node: pairs that share a band, and
 whose similarity as estimated from the low bits (corrected for chance agreement) is not far below the threshold,
 stay. A second pass gets the full sets of nodes that are in such a pair, confirms the pairs on them and returns a
 spanning forest of the links it found, never all pairs. At the threshold a pair misses all 32 bands with a chance of
@@ -13,7 +14,8 @@ spanning forest of the links it found, never all pairs. At the threshold a pair
 
 Scale: only slim rows (ids and hashes) are grouped and joined; keys with very many rows (a text or a group of copies that is
 a third of the table) get their facts by broadcast, of which there are at most `MOST_HOT`, so no task holds all rows of a
-key. A cluster of n nodes costs n * n / 2 comparisons of 32 bytes.
+key. A cluster of n nodes costs n * n / 2 comparisons of 32 bytes, or what its stars cost if that is less: a chain in which each text
+shares buckets with a bounded number of others costs a bounded number of comparisons a text.
 
 Edge cases: every row is a document of its own, also where ids repeat or are null. A null or empty text, or one without
 words, has an empty set and is linked with nothing; a text with fewer words than a shingle has its whole word sequence as
@@ -38,7 +40,7 @@ HASHES, ROWS, BITS = 128, 4, 2
 BANDS = HASHES // ROWS
 #: Standard deviations of the low-bit estimate below the threshold at which a pair is refused.
 SLACK = 6.5
-#: Nodes of a block, and of small clusters put together in one task.
+#: Nodes of a block, and of small units put together in one task.
 BLOCK_NODES, PACK_NODES = 1024, 256
 #: Candidate pairs in a task above which intersections are counted by matrix products.
 DENSE_PAIRS, DENSE_COLUMNS = 2000, 4096
@@ -264,14 +266,30 @@ def _confirm(percent: int):
 _PLACE = ["task", "i", "j", "node", "left", "right"]
 
 
+def _units(shared: DataFrame) -> DataFrame:
+    """Which nodes are compared with each other: node, unit, n (nodes of the unit).
+
+    The nodes that meet one smallest node in some bucket are a star, so nodes of a common bucket are in one star at least. A cluster is
+    one unit, or each of its stars is one where those together cost fewer comparisons than the cluster."""
+    cluster = components(shared.select(F.col("low").alias("a"), F.col("node").alias("b")).where("a < b"))
+    stars = keep(shared.groupBy("low").agg(F.count(F.lit(1)).alias("n")))
+    square = F.col("n").cast("double") * F.col("n")
+    in_stars = F.sum(F.col("n").cast("double") * F.greatest("n", F.lit(2 * PACK_NODES)))  # small ones meet those they are put together with
+    apart = stars.join(cluster.withColumnRenamed("node", "low"), "low").groupBy("comp").agg(in_stars.alias("in_stars"))
+    sizes = cluster.groupBy("comp").agg(F.count(F.lit(1)).alias("n")).join(apart, "comp")
+    sizes = keep(sizes.select("comp", "n", ((F.col("n") > PACK_NODES) & (F.col("in_stars") < square)).alias("apart")))
+    cluster = keep(attach(cluster, sizes, ["comp"], "n"))
+    whole = cluster.where("not apart").select("node", F.col("comp").alias("unit"), "n")
+    split = attach(shared.join(cluster.where("apart").select("node"), "node"), stars, ["low"], "n")
+    return keep(whole.unionByName(split.select("node", F.col("low").alias("unit"), "n")))
+
+
 def _places(shared: DataFrame) -> DataFrame:
     """Which nodes are compared in which task. shared: node, low (the smallest node of a bucket that the node is in)."""
-    cluster = components(shared.select(F.col("low").alias("a"), F.col("node").alias("b")).where("a < b"))
-    sizes = keep(cluster.groupBy("comp").agg(F.count(F.lit(1)).alias("n")))
-    cluster = attach(cluster, sizes, ["comp"], "n")
-    packs = (sizes.where(F.col("n") <= PACK_NODES).agg(F.sum("n")).first()[0] or 0) // (2 * PACK_NODES) + 1
+    units = _units(shared)
     small = F.col("n") <= PACK_NODES
-    every = cluster.select("node", F.when(small, -1 - F.pmod(F.xxhash64("comp"), F.lit(packs))).otherwise(F.col("comp")).alias("task"), F.when(small, 1).otherwise(F.ceil(F.col("n") / BLOCK_NODES)).cast("int").alias("blocks"))
+    packs = units.where(small).count() // (2 * PACK_NODES) + 1
+    every = units.select("node", F.when(small, -1 - F.pmod(F.xxhash64("unit"), F.lit(packs))).otherwise(F.col("unit")).alias("task"), F.when(small, 1).otherwise(F.ceil(F.col("n") / BLOCK_NODES)).cast("int").alias("blocks")).distinct()
     every = every.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     every = every.select("node", "task", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     return every.select("task", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node", (F.col("mine") <= F.col("other")).alias("left"), (F.col("mine") >= F.col("other")).alias("right"))

@@ -499,6 +499,28 @@ def test_one_large_group_of_near_copies(spark, monkeypatch):
     assert out == {d: 0 if d < 150 else 1000 if d < 2000 else d for d, _ in rows}
 
 
+def test_a_chain_costs_what_its_buckets_cost(spark, monkeypatch):
+    """Each text shares most words with the next: one group, but few texts share a bucket."""
+    monkeypatch.setattr(near, "PACK_NODES", 8)
+    monkeypatch.setattr(near, "BLOCK_NODES", 32)
+    placed, places = [], near._places
+
+    def spy(shared):
+        out = places(shared)
+        sizes = out.groupBy("task", "i", "j").agg(F.count_if("left").alias("a"), F.count_if("right").alias("b"))
+        placed.append(sizes.agg(F.sum(F.col("a") * F.col("b"))).first()[0])
+        return out
+
+    monkeypatch.setattr(near, "_places", spy)
+    n, step, each = 800, 8, 120
+    words = [f"w{k}" for k in range(n * step + each)]
+    rows = [(n - k, " ".join(words[k * step : k * step + each])) for k in range(n)]
+    rows += [(5000 + k, " ".join(words[:each] + [f"u{k}"])) for k in range(40)]  # and a tight group at its end
+    out = {r.doc_id: r.component_id for r in near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 4, 80).collect()}
+    assert out == dict.fromkeys(out, 1) and len(out) == len(rows)
+    assert placed[0] < len(rows) ** 2 / 4  # the whole cluster would be more than half of the square
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     out = near.near_duplicates(odd).collect()
     assert len(out) == 10
