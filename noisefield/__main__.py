@@ -37,11 +37,14 @@ def _extract(spark, args) -> int:
     from pyspark.sql import functions as F
 
     from .operators import lookup
-    from .sources import sac, tables
+    from .sources import record_lookup, sac, tables
 
     names = {k: getattr(args, k) for k in ("src_network", "rec_network", "src_location", "rec_location")}
-    index = tables.record_index(spark, tables.found_indexes(spark, args.index))
-    found = lookup.one(lookup.extract(index, args.timestamp, args.src, args.rec, args.pair, args.reverse, **names))
+    asked = (args.timestamp, args.src, args.rec, args.pair, args.reverse)
+    if record_lookup.is_lookup(spark, args.index):
+        found = lookup.one(record_lookup.find(spark, args.index, *asked, **names))
+    else:
+        found = lookup.one(lookup.extract(tables.record_index(spark, tables.found_indexes(spark, args.index)), *asked, **names))
     rows = sac.read_records(found, "record_path", "record_offset", "bytes", carry=("final_pair_path",))
     return sac.write(rows.withColumn("output_path", F.col("final_pair_path")), args.folder).count()
 

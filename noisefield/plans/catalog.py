@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import arrays as A
 from ..operators import correlate, gather, inventory, lookup, merge, pairs, rotate, stack
-from ..sources import pack, sac, tables
+from ..sources import pack, record_lookup, sac, tables
 from ..streaming import incremental, indexes
 from .shared import scratch
 
@@ -733,6 +733,14 @@ def extract_ncf(spark, sf_dir):
     return lookup.extract(r, "STACK", "S7", "S12", "Z/E", allow_reverse=True).select("record", F.col("stamp").alias("timestamp"), "reversed")
 
 
+@query(SQL["extract_ncf"])
+def extract_indexed(spark, sf_dir):
+    """Records of a pair of stations at all times, found in an index of all records that is clustered by time and pair."""
+    folder = f"{scratch(spark)}/index"
+    record_lookup.write(_records(spark, sf_dir), folder, grain="yyyy")
+    return record_lookup.find(spark, folder, None, "S7", "S12", "Z/E", allow_reverse=True, grain="yyyy").select("record", "timestamp", "reversed")
+
+
 @query(f"with {STACK} select path_id, slot, t::double t, round(coalesce(max(case when lag = -t - 1 then v end), 0), 5) + 0.0 negative, round(max(case when lag = t then v end), 5) + 0.0 positive from st join (select unnest(range({HALF} + 1))::int t) on lag = t or lag = -t - 1 group by all")
 def dat_export(spark, sf_dir):
     x = lookup.two_sided(stack.linear_stack(ncf(spark, sf_dir), W), HALF, 1.0, "path_id", "slot")

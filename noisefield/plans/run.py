@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from ..functions import arrays as A
 from ..operators import correlate, inventory, lookup, merge, pairs, rotate, stack
-from ..sources import pack, sac, tables
+from ..sources import pack, record_lookup, sac, tables
 from .config import RunConfig
 
 STAGES = ("prepare", "spectra", "correlate", "pack", "stack", "rotate", "unpack")
@@ -125,7 +125,7 @@ class Run:
         self._write(x, "ncf")
 
     def pack(self) -> None:
-        """The correlations as packs of records, and a record index by which other runs can use them."""
+        """The correlations as packs of records, a record index by which other runs can use them, and the same index laid out for finding single records."""
         sac.register(self.spark)
         s = self.table("stations").select("nsl_id", "network", "station", "location")
         end = lambda p: s.select(F.col("nsl_id").alias(f"{p}_id"), *(F.col(k).alias(f"{p}_{k}") for k in ("network", "station", "location")))
@@ -140,6 +140,7 @@ class Run:
         t = t.withColumns({"timestamp": inventory.time_text(F.col("timestamp")), "source_key": key("src"), "receiver_key": key("rec"), "dt": F.lit(dt), "dist": F.col("distance_km"), "az": F.col("azimuth_deg"), "baz": F.col("back_azimuth_deg"), "storage_kind": F.lit("pack")})
         t = t.withColumn("component_slot", F.col("slot")).withColumn("final_pair_path", lookup.final_path({k: F.col(k) for k in t.columns}))
         tables.write_tsv(t.select(*tables.INDEX_COLUMNS), f"{self.path('packs')}/record_index.tsv")
+        record_lookup.write(t.select(*tables.INDEX_COLUMNS), self.path("record_lookup"), "overwrite")
 
     def correlations(self) -> list[DataFrame]:
         """The records to stack: those of this run, and those that the indexes of other runs name; `merge.COLUMNS`."""

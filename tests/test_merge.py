@@ -83,6 +83,8 @@ def test_a_run_stacks_the_packs_of_another(spark, tmp_path):
     record = sac.read(spark, str(tmp_path / "one")).first()
     assert record.data == pytest.approx(first.table("ncf").where("path_id = 10003").first().data, rel=1e-5, abs=1e-5)
     assert main(["extract", index, "CC", "AA", "Z/Z", str(tmp_path / "turned"), "--reverse"]) == 0
+    assert main(["extract", first.path("record_lookup"), "AA", "CC", "Z-Z", str(tmp_path / "found"), "--timestamp", "2022.137.0000"]) == 0
+    assert sac.read(spark, str(tmp_path / "found")).first().data == record.data
     with pytest.raises(LookupError, match="no record matches"):
         main(["extract", index, "CC", "AA", "Z/Z", str(tmp_path / "turned")])
     config.dump(second.config, str(tmp_path / "c.ini"))
