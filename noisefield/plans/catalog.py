@@ -886,6 +886,19 @@ def window_counts(spark, sf_dir):
     return e.select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("window_start"), "event_type", "n")
 
 
+@query("""with e as (select ts, event_type, time_bucket(interval '6 hours', ts) w, event_id % 50 = 0 and day(ts) <= 5 late from events), m as (select max(ts) - interval 1 day closed from events)
+    select strftime(w, '%Y-%m-%d %H:%M') as window_start, event_type, count(*)::bigint n from e, m where not late and w + interval 6 hours <= closed group by 1, 2""")
+def stream_window_counts(spark, sf_dir):
+    """The windows that three files of events close; the last file also holds rows of the first days, which come too late."""
+    folder, e = scratch(spark), table(spark, sf_dir, "events")
+    late, day = (F.col("event_id") % 50 == 0) & (F.dayofmonth("ts") <= 5), F.dayofmonth("ts")
+    for part in (e.where(~late & (day <= 10)), e.where(day.between(11, 20)), e.where(late | (day > 20))):
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/rows")
+    counts = incremental.windowed_counts(incremental.read_stream(spark, f"{folder}/rows", e.schema, 1), "ts", "1 day", "6 hours", "event_type")
+    incremental.materialize_windows(counts, f"{folder}/windows", f"{folder}/progress").awaitTermination()
+    return incremental.windows_of(spark, f"{folder}/windows").select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("window_start"), "event_type", "n")
+
+
 @query("select user_id station, event_type component, count(*)::bigint records, round(min(value), 6) + 0.0 depmin, round(max(value), 6) + 0.0 depmax, strftime(min(ts), '%Y.%j.%H%M') as first_time from events group by 1, 2")
 def station_records(spark, sf_dir):
     """Records, extremes and first time of each station and component of an irregular series."""

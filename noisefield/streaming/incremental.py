@@ -42,6 +42,23 @@ def windowed_counts(events: DataFrame, time_col: str, late: str, size: str, *key
     return e.withWatermark("_t", late).groupBy(F.window("_t", size), *keys).agg(F.count(F.lit(1)).alias("n"))
 
 
+def materialize_windows(counts: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
+    """Runs `windowed_counts` over all files there are, then stops; each batch leaves in `table`/batch=<id> the windows that it closed.
+
+    A window is given out once, when the watermark has passed its end; rows that come after that are dropped, rows of a window that is still open
+    count however late they are. Windows that are open at the end stay in the state store and go on with the next files."""
+
+    def batch(df: DataFrame, number: int) -> None:
+        df.write.mode("overwrite").parquet(f"{table}/batch={number}")
+
+    return counts.writeStream.outputMode("append").foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def windows_of(spark: SparkSession, table: str) -> DataFrame:
+    """The windows that are closed."""
+    return spark.read.parquet(table).drop("batch")
+
+
 # Tables of sums ---------------------------------------------------------------------------------------------------
 
 

@@ -82,3 +82,26 @@ def test_phasors_are_not_shuffled(spark, records):
         spark.conf.unset("spark.sql.adaptive.enabled")
     above = plan[: plan.index("FlatMapGroupsInArrow")]
     assert "Exchange" not in above and "phasors" not in plan
+
+
+def test_windows_close_once_and_late_rows_are_dropped(spark, tmp_path):
+    source, table, progress = (str(tmp_path / x) for x in ("in", "table", "progress"))
+    def take(*rows):
+        df = spark.createDataFrame([(f"2022-05-01 {t}", k) for t, k in rows], "t string, kind string")
+        df.select(F.col("t").cast("timestamp").alias("t"), "kind").coalesce(1).write.mode("append").parquet(source)
+        counts = incremental.windowed_counts(incremental.read_stream(spark, source, "t timestamp, kind string", 1), "t", "2 hours", "1 hour", "kind")
+        incremental.materialize_windows(counts, table, progress).awaitTermination()
+        return sorted((r.window.start.hour, r.kind, r.n) for r in incremental.windows_of(spark, table).collect())
+
+    assert take(("01:10", "a"), ("01:50", "a"), ("02:30", "b")) == []
+    # at 04:30 the window from 01:00 is closed, that from 02:00 is open still
+    assert take(("04:30", "a")) == [(1, "a", 2)]
+    # one row comes too late; another is as old as the watermark allows
+    assert take(("01:20", "a"), ("02:40", "b"), ("07:00", "a")) == [(1, "a", 2), (2, "b", 2), (4, "a", 1)]
+    assert take(("02:10", "b"), ("09:30", "b")) == [(1, "a", 2), (2, "b", 2), (4, "a", 1)]
+
+
+def test_window_query(same_as_sql):
+    from noisefield.plans import catalog
+
+    same_as_sql(catalog.stream_window_counts, catalog.SQL["stream_window_counts"])
