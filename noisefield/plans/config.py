@@ -78,6 +78,7 @@ class RunConfig:
     tf_taper_hz: float | None = None
     buckets: int = 64
     pack: bool = False
+    text_tables: bool = False
     unpack: bool = True
     unpack_target: str = "ALL"
     output: str = "output"
@@ -129,7 +130,7 @@ SECTIONS = {
     "spectra": ("record_seconds", "window_seconds", "shift_seconds", "delta", "bands", "normalize", "whiten", "skip_steps", "phase_only"),
     "pairs": ("pair_table", "max_lag_seconds", "distance_km", "azimuth_deg", "group_pairs", "autocorr"),
     "stack": ("stack_flag", "pre_stack_size", "other_indexes", "buckets", "tf_band", "tf_taper_hz"),
-    "output": ("pack", "unpack", "unpack_target", "output"),
+    "output": ("pack", "text_tables", "unpack", "unpack_target", "output"),
 }
 
 
@@ -147,7 +148,7 @@ def _value(name: str, text: str) -> object:
         return () if text == "-1" else tuple(int(x) for x in text.split(","))
     if name in ("shift_seconds", "tf_taper_hz") and text.upper() == "AUTO":
         return None
-    if name in ("phase_only", "pack", "unpack"):
+    if name in ("phase_only", "pack", "text_tables", "unpack"):
         return read_bool(text)
     if name in ("pre_stack_size", "buckets"):
         return int(text)

@@ -86,6 +86,8 @@ class Run:
         facts["stations_in_pairs"] = kept.count()
         facts |= self._write(found.join(kept.select(*keys, "nsl_id"), keys).withColumn("timestamp", F.col("time")), "channels", channels=rows)
         facts |= self._write(inventory.timestamp_index(self.table("channels")), "timestamps", timestamps=rows)
+        if c.text_tables:
+            tables.write_catalog(self.table("stations"), self.table("pairs"), self.table("channels"), self.path("catalog"))
         tables.write_summary(self.spark, self.path("inventory.json"), facts | {"sources": [s.path for s in c.sources]})
 
     def _write_pairs(self, nodes: DataFrame) -> dict[str, int]:

@@ -6,7 +6,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.inventory import read_time
+from ..operators.inventory import read_time, time_text
+from ..operators.lookup import id_text
 from ..operators.pairs import ID_BASE
 from . import store
 
@@ -143,10 +144,31 @@ def record_index(spark: SparkSession, paths: str | list[str], strict: bool = Tru
     return read.where(checked.isNull())
 
 
-def write_tsv(df: DataFrame, path: str, floats: str = "%.7g") -> None:
-    """Tab-separated with a header; floats with seven digits, nulls empty."""
+def write_tsv(df: DataFrame, path: str, floats: str = "%.7g", mode: str = "errorifexists", *folders: str) -> None:
+    """Tab-separated with a header; floats with seven digits, nulls empty; a folder for each value of the columns `folders`."""
     cols = [F.when(F.col(c).isNotNull(), F.format_string(floats, F.col(c))).alias(c) if t in ("float", "double") else F.col(c) for c, t in df.dtypes]
-    df.select(*cols).write.csv(path, sep="\t", header=True, emptyValue="")
+    df.select(*cols).write.mode(mode).partitionBy(*folders).csv(path, sep="\t", header=True, emptyValue="")
+
+
+def write_catalog(stations: DataFrame, pairs: DataFrame, channels: DataFrame, path: str) -> None:
+    """What a run has planned as text: stations.tsv; pairs.tsv, which another run can be given as its pair table; pair_ids.txt; and of the channels in a
+    pair manifests.tsv, a folder for each timestamp, rows in the order of station, component (E, N, Z, others) and path, with timestamps.tsv as its index.
+
+    Pairs without coordinates stand there with empty fields, which a reader of pair tables counts as short lines."""
+    name = F.concat_ws(".", "group", "network", "station", F.coalesce("location", F.lit("")))
+    number = lambda c: id_text(F.col(c), 4).alias(c)
+    put = lambda df, to, *folders: write_tsv(df, f"{path}/{to}", "%.7g", "overwrite", *folders)
+    put(stations.select(number("nsl_id"), "group", "network", "station", "location", "lat", "lon", "path").orderBy("nsl_id"), "stations.tsv")
+    named = stations.select("nsl_id", name.alias("_name"))  # at most 9999 stations
+    for end in ("src", "rec"):
+        pairs = pairs.drop(f"{end}_group").join(F.broadcast(named.withColumnsRenamed({"nsl_id": f"{end}_id", "_name": f"{end}_group"})), f"{end}_id")
+    text_id = id_text(F.col("path_id"), 8)
+    put(pairs.select(text_id.alias("path_id"), number("src_id"), number("rec_id"), *PAIR_COLUMNS[3:]).orderBy("path_id"), "pairs.tsv")
+    pairs.select(text_id.alias("value")).orderBy("value").write.mode("overwrite").text(f"{path}/pair_ids.txt")
+    rows = channels.select(time_text(F.col("timestamp")).alias("timestamp"), number("nsl_id"), "group", "network", "station", "location", "component", "path")
+    rank = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, "ENZ")), F.col("component")), F.lit(0)), F.lit(99))
+    put(rows.repartition("timestamp").sortWithinPartitions("timestamp", "nsl_id", rank, "component", "path"), "manifests.tsv", "timestamp")
+    put(rows.groupBy("timestamp").agg(F.count(F.lit(1)).alias("row_count")).orderBy("timestamp"), "timestamps.tsv")
 
 
 def write_by_time(df: DataFrame, path: str, *order: str) -> None:
