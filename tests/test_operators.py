@@ -135,6 +135,40 @@ def test_all_pairs_are_dealt_over_tasks(spark):
     assert made.count() == 4950 and made.select(F.spark_partition_id().alias("k")).distinct().count() > 1
 
 
+@pytest.mark.parametrize(
+    "kw",
+    [
+        {},
+    ],
+)
+def test_two_places_are_measured_once(spark, monkeypatch, kw):
+    places = [(10.0, 20.0), (12.0, 21.0), (-40.0, 60.0), (0.0, 0.0), (None, None)]
+    rows = [(k, "ab"[k % 2], *places[k * 7 % 5]) for k in range(1, 101)]
+    schema = "nsl_id int, group string, lat double, lon double"
+    seen, real = [], pairs.with_distaz
+    monkeypatch.setattr(pairs, "with_distaz", lambda df, *a: seen.append(df) or real(df, *a))
+    monkeypatch.setattr(pairs, "MEMBERS", 16, raising=False)
+    made = pairs.station_pairs(spark.createDataFrame(rows, schema), **kw)
+    got = {tuple(r) for r in made.collect()}
+    # at most 5 places, 2 groups and 2 parts of each
+    assert seen[-1].count() <= 400
+    group, both = kw.get("group_mode", "all"), "include" if kw.get("autocorr") else "off"
+    met = [(a, b) for a in rows for b in rows if a[0] < b[0] and (group == "all" or (a[1] == b[1]) == (group == "intra")) or (both == "include" and a[0] == b[0])]
+    ends = spark.createDataFrame([(a[0] * 10_000 + b[0], a[0], b[0], a[1], b[1], a[2], a[3], b[2], b[3]) for a, b in met], "path_id long, src_id int, rec_id int, src_group string, rec_group string, la double, lo double, lb double, mo double")
+    want = real(ends, "la", "lo", "lb", "mo").drop("la", "lo", "lb", "mo")
+    if "distance_km" in kw:
+        want = want.where(F.col("distance_km").between(*kw["distance_km"]))
+    if "azimuth" in kw:
+        want = want.where(" or ".join(f"{c} >= 300 or {c} <= 60" for c in ("azimuth_deg", "back_azimuth_deg")))
+    assert got == {tuple(r) for r in want.select(*made.columns).collect()} and got
+
+
+def test_many_stations_at_one_place(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "MEMBERS", 8, raising=False)
+    made = pairs.station_pairs(spark.range(1, 101).selectExpr("cast(id as int) nsl_id", "'g' group", "1.0 lat", "2.0 lon"), distance_km=(0.0, 5.0))
+    assert made.count() == 4950 == made.distinct().count() and made.where("distance_km = 0 and src_id < rec_id").count() == 4950
+
+
 @pytest.mark.parametrize(("tile_bytes", "blocks", "ranges"), [(40_000, 4, 2), (400_000, 32, 1)])
 def test_tiles_of_blocks_and_ranges_give_the_same_lags(spark, monkeypatch, tile_bytes, blocks, ranges):
     rng = np.random.default_rng(9)
