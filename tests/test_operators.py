@@ -139,6 +139,7 @@ def test_all_pairs_are_dealt_over_tasks(spark):
     "kw",
     [
         {},
+        {"azimuth": [(300, 60)]},
     ],
 )
 def test_two_places_are_measured_once(spark, monkeypatch, kw):
