@@ -141,6 +141,7 @@ def test_all_pairs_are_dealt_over_tasks(spark):
         {},
         {"azimuth": [(300, 60)]},
         {"distance_km": (10.0, 1500.0)},
+        {"distance_km": (4000.0, 9000.0)},
     ],
 )
 def test_two_places_are_measured_once(spark, monkeypatch, kw):
