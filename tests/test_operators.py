@@ -172,6 +172,11 @@ def test_many_stations_at_one_place(spark, monkeypatch):
     assert made.count() == 4950 == made.distinct().count() and made.where("distance_km = 0 and src_id < rec_id").count() == 4950
 
 
+def test_retained_stations_read_the_pairs_once(spark, nodes):
+    got = pairs.retained(nodes, pairs.station_pairs(nodes, distance_km=(0.0, 20.0)))
+    assert {r.nsl_id for r in got.collect()} == {1, 2} and got._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 @pytest.mark.parametrize(("tile_bytes", "blocks", "ranges"), [(40_000, 4, 2), (400_000, 32, 1)])
 def test_tiles_of_blocks_and_ranges_give_the_same_lags(spark, monkeypatch, tile_bytes, blocks, ranges):
     rng = np.random.default_rng(9)
