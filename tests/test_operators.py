@@ -142,6 +142,8 @@ def test_all_pairs_are_dealt_over_tasks(spark):
         {"azimuth": [(300, 60)]},
         {"distance_km": (10.0, 1500.0)},
         {"distance_km": (4000.0, 9000.0)},
+        {"group_mode": "intra", "autocorr": "include"},
+        {"group_mode": "inter"},
     ],
 )
 def test_two_places_are_measured_once(spark, monkeypatch, kw):
@@ -177,6 +179,16 @@ def test_retained_stations_read_the_pairs_once(spark, nodes):
     assert {r.nsl_id for r in got.collect()} == {1, 2} and got._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
 
 
+def test_azimuths_at_opposite_points_and_both_arcs(spark):
+    """The azimuth of an opposite point is what the difference of longitudes leaves: due east or west."""
+    there, back = distaz(spark, (-30, -150, 30, 30), (30, 30, -30, -150))
+    assert [there.azimuth_deg, there.back_azimuth_deg, back.azimuth_deg, back.back_azimuth_deg] == [90, 270, 270, 90] and there.distance_km == pytest.approx(20003.9315, abs=1e-4)
+    rng = np.random.default_rng(8)
+    at = [rng.uniform(-b, b, 20_000) for b in (90, 180, 90, 180)]
+    exact, simpson, finer = (geodesy.distaz(*at, steps)[1] for steps in (0, 128, 512))
+    assert 1e-8 < np.abs(exact - simpson).max() < 2e-7 and np.abs(exact - finer).max() < 2e-9
+
+
 @pytest.mark.parametrize(("tile_bytes", "blocks", "ranges"), [(40_000, 4, 2), (400_000, 32, 1)])
 def test_tiles_of_blocks_and_ranges_give_the_same_lags(spark, monkeypatch, tile_bytes, blocks, ranges):
     rng = np.random.default_rng(9)
