@@ -168,6 +168,16 @@ def test_two_places_are_measured_once(spark, monkeypatch, kw):
     assert got == {tuple(r) for r in want.select(*made.columns).collect()} and got
 
 
+@pytest.mark.parametrize(("kw", "broadcast"), [({"group_mode": "intra"}, "0"), ({"distance_km": (0.0, 2000.0)}, "0"), ({"distance_km": (3500.0, 9000.0)}, "10m")])
+def test_pairs_of_few_places_are_dealt_over_tasks(spark, kw, broadcast):
+    df = spark.range(1, 201).selectExpr("cast(id as int) nsl_id", "id % 2 group", "cast(id % 40 as double) lat", "cast(id * 9 % 160 as double) lon").coalesce(1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        assert pairs.station_pairs(df, **kw).select(F.spark_partition_id().alias("k")).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_many_stations_at_one_place(spark, monkeypatch):
     monkeypatch.setattr(pairs, "MEMBERS", 8, raising=False)
     made = pairs.station_pairs(spark.range(1, 101).selectExpr("cast(id as int) nsl_id", "'g' group", "1.0 lat", "2.0 lon"), distance_km=(0.0, 5.0))
