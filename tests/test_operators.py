@@ -178,6 +178,20 @@ def test_pairs_of_few_places_are_dealt_over_tasks(spark, kw, broadcast):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("kw", [{}, {"azimuth": [(350.0, 20.0)]}, {"group_mode": "inter"}])
+def test_tasks_of_all_pairs_do_not_grow_with_the_square_of_partitions(spark, kw):
+    df = spark.range(1, 201).selectExpr("cast(id as int) nsl_id", "id % 2 group", "cast(id % 40 as double) lat", "cast(id * 9 % 160 as double) lon")
+    kept = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "20"}
+    before = {k: spark.conf.get(k) for k in kept}
+    try:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+        assert 20 <= pairs.station_pairs(df, **kw).rdd.getNumPartitions() <= 20 * 4
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_many_stations_at_one_place(spark, monkeypatch):
     monkeypatch.setattr(pairs, "MEMBERS", 8, raising=False)
     made = pairs.station_pairs(spark.range(1, 101).selectExpr("cast(id as int) nsl_id", "'g' group", "1.0 lat", "2.0 lon"), distance_km=(0.0, 5.0))
